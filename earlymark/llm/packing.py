@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import string
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -15,8 +17,11 @@ from .common import spread_rank, stored, table
 
 CAPACITY = 1024
 END_ID = 2
-#: A worker keeps the ids of at most so many different words.
-CACHED_WORDS = 600_000
+#: A worker keeps the ids of at most twice so many different words.
+CACHED_WORDS = 500_000
+
+SPACES_MEET = re.compile(r"\s\s")
+UNUSUAL = re.compile(r"[\t\r\x0b\x0c\x1c-\x1f]")
 
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
 
@@ -30,52 +35,54 @@ def default_tokenizer() -> str:
 class WordEncoder:
     """Ids of texts as little-endian uint32 bytes, by the tokenizer, which sees each different word once.
 
-    A byte-level BPE with this pre-tokenizer never merges across a space that stands alone, so a text is
-    encoded word by word, each with the space before it. Texts with two spaces in a row, where white space
-    merges with white space, go to the tokenizer whole.
+    In a text where no two white-space characters meet, this byte-level BPE merges nothing across them, nor between
+    a letter or digit and the punctuation after it. So such a text is put together from its words, each with the
+    space or line end before it; other texts, and those with a special token's string, go to the tokenizer whole. Two generations of
+    words are kept: the older one is dropped when the newer one is full.
     """
 
     def __init__(self, path: str, limit: int = CACHED_WORDS):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.limit, self.cache = Tokenizer.from_file(path), limit, {}
+        self.tokenizer, self.limit, self.cache, self.old, self.tails = Tokenizer.from_file(path), limit, {}, {}, {}
+        self.whole = ["  ", "\n\n", " \n", "\n ", *(x.content for x in self.tokenizer.get_added_tokens_decoder().values())]
 
     def direct(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
-    def learn(self, new: list[str]) -> None:
-        if len(self.cache) + len(new) > self.limit:
-            self.cache.clear()
-        bare, marked = {}, []
+    def known(self, new: set[str]) -> dict[str, bytes]:
+        """Ids of words that the newer generation lacks."""
+        out = {w: self.old[w] for w in new if w in self.old}
+        parts = {}
         for w in new:
-            if w[-1:] in (",", ".") and w[:-1].isalpha():
-                marked.append(w)
-                bare[w[:-1]] = bare[w[-1] + ""] = None
-            else:
-                bare[w] = None
-        todo = [w for w in bare if w not in self.cache]
-        plain = [w for w in todo if w not in (",", ".")]
-        self.cache.update(zip(plain, self.direct([" " + w for w in plain])))
-        if marked:
-            ends = dict(zip(",.", self.direct([",", "."])))
-            self.cache.update((w, self.cache[w[:-1]] + ends[w[-1]]) for w in marked)
+            if w not in out:
+                core = w.rstrip(string.punctuation)
+                parts[w] = (core, w[len(core) :]) if core[-1:].isalnum() else (w, "")
+        cores = {c: self.cache.get(c) or self.old.get(c) for c, _ in parts.values()}
+        todo = [c for c, ids in cores.items() if ids is None]
+        cores.update(zip(todo, self.direct([c if c[:1] == "\n" else " " + c for c in todo])))
+        tails = [t for t in {t for _, t in parts.values()} if t and t not in self.tails]
+        if len(self.tails) > 10_000:
+            self.tails, tails = {}, [t for t in {t for _, t in parts.values()} if t]
+        self.tails.update(zip(tails, self.direct(tails)))
+        out |= {c: ids for c, ids in cores.items() if ids is not None}
+        return out | {w: cores[c] + self.tails[t] if t else cores[c] for w, (c, t) in parts.items()}
 
     def encode(self, text: str) -> bytes:
-        if "  " in text:
+        if any(x in text for x in self.whole) or (not text.isascii() or UNUSUAL.search(text)) and SPACES_MEET.search(text):
             return self.direct([text])[0]
-        first, *rest = text.split(" ")
-        cache = self.cache
-        head = self.direct([first])[0] if first else b""
+        first, *rest = text.replace("\n", " \n").split(" ")
+        cache, head = self.cache, self.direct([first])[0] if first else b""
         try:
             return head + b"".join([cache[w] for w in rest])
         except KeyError:
-            new = list({w for w in rest if w not in cache})
-            self.learn(new)
-            if any(w not in self.cache for w in rest):  # the cache was cleared for them
-                own = dict(zip(todo := list(set(rest)), self.direct([" " + w for w in todo])))
-                return head + b"".join([own[w] for w in rest])
-            return head + b"".join([self.cache[w] for w in rest])
+            new = self.known({w for w in rest if w not in cache})
+            if len(cache) + len(new) > self.limit and cache:
+                self.old, self.cache = cache, {}
+            self.cache.update(new)
+            old = self.old
+            return head + b"".join([new[w] if w in new else self.cache[w] if w in self.cache else old[w] for w in rest])
 
 
 _encoders: dict[str, WordEncoder] = {}
