@@ -11,6 +11,7 @@ from .common import shared_dir, spread_rank, table
 #: Bytes that a row takes beside its text.
 ROW_BYTES = 16
 OLD_SHARDS, NEW_SHARDS = 32, 40
+NO_ID = -(1 << 63)  # stands for a null doc_id in joins
 #: Blocks of one size class in one shard.
 BLOCKS = 64
 
@@ -119,10 +120,11 @@ def resharding(docs: DataFrame, old_shard: Column, shards: int = NEW_SHARDS) ->
 
 def rewritten(docs: DataFrame, placed: DataFrame, path: str) -> DataFrame:
     """Writes docs to path, a folder for each shard, and reads them back, with size, shard and slot."""
-    spark, own = docs.sparkSession, placed.select(F.col("doc_id").alias("_id"), "old_shard", "shard", "slot0")
-    rows = docs.join(own, docs["doc_id"].cast("long").eqNullSafe(own["_id"]))
-    twin = W.partitionBy("_id").orderBy("text")
-    rows = rows.withColumn("slot", F.col("slot0") + F.row_number().over(twin) - 1).drop("_id", "slot0")
+    spark = docs.sparkSession
+    key = lambda df: F.coalesce(df["doc_id"].cast("long"), F.lit(NO_ID)).alias("_id")
+    own = placed.select(key(placed), "old_shard", "shard", "slot0")
+    rows = docs.select("*", key(docs)).join(own, "_id")  # the window below needs no exchange of its own
+    rows = rows.withColumn("slot", F.col("slot0") + F.row_number().over(W.partitionBy("_id").orderBy("text")) - 1).drop("_id", "slot0")
     rows.write.mode("overwrite").partitionBy("shard").parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 
