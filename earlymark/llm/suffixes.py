@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import stored, table
 
@@ -249,9 +250,11 @@ def spans_of(starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return begin[first], reach[np.append(first[1:], len(begin)) - 1]
 
 
-def without_repeats(docs: DataFrame) -> DataFrame:
+def without_repeats(docs: DataFrame, as_text: bool = False) -> DataFrame:
     """docs with n_bytes, n_removed, n_spans and kept (binary): the UTF-8 bytes that no earlier repeat covers.
 
+    With as_text kept is a string, without the bytes of characters that a cut goes through, and null for a null text.
+
     A byte goes if a string of LENGTH bytes over it also starts earlier: in a smaller doc_id, or before in the same
     document. All strings are judged on the text as given. A null text is empty. A row with a null doc_id has
     no place in the order: it stays whole, and nothing repeats it. Rows that repeat a doc_id with its text get the same result.
@@ -272,19 +275,18 @@ def without_repeats(docs: DataFrame) -> DataFrame:
                     data = (text.as_py() or "").encode()
                     begin, end = spans_of(starts.values.to_numpy()) if starts.is_valid else (np.zeros(0, np.int64),) * 2
                     kept = b"".join(data[a:b] for a, b in zip([0, *end.tolist()], [*begin.tolist(), len(data)]))
-                    rows.append((len(data), len(data) - len(kept), len(begin), kept))
+                    out = kept if not as_text else kept.decode("utf-8", "ignore") if text.is_valid else None
+                    rows.append((len(data), len(data) - len(kept), len(begin), out))
                 n, removed, spans, kept = zip(*rows)
                 columns = [c for name, c in zip(part.schema.names, part.columns) if name != "starts"]
                 names = [c for c in part.schema.names if c != "starts"]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept, pa.binary())], names=[*names, "n_bytes", "n_removed", "n_spans", "kept"])
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept, pa.string() if as_text else pa.binary())], names=[*names, "n_bytes", "n_removed", "n_spans", "kept"])
 
     joined = own.join(marks, "doc_id", "left").select("doc_id", "text", *keep, "starts")
-    from pyspark.sql import types as T
-
     schema = T.StructType([f for f in joined.schema.fields if f.name != "starts"])
     for name in ("n_bytes", "n_removed", "n_spans"):
         schema = schema.add(name, "long")
-    return joined.mapInArrow(cut, schema.add("kept", "binary"))
+    return joined.mapInArrow(cut, schema.add("kept", "string" if as_text else "binary"))
 
 
 def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
