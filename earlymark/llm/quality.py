@@ -175,7 +175,7 @@ def quality(docs: DataFrame, labels: DataFrame, held_out=None, rounds: int = ROU
     own = docs.select(*[F.col(c).alias(f"_{c}") for c in carry], held.alias("held_out"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"), F.col("n_chars").cast("long").alias("n_chars"))
     names = ["held_out", "text_score", "meta_score", "score", "predicted"]
     schema = T.StructType([T.StructField(c, own.schema[f"_{c}"].dataType) for c in carry])
-    for name, kind in zip(names, ("boolean", "double", "double", "double", "int")):
+    for name, kind in zip(names, ("boolean", "double", "double", "double", "integer")):
         schema = schema.add(name, kind)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
