@@ -72,8 +72,7 @@ def fold_commands(commands: DataFrame) -> tuple[DataFrame, DataFrame]:
     start = F.struct(F.lit(0).alias("version"), F.lit(None).cast("string").alias("status"), F.lit(None).cast("string").alias("outcome"), F.lit(None).cast("timestamp_ntz").alias("closed_at"), F.array().cast("array<struct<k:string,v:int>>").alias("used"), F.array().cast(f"array<{result}>").alias("out"))
 
     def fold(state, c):
-        seen = F.element_at(F.filter(state["used"], lambda u: u["k"] == c["idempotency_key"]), 1)["v"]
-        seen = F.when(F.exists(state["used"], lambda u: u["k"] == c["idempotency_key"]), seen)
+        seen = F.get(F.filter(state["used"], lambda u: u["k"] == c["idempotency_key"]), 0)["v"]
         create = c["action"] == "create"
         fits = F.when(create, state["version"] == 0).otherwise((state["version"] > 0) & (state["version"] == c["expected_version"]))
         applied = seen.isNull() & F.coalesce(fits, F.lit(False))
