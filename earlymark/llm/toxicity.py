@@ -16,10 +16,12 @@ SAMPLE = 20_000
 LANDMARKS, CANDIDATES = 128, 2_000
 #: Letters of a subsequence, what each step of its length costs, and the least kernel value that counts.
 ORDER, DECAY, LEAST = 3, 0.6, 0.45
+#: Share of a landmark's pairs of neighbouring letters that a word must have for its kernel to be computed.
+NEEDED = 0.7
 #: Longer words are seen through windows of so many letters, each half over the one before.
 WINDOW = 24
-#: Different words whose answers a worker remembers.
-REMEMBERED = 500_000
+#: Different words whose answers a worker remembers, at most twice.
+REMEMBERED = 400_000
 
 
 def subsequence_kernel(s: np.ndarray, t: np.ndarray, order: int = ORDER, decay: float = DECAY) -> np.ndarray:
@@ -52,8 +54,8 @@ def subsequence_kernel(s: np.ndarray, t: np.ndarray, order: int = ORDER, decay:
 
 
 def letters(word: str) -> str:
-    """A word's letters and digits in lower case: what stands between them doesn't hide an insult."""
-    return "".join(filter(str.isalnum, word.lower()))
+    """A word's letters and digits: what stands between them doesn't hide an insult."""
+    return word if word.isalnum() else "".join(filter(str.isalnum, word))
 
 
 def windows(word: str) -> list[str]:
@@ -68,15 +70,15 @@ def coded(words: list[str], empty: int) -> np.ndarray:
 
 
 def _sketches(codes: np.ndarray, gaps: int) -> np.ndarray:
-    """Two 64-bit sets of each word's pairs of letters at distances up to gaps + 1."""
-    out = np.zeros((2, len(codes)), np.uint64)
+    """Four 64-bit sets of each word's pairs of letters at distances up to gaps + 1."""
+    out, rows = np.zeros((4, len(codes)), np.uint64), np.arange(len(codes))
     for gap in range(1, gaps + 2):
         for i in range(codes.shape[1] - gap):
-            a, b = codes[:, i].astype(np.uint64), codes[:, i + gap].astype(np.uint64)
-            h = (a * np.uint64(0x9E3779B97F4A7C15) + b * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(57)
-            on = (codes[:, i + gap] >= 0).astype(np.uint64) << (h & np.uint64(63))
-            out[0] |= np.where(h < 64, on, np.uint64(0))
-            out[1] |= np.where(h >= 64, on, np.uint64(0))
+            there = rows[codes[:, i + gap] >= 0]
+            if len(there):
+                a, b = codes[there, i].astype(np.uint64), codes[there, i + gap].astype(np.uint64)
+                h = (a * np.uint64(0x9E3779B97F4A7C15) + b * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(56)
+                out[h >> np.uint64(6), there] |= np.uint64(1) << (h & np.uint64(63))
     return out
 
 
@@ -89,19 +91,19 @@ class Kernel:
         self.norm = np.sqrt(subsequence_kernel(np.where(self.codes < 0, -1, self.codes), self.codes))
         self.lengths = np.array([len(w) for w in landmarks])
         self.sets = _sketches(np.where(self.codes < 0, -1, self.codes), 0)
-        self.need = np.ceil(0.6 * sum(np.bitwise_count(x) for x in self.sets))
+        self.need = np.ceil(NEEDED * sum(np.bitwise_count(x) for x in self.sets))
 
     def __call__(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(word, landmark, value) where the value is over 0; words of at least ORDER and at most WINDOW letters.
 
-        A word counts for a landmark only if at least 0.6 of the landmark's neighbouring letters stand in it
+        A word counts for a landmark only if at least NEEDED of the landmark's neighbouring letters stand in it
         in this order, with at most two letters between, and it has 0.6 to 3 times its length.
         """
         codes = coded(words, -1)
         sets, length = _sketches(codes, 2), np.array([len(w) for w in words])
         found = []
         for j in range(len(self.landmarks)):
-            shared = np.bitwise_count(sets[0] & self.sets[0, j]) + np.bitwise_count(sets[1] & self.sets[1, j])
+            shared = sum(np.bitwise_count(mine & theirs) for mine, theirs in zip(sets, self.sets[:, j]))
             i = np.flatnonzero((shared >= self.need[j]) & (length >= 0.6 * self.lengths[j]) & (length <= 3 * self.lengths[j]))
             found.append(np.stack([i, np.full(len(i), j)]))
         word, mark = np.concatenate(found, axis=1)
@@ -119,7 +121,8 @@ class Kernel:
 
 def spelled(tokens: list[str]) -> list[str]:
     """Words spelled letter by letter: runs of at least four tokens with one letter or digit."""
-    if sum(map((1).__eq__, map(len, tokens))) < 4:
+    sizes = list(map(len, tokens))
+    if sizes.count(1) < 4 or bytes(4 * [1]) not in bytes([n if n < 255 else 255 for n in sizes]):
         return []
     out, run = [], []
     for w in [*tokens, ""]:
@@ -146,40 +149,46 @@ class Features:
         self.white = vectors @ np.diag(np.maximum(values, 0.05) ** -0.5) @ vectors.T
         self.hot: dict[str, tuple[np.ndarray, np.ndarray]] = {}
         self.cold: set[str] = set()
+        self.older: set[str] = set()
 
     def learn(self, new: set[str]) -> None:
         if len(self.cold) > REMEMBERED:
-            self.cold.clear()
+            self.older, self.cold = self.cold, set()
+        if len(self.hot) > REMEMBERED:
             self.hot.clear()
-        parts = [(w, x) for w in new for x in windows(letters(w)) if len(x) >= ORDER]
-        answers: dict[str, dict[int, float]] = {}
+        known = new & self.older
+        self.cold |= known
+        parts = []
+        for w in new - known:
+            x = letters(w)
+            if ORDER <= len(x) <= WINDOW:
+                parts.append((w, x))
+            elif len(x) > WINDOW:
+                parts += [(w, y) for y in windows(x)]
         if parts and self.m:
-            for i, j, v in zip(*self.kernel([x for _, x in parts])):
+            answers: dict[str, dict[int, float]] = {}
+            for i, j, v in zip(*(c.tolist() for c in self.kernel([x for _, x in parts]))):
                 own = answers.setdefault(parts[i][0], {})
-                own[int(j)] = max(own.get(int(j), 0.0), float(v))
-        for w in new:
-            if w in answers:
-                self.hot[w] = (np.array(list(answers[w]), np.int64), np.array(list(answers[w].values()), np.float32))
-            else:
-                self.cold.add(w)
+                own[j] = max(own.get(j, 0.0), v)
+            self.hot.update((w, (np.array(list(own), np.int64), np.array(list(own.values()), np.float32))) for w, own in answers.items())
+            new = new - answers.keys()
+        self.cold |= new
 
     def __call__(self, texts: list[str]) -> np.ndarray:
         tokens = []
         for t in texts:
-            own = t.split()
+            own = t.lower().split()
             tokens.append(own + spelled(own))
-        hot, cold = self.hot, self.cold
-        if new := {w for own in tokens for w in own if w not in cold and w not in hot}:
+        if new := set().union(*tokens) - self.cold - self.hot.keys():
             self.learn(new)
-            hot, cold = self.hot, self.cold
+        hot = self.hot
         out = np.zeros((len(texts), 2 * self.m + 1), np.float32)
         for k, own in enumerate(tokens):
             out[k, -1] = np.log1p(len(own))
-            for w in own:
-                if w in hot:
-                    j, v = hot[w]
-                    out[k, j] += v
-                    out[k, self.m + j] = np.maximum(out[k, self.m + j], v)
+            for w in filter(hot.__contains__, own):
+                j, v = hot[w]
+                out[k, j] += v
+                out[k, self.m + j] = np.maximum(out[k, self.m + j], v)
         if self.m:
             out[:, : self.m] = np.log1p(out[:, : self.m]) @ self.white
             out[:, self.m : 2 * self.m] = out[:, self.m : 2 * self.m] @ self.white
@@ -225,7 +234,7 @@ def chosen_landmarks(sample: DataFrame, landmarks: int, candidates: int) -> list
             for low in range(0, batch.num_rows, 500):
                 word, toxic = [], []
                 for text, label in zip(batch.column(0)[low : low + 500].to_pylist(), batch.column(1)[low : low + 500].to_pylist()):
-                    own = (text or "").split()
+                    own = (text or "").lower().split()
                     found = {x for w in {*own, *spelled(own)} for x in windows(letters(w)) if len(x) >= ORDER}
                     word.extend(found)
                     toxic.extend([label] * len(found))
