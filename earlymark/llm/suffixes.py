@@ -20,6 +20,7 @@ AT_ONCE, BATCH = 1 << 19, 2048
 _PLACE = np.uint64((1 << 28) - 1)
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 NEW, REPEATED, OPEN = 0, 1, 2
+RESULTS = ("n_bytes", "n_removed", "n_spans", "kept")
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -110,9 +111,11 @@ def _columns(batches: Iterator[pa.RecordBatch]) -> list[np.ndarray]:
 
 
 def _first_of_equal(anchor, covered, doc, place) -> tuple[np.ndarray, np.ndarray]:
-    """Order by anchor, covered, document, place, and whether a row is the first with its anchor and covered."""
+    """Order by anchor, covered, document, place, without repeated rows, and whether a row is the first with its anchor and covered."""
     order = np.lexsort((place, doc, covered, anchor))
-    a, c = anchor[order], covered[order]
+    a, c, d, p = anchor[order], covered[order], doc[order], place[order]
+    once = np.concatenate([[True], (a[1:] != a[:-1]) | (c[1:] != c[:-1]) | (d[1:] != d[:-1]) | (p[1:] != p[:-1])])
+    order, a, c = order[once], a[once], c[once]
     return order, np.concatenate([[True], (a[1:] != a[:-1]) | (c[1:] != c[:-1])])
 
 
@@ -215,11 +218,17 @@ def marked(docs: DataFrame, found: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(parts), doc_id, np.int64)), pa.array(start), anchor, pa.array(parts, pa.binary())], names=["doc_id", "start", "anchor", "bytes"])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        family = IndexFamily()
+        family, last = IndexFamily(), (None, None)
         for batch in batches:
             for low in range(0, batch.num_rows, BATCH):
                 part = batch.slice(low, BATCH)
-                doc, start, data = part.column(0).to_numpy(), part.column(1).to_numpy(), part.column(2).to_pylist()
+                doc, start = part.column(0).to_numpy(), part.column(1).to_numpy()
+                new = np.concatenate([[(doc[0], start[0]) != last], (doc[1:] != doc[:-1]) | (start[1:] != start[:-1])])
+                last = doc[-1], start[-1]  # rows that repeat a document come twice, one after the other
+                part, doc, start = part.filter(pa.array(new)), doc[new], start[new]
+                data = part.column(2).to_pylist()
+                if not data:
+                    continue
                 sizes = np.array([len(x) for x in data], np.int64)
                 raw = np.frombuffer(b"".join(data), np.uint8)
                 windows = sizes - LENGTH + 1
@@ -257,36 +266,36 @@ def without_repeats(docs: DataFrame, as_text: bool = False) -> DataFrame:
 
     A byte goes if a string of LENGTH bytes over it also starts earlier: in a smaller doc_id, or before in the same
     document. All strings are judged on the text as given. A null text is empty. A row with a null doc_id has
-    no place in the order: it stays whole, and nothing repeats it. Rows that repeat a doc_id with its text get the same result.
+    no place in the order: it stays whole, and nothing repeats it. Columns of docs with these names are replaced. Rows that repeat a doc_id with its text get the same result.
     """
     own = docs.withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("text", F.col("text").cast("string"))
     found = surveyed(own)
     start, windows = F.shiftright("place", 14), F.shiftright("place", 7).bitwiseAND(127)
     whole = found.where(F.col("kind") == REPEATED).select("doc_id", (F.shiftleft(start, 7) + windows).alias("starts"))
-    marks = whole.unionByName(marked(own, found)).groupBy("doc_id").agg(F.collect_list("starts").alias("starts"))
-    keep = [c for c in own.columns if c not in ("doc_id", "text")]
+    marks = whole.unionByName(marked(own, found)).groupBy("doc_id").agg(F.collect_list("starts").alias("_repeats"))
+    keep = [c for c in own.columns if c not in ("doc_id", "text", *RESULTS)]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low in range(0, batch.num_rows, 500):
                 part = batch.slice(low, 500)
                 rows = []
-                for text, starts in zip(part.column("text"), part.column("starts")):
+                for text, starts in zip(part.column("text"), part.column("_repeats")):
                     data = (text.as_py() or "").encode()
                     begin, end = spans_of(starts.values.to_numpy()) if starts.is_valid else (np.zeros(0, np.int64),) * 2
                     kept = b"".join(data[a:b] for a, b in zip([0, *end.tolist()], [*begin.tolist(), len(data)]))
                     out = kept if not as_text else kept.decode("utf-8", "ignore") if text.is_valid else None
                     rows.append((len(data), len(data) - len(kept), len(begin), out))
                 n, removed, spans, kept = zip(*rows)
-                columns = [c for name, c in zip(part.schema.names, part.columns) if name != "starts"]
-                names = [c for c in part.schema.names if c != "starts"]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept, pa.string() if as_text else pa.binary())], names=[*names, "n_bytes", "n_removed", "n_spans", "kept"])
+                columns = [c for name, c in zip(part.schema.names, part.columns) if name != "_repeats"]
+                names = [c for c in part.schema.names if c != "_repeats"]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept, pa.string() if as_text else pa.binary())], names=[*names, *RESULTS])
 
-    joined = own.join(marks, "doc_id", "left").select("doc_id", "text", *keep, "starts")
-    schema = T.StructType([f for f in joined.schema.fields if f.name != "starts"])
-    for name in ("n_bytes", "n_removed", "n_spans"):
+    joined = own.join(marks, "doc_id", "left").select("doc_id", "text", *keep, "_repeats")
+    schema = T.StructType([f for f in joined.schema.fields if f.name != "_repeats"])
+    for name in RESULTS[:3]:
         schema = schema.add(name, "long")
-    return joined.mapInArrow(cut, schema.add("kept", "string" if as_text else "binary"))
+    return joined.mapInArrow(cut, schema.add(RESULTS[3], "string" if as_text else "binary"))
 
 
 def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
