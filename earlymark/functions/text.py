@@ -23,10 +23,10 @@ PROHIBITED = (
 )
 REDACTED = "[REDACTED]"
 SECRETS = (
-    (r"(?i)(Authorization\s*:\s*Bearer\s+)[A-Za-z0-9._-]{12,}", "${1}" + REDACTED),
+    (r"(?i)(Authorization\s*:\s*Bearer\s+)[A-Za-z0-9._-]{12,}", "$1" + REDACTED),
     (r"(?i)\bdapi[A-Za-z0-9]{12,}\b", REDACTED),
-    (r"(?i)\b(client_secret|[a-z]+_token)(\s*[=:]\s*)[^\s,;\"'\[]+", "${1}${2}" + REDACTED),
-    (r"(?i)\b(postgres(?:ql)?://[^\s:/]+:)[^\s@]+(@[^\s]+)", "${1}" + REDACTED + "${2}"),
+    (r"(?i)\b(client_secret|[a-z]+_token)(\s*[=:]\s*)[^\s,;\"'\[]+", "$1$2" + REDACTED),
+    (r"(?i)\b(postgres(?:ql)?://[^\s:/]+:)[^\s@]+(@[^\s]+)", "$1" + REDACTED + "$2"),
     (r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}\b", REDACTED),
 )
 ERROR_LENGTH = 2000
