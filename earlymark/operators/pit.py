@@ -73,6 +73,17 @@ def counts(snapshots: DataFrame, events: DataFrame, key: str, as_of: str, time:
     return got.select(key, as_of, F.coalesce("missed_28d", F.lit(0)).alias("missed_28d"), F.coalesce("support_90d", F.lit(0)).alias("support_90d"), F.coalesce(F.datediff(F.to_date(as_of), F.to_date("_last")), F.lit(NO_ACTIVITY_DAYS)).cast("long").alias("days_since_activity"), "max_event_at")
 
 
+def activity(snapshots: DataFrame, events: DataFrame, key: str, as_of: str, time: str, flag: Column, missed: Column, support: Column, active: Column) -> DataFrame:
+    """rate and counts of the same events, in one pass over them."""
+    one = lambda c: F.when(c, 1).otherwise(0).cast("long")
+    got = at_cutoffs(snapshots, events, key, as_of, time, {
+        "_sum": (28, "sum", flag.cast("double")), "_n": (28, "count", flag), "missed_28d": (28, "sum", one(missed)), "support_90d": (90, "sum", one(support)),
+        "_last": (None, "max", F.when(active, F.col(time))), "max_event_at": (None, "max", F.col(time))})
+    return got.select(
+        key, as_of, F.when(F.col("_n") > 0, F.col("_sum") / F.col("_n")).otherwise(0.0).alias("rate_28d"), F.coalesce("missed_28d", F.lit(0)).alias("missed_28d"), F.coalesce("support_90d", F.lit(0)).alias("support_90d"),
+        F.coalesce(F.datediff(F.to_date(as_of), F.to_date("_last")), F.lit(NO_ACTIVITY_DAYS)).cast("long").alias("days_since_activity"), "max_event_at")
+
+
 def latest_state(snapshots: DataFrame, states: DataFrame, key: str, as_of: str, time: str, record: str, fields: dict[str, object]) -> DataFrame:
     """The fields of the latest state at each cutoff (ties go to the larger record id), with defaults, and its time."""
     got = at_cutoffs(snapshots, states, key, as_of, time, {"_s": (None, "max", F.struct(time, record, *fields))})

@@ -126,6 +126,11 @@ def counts_block(spark, sf_dir):
     return pit.counts(i.snapshots(spark, sf_dir), i.events(spark, sf_dir), *KEY, "ts", kind("error"), kind("click"), kind("view"))
 
 
+def activity_block(spark, sf_dir):
+    kind = lambda t: F.col("event_type") == t
+    return pit.activity(i.snapshots(spark, sf_dir), i.events(spark, sf_dir), *KEY, "ts", kind("purchase"), kind("error"), kind("click"), kind("view"))
+
+
 def state_block(spark, sf_dir):
     return pit.latest_state(i.snapshots(spark, sf_dir), i.orders(spark, sf_dir), *KEY, "o_orderdate", "o_orderkey", {"o_orderstatus": "NONE", "o_orderpriority": "NONE"})
 
@@ -144,7 +149,7 @@ def pit_ranked_history(spark, sf_dir):
 
 def all_features(spark, sf_dir):
     base = i.snapshots(spark, sf_dir).join(i.read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("entity_id"), F.col("c_mktsegment").alias("program")), "entity_id")
-    return pit.features(base, [b(spark, sf_dir) for b in (rate_block, counts_block, state_block, history_block)], *KEY)
+    return pit.features(base, [b(spark, sf_dir) for b in (activity_block, state_block, history_block)], *KEY)
 
 
 def pit_features(spark, sf_dir):

@@ -21,7 +21,7 @@ def latest_scores(spark, sf_dir):
 def context(spark, sf_dir):
     orders = i.orders(spark, sf_dir).withColumn("term", F.expr(i.TERM))
     owners = i.read(spark, sf_dir, "customer").selectExpr("c_custkey AS entity_id", "c_mktsegment AS program", "c_custkey % 40 AS advisor_id", "greatest(c_acctbal, 0.0D) AS exposure")
-    features = feeds.rate_block(spark, sf_dir).drop("max_event_at").join(feeds.counts_block(spark, sf_dir).select("entity_id", "as_of", "missed_28d", "days_since_activity"), ["entity_id", "as_of"]).join(owners, "entity_id")
+    features = feeds.activity_block(spark, sf_dir).drop("max_event_at", "support_90d").join(owners, "entity_id")
     outcomes = orders.select("entity_id", "o_orderdate", "o_orderkey", F.expr("CASE o_orderstatus WHEN 'F' THEN 'PERSISTED' WHEN 'O' THEN 'RETAINED' ELSE 'LEFT' END").alias("outcome_status"), F.when(F.col("o_orderkey") % 3 != 0, F.col("term")).alias("outcome_term"))
     return p.entity_context(latest_scores(spark, sf_dir), features, p.first_and_last_term(orders, "entity_id", "o_orderdate", "o_orderkey", "term"), p.latest_outcome(outcomes, "entity_id", "o_orderdate", "o_orderkey", ["outcome_status", "outcome_term"]), feeds.cdc_summary(spark, sf_dir))
 
