@@ -13,6 +13,11 @@ from .metrics import leading_factors
 from .products import risk_tier
 
 
+def feature_columns(columns: list[str], allowed: list[str], denied: tuple[str, ...] = ()) -> list[str]:
+    """The columns that a model may see, in their order: on the allow list and not denied."""
+    return [c for c in columns if c in allowed and c not in denied]
+
+
 def preparation(numeric: list[str], categorical: list[str]) -> list:
     """Median for missing numbers, standard scale; missing and unknown categories are a category of their own."""
     return [

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import changelog, conform, pit, quality
-from ..sources import files
+from ..sources import files, sinks
 from ..sources.workspace import workspace
-from ..streaming.ingest import ingest
+from ..streaming.ingest import conform_stream, ingest
 from . import inputs as i
 
 
@@ -72,6 +72,17 @@ def rescue_values(spark, sf_dir):
     return files.rescue(raw, schema).select("event_id", "amount", F.get_json_object(files.RESCUED, "$.amount").alias("lost_amount"), F.get_json_object(files.RESCUED, "$.surplus").alias("surplus"), F.col(files.RESCUED).isNotNull().alias("rescued"))
 
 
+def conform_stream_latest(spark, sf_dir):
+    """Streams order lines whose order is known into a table of the latest row of each key, two files at a time."""
+    root = workspace(spark)
+    keys = ["l_orderkey", "l_linenumber"]
+    i.read(spark, sf_dir, "lineitem").select(*keys, *SEQUENCE).repartition(4).write.parquet(f"{root}/landed")
+    parents = i.read(spark, sf_dir, "orders").where("o_orderkey % 3 <> 0").select(F.col("o_orderkey").alias("l_orderkey"))
+    source = files.stream(spark, f"{root}/landed", spark.read.parquet(f"{root}/landed").schema, files_per_batch=2)
+    conform_stream(source, f"{root}/table", keys, SEQUENCE, f"{root}/checkpoint", parents, "l_orderkey").awaitTermination()
+    return sinks.read_table(spark, f"{root}/table")
+
+
 SEQUENCE = ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
 
 
@@ -198,7 +209,7 @@ def command_events(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    quality_classify, quality_split, quality_reasons, customer_balance_quality, expectation_report, constraint_violations, must_hold, ingest_stream_replay, rescue_values, scd1_latest, scd1_upsert, orphan_quarantine, orphan_counts,
+    quality_classify, quality_split, quality_reasons, customer_balance_quality, expectation_report, constraint_violations, must_hold, ingest_stream_replay, conform_stream_latest, rescue_values, scd1_latest, scd1_upsert, orphan_quarantine, orphan_counts,
     with_parent, protected_latest, isolated_columns, pit_rate_28d, pit_ranked_history, pit_features, leakage_audit, label_cutoffs, entity_snapshots, cdc_audit, cdc_current, cdc_events, cdc_event_owners, cdc_summary, command_fold, command_events)}
 QUERIES |= {"pit_counts": counts_block, "pit_latest_state": state_block}
 
@@ -218,6 +229,7 @@ ORACLES = {k: i.sql(v) for k, v in {
     "must_hold": "SELECT o_orderkey, o_totalprice FROM orders",
     "ingest_stream_replay": f"SELECT CASE WHEN is_recoverable_valid OR NOT is_critical_valid THEN 'accepted' ELSE 'quarantine' END AS side, count(*) AS row_count, count(*) AS with_source FROM {_CLASS} GROUP BY ALL",
     "rescue_values": "SELECT event_id, CASE WHEN event_id % 5 <> 0 THEN user_id END AS amount, CASE WHEN event_id % 5 = 0 THEN event_type END AS lost_amount, CASE WHEN event_id % 7 = 0 THEN 'x' || event_id::VARCHAR END AS surplus, event_id % 5 = 0 OR event_id % 7 = 0 AS rescued FROM events",
+    "conform_stream_latest": f"SELECT * FROM ({_LATEST}) WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 3 <> 0)",
     "scd1_latest": _LATEST,
     "scd1_upsert": _LATEST,
     "orphan_quarantine": _ORPHANS,
