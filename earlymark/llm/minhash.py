@@ -18,7 +18,7 @@ SHINGLE = 5
 SYMBOLS, CHUNKS = 32, 8
 PER_CHUNK = SYMBOLS // CHUNKS
 #: Each chunk is looked up with one error, so pairs that differ in up to 2 * CHUNKS - 1 symbols meet in some
-#: chunk. Of pairs at the similarity of 0.85, three in a million differ in more.
+#: chunk. Of pairs at the similarity of 0.85, three in a million differ in more; at 0.8, one in seven thousand.
 RADIUS = 2 * CHUNKS - 1
 #: Signatures and shingles that one task compares with as many others at once, at most.
 BLOCK, BLOCK_SHINGLES = 4096, 2_000_000

@@ -15,8 +15,8 @@ def shingles(text):
     return {tuple(w)} if 0 < len(w) < 5 else {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
 
 
-def components(texts):
-    """id -> smallest id that links of similarity 0.85 reach."""
+def components(texts, percent=85):
+    """id -> smallest id that links of at least percent % similarity reach."""
     sets = {i: shingles(t) for i, t in texts.items()}
     parent = {i: i for i in texts}
 
@@ -28,7 +28,7 @@ def components(texts):
     ids = sorted(texts)
     for a in ids:
         for b in ids:
-            if a < b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+            if a < b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
                 x, y = sorted((root(a), root(b)))
                 parent[y] = x
     return {i: root(i) for i in ids}

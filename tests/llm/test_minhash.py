@@ -39,12 +39,12 @@ def test_sets_are_those_of_the_words():
     assert x == y and m.shingle_sets([b"a b"])[0] != m.shingle_sets([b"b a"])[0]
 
 
-def check(spark, texts, extra=()):
+def check(spark, texts, extra=(), percent=85):
     rows = [(i, t, "en", 0) for i, t in texts.items()] + [(i, t, "en", 0) for i, t in extra]
     docs = spark.createDataFrame(rows, "doc_id long, text string, rep string, component int")
-    out = m.near_duplicates(docs).toPandas()
+    out = m.near_duplicates(docs, percent).toPandas()
     assert len(out) == len(rows)
-    want = components(texts)
+    want = components(texts, percent)
     for r in out.itertuples():
         if r.doc_id == r.doc_id and r.doc_id is not None:
             assert r.component_id == want[int(r.doc_id)] and r.n_shingles == len(shingles(texts[int(r.doc_id)])) and r.kept == (r.doc_id == r.component_id)
@@ -53,6 +53,7 @@ def check(spark, texts, extra=()):
 
 def test_components_are_exact(spark):
     check(spark, near_copies())
+    check(spark, near_copies(seed=2, bases=3), percent=80)
 
 
 def test_edges_of_a_hot_bucket_in_blocks(spark, monkeypatch):

@@ -34,7 +34,7 @@ def test_quality_keeps_good_and_drops_bad(spark, stages):
 
 def test_one_of_each_group(stages):
     before, after = (texts(x) for x in stages[1])
-    want = components(before)
+    want = components(before, 80)
     assert after == {i: t for i, t in before.items() if want[i] == i}
 
 
