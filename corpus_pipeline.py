@@ -19,8 +19,8 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each near-duplicate group; rows without doc_id stay."""
-    kept = near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    """The document with the smallest doc_id of each group that a similarity of 0.8 connects; rows without doc_id stay."""
+    kept = near_duplicates(docs, percent=80).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
     return docs.join(kept, "doc_id", "left_semi").unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
 
 
