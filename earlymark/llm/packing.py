@@ -47,6 +47,20 @@ class WordEncoder:
         self.tokenizer, self.limit, self.cache, self.old, self.tails = Tokenizer.from_file(path), limit, {}, {}, {}
         self.whole = ["  ", "\n\n", " \n", "\n ", *(x.content for x in self.tokenizer.get_added_tokens_decoder().values())]
 
+        # the byte-level alphabet: printable bytes stand for themselves, the others for characters from 256 on
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        hidden = [b for b in range(256) if b not in shown]
+        self.letters = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+        samples = [" word", "\nNext", " \u00e9t\u00e9"]
+        self.by_model = [self.word(x[1:] if x[0] == " " else x) for x in samples] == self.direct(samples)
+
+    def word(self, core: str) -> bytes:
+        """Ids of letters alone, with the space or the line end before them, from the model without its pre-tokenizer."""
+        first, rest = core[:1] == "\n", core.removeprefix("\n")
+        head = [self.letters[10]] if first else []
+        parts = [*head, ("" if first else self.letters[32]) + rest.encode().decode("latin-1").translate(self.letters)]
+        return np.array([k.id for x in parts for k in self.tokenizer.model.tokenize(x)], "<u4").tobytes()
+
     def direct(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
@@ -61,6 +75,9 @@ class WordEncoder:
                 parts[w] = (core, w[len(core) :]) if core[-1:].isalnum() else (w, "")
         cores = {c: self.cache.get(c) or self.old.get(c) for c, _ in parts.values()}
         todo = [c for c, ids in cores.items() if ids is None]
+        if self.by_model:
+            cores.update((c, self.word(c)) for c in todo if c.removeprefix("\n").isalpha())
+            todo = [c for c in todo if cores[c] is None]
         cores.update(zip(todo, self.direct([c if c[:1] == "\n" else " " + c for c in todo])))
         tails = [t for t in {t for _, t in parts.values()} if t and t not in self.tails]
         if len(self.tails) > 10_000:

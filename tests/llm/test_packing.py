@@ -20,6 +20,12 @@ def test_word_by_word_is_the_tokenizer(text):
     assert ENCODER.encode(text) == plain(text)
 
 
+def test_words_of_letters_come_from_the_model():
+    assert ENCODER.by_model
+    for w in ("word", "\nWord", "é", "ñandú", "\n漢字", "x" * 300):
+        assert ENCODER.word(w) == plain(w if w[0] == "\n" else " " + w)
+
+
 @pytest.mark.parametrize("text", ["it's a dog's. life\nThe \n end", "x" * 5000, "a  b   c", "<|endoftext|> a<|endoftext|>", "word%%% word### WORD!!\nNext."])
 def test_words_of_interest(text):
     assert ENCODER.encode(text) == plain(text)
