@@ -227,7 +227,7 @@ def tier_transitions(spark, sf_dir):
 
 
 def serving_snapshot(spark, sf_dir):
-    return i.round_columns(p.serving_snapshot(trends(spark, sf_dir), p.DIMENSIONS, "risk_trends", "serving.risk_trends", {"change_log", "event_log"}), TREND_FLOATS)
+    return i.round_columns(p.serving_snapshot(trends(spark, sf_dir).fillna("UNKNOWN", ["cohort", "term"]), p.DIMENSIONS, "risk_trends", "serving.risk_trends", {"change_log", "event_log"}), TREND_FLOATS)
 
 
 QUERIES = {f.__name__: f for f in (
@@ -252,7 +252,7 @@ ORACLES = {k: i.sql(v) for k, v in {
     "caseload_ranked": f"SELECT {', '.join(CASELOAD)} FROM load",
     "executive_metrics": f"SELECT {i.rounded(EXEC_FLOATS, _EXEC)} FROM exec",
     "risk_trends": _TREND,
-    "serving_snapshot": _TREND,
+    "serving_snapshot": f"SELECT * REPLACE (coalesce(cohort, 'UNKNOWN') AS cohort, coalesce(term, 'UNKNOWN') AS term) FROM ({_TREND})",
     "risk_trend_history": f"SELECT as_of::DATE AS score_date, model_version, {_TIER} AS risk_tier, count(DISTINCT entity_id) AS entity_count, round(avg(risk_score), 6) AS average_score, min(risk_score) AS minimum_score, max(risk_score) AS maximum_score FROM scores GROUP BY ALL",
     "kpi_rollup": f"{_KPI_HEAD}, {', '.join(f'round(sum(entity_count * {c}) / nullif(sum(entity_count), 0), 6) AS {c}' for c in _KPI)} {_KPI_TAIL}",
     "kpi_rollup_weighted": f"{_KPI_HEAD}, {', '.join(f'round({_W(c, w)}, 6) AS {c}' for c, w in zip(_KPI, ['entity_count', 'at_risk_count', 'entity_count', 'entity_count']))} {_KPI_TAIL}",
