@@ -22,7 +22,8 @@ BLOCK_LINES, DIRECTORY = 512, 1_000_000
 GZIP_LEVEL = 3
 
 INDEX = "key string, page_id long, file string, start long, length long"
-BLOCKS = "first_key string, block_file string, block_start long, block_length long"
+BLOCKS = "first_key string, last_key string, block_file string, block_start long, block_length long"
+PLACES = "key string, file string, start long, length long"
 CAPTURES = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, key string"
 
 
@@ -42,7 +43,10 @@ def url_key(url: str | None) -> str:
 
 
 def line_key(url: str | None, page_id: int | None) -> str:
-    """Key of one capture: no two pages share it, so a URL that many pages have spreads over many blocks."""
+    """Key of a capture: pages with ids of their own don't share it, so a URL that many pages have spreads over many blocks.
+
+    Rows that repeat a (url, page_id) share it, and so do null and -1: look_up gives all of them.
+    """
     return f"{url_key(url)} {-1 if page_id is None else page_id:020d}"
 
 
@@ -148,7 +152,7 @@ def write_archives(pages: DataFrame, root: str) -> DataFrame:
 
 
 def write_index(lines: DataFrame, root: str, total: int) -> DataFrame:
-    """Sorts index lines by key into compressed blocks below root and returns the directory of the blocks."""
+    """Sorts index lines by key (lines with the same key by their place) into compressed blocks below root and returns the directory of the blocks."""
     per_block = max(BLOCK_LINES, -(-total // DIRECTORY))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,7 +161,7 @@ def write_index(lines: DataFrame, root: str, total: int) -> DataFrame:
 
         def block() -> tuple:
             data = zlib.compress("\n".join(held).encode(), GZIP_LEVEL)
-            return held[0].split("\t")[0], file.name, file.add(data), len(data)
+            return held[0].split("\t")[0], held[-1].split("\t")[0], file.name, file.add(data), len(data)
 
         for batch in batches:
             rows = []
@@ -176,45 +180,56 @@ def write_index(lines: DataFrame, root: str, total: int) -> DataFrame:
 
     clean = F.regexp_replace("key", "[\\t\\n]", "_").alias("key")
     parts = max(1, min(4096, -(-total // (16 * per_block))))
-    return lines.select(clean, "file", "start", "length").repartitionByRange(parts, "key").sortWithinPartitions("key").mapInArrow(write, BLOCKS)
+    return lines.select(clean, "file", "start", "length").repartitionByRange(parts, "key", "file", "start").sortWithinPartitions("key", "file", "start").mapInArrow(write, BLOCKS)
 
 
 def look_up(keys: DataFrame, directory: DataFrame, root: str) -> DataFrame:
-    """file, start and length of each key's record: binary search in the directory, then in one block.
+    """file, start and length of all records of each key: binary search in the directory, then in the blocks.
 
     The directory has at most DIRECTORY rows by construction (write_index), so each task may hold it.
-    Keys come sorted, so a task reads each block once. A key that the index lacks gives no row.
+    A key that many lines share is looked up in each of its blocks, which are dealt out over the tasks. Keys and blocks
+    come sorted, so a task reads each block once. A key that the index lacks gives no row.
     """
-    blocks = sorted(tuple(r) for r in directory.collect())
-    firsts = keys.sparkSession.sparkContext.broadcast(blocks)
+    blocks = sorted(tuple(r) for r in directory.collect())  # of blocks with the same first key, all but the last end with it
+    held = keys.sparkSession.sparkContext.broadcast(blocks)
+
+    def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, last = [b[0] for b in held.value], [b[1] for b in held.value]
+        for batch in batches:
+            rows = []
+            for key in batch.column(0).to_pylist():
+                for k in range(bisect.bisect_left(last, key), bisect.bisect_right(first, key)):
+                    rows.append((key, k))
+                    if len(rows) == 10_000:
+                        yield _batch(rows, "key string, block long")
+                        rows = []
+            if rows:
+                yield _batch(rows, "key string, block long")
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = firsts.value
-        starts = [b[0] for b in own]
+        own = held.value
         fs, path = filesystem(f"{root}/index")
         at, lines, names = -1, [], []
         for batch in batches:
             rows = []
-            for key in batch.column(0).to_pylist():
-                k = bisect.bisect_right(starts, key) - 1
-                while k > 0 and starts[k] == key and starts[k - 1] == key:
-                    k -= 1
-                if k < 0:
-                    continue
+            for key, k in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if k != at:
-                    with fs.open_input_file(f"{path}/{own[k][1]}") as f:
-                        lines = zlib.decompress(f.read_at(own[k][3], own[k][2])).decode().split("\n")
-                    at, names = k, []
-                    names = [x.split("\t", 1)[0] for x in lines]
-                i = bisect.bisect_left(names, key)
-                if i < len(names) and names[i] == key:
-                    _, file, start, length = lines[i].split("\t")
+                    _, _, name, start, length = own[k]
+                    with fs.open_input_file(f"{path}/{name}") as f:
+                        lines = zlib.decompress(f.read_at(length, start)).decode().split("\n")
+                    at, names = k, [x.split("\t", 1)[0] for x in lines]
+                for line in lines[bisect.bisect_left(names, key) : bisect.bisect_right(names, key)]:
+                    _, file, start, length = line.split("\t")
                     rows.append((key, file, int(start), int(length)))
+                if len(rows) >= 10_000:
+                    yield _batch(rows, PLACES)
+                    rows = []
             if rows:
-                yield _batch(rows, "key string, file string, start long, length long")
+                yield _batch(rows, PLACES)
 
     parts = max(1, min(4096, 4 * keys.sparkSession.sparkContext.defaultParallelism))
-    return keys.repartitionByRange(parts, "key").sortWithinPartitions("key").mapInArrow(find, "key string, file string, start long, length long")
+    found = keys.select("key").mapInArrow(locate, "key string, block long")
+    return found.repartitionByRange(parts, "key", "block").sortWithinPartitions("key", "block").mapInArrow(find, PLACES)
 
 
 def read_records(places: DataFrame, root: str) -> DataFrame:
@@ -243,7 +258,7 @@ def read_records(places: DataFrame, root: str) -> DataFrame:
 def archived(pages: DataFrame, root: str) -> DataFrame:
     """Archives pages below root, indexes them, and reads every page back through the index.
 
-    Rows that repeat a (url, page_id) share one key; each is looked up once and read once.
+    Rows that repeat a (url, page_id) share one key, which is looked up once and gives all their records: a row for each page.
     """
     lines = stored(write_archives(pages, root))
     directory = stored(write_index(lines, root, lines.count()))

@@ -43,3 +43,13 @@ def test_absent_keys_and_empty_table(spark, tmp_path):
     keys = spark.createDataFrame([("a",), (warc.line_key("http://e/3", 3),), ("zzz",)], "key string")
     assert warc.look_up(keys, directory, root).count() == 1
     assert warc.archived(pages.limit(0), f"{root}/none").count() == 0
+
+
+def test_every_row_is_read_back(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "BLOCK_LINES", 3)
+    rows = [(None, None, f"null {i}") for i in range(40)] + [(None, "", "empty url"), (-1, None, "minus one")]
+    rows += [(7, "http://a/", f"seven {i % 2}") for i in range(11)] + [(8, "http://a/", "eight"), (None, "http://a/", "x"), (None, "http://a/", "y"), (5, "u\tv", "tab"), (5, "u_v", "line")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    out = warc.archived(pages.repartition(4), str(tmp_path)).collect()
+    digest = lambda html: hashlib.sha1(html.encode()).hexdigest()
+    assert sorted((r.page_id is None, r.page_id or 0, r.payload_digest) for r in out) == sorted((p is None, p or 0, digest(html)) for p, _, html in rows)
