@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -18,8 +20,10 @@ LANDMARKS, CANDIDATES = 128, 2_000
 ORDER, DECAY, LEAST = 3, 0.6, 0.45
 #: Share of a landmark's pairs of neighbouring letters that a word must have for its kernel to be computed.
 NEEDED = 0.7
-#: Longer words are seen through windows of so many letters, each half over the one before.
+#: Longer words are cut into windows of so many letters, each half over the one before, to look for landmarks in.
 WINDOW = 24
+#: Windows whose kernels are computed at once.
+WINDOWS_AT_ONCE = 50_000
 #: Different words whose answers a worker remembers, at most twice.
 REMEMBERED = 400_000
 
@@ -53,9 +57,22 @@ def subsequence_kernel(s: np.ndarray, t: np.ndarray, order: int = ORDER, decay:
     return total
 
 
-def letters(word: str) -> str:
-    """A word's letters and digits: what stands between them doesn't hide an insult."""
-    return word if word.isalnum() else "".join(filter(str.isalnum, word))
+_PART = re.compile(r"[^\W_]+")
+
+
+def parts(word: str) -> list[str]:
+    """A word with its punctuation removed, and what stands between its punctuation marks; those of at least ORDER letters."""
+    if word.isalnum():
+        return [word] if len(word) >= ORDER else []
+    own = _PART.findall(word)
+    return [x for x in dict.fromkeys(["".join(own), *own]) if len(x) >= ORDER]
+
+
+def windows_for(word: str, length: int) -> Iterator[str]:
+    """Windows of twice a landmark's length: any stretch of one and a half times its length stands in one of them."""
+    step = max(1, length // 2)
+    for i in range(0, max(1, len(word) - 2 * length + step), step):
+        yield word[i : i + 2 * length]
 
 
 def windows(word: str) -> list[str]:
@@ -89,24 +106,29 @@ class Kernel:
         self.landmarks = landmarks
         self.codes = coded(landmarks, -2)
         self.norm = np.sqrt(subsequence_kernel(np.where(self.codes < 0, -1, self.codes), self.codes))
-        self.lengths = np.array([len(w) for w in landmarks])
+        self.lengths = np.array([len(w) for w in landmarks], np.int64)
         self.sets = _sketches(np.where(self.codes < 0, -1, self.codes), 0)
         self.need = np.ceil(NEEDED * sum(np.bitwise_count(x) for x in self.sets))
 
-    def __call__(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(word, landmark, value) where the value is over 0; words of at least ORDER and at most WINDOW letters.
+    def candidates(self, words: list[str], codes: np.ndarray, marks: list[int] | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(word, landmark) whose kernel is worth computing; marks are the landmarks to compare with (all by default).
 
         A word counts for a landmark only if at least NEEDED of the landmark's neighbouring letters stand in it
         in this order, with at most two letters between, and it has 0.6 to 3 times its length.
         """
-        codes = coded(words, -1)
         sets, length = _sketches(codes, 2), np.array([len(w) for w in words])
         found = []
-        for j in range(len(self.landmarks)):
+        for j in range(len(self.landmarks)) if marks is None else marks:
             shared = sum(np.bitwise_count(mine & theirs) for mine, theirs in zip(sets, self.sets[:, j]))
             i = np.flatnonzero((shared >= self.need[j]) & (length >= 0.6 * self.lengths[j]) & (length <= 3 * self.lengths[j]))
             found.append(np.stack([i, np.full(len(i), j)]))
         word, mark = np.concatenate(found, axis=1)
+        return word, mark
+
+    def __call__(self, words: list[str], marks: list[int] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(word, landmark, value) of candidates whose value is over 0."""
+        codes = coded(words, -1)
+        word, mark = self.candidates(words, codes, marks)
         value = np.zeros(len(word), np.float32)
         for low in range(0, len(word), 20_000):
             w, m = word[low : low + 20_000], mark[low : low + 20_000]
@@ -120,16 +142,16 @@ class Kernel:
 
 
 def spelled(tokens: list[str]) -> list[str]:
-    """Words spelled letter by letter: runs of at least four tokens with one letter or digit."""
+    """Words spelled letter by letter: runs of at least ORDER tokens with one letter or digit."""
     sizes = list(map(len, tokens))
-    if sizes.count(1) < 4 or bytes(4 * [1]) not in bytes([n if n < 255 else 255 for n in sizes]):
+    if sizes.count(1) < ORDER or bytes(ORDER * [1]) not in bytes([n if n < 255 else 255 for n in sizes]):
         return []
     out, run = [], []
     for w in [*tokens, ""]:
         if len(w) == 1 and w.isalnum():
             run.append(w)
             continue
-        if len(run) >= 4:
+        if len(run) >= ORDER:
             out.append("".join(run))
         run = []
     return out
@@ -151,6 +173,25 @@ class Features:
         self.cold: set[str] = set()
         self.older: set[str] = set()
 
+    def seen(self, whole: list[tuple[str, str]]) -> Iterator[tuple[str, int, float]]:
+        """(word, landmark, value) for each (word, letters of it).
+
+        A landmark is compared with letters of at most three times its length (and WINDOW) as a whole. Longer ones are seen
+        through windows of twice its length and, in the candidates among those, through each stretch that is one letter longer than it.
+        """
+        short = [(w, x) for w, x in whole if len(x) <= WINDOW]
+        if short:
+            yield from ((short[i][0], j, v) for i, j, v in zip(*(c.tolist() for c in self.kernel([x for _, x in short]))))
+        for n in sorted(set(self.kernel.lengths.tolist())):
+            marks = np.flatnonzero(self.kernel.lengths == n).tolist()
+            pieces = ((w, y) for w, x in whole if len(x) > min(3 * n, WINDOW) for y in windows_for(x, n))
+            while held := list(islice(pieces, WINDOWS_AT_ONCE)):
+                near = [y for _, y in held]
+                near = [held[i] for i in np.unique(self.kernel.candidates(near, coded(near, -1), marks)[0]).tolist()]
+                near += [(w, y[i : i + n + 1]) for w, y in near for i in range(len(y) - n)]
+                if near:
+                    yield from ((near[i][0], j, v) for i, j, v in zip(*(c.tolist() for c in self.kernel([y for _, y in near], marks))))
+
     def learn(self, new: set[str]) -> None:
         if len(self.cold) > REMEMBERED:
             self.older, self.cold = self.cold, set()
@@ -158,17 +199,11 @@ class Features:
             self.hot.clear()
         known = new & self.older
         self.cold |= known
-        parts = []
-        for w in new - known:
-            x = letters(w)
-            if ORDER <= len(x) <= WINDOW:
-                parts.append((w, x))
-            elif len(x) > WINDOW:
-                parts += [(w, y) for y in windows(x)]
-        if parts and self.m:
+        whole = [(w, x) for w in new - known for x in parts(w)]
+        if whole and self.m:
             answers: dict[str, dict[int, float]] = {}
-            for i, j, v in zip(*(c.tolist() for c in self.kernel([x for _, x in parts]))):
-                own = answers.setdefault(parts[i][0], {})
+            for w, j, v in self.seen(whole):
+                own = answers.setdefault(w, {})
                 own[j] = max(own.get(j, 0.0), v)
             self.hot.update((w, (np.array(list(own), np.int64), np.array(list(own.values()), np.float32))) for w, own in answers.items())
             new = new - answers.keys()
@@ -235,7 +270,7 @@ def chosen_landmarks(sample: DataFrame, landmarks: int, candidates: int) -> list
                 word, toxic = [], []
                 for text, label in zip(batch.column(0)[low : low + 500].to_pylist(), batch.column(1)[low : low + 500].to_pylist()):
                     own = (text or "").lower().split()
-                    found = {x for w in {*own, *spelled(own)} for x in windows(letters(w)) if len(x) >= ORDER}
+                    found = {x for w in {*own, *spelled(own)} for y in parts(w) for x in windows(y)}
                     word.extend(found)
                     toxic.extend([label] * len(found))
                 yield pa.RecordBatch.from_arrays([pa.array(word, pa.string()), pa.array(toxic, pa.int32())], names=["word", "toxic"])

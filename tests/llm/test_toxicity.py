@@ -75,3 +75,25 @@ def test_score_ignores_everything_but_text(spark):
     labels = spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i in range(300)], "doc_id long, quality int, toxic int")
     out = t.toxicity(docs, labels).join(docs, "doc_id").groupBy("text").agg(F.countDistinct("score").alias("n"), F.max("predicted").alias("p")).collect()
     assert all(r.n == 1 and r.p == int("idiot" in r.text) for r in out)
+
+
+def test_short_landmarks_are_found_in_long_words():
+    f = t.Features(["idiot", "moron", "clown", "liar", "git"])
+    clean = f(["qwertzuopasdfghjkyxcvbnm"])[0]
+    noise = "qwertzupasdfghjkyxcvbqwertzupasdfghjky"
+    plain = [noise[:k] + "idiot" + noise[k:] for k in range(0, len(noise), 5)]
+    glued = ["fool,idiot,clown,moron,liar", "you-are-such-an-idiot-and-more-than-that", "|name|moron|12|", "x" * 12 + "clown" + "y" * 12, noise * 40 + "moron" + noise * 40, "a_git_b", "you g i t"]
+    for text in plain + glued:
+        assert np.abs(f([text])[0][:10] - clean[:10]).max() > 0.2, text
+    listed = f(["fool,idiot,clown,moron,liar"])[0]
+    apart = f(["fool idiot clown moron liar"])[0]
+    assert np.abs(listed[:10] - apart[:10]).max() < 0.05
+
+
+def test_every_stretch_stands_in_a_window():
+    for length in range(3, 25):
+        for n in range(1, 150, 7):
+            word = "".join(chr(0x4E00 + i) for i in range(n))
+            own = list(t.windows_for(word, length))
+            size = min(n, length + length // 2)
+            assert all(len(x) <= 2 * length for x in own) and all(any(word[i : i + size] in x for x in own) for i in range(n - size + 1))
