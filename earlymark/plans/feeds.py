@@ -176,7 +176,7 @@ def label_cutoffs(spark, sf_dir):
 
 
 def entity_snapshots(spark, sf_dir):
-    days = i.read(spark, sf_dir, "events").select(F.to_date("ts").alias("d")).unionByName(i.read(spark, sf_dir, "orders").where("o_orderkey % 500 = 1").select(F.to_date("o_orderdate").alias("d"))).distinct()
+    days = i.read(spark, sf_dir, "events").select(F.to_date("ts").alias("d")).unionByName(i.read(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("d"))).distinct()
     return pit.entity_snapshots(i.read(spark, sf_dir, "supplier"), "s_suppkey", days, "d")
 
 
