@@ -151,7 +151,7 @@ def model_gates(spark, sf_dir):
     rows = metrics.chronological_split(training_rows(spark, sf_dir), "as_of").persist()
     train, check = rows.where("split = 'train'").drop("split"), rows.where("split = 'validation'").drop("split")
     rule = check.select("entity_id", "as_of", metrics.rule_score(F.col("rate_28d"), F.col("missed_28d"), F.col("o_orderstatus") == "O", F.col("days_since_activity"), F.col("prior_flags")).alias("risk_score"))
-    fits = [model.fit_logistic(train, "label", NUMERIC, CATEGORICAL), model.fit_boosted(train, "label", NUMERIC, CATEGORICAL, rounds=5)]
+    fits = [model.fit_logistic(train, "label", NUMERIC, CATEGORICAL), model.fit_boosted(train, "label", NUMERIC, CATEGORICAL)]
     out = None
     for k, (name, scores) in enumerate(zip(("rule", "logistic", "boosted"), [rule, *(model.scored(m, check, ["entity_id", "as_of"], NUMERIC) for m in fits)])):
         own = check.select("entity_id", "as_of", "label").join(scores.select("entity_id", "as_of", "risk_score"), ["entity_id", "as_of"])

@@ -1,4 +1,7 @@
 import datetime as dt
+import inspect
+
+import pytest
 
 from earlymark.operators import model
 from earlymark.plans import feeds, models
@@ -11,3 +14,16 @@ def test_snapshots_at_every_order_date(spark):
     suppliers = {r.s_suppkey for r in spark.read.parquet(f"{SF}/supplier.parquet").collect()}
     got = [(r.s_suppkey, r.as_of) for r in feeds.entity_snapshots(spark, SF).collect()]
     assert len(got) == len(set(got)) and set(got) == {(s, dt.datetime.combine(d, dt.time(23, 59, 59))) for s in suppliers for d in days}
+
+
+def test_boosted_candidate_is_fitted_in_full(spark, monkeypatch):
+    class Fitted(Exception):
+        pass
+
+    def fit(train, label, numeric, categorical, rounds=inspect.signature(model.fit_boosted).parameters["rounds"].default, **_):
+        raise Fitted(rounds)
+
+    monkeypatch.setattr(model, "fit_logistic", lambda *_: None)
+    monkeypatch.setattr(model, "fit_boosted", fit)
+    with pytest.raises(Fitted, match="^250$"):
+        models.model_gates(spark, SF)
