@@ -3,14 +3,20 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
+from collections.abc import Iterator
 
-from pyspark.sql import Column
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Multipliers of the congruential assignments.
 COHORT = (1_103_515_245, 12_345)
 PROPENSITY = (2_654_435_761, 2_246_822_519)
 SPACE = 10_000
+#: Ids of a cohort that are joined before they are digested.
+PIECE = 1000
 
 
 def hash_bucket(columns: list[str], buckets: int) -> Column:
@@ -59,9 +65,44 @@ def derived_key(*parts: Column | str) -> Column:
     return F.sha2(F.concat_ws("|", *parts), 256)
 
 
-def cohort_key(ids: Column) -> Column:
-    """Key of a set of ids, whatever their order."""
-    return F.sha2(F.array_join(F.array_sort(F.collect_set(ids.cast("string"))), "|"), 256)
+def cohort_keys(rows: DataFrame, cohort: str, ids: str, out: str = "cohort_key") -> DataFrame:
+    """cohort and the key of its set of ids, whatever their order: SHA-256 of the distinct ids in order, joined by a bar.
+
+    Range partitions of the sorted ids join them to pieces of PIECE ids, and a task digests a cohort's pieces one after the other, so
+    no cohort is held as a whole. Null ids don't count; a cohort without others has the key of nothing.
+    """
+    own = rows.select(F.col(cohort), F.col(ids).cast("string").alias("_id")).distinct()
+    kind = own.schema[cohort]
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, values = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            low, at, pieces = 0, [], []
+            for k in range(1, len(names) + 1):
+                if k == len(names) or k == low + PIECE or names[k] != names[low] or values[k - 1] is None:
+                    at.append(low)
+                    pieces.append(None if values[low] is None else "|".join(values[low:k]))
+                    low = k
+            yield pa.RecordBatch.from_arrays([c.take(pa.array(at, pa.int64())) for c in batch.columns] + [pa.array(pieces, pa.string())], names=[cohort, "_id", "_piece"])
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, sha, first = None, None, True
+        key = lambda n, s, t: pa.RecordBatch.from_arrays([pa.array([n], t), pa.array([s.hexdigest()])], names=[cohort, out])
+        for batch in batches:
+            for own_name, piece in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if sha is None or own_name != name:
+                    if sha is not None:
+                        yield key(name, sha, batch.column(0).type)
+                    name, sha, first = own_name, hashlib.sha256(), True
+                if piece is not None:
+                    sha.update(piece.encode() if first else b"|" + piece.encode())
+                    first = False
+            last = batch.column(0).type
+        if sha is not None:
+            yield key(name, sha, last)
+
+    pieces = own.repartitionByRange(cohort, "_id").sortWithinPartitions(cohort, "_id").mapInArrow(join, T.StructType([kind]).add("_id", "string").add("_piece", "string"))
+    return pieces.repartition(cohort).sortWithinPartitions(cohort, "_id").select(cohort, "_piece").mapInArrow(digest, T.StructType([kind]).add(out, "string"))
 
 
 def run_date_literal(day: dt.date) -> Column:

@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .conform import ranked_first
 
@@ -63,28 +67,40 @@ def fold_commands(commands: DataFrame) -> tuple[DataFrame, DataFrame]:
     A key that was used before by a command that applied is replayed with the version it made then. A create starts
     version 1 as open; a transition applies if expected_version is the current one, else it is a conflict and
     changes nothing. outcome stays unless a new one is given; closed_at is set by closing and cleared by any other status.
-    Commands of one entity fold in one row's array, as they depend on each other; keys don't cross entities.
+    Commands of one entity depend on each other, so they are streamed in order through one task, which holds the entity's state and
+    those of its keys that come again later; keys don't cross entities.
     A create for an entity that exists and a transition for one that doesn't are conflicts.
     """
-    step = F.struct("seq", "action", "idempotency_key", "expected_version", "event_type", "new_status", "outcome", "at")
-    grouped = commands.groupBy("entity_id").agg(F.sort_array(F.collect_list(step)).alias("steps"))
-    result = "struct<seq:bigint,result:string,version:int,prior_status:string,status:string,outcome:string,closed_at:timestamp_ntz,idempotency_key:string,event_type:string,at:timestamp_ntz>"
-    start = F.struct(F.lit(0).alias("version"), F.lit(None).cast("string").alias("status"), F.lit(None).cast("string").alias("outcome"), F.lit(None).cast("timestamp_ntz").alias("closed_at"), F.array().cast("array<struct<k:string,v:int>>").alias("used"), F.array().cast(f"array<{result}>").alias("out"))
-
-    def fold(state, c):
-        seen = F.get(F.filter(state["used"], lambda u: u["k"] == c["idempotency_key"]), 0)["v"]
-        create = c["action"] == "create"
-        fits = F.when(create, state["version"] == 0).otherwise((state["version"] > 0) & (state["version"] == c["expected_version"]))
-        applied = seen.isNull() & F.coalesce(fits, F.lit(False))
-        said = F.when(seen.isNotNull(), "replayed").when(applied, "applied").otherwise("conflict")
-        version = F.when(applied, state["version"] + 1).otherwise(state["version"])
-        status = F.when(applied, F.when(create, F.lit("open")).otherwise(c["new_status"])).otherwise(state["status"])
-        outcome = F.when(applied, F.coalesce(c["outcome"], state["outcome"])).otherwise(state["outcome"])
-        closed = F.when(applied, F.when(status == "closed", c["at"])).otherwise(state["closed_at"])
-        row = F.struct(c["seq"].alias("seq"), said.alias("result"), F.coalesce(seen, version).alias("version"), state["status"].alias("prior_status"), status.alias("status"), outcome.alias("outcome"), closed.alias("closed_at"), c["idempotency_key"].alias("idempotency_key"), F.when(create, F.lit("created")).otherwise(c["event_type"]).alias("event_type"), c["at"].alias("at")).cast(result)
-        used = F.when(applied, F.concat(state["used"], F.array(F.struct(c["idempotency_key"].alias("k"), version.alias("v"))))).otherwise(state["used"])
-        return F.struct(version.alias("version"), status.alias("status"), outcome.alias("outcome"), closed.alias("closed_at"), used.alias("used"), F.concat(state["out"], F.array(row)).alias("out"))
-
-    folded = grouped.select("entity_id", F.aggregate("steps", start, fold, lambda s: s["out"]).alias("out")).select("entity_id", F.explode("out").alias("r")).select("entity_id", "r.*")
+    order = ["seq", "action", "idempotency_key", "expected_version", "event_type", "new_status", "outcome", "at"]
+    kinds = ("bigint", "string", "string", "int", "string", "string", "string", "timestamp_ntz")
+    steps = commands.select("entity_id", *[F.col(c).cast(k).alias(c) for c, k in zip(order, kinds)])
+    again = F.lead(F.lit(True), 1, False).over(W.partitionBy("entity_id", "idempotency_key").orderBy(*order))
+    steps = steps.withColumn("again", F.col("idempotency_key").isNotNull() & again).repartition("entity_id").sortWithinPartitions("entity_id", *order, F.desc("again"))
+    result = "seq bigint, result string, version int, prior_status string, status string, outcome string, closed_at timestamp_ntz, idempotency_key string, event_type string, at timestamp_ntz"
+    schema = T.StructType([steps.schema["entity_id"], *T.StructType.fromDDL(result).fields])
+    types = [pa.int64(), pa.string(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.timestamp("us"), pa.string(), pa.string(), pa.timestamp("us")]
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        entity, version, status, outcome, closed, used = object(), 0, None, None, None, {}
+        for batch in batches:
+            rows, own = [], [c.cast(pa.int64()) if n == "at" else c for n, c in zip(batch.schema.names, batch.columns)]
+            for who, seq, action, key, expected, event, new, said, at, comes_again in zip(*(c.to_pylist() for c in own)):
+                if who != entity:
+                    entity, version, status, outcome, closed, used = who, 0, None, None, None, {}
+                create, prior, seen = action == "create", status, used.get(key)
+                applied = seen is None and (version == 0 if create else version > 0 and version == expected)
+                if applied:
+                    version, status, outcome = version + 1, "open" if create else new, outcome if said is None else said
+                    closed = at if status == "closed" else None
+                    if comes_again:
+                        used[key] = version
+                elif seen is not None and not comes_again:
+                    del used[key]
+                rows.append((seq, "applied" if applied else "conflict" if seen is None else "replayed", version if seen is None else seen, prior, status, outcome, closed, key, "created" if create else event, at))
+            if rows:
+                columns = [pa.array(c, pa.int64()).cast(t) if pa.types.is_timestamp(t) else pa.array(c, t) for c, t in zip(zip(*rows), types)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=schema.names)
+
+    folded = steps.mapInArrow(fold, schema)
     events = folded.where("result = 'applied'").select("entity_id", "seq", "event_type", "prior_status", F.col("status").alias("new_status"), "idempotency_key", F.col("version").alias("result_version"), "at")
     return folded.select("entity_id", "seq", "result", "version", "status", "outcome", "closed_at"), events

@@ -80,7 +80,7 @@ def derived_keys(spark, sf_dir):
 
 
 def cohort_keys(spark, sf_dir):
-    return i.read(spark, sf_dir, "orders").groupBy("o_orderpriority").agg(assign.cohort_key(F.col("o_orderkey")).alias("cohort_key"))
+    return assign.cohort_keys(i.read(spark, sf_dir, "orders"), "o_orderpriority", "o_orderkey")
 
 
 def hash_buckets(spark, sf_dir):

@@ -76,3 +76,22 @@ def test_registered_fold_is_the_plain_one(spark):
         want |= {(entity, x[0]): x[1:] for x in plain_fold(rows)}
     got = {(r.entity_id, r.seq): (r.result, r.version, r.status, r.outcome, r.closed_at) for r in feeds.command_fold(spark, "/root/testdata/sf0.001").collect()}
     assert got == want and {"applied", "replayed", "conflict"} == {x[0] for x in want.values()}
+
+
+def test_commands_of_a_large_entity_are_streamed(spark):
+    rows = [(i, 1, "create" if i % 97 == 0 else "transition", None if i % 11 == 0 else f"k{i % 1500}", i % 3000, "x", ("open", "closed", "deferred")[i % 3], None if i % 4 else f"o{i}", H(i % 50)) for i in range(6000)]
+    rows += [(6000, 1, "transition", "twice", None, "x", "open", None, H(1))] * 2 + [(1, None, "create", "k", None, None, None, None, H(1))] * 3
+    results, events = c.fold_commands(spark.createDataFrame(rows, COMMANDS).repartition(4))
+    assert "collect_list" not in results._jdf.queryExecution().toString()
+    plain, used, version, want = sorted((r for r in rows if r[1]), key=lambda r: r[0]), {}, 0, []
+    for seq, _, action, key, expected, *_ in plain:
+        seen = used.get(key) if key else None
+        applied = seen is None and (version == 0 if action == "create" else 0 < version == expected)
+        version += applied
+        if applied and key:
+            used[key] = version
+        want.append((seq, "replayed" if seen else "applied" if applied else "conflict", seen or version))
+    got = results.collect()
+    assert sorted((r.seq, r.result, r.version) for r in got if r.entity_id) == sorted(want)
+    assert sorted(r.result for r in got if r.entity_id is None) == ["applied", "replayed", "replayed"]
+    assert events.count() == sum(r.result == "applied" for r in got)

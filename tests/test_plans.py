@@ -1,8 +1,10 @@
 import datetime as dt
+import hashlib
 import inspect
 
 import pytest
 
+from earlymark.functions import assign
 from earlymark.operators import model
 from earlymark.plans import feeds, models
 
@@ -27,3 +29,16 @@ def test_boosted_candidate_is_fitted_in_full(spark, monkeypatch):
     monkeypatch.setattr(model, "fit_boosted", fit)
     with pytest.raises(Fitted, match="^250$"):
         models.model_gates(spark, SF)
+
+
+def test_cohort_keys_digest_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(assign, "PIECE", 3)
+    rows = [("a", i % 50) for i in range(130)] + [("b", 7), ("b", None), ("c", None), (None, 3), (None, 20)]
+    out = assign.cohort_keys(spark.createDataFrame(rows, "cohort string, id long"), "cohort", "id")
+    want = {c: hashlib.sha256("|".join(sorted({str(i) for k, i in rows if k == c and i is not None})).encode()).hexdigest() for c in "abc"}
+    want[None] = hashlib.sha256(b"20|3").hexdigest()
+    assert [(r.cohort, r.cohort_key) for r in out.orderBy("cohort").collect()] == sorted(want.items(), key=lambda x: x[0] or "")
+    assert "collect_set" not in models.cohort_keys(spark, SF)._jdf.queryExecution().toString()
+    orders = spark.read.parquet(f"{SF}/orders.parquet").collect()
+    by = {p: hashlib.sha256("|".join(sorted({str(r.o_orderkey) for r in orders if r.o_orderpriority == p})).encode()).hexdigest() for p in {r.o_orderpriority for r in orders}}
+    assert {r.o_orderpriority: r.cohort_key for r in models.cohort_keys(spark, SF).collect()} == by
