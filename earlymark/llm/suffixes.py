@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,6 +18,8 @@ LENGTH, PIECE = 100, 32
 _WINDOW = LENGTH - PIECE + 1  # pieces in a repeat
 #: Bytes of text that are worked on at once, and runs in a batch of the index family.
 AT_ONCE, BATCH = 1 << 19, 2048
+#: OPEN runs of an anchor that one index family takes; those of a more common anchor are dealt out by window.
+FAMILY_RUNS = 4096
 _PLACE = np.uint64((1 << 28) - 1)
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 NEW, REPEATED, OPEN = 0, 1, 2
@@ -204,9 +207,16 @@ class IndexFamily:
         return out
 
 
-def marked(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """doc_id, starts: where the windows of OPEN runs begin that repeat an earlier window, as runs (start << 7 | more windows)."""
-    wanted = found.where(F.col("kind") == OPEN).groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "place")).alias("wanted"))
+def open_parts(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """doc_id, start, anchor, family, bytes: the bytes of the OPEN runs and the index family that compares them.
+
+    Runs of one anchor meet in one index family. Where an anchor has more than FAMILY_RUNS of them, each window goes to one of several
+    families by the hash of its own bytes: equal windows still meet, and no family or task has all windows of the anchor.
+    """
+    open_ = found.where(F.col("kind") == OPEN)
+    many = open_.groupBy("anchor").agg(F.ceil(F.count(F.lit(1)) / FAMILY_RUNS).cast("int").alias("families")).where("families > 1")
+    many = stored(many.withColumn("families", F.col("families") * _WINDOW))  # at most one row for FAMILY_RUNS runs
+    wanted = open_.join(F.broadcast(many), "anchor", "left").groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "place", F.coalesce("families", F.lit(1)).alias("families"))).alias("wanted"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -214,8 +224,22 @@ def marked(docs: DataFrame, found: DataFrame) -> DataFrame:
                 data, own = text.as_py().encode(), runs_.values
                 anchor, place = own.field(0), own.field(1).to_numpy()
                 start, windows, _ = unpacked(place)
-                parts = [data[s : s + w + LENGTH - 1] for s, w in zip(start.tolist(), windows.tolist())]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(parts), doc_id, np.int64)), pa.array(start), anchor, pa.array(parts, pa.binary())], names=["doc_id", "start", "anchor", "bytes"])
+                rows = []
+                for s, w, a, n in zip(start.tolist(), windows.tolist(), anchor.to_pylist(), own.field(2).to_pylist()):
+                    if n == 1:
+                        rows.append((s, a, 0, data[s : s + w + LENGTH - 1]))
+                        continue
+                    for i in range(s, s + w):
+                        rows.append((i, a, zlib.crc32(data[i : i + LENGTH]) % n, data[i : i + LENGTH]))
+                columns = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int32(), pa.binary()))]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), doc_id, np.int64)), *columns], names=["doc_id", "start", "anchor", "family", "bytes"])
+
+    texts = docs.select("doc_id", "text").join(wanted, "doc_id")
+    return texts.select("doc_id", "text", "wanted").mapInArrow(cut, "doc_id long, start long, anchor long, family int, bytes binary")
+
+
+def marked(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """doc_id, starts: where the windows of OPEN runs begin that repeat an earlier window, as runs (start << 7 | more windows)."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         family, last = IndexFamily(), (None, None)
@@ -243,9 +267,7 @@ def marked(docs: DataFrame, found: DataFrame) -> DataFrame:
                     more = np.diff(np.append(first, len(hit))) - 1
                     yield pa.RecordBatch.from_arrays([pa.array(doc[o[first]]), pa.array((start[o[first]] + i[first]) << 7 | more)], names=["doc_id", "starts"])
 
-    texts = docs.select("doc_id", "text").join(wanted, "doc_id")
-    parts = texts.select("doc_id", "text", "wanted").mapInArrow(cut, "doc_id long, start long, anchor long, bytes binary")
-    parts = parts.repartition("anchor").sortWithinPartitions("doc_id", "start").select("doc_id", "start", "bytes")
+    parts = open_parts(docs, found).repartition("anchor", "family").sortWithinPartitions("doc_id", "start").select("doc_id", "start", "bytes")
     return parts.mapInArrow(scan, "doc_id long, starts long")
 
 

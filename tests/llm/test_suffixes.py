@@ -86,3 +86,19 @@ def test_as_text_has_whole_characters(spark):
     docs = spark.createDataFrame([(1, "x" + a), (2, "yy" + a + "zz"), (3, None)], "doc_id long, text string")
     out = {r.doc_id: r.kept for r in s.without_repeats(docs, as_text=True).collect()}
     assert out[2] == "yyzz" and out[3] is None and "�" not in out[1]
+
+
+def test_windows_of_common_anchors_are_dealt_out(spark, monkeypatch):
+    rng = random.Random(9)
+    letters = lambda k: "".join(rng.choice("abcdefgh") for _ in range(k))
+    passage, heads = letters(260), [letters(150) for _ in range(12)]
+    texts = {i: rng.choice(heads)[rng.randrange(40) :] + letters(rng.randrange(3)) + passage + letters(120) for i in range(150)}
+    monkeypatch.setattr(s, "FAMILY_RUNS", 5)
+    check(spark, texts)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = s.surveyed(docs)
+    largest = found.where(f"kind = {s.OPEN}").groupBy("anchor").count().agg(F.max("count")).first()[0]
+    size = F.sum(F.length("bytes") - s.LENGTH + 1)
+    parts = s.open_parts(docs, found).cache()
+    of_anchor, of_family = (parts.groupBy(*by).agg(size.alias("n")).agg(F.max("n")).first()[0] for by in (["anchor"], ["anchor", "family"]))
+    assert largest > 60 and 4 * of_family <= of_anchor
