@@ -6,6 +6,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,10 +16,12 @@ from .common import stored, table
 #: Bytes of context. A gram is a context and the byte after it, so keys have 8 * (DEPTH + 1) bits.
 DEPTH = 5
 EDGE = 0xFF  # stands before and after each text; UTF-8 has no such byte
-#: Tables of at most so many rows go to every task; larger ones are joined by shuffle.
-BROADCAST_ROWS = 8_000_000
-#: Bytes of text that are worked on at once.
-AT_ONCE = 3 << 20
+#: Depths up to this one meet on the driver (at most 2 ** 24 nodes, however large the input); deeper ones are split by their last context bytes.
+TOP = 2
+#: Bytes of text that are worked on at once, and that are scored with one table of their own grams.
+AT_ONCE, PART = 1 << 20, 16 << 20
+#: Rows of grams that a task works on at once; a group of one three-byte context is never cut.
+ROWS_AT_ONCE = 200_000
 GRAM, WORD = 0, 1
 
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -100,21 +104,57 @@ class Texts:
         return np.add.reduceat(letters * power[place], first), np.searchsorted(self.offsets, starts, "right") - 1
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list, Texts]]:
+def _runs(ids: list, held: list, texts: list) -> Iterator[tuple[list, list, Texts]]:
     """(ids, held-out flags, texts) of at most AT_ONCE bytes or one text."""
-    for batch in batches:
-        ids, held, texts, size = [], [], [], 0
-        for i, h, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-            data = (t.as_py() or "").encode()
-            if texts and size + len(data) > AT_ONCE:
-                yield ids, held, Texts(texts)
-                ids, held, texts, size = [], [], [], 0
-            ids.append(i)
-            held.append(h)
-            texts.append(data)
-            size += len(data)
-        if texts:
-            yield ids, held, Texts(texts)
+    low, size = 0, 0
+    own: list[bytes] = []
+    for k, t in enumerate(texts):
+        data = (t or "").encode()
+        if own and size + len(data) > AT_ONCE:
+            yield ids[low:k], held[low:k], Texts(own)
+            low, size, own = k, 0, []
+        own.append(data)
+        size += len(data)
+    if own:
+        yield ids[low:], held[low:], Texts(own)
+
+
+def parted(docs: DataFrame) -> DataFrame:
+    """part, rows: docs (doc_id, held_out, text) as compressed blocks of rows, in parts of at most PART bytes of text or one text.
+
+    A part is what is scored with one table of grams. The blocks are written once, so a row stays in its part.
+    """
+    schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("text", pa.string())])
+
+    def block(part: int, rows: pa.RecordBatch) -> pa.RecordBatch:
+        out = pa.BufferOutputStream()
+        with pa.ipc.new_stream(out, schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+            w.write_batch(rows)
+        return pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([out.getvalue().to_pybytes()], pa.binary())], names=["part", "rows"])
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, filled = TaskContext.get().partitionId() << 32, 0
+        for batch in batches:
+            own = pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(batch.columns, schema)], schema=schema)
+            sizes = pc.fill_null(pc.binary_length(own.column(2)), 0).to_numpy(zero_copy_only=False)
+            low, size = 0, 0
+            for k, n in enumerate(sizes.tolist()):
+                if k > low and (size + n > AT_ONCE or filled + n > PART):
+                    yield block(part, own.slice(low, k - low))
+                    low, size = k, 0
+                if filled and filled + n > PART:
+                    part, filled = part + 1, 0
+                size, filled = size + n, filled + n
+            if low < len(sizes):
+                yield block(part, own.slice(low))
+
+    return stored(docs.mapInArrow(deal, "part long, rows binary"))
+
+
+def _unblocked(rows: pa.Array) -> Iterator[tuple[list, list, Texts]]:
+    for data in rows:
+        table = pa.ipc.open_stream(data.as_buffer()).read_all()
+        yield from _runs(*(c.to_pylist() for c in table.columns))
 
 
 def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -124,45 +164,91 @@ def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return keys[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
-def gathered(docs: DataFrame) -> DataFrame:
-    """kind, key, n: how often each gram and each word stands in the texts to learn from.
+def gathered(parts: DataFrame) -> DataFrame:
+    """kind, key, n, parts: how often each gram and each word stands in the texts to learn from, and the parts (64-bit numbers) that it is in.
 
-    Grams of held-out texts come too, with n 0 for those alone, so that they get a score. docs: doc_id, held_out, text.
+    Grams of held-out texts come too, with n 0 for those alone, so that they get a score.
     """
-    schema = pa.schema([("kind", pa.int32()), ("key", pa.int64()), ("n", pa.int64())])
+    schema = pa.schema([("kind", pa.int32()), ("key", pa.int64()), ("part", pa.int64()), ("n", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {GRAM: [], WORD: []}
+        at = None
 
         def put(kind: int, keys: np.ndarray, counts: np.ndarray) -> None:
             held[kind].append((keys, counts))
-            if sum(len(k) for k, _ in held[kind]) > 6_000_000:
+            if len(held[kind]) > 1 and sum(len(k) for k, _ in held[kind][1:]) > max(1_000_000, len(held[kind][0][0])):
                 merge(kind)
 
         def merge(kind: int) -> None:
             held[kind] = [_summed(np.concatenate([k for k, _ in held[kind]]), np.concatenate([c for _, c in held[kind]]))]
 
-        for _, flags, texts in _runs(batches):
-            train = ~np.array(flags, bool)
-            keys = texts.grams()
-            weight = np.repeat(train, texts.sizes + 1)
-            for part, used in ((keys[weight], 1), (keys[~weight], 0)):
-                if len(part):
-                    k, n = np.unique(part, return_counts=True)
-                    put(GRAM, k, n * used)
-            keys, of = texts.words()
-            k, n = np.unique(keys[train[of]], return_counts=True)
-            put(WORD, k, n)
-        for kind in held:
-            if held[kind]:
-                merge(kind)
-                keys, counts = held[kind][0]
-                if len(keys):
+        def flush() -> Iterator[pa.RecordBatch]:
+            for kind in held:
+                if held[kind]:
+                    merge(kind)
+                    keys, counts = held[kind].pop()
                     for low in range(0, len(keys), 100_000):
                         k, n = keys[low : low + 100_000].view(np.int64), counts[low : low + 100_000].astype(np.int64)
-                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), kind, np.int32)), pa.array(k), pa.array(n)], schema=schema)
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), kind, np.int32)), pa.array(k), pa.array(np.full(len(k), at, np.int64)), pa.array(n)], schema=schema)
+
+        for batch in batches:
+            for k, part in enumerate(batch.column(0).to_pylist()):
+                if part != at:
+                    yield from flush()
+                    at = part
+                for _, flags, texts in _unblocked(batch.column(1).slice(k, 1)):
+                    train = ~np.array(flags, bool)
+                    keys = texts.grams()
+                    weight = np.repeat(train, texts.sizes + 1)
+                    for own, used in ((keys[weight], 1), (keys[~weight], 0)):
+                        if len(own):
+                            u, n = np.unique(own, return_counts=True)
+                            put(GRAM, u, n * used)
+                    keys, of = texts.words()
+                    for own, used in ((keys[train[of]], 1), (keys[~train[of]], 0)):
+                        if len(own):
+                            u, n = np.unique(own, return_counts=True)
+                            put(WORD, u, n * used)
+        yield from flush()
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _whole(batches, 2):  # sorted by key and kind
+            key, kind, part, n = (c.to_numpy() for c in t.columns)
+            first = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (kind[1:] != kind[:-1])]))
+            ends, own = np.append(first[1:], len(key)), part.tobytes()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(kind[first]), pa.array(key[first]), pa.array(np.add.reduceat(n, first)), pa.array([own[8 * a : 8 * b] for a, b in zip(first.tolist(), ends.tolist())], pa.binary())], names=["kind", "key", "n", "parts"])
 
-    return docs.mapInArrow(count, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
+    rows = parts.mapInArrow(count, "kind int, key long, part long, n long").select("key", "kind", "part", "n")
+    return stored(rows.repartition("key").sortWithinPartitions("key", "kind").mapInArrow(meet, "kind int, key long, n long, parts binary"))
+
+
+def _whole(batches: Iterator[pa.RecordBatch], columns: int, at_once: int = ROWS_AT_ONCE) -> Iterator[pa.Table]:
+    """The rows, sorted by their first columns, in tables of about at_once rows that cut no group of rows equal in those."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        size += batch.num_rows
+        if size < at_once:
+            continue
+        t = pa.Table.from_batches(held)
+        new = np.zeros(t.num_rows - 1, bool)
+        for c in t.columns[:columns]:
+            x = c.to_numpy()
+            new |= x[1:] != x[:-1]
+        cuts = np.flatnonzero(new)
+        if len(cuts):
+            yield t.slice(0, cuts[-1] + 1)
+            held = t.slice(cuts[-1] + 1).to_batches()
+            size = t.num_rows - cuts[-1] - 1
+        else:
+            held = t.to_batches()
+    if held:
+        yield pa.Table.from_batches(held)
 
 
 def _log_gamma(x: np.ndarray) -> np.ndarray:
@@ -198,169 +284,186 @@ def _bits(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (np.uint64(1) << t) | (symbols[:, None] >> (np.uint64(8) - t)), (symbols[:, None] >> (np.uint64(7) - t)) & np.uint64(1)
 
 
+def level_above(ids: np.ndarray, zeros: np.ndarray, ones: np.ndarray, weighted: np.ndarray, depth: int) -> Level:
+    """The nodes of depth from the counts and the weighted log probabilities of those one deeper."""
+    parent = ((ids >> np.uint64(8)) & _MASK[depth]) << np.uint64(8) | (ids & np.uint64(255))
+    own, place = np.unique(parent, return_inverse=True)
+    return Level(own, *(np.bincount(place.ravel(), x, len(own)) for x in (zeros, ones, weighted)))
+
+
 def lower_levels(keys: np.ndarray, counts: np.ndarray) -> tuple[dict[int, Level], dict[int, np.ndarray], np.ndarray]:
-    """Levels DEPTH to 2 of all grams whose last two context bytes are among those of keys, the place of each
+    """Levels DEPTH to TOP + 1 of all grams whose last TOP + 1 context bytes are among those of keys, the place of each
     gram's 8 bits in each level, and the bits."""
     node, bit = _bits(keys & np.uint64(255))
     levels: dict[int, Level] = {}
     places: dict[int, np.ndarray] = {}
-    n = np.repeat(counts.astype(float), 8)
     ones = bit.ravel() == 1
-    for d in range(DEPTH, 1, -1):
-        full = (((keys >> np.uint64(8)) & _MASK[d])[:, None] << np.uint64(8) | node).ravel()
-        ids, place = np.unique(full, return_inverse=True)
-        place = place.ravel()
-        b = np.bincount(place[ones], n[ones], len(ids))
-        a = np.bincount(place[~ones], n[~ones], len(ids))
-        below = None
-        if d < DEPTH:
-            up = levels[d + 1]
-            parent = ((up.ids >> np.uint64(8)) & _MASK[d]) << np.uint64(8) | (up.ids & np.uint64(255))
-            below = np.bincount(np.searchsorted(ids, parent), up.weighted, len(ids))
-        levels[d], places[d] = Level(ids, a, b, below), place
+    full = (((keys >> np.uint64(8)) & _MASK[DEPTH])[:, None] << np.uint64(8) | node).ravel()
+    ids, place = np.unique(full, return_inverse=True)
+    place, n = place.ravel(), np.repeat(counts.astype(float), 8)
+    levels[DEPTH], places[DEPTH] = Level(ids, np.bincount(place[~ones], n[~ones], len(ids)), np.bincount(place[ones], n[ones], len(ids)), None), place
+    for d in range(DEPTH - 1, TOP, -1):
+        up = levels[d + 1]
+        levels[d] = level_above(up.ids, up.zeros, up.ones, up.weighted, d)
+        parent = ((up.ids >> np.uint64(8)) & _MASK[d]) << np.uint64(8) | (up.ids & np.uint64(255))
+        places[d] = np.searchsorted(levels[d].ids, parent)[places[d + 1]]
     return levels, places, ones.reshape(-1, 8)
 
 
-def _arrays(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray]:
-    parts = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches]
-    if not parts:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    return np.concatenate([p[0] for p in parts]).view(np.uint64), np.concatenate([p[1] for p in parts])
-
-
 class Top:
-    """Depths 0 and 1, as arrays over (context byte, node): at most 256 * 256 of each."""
-
-    def __init__(self, rows: list):
-        shape = (256, 256)
-        a, b, below = np.zeros(shape), np.zeros(shape), np.zeros(shape)
-        for byte, node, zeros, ones, weighted in rows:
-            a[byte, node], b[byte, node], below[byte, node] = zeros, ones, weighted
-        one = Level(np.zeros(0), a, b, below)
-        zero = Level(np.zeros(0), a.sum(axis=0), b.sum(axis=0), one.weighted.sum(axis=0))
-        self.one, self.stop, self.seen = one.one, one.stop, one.seen
-        self.one0, self.stop0 = zero.one, zero.stop
-
-    def mix(self, byte: np.ndarray, node: np.ndarray, deeper: np.ndarray, seen: np.ndarray) -> np.ndarray:
-        """Probability of a one, given that from depth 2 on and whether depth 2 was ever seen."""
-        stop, here = self.stop[byte, node], self.one[byte, node]
-        p = np.where(seen, stop * here + (1 - stop) * deeper, here)
-        stop0, here0 = self.stop0[node], self.one0[node]
-        return np.where(self.seen[byte, node], stop0 * here0 + (1 - stop0) * p, here0)
+    """Depths 0 to TOP."""
+
+    def __init__(self, ids: np.ndarray, zeros: np.ndarray, ones: np.ndarray, weighted: np.ndarray):
+        """The nodes of depth TOP with their counts and the weighted log probabilities of all their children."""
+        order = np.argsort(ids)
+        self.levels = [Level(ids[order], zeros[order], ones[order], weighted[order])]
+        for d in range(TOP - 1, -1, -1):
+            x = self.levels[0]
+            self.levels.insert(0, level_above(x.ids, x.zeros, x.ones, x.weighted, d))
+
+    def mix(self, ids: np.ndarray, deeper: np.ndarray, seen: np.ndarray) -> np.ndarray:
+        """Probability of a one at nodes of depth TOP (all of them known), given that from the next depth on and whether that was ever seen."""
+        p = deeper
+        for d in range(TOP, -1, -1):
+            x = self.levels[d]
+            at = np.searchsorted(x.ids, ((ids >> np.uint64(8)) & _MASK[d]) << np.uint64(8) | (ids & np.uint64(255)))
+            p = np.where(seen, x.stop[at] * x.one[at] + (1 - x.stop[at]) * p, x.one[at])
+            seen = x.seen[at]
+        return p
 
 
 def gram_scores(grams: DataFrame) -> DataFrame:
-    """key, score: log10 of the weighted probability of each gram's byte after its context.
+    """key, score: log10 of the weighted probability of each gram's byte after its context. grams: key, n.
 
     A node mixes its own estimate with its children's in proportion to how well each coded the texts to learn
-    from. A context that was never seen there leaves the choice to the shorter one. Contexts
-    are split by their last two bytes; only depths 0 and 1, at most 65,536 nodes, meet in one place.
+    from. A context that was never seen there leaves the choice to the shorter one. Contexts are split by their
+    last three bytes, and tasks work through them a few at a time: at most 2 ** 24 grams share those, whatever the input.
+    Only the nodes of two bytes of context and fewer meet in one place.
     """
-    grams = stored(grams.repartition(F.shiftright("key", 8).bitwiseAND(0xFFFF)))
+    context = F.shiftright("key", 8).bitwiseAND(0xFFFFFF)
+    grams = grams.select(context.alias("context"), "key", "n").repartition("context").sortWithinPartitions("context")
 
     def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts = _arrays(batches)
-        if len(keys):
-            x = lower_levels(keys, counts)[0][2]
-            ids = x.ids.view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(ids >> 8 & 255), pa.array(ids & 255), pa.array(x.zeros), pa.array(x.ones), pa.array(x.weighted)], names=["byte", "node", "zeros", "ones", "weighted"])
+        for t in _whole(batches, 1):
+            x = lower_levels(t["key"].to_numpy().view(np.uint64), t["n"].to_numpy())[0][TOP + 1]
+            parent = ((x.ids >> np.uint64(8)) & _MASK[TOP]) << np.uint64(8) | (x.ids & np.uint64(255))
+            ids, place = np.unique(parent, return_inverse=True)
+            yield pa.RecordBatch.from_arrays([pa.array(ids.view(np.int64)), *(pa.array(np.bincount(place.ravel(), v, len(ids))) for v in (x.zeros, x.ones, x.weighted))], names=["id", "zeros", "ones", "weighted"])
 
-    sums = grams.mapInArrow(second, "byte long, node long, zeros double, ones double, weighted double")
-    top = Top([tuple(r) for r in sums.groupBy("byte", "node").agg(F.sum("zeros"), F.sum("ones"), F.sum("weighted")).collect()])
+    sums = grams.mapInArrow(second, "id long, zeros double, ones double, weighted double").groupBy("id").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("weighted").alias("weighted"))
+    found = sums.toArrow()
+    top = grams.sparkSession.sparkContext.broadcast(Top(found["id"].to_numpy().view(np.uint64), *(found[c].to_numpy() for c in ("zeros", "ones", "weighted"))))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts = _arrays(batches)
-        if not len(keys):
-            return
-        levels, places, ones = lower_levels(keys, counts)
-        p, seen = levels[DEPTH].one[places[DEPTH]], levels[DEPTH].seen[places[DEPTH]]
-        for d in range(DEPTH - 1, 1, -1):
-            x, at = levels[d], places[d]
-            p = np.where(seen, x.stop[at] * x.one[at] + (1 - x.stop[at]) * p, x.one[at])
-            seen = x.seen[at]
-        node = (levels[2].ids & np.uint64(255))[places[2]].astype(np.int64)
-        byte = (levels[2].ids >> np.uint64(8) & np.uint64(255))[places[2]].astype(np.int64)
-        p = top.mix(byte, node, p, seen).reshape(-1, 8)
-        total = np.log10(np.where(ones, p, 1 - p)).sum(axis=1)
-        yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(total)], names=["key", "score"])
+        for t in _whole(batches, 1):
+            keys, counts = t["key"].to_numpy().view(np.uint64), t["n"].to_numpy()
+            levels, places, ones = lower_levels(keys, counts)
+            p, seen = levels[DEPTH].one[places[DEPTH]], levels[DEPTH].seen[places[DEPTH]]
+            for d in range(DEPTH - 1, TOP, -1):
+                x, at = levels[d], places[d]
+                p = np.where(seen, x.stop[at] * x.one[at] + (1 - x.stop[at]) * p, x.one[at])
+                seen = x.seen[at]
+            last = levels[TOP + 1].ids
+            nodes, place = np.unique(((last >> np.uint64(8)) & _MASK[TOP]) << np.uint64(8) | (last & np.uint64(255)), return_inverse=True)
+            p = top.value.mix(nodes[place.ravel()][places[TOP + 1]], p, seen).reshape(-1, 8)
+            total = np.log10(np.where(ones, p, 1 - p)).sum(axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(total)], names=["key", "score"])
 
     return stored(grams.mapInArrow(score, "key long, score double"))
 
 
-SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+def _planes(x: np.ndarray) -> bytes:
+    """64-bit numbers as compressed planes: all first bytes, all second ones and so on."""
+    return pa.compress(np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8).T), codec="zstd", asbytes=True)
 
 
-def _by_broadcast(docs: DataFrame, scores: DataFrame, counts: DataFrame, tokens: int, kinds: int, ends: int) -> DataFrame:
-    context = docs.sparkSession.sparkContext
-    arrow = scores.toArrow()
-    grams = arrow["key"].to_numpy(), arrow["score"].to_numpy()
-    arrow = counts.select("key", F.col("n").cast("double")).toArrow()
-    words = arrow["key"].to_numpy(), arrow["n"].to_numpy().astype(np.float32 if tokens < 1 << 24 else np.float64)
-    shared = context.broadcast((grams, words))
-    del arrow, grams, words
+def _unplaned(data: bytes, n: int, kind: str) -> np.ndarray:
+    raw = pa.decompress(data, decompressed_size=8 * n, codec="zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, n).T).view(kind).ravel()
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_gram, by_word = (Lookup(*x) for x in shared.value)
-        for ids, held, texts in _runs(batches):
-            own = by_gram.get(texts.grams(), np.nan)
-            starts = np.cumsum(texts.sizes + 1) - texts.sizes - 1
-            hashes, of = texts.words()
-            c = by_word.get(hashes, 0).astype(float)
-            n = len(ids)
-            base = np.bincount(of, np.log10((c + 1) / (tokens + kinds + 1)), n) + np.log10((ends + 1) / (tokens + kinds + 1))
+
+def sent_back(values: DataFrame) -> DataFrame:
+    """part, kind, n, keys, values: for each part the values of the keys that it holds, many in a row. values: kind, key, parts, value.
+
+    Values keep 36 of their 52 binary digits (an error of 1e-11 of a score; counts of words are exact up to 2 ** 37).
+    """
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            kind, key, part, value = (np.concatenate(c) for c in zip(*held))
+            held.clear()
+            order = np.lexsort((key, kind, part))
+            kind, key, part, value = kind[order], key[order], part[order], value[order]
+            first = np.flatnonzero(np.concatenate([[True], (part[1:] != part[:-1]) | (kind[1:] != kind[:-1])]))
+            ends = np.append(first[1:], len(key))
+            cells = list(zip(first.tolist(), ends.tolist()))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(held, pa.bool_()), pa.array(np.bincount(of, minlength=n) + 1), pa.array(np.bincount(of[c > 0], minlength=n) + int(ends > 0)), pa.array(base), pa.array(np.add.reduceat(own, starts))],
-                names=[x.split()[0] for x in SCORED.split(", ")],
-            )
+                [pa.array(part[first]), pa.array(kind[first]), pa.array(ends - first), pa.array([_planes(key[a:b]) for a, b in cells], pa.binary()), pa.array([_planes(value[a:b]) for a, b in cells], pa.binary())],
+                names=["part", "kind", "n", "keys", "values"])
 
-    return docs.mapInArrow(score, SCORED)
+        for batch in batches:
+            for low in range(0, batch.num_rows, 10_000):
+                kind, key, parts, value = batch.slice(low, 10_000).columns
+                times = pc.binary_length(parts).to_numpy() // 8
+                rounded = ((value.to_numpy().view(np.int64) + (1 << 15)) >> 16) << 16
+                held.append((np.repeat(kind.to_numpy(), times), np.repeat(key.to_numpy(), times), np.frombuffer(b"".join(parts.to_pylist()), np.int64), np.repeat(rounded, times)))
+                if sum(len(h[0]) for h in held) > 1_000_000:
+                    yield from flush()
+        if held:
+            yield from flush()
 
+    return values.mapInArrow(spread, "part long, kind int, n long, keys binary, values binary")
 
-def _by_join(docs: DataFrame, scores: DataFrame, counts: DataFrame, tokens: int, kinds: int, ends: int) -> DataFrame:
-    """The same by a shuffle of each text's different grams and words, for tables too large to send to every task."""
-    schema = "row long, kind int, key long, n long"
-    rows = stored(docs.withColumn("row", F.monotonically_increasing_id()))
 
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, _, texts in _runs(batches):
-            grams, (words, of) = texts.grams(), texts.words()
-            for kind, keys, which in ((GRAM, grams, np.repeat(np.arange(len(ids)), texts.sizes + 1)), (WORD, words, of)):
-                order = np.lexsort((keys, which))
-                k, w = keys[order], which[order]
-                first = np.flatnonzero(np.concatenate([[True], (k[1:] != k[:-1]) | (w[1:] != w[:-1])])) if len(k) else np.zeros(0, np.int64)
-                n = np.diff(np.append(first, len(k)))
-                yield pa.RecordBatch.from_arrays([pa.array(np.array(ids, np.int64)[w[first]]), pa.array(np.full(len(first), kind, np.int32)), pa.array(k[first].view(np.int64)), pa.array(n)], names=["row", "kind", "key", "n"])
-
-    parts = rows.select("row", "held_out", "text").mapInArrow(spread, schema)
-    grams = parts.where(F.col("kind") == GRAM).join(scores, "key").groupBy("row").agg(F.sum(F.col("n") * F.col("score")).alias("score"))
-    bottom = F.lit(float(tokens + kinds + 1))
-    words = parts.where(F.col("kind") == WORD).join(counts.withColumnRenamed("n", "c"), "key", "left").groupBy("row").agg(
-        F.sum("n").alias("n"), F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("known"), F.sum(F.col("n") * F.log10((F.coalesce(F.col("c"), F.lit(0)) + 1) / bottom)).alias("base"))
-    end = F.log10(F.lit(float(ends + 1)) / bottom)
-    joined = rows.drop("text").join(grams, "row", "left").join(words, "row", "left")
-    return joined.select("doc_id", "held_out", (F.coalesce("n", F.lit(0)) + 1).alias("n_tokens"), (F.coalesce("known", F.lit(0)) + int(ends > 0)).alias("n_known"), (F.coalesce("base", F.lit(0.0)) + end).alias("base_score"), "score")
-
-
-def scored(docs: DataFrame, held_out=None, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Every text's log10 probability under context-tree weighting and under an add-one word model.
+SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, bits_per_byte double"
+
+
+def scored(docs: DataFrame, held_out=None) -> DataFrame:
+    """Every text's log10 probability under context-tree weighting and under an add-one word model, and its code length in bits per byte.
 
     Both learn from the rows where held_out (a Column; by default crc32 of doc_id mod 7 is 2) does not hold. A null
     text is empty and is scored as its end alone; a null doc_id counts as an empty id and repeated rows
-    each count. bits_per_byte is the code length. Without a row to learn from, each bit has
-    probability one half.
+    each count. bits_per_byte shares the code length out over the text's bytes and its end. Without a row to learn from, each bit has
+    probability one half. Other columns of docs are ignored, whatever their names; an empty table gives an empty one.
+
+    Texts are dealt into parts of PART bytes; each part is told the scores of its own grams, so nothing
+    that grows with the corpus is sent to every task.
     """
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     held = held_out if held_out is not None else F.crc32(key.cast("binary")) % 7 == 2
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held.alias("held_out"), F.col("text").cast("string").alias("text"))
-    found = stored(gathered(rows))
-    counts = found.where((F.col("kind") == WORD) & (F.col("n") > 0)).select("key", "n")
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    parts = parted(rows)
+    found = gathered(parts)
+    words = found.where(F.col("kind") == WORD)
+    total = words.where("n > 0").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     ends = rows.where(~F.col("held_out")).count()
     tokens, kinds = total[0] + ends, total[1] + (ends > 0)
-    scores = gram_scores(found.where(F.col("kind") == GRAM).select("key", "n"))
-    way = _by_broadcast if scores.count() + total[1] <= broadcast_rows else _by_join
-    out = way(rows, scores, counts, tokens, kinds, ends)
-    return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score")
+    grams = found.where(F.col("kind") == GRAM)
+    values = grams.join(gram_scores(grams.select("key", "n")), "key").select("kind", "key", "parts", F.col("score").alias("value"))
+    told = sent_back(values.unionByName(words.select("kind", "key", "parts", F.col("n").cast("double").alias("value"))))
+
+    def score(own: pa.Table, told: pa.Table) -> pa.Table:
+        def lookup(kind: int) -> Lookup:
+            cells = [(n, k, v) for w, n, k, v in zip(*(told[c].to_pylist() for c in ("kind", "n", "keys", "values"))) if w == kind]
+            keys = [_unplaned(k, n, "<i8") for n, k, _ in cells]
+            return Lookup(np.concatenate([np.zeros(0, np.int64), *keys]), np.concatenate([np.zeros(0), *(_unplaned(v, n, "<f8") for n, _, v in cells)]))
+
+        by_gram, by_word, out = lookup(GRAM), lookup(WORD), []
+        for ids, held, texts in _unblocked(own["rows"]):
+            logs = by_gram.get(texts.grams(), np.nan)
+            score = np.add.reduceat(logs, np.cumsum(texts.sizes + 1) - texts.sizes - 1)
+            hashes, of = texts.words()
+            c = by_word.get(hashes, 0.0)
+            n = len(ids)
+            base = np.bincount(of, np.log10((c + 1) / (tokens + kinds + 1)), n) + np.log10((ends + 1) / (tokens + kinds + 1))
+            columns = [pa.array(ids, pa.int64()), pa.array(held, pa.bool_()), np.bincount(of, minlength=n) + 1, np.bincount(of[c > 0], minlength=n) + int(ends > 0), base, score, -score * np.log2(10) / (texts.sizes + 1)]
+            out.append(pa.Table.from_arrays(list(map(pa.array, columns)), names=[x.split()[0] for x in SCORED.split(", ")]))
+        return pa.concat_tables(out)
+
+    out = parts.groupBy("part").cogroup(told.groupBy("part")).applyInArrow(score, SCORED)
+    return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score", "bits_per_byte")
 
 
 def op5_context_tree_weighting(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -79,9 +79,24 @@ def got(df):
     return sorted((-1 if r.doc_id is None else r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6)) for r in df.collect())
 
 
-def test_both_ways_are_the_plain_model(spark):
+def test_is_the_plain_model(spark):
     assert got(ctw.scored(docs(spark))) == want()
-    assert got(ctw.scored(docs(spark), broadcast_rows=0)) == want()
+
+
+def test_many_small_parts_give_the_same(spark, monkeypatch):
+    monkeypatch.setattr(ctw, "PART", 30)
+    monkeypatch.setattr(ctw, "ROWS_AT_ONCE", 3)
+    assert got(ctw.scored(docs(spark).repartition(2))) == want()
+
+
+def test_long_texts_and_clashing_columns(spark):
+    long = "many words in one long text, " * 60_000  # over AT_ONCE bytes
+    rows = [(1, "a", long, 0, 0), (1, "b", long, 0, 0), (5, "c", "many words", 0, 0)]
+    out = ctw.scored(spark.createDataFrame(rows, "doc_id long, held_out string, text string, part int, kind int")).collect()
+    assert len(out) == 3 and len({r.score for r in out if r.doc_id == 1}) == 1
+    for r in out:
+        text = long if r.doc_id == 1 else "many words"
+        assert r.n_tokens == len(words(text)) + 1 and abs(r.bits_per_byte + r.score * math.log2(10) / (len(text) + 1)) < 1e-9
 
 
 def test_probabilities_of_all_bytes_sum_to_one():
