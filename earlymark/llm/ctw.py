@@ -81,14 +81,21 @@ class Texts:
 
     def grams(self) -> np.ndarray:
         """Key of each byte and of each text's end, text by text (sizes + 1 of each)."""
-        b = self.data.astype(np.uint64)
-        key = b[DEPTH:].copy()
-        for d in range(1, DEPTH + 1):
-            key |= b[DEPTH - d : -d] << np.uint64(8 * d)
-        keep = np.ones(len(b), bool)
+        padded = np.concatenate([np.zeros(7 - DEPTH, np.uint8), self.data])
+        key = np.ndarray((len(padded) - 7,), ">u8", padded, 0, (1,)).astype(np.uint64) & np.uint64((1 << 8 * (DEPTH + 1)) - 1)
+        keep = np.ones(len(self.data), bool)
         keep[(self.offsets[:, None] + np.arange(DEPTH)).ravel()] = False
         return key[keep[DEPTH:]]
 
+    def sums(self, table: np.ndarray, values: np.ndarray) -> np.ndarray:
+        """The sum over each text's grams of their values, by a sorted table of grams that holds them all. At most 65,536 texts."""
+        of = np.repeat(np.arange(len(self.sizes), dtype=np.uint64), self.sizes + 1)
+        both = np.sort(self.grams() << np.uint64(16) | of)
+        key = both >> np.uint64(16)
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        own = values[np.searchsorted(table, key[first])]
+        return np.bincount((both & np.uint64(0xFFFF)).astype(np.int64), np.repeat(own, np.diff(np.append(first, len(key)))), len(self.sizes))
+
     def words(self) -> tuple[np.ndarray, np.ndarray]:
         """Hash of each word and the number of the text that it is in."""
         inside = _IN_WORD[self.data]
@@ -105,12 +112,12 @@ class Texts:
 
 
 def _runs(ids: list, held: list, texts: list) -> Iterator[tuple[list, list, Texts]]:
-    """(ids, held-out flags, texts) of at most AT_ONCE bytes or one text."""
+    """(ids, held-out flags, texts) of at most AT_ONCE bytes and 65,536 texts, or one text."""
     low, size = 0, 0
     own: list[bytes] = []
     for k, t in enumerate(texts):
         data = (t or "").encode()
-        if own and size + len(data) > AT_ONCE:
+        if own and (size + len(data) > AT_ONCE or len(own) == 1 << 16):
             yield ids[low:k], held[low:k], Texts(own)
             low, size, own = k, 0, []
         own.append(data)
@@ -167,9 +174,10 @@ def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
 def gathered(parts: DataFrame) -> DataFrame:
     """kind, key, n, parts: how often each gram and each word stands in the texts to learn from, and the parts (64-bit numbers) that it is in.
 
-    Grams of held-out texts come too, with n 0 for those alone, so that they get a score.
+    Grams of held-out texts come too, with n 0 for those alone, so that they get a score. Parts send their keys in buckets, about
+    twice as many as there are parts, so that neither a row nor a bucket holds more keys for a larger input.
     """
-    schema = pa.schema([("kind", pa.int32()), ("key", pa.int64()), ("part", pa.int64()), ("n", pa.int64())])
+    shift = np.uint64(64 - max(4, (2 * parts.select("part").distinct().count() - 1).bit_length()))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {GRAM: [], WORD: []}
@@ -188,9 +196,15 @@ def gathered(parts: DataFrame) -> DataFrame:
                 if held[kind]:
                     merge(kind)
                     keys, counts = held[kind].pop()
-                    for low in range(0, len(keys), 100_000):
-                        k, n = keys[low : low + 100_000].view(np.int64), counts[low : low + 100_000].astype(np.int64)
-                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), kind, np.int32)), pa.array(k), pa.array(np.full(len(k), at, np.int64)), pa.array(n)], schema=schema)
+                    bucket = (mixed(keys) >> shift).astype(np.int64)
+                    order = np.argsort(bucket.astype(np.uint16) if shift >= 48 else bucket, kind="stable")
+                    bucket, keys, counts = bucket[order], keys[order], counts[order].astype(np.int64)
+                    first = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+                    cells = list(zip(first.tolist(), np.append(first[1:], len(keys)).tolist()))
+                    for low in range(0, len(cells), 200):
+                        own = cells[low : low + 200]
+                        columns = [bucket[first[low : low + 200]], np.full(len(own), kind), np.full(len(own), at), [b - a for a, b in own], pa.array([_planes(keys[a:b]) for a, b in own], pa.binary()), pa.array([_planes(counts[a:b]) for a, b in own], pa.binary())]
+                        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns[:4]] + columns[4:], names=["bucket", "kind", "part", "n", "keys", "counts"])
 
         for batch in batches:
             for k, part in enumerate(batch.column(0).to_pylist()):
@@ -199,29 +213,31 @@ def gathered(parts: DataFrame) -> DataFrame:
                     at = part
                 for _, flags, texts in _unblocked(batch.column(1).slice(k, 1)):
                     train = ~np.array(flags, bool)
-                    keys = texts.grams()
-                    weight = np.repeat(train, texts.sizes + 1)
-                    for own, used in ((keys[weight], 1), (keys[~weight], 0)):
-                        if len(own):
-                            u, n = np.unique(own, return_counts=True)
-                            put(GRAM, u, n * used)
-                    keys, of = texts.words()
-                    for own, used in ((keys[train[of]], 1), (keys[~train[of]], 0)):
-                        if len(own):
-                            u, n = np.unique(own, return_counts=True)
-                            put(WORD, u, n * used)
+                    words, of = texts.words()
+                    for kind, keys, learn in ((GRAM, texts.grams(), np.repeat(train, texts.sizes + 1)), (WORD, words, train[of])):
+                        for own, used in ((keys[learn], 1), (keys[~learn], 0)):
+                            if len(own):
+                                u, n = np.unique(own, return_counts=True)
+                                put(kind, u, n * used)
         yield from flush()
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in _whole(batches, 2):  # sorted by key and kind
-            key, kind, part, n = (c.to_numpy() for c in t.columns)
-            first = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (kind[1:] != kind[:-1])]))
-            ends, own = np.append(first[1:], len(key)), part.tobytes()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(kind[first]), pa.array(key[first]), pa.array(np.add.reduceat(n, first)), pa.array([own[8 * a : 8 * b] for a, b in zip(first.tolist(), ends.tolist())], pa.binary())], names=["kind", "key", "n", "parts"])
-
-    rows = parts.mapInArrow(count, "kind int, key long, part long, n long").select("key", "kind", "part", "n")
-    return stored(rows.repartition("key").sortWithinPartitions("key", "kind").mapInArrow(meet, "kind int, key long, n long, parts binary"))
+        for t in _whole(batches, 1, 1):  # sorted by bucket and kind
+            bucket, kinds = t["bucket"].to_numpy(), t["kind"].to_numpy()
+            first = np.flatnonzero(np.concatenate([[True], (bucket[1:] != bucket[:-1]) | (kinds[1:] != kinds[:-1])]))
+            for low, high in zip(first.tolist(), np.append(first[1:], len(bucket)).tolist()):
+                _, kind, part, n, keys, counts = (c.to_pylist() for c in t.slice(low, high - low).columns)
+                key = np.concatenate([_unplaned(x, k, "<i8") for x, k in zip(keys, n)])
+                count = np.concatenate([_unplaned(x, k, "<i8") for x, k in zip(counts, n)])
+                order = np.argsort(key)
+                key, count, part = key[order], count[order], np.repeat(np.array(part, np.int64), n)[order]
+                new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+                offsets = pa.array(8 * np.append(new, len(key)), pa.int64())
+                lists = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(new), [None, offsets.buffers()[1], pa.py_buffer(part)])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(new), kind[0], np.int32)), pa.array(key[new]), pa.array(np.add.reduceat(count, new)), lists.cast(pa.binary())], names=["kind", "key", "n", "parts"])
+
+    rows = parts.mapInArrow(count, "bucket long, kind long, part long, n long, keys binary, counts binary")
+    return stored(rows.repartition("bucket").sortWithinPartitions("bucket", "kind").mapInArrow(meet, "kind int, key long, n long, parts binary"))
 
 
 def _whole(batches: Iterator[pa.RecordBatch], columns: int, at_once: int = ROWS_AT_ONCE) -> Iterator[pa.Table]:
@@ -394,7 +410,9 @@ def sent_back(values: DataFrame) -> DataFrame:
         def flush() -> Iterator[pa.RecordBatch]:
             kind, key, part, value = (np.concatenate(c) for c in zip(*held))
             held.clear()
-            order = np.lexsort((key, kind, part))
+            own = np.unique(part)
+            cell = 2 * np.searchsorted(own, part) + kind
+            order = np.lexsort((key, cell.astype(np.uint16) if len(own) < 1 << 15 else cell))
             kind, key, part, value = kind[order], key[order], part[order], value[order]
             first = np.flatnonzero(np.concatenate([[True], (part[1:] != part[:-1]) | (kind[1:] != kind[:-1])]))
             ends = np.append(first[1:], len(key))
@@ -445,15 +463,16 @@ def scored(docs: DataFrame, held_out=None) -> DataFrame:
     told = sent_back(values.unionByName(words.select("kind", "key", "parts", F.col("n").cast("double").alias("value"))))
 
     def score(own: pa.Table, told: pa.Table) -> pa.Table:
-        def lookup(kind: int) -> Lookup:
+        def told_of(kind: int) -> tuple[np.ndarray, np.ndarray]:
             cells = [(n, k, v) for w, n, k, v in zip(*(told[c].to_pylist() for c in ("kind", "n", "keys", "values"))) if w == kind]
-            keys = [_unplaned(k, n, "<i8") for n, k, _ in cells]
-            return Lookup(np.concatenate([np.zeros(0, np.int64), *keys]), np.concatenate([np.zeros(0), *(_unplaned(v, n, "<f8") for n, _, v in cells)]))
+            keys = np.concatenate([np.zeros(0, np.uint64), *(_unplaned(k, n, "<u8") for n, k, _ in cells)])
+            values = np.concatenate([np.zeros(0), *(_unplaned(v, n, "<f8") for n, _, v in cells)])
+            order = np.argsort(keys)
+            return keys[order], values[order]
 
-        by_gram, by_word, out = lookup(GRAM), lookup(WORD), []
+        grams, by_word, out = told_of(GRAM), Lookup(*told_of(WORD)), []
         for ids, held, texts in _unblocked(own["rows"]):
-            logs = by_gram.get(texts.grams(), np.nan)
-            score = np.add.reduceat(logs, np.cumsum(texts.sizes + 1) - texts.sizes - 1)
+            score = texts.sums(*grams)
             hashes, of = texts.words()
             c = by_word.get(hashes, 0.0)
             n = len(ids)
