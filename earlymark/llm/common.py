@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,10 +25,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """A new folder below spark.checkpoint.dir, which all executors share.
 
-    Only where that setting is absent (a single machine, as in tests) a temporary folder is set instead.
+    Only where that setting is absent on a single machine (as in tests) a temporary folder is set instead; a cluster must name one.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="earlymark-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/earlymark-{uuid.uuid4().hex}"
@@ -72,3 +78,28 @@ def spread_rank(df: DataFrame, group: list[str], order: list[Column], spread: Co
     for c in same[1:]:
         on = on & c
     return ranked.join(sizes, on).withColumn(out, F.col("_base") + F.col("_r")).drop("_part", "_p", "_r", "_base", *[f"_g_{g}" for g in group])
+
+
+def in_groups(batches: Iterator[pa.RecordBatch], columns: list[str], at_once: int) -> Iterator[pa.Table]:
+    """Rows, sorted by columns (numbers), in tables of about at_once rows that cut no group of rows equal in them."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        size += batch.num_rows
+        if size < at_once:
+            continue
+        t = pa.Table.from_batches(held)
+        new = np.zeros(size - 1, bool)
+        for c in columns:
+            x = t[c].to_numpy()
+            new |= x[1:] != x[:-1]
+        cuts = np.flatnonzero(new)
+        if len(cuts):
+            yield t.slice(0, cuts[-1] + 1)
+            t = t.slice(cuts[-1] + 1)
+        held, size = t.combine_chunks().to_batches(), t.num_rows
+    if held:
+        yield pa.Table.from_batches(held)

@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stored, table
+from .common import in_groups, stored, table
 
 #: Bytes of context. A gram is a context and the byte after it, so keys have 8 * (DEPTH + 1) bits.
 DEPTH = 5
@@ -222,7 +222,7 @@ def gathered(parts: DataFrame) -> DataFrame:
         yield from flush()
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in _whole(batches, 1, 1):  # sorted by bucket and kind
+        for t in in_groups(batches, ["bucket"], 1):  # sorted by bucket and kind
             bucket, kinds = t["bucket"].to_numpy(), t["kind"].to_numpy()
             first = np.flatnonzero(np.concatenate([[True], (bucket[1:] != bucket[:-1]) | (kinds[1:] != kinds[:-1])]))
             for low, high in zip(first.tolist(), np.append(first[1:], len(bucket)).tolist()):
@@ -240,33 +240,6 @@ def gathered(parts: DataFrame) -> DataFrame:
     return stored(rows.repartition("bucket").sortWithinPartitions("bucket", "kind").mapInArrow(meet, "kind int, key long, n long, parts binary"))
 
 
-def _whole(batches: Iterator[pa.RecordBatch], columns: int, at_once: int = ROWS_AT_ONCE) -> Iterator[pa.Table]:
-    """The rows, sorted by their first columns, in tables of about at_once rows that cut no group of rows equal in those."""
-    held: list[pa.RecordBatch] = []
-    size = 0
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        held.append(batch)
-        size += batch.num_rows
-        if size < at_once:
-            continue
-        t = pa.Table.from_batches(held)
-        new = np.zeros(t.num_rows - 1, bool)
-        for c in t.columns[:columns]:
-            x = c.to_numpy()
-            new |= x[1:] != x[:-1]
-        cuts = np.flatnonzero(new)
-        if len(cuts):
-            yield t.slice(0, cuts[-1] + 1)
-            held = t.slice(cuts[-1] + 1).to_batches()
-            size = t.num_rows - cuts[-1] - 1
-        else:
-            held = t.to_batches()
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def _log_gamma(x: np.ndarray) -> np.ndarray:
     """log gamma for x >= 0.5, by Stirling's series eight further on."""
     product = x * (x + 1) * (x + 2) * (x + 3) * (x + 4) * (x + 5) * (x + 6) * (x + 7)
@@ -360,7 +333,7 @@ def gram_scores(grams: DataFrame) -> DataFrame:
     grams = grams.select(context.alias("context"), "key", "n").repartition("context").sortWithinPartitions("context")
 
     def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in _whole(batches, 1):
+        for t in in_groups(batches, ["context"], ROWS_AT_ONCE):
             x = lower_levels(t["key"].to_numpy().view(np.uint64), t["n"].to_numpy())[0][TOP + 1]
             parent = ((x.ids >> np.uint64(8)) & _MASK[TOP]) << np.uint64(8) | (x.ids & np.uint64(255))
             ids, place = np.unique(parent, return_inverse=True)
@@ -371,7 +344,7 @@ def gram_scores(grams: DataFrame) -> DataFrame:
     top = grams.sparkSession.sparkContext.broadcast(Top(found["id"].to_numpy().view(np.uint64), *(found[c].to_numpy() for c in ("zeros", "ones", "weighted"))))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in _whole(batches, 1):
+        for t in in_groups(batches, ["context"], ROWS_AT_ONCE):
             keys, counts = t["key"].to_numpy().view(np.uint64), t["n"].to_numpy()
             levels, places, ones = lower_levels(keys, counts)
             p, seen = levels[DEPTH].one[places[DEPTH]], levels[DEPTH].seen[places[DEPTH]]

@@ -11,18 +11,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import stored, table
+from .common import in_groups, stored, table
 
 #: Bytes of a repeat, and bytes of the piece in it whose hash decides where it is compared.
 LENGTH, PIECE = 100, 32
 _WINDOW = LENGTH - PIECE + 1  # pieces in a repeat
 #: Bytes of text that are worked on at once, and runs in a batch of the index family.
 AT_ONCE, BATCH = 1 << 19, 2048
+#: Runs that a task holds at once to drop repeats among them.
+HELD_RUNS = 500_000
 #: OPEN runs of an anchor that one index family takes; those of a more common anchor are dealt out by window.
 FAMILY_RUNS = 4096
 _PLACE = np.uint64((1 << 28) - 1)
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 NEW, REPEATED, OPEN = 0, 1, 2
+NO_ID = -(1 << 63)  # stands for a null doc_id
 RESULTS = ("n_bytes", "n_removed", "n_spans", "kept")
 
 
@@ -87,25 +90,29 @@ def unpacked(p: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return p >> 14, (p >> 7 & 127) + 1, p & 127
 
 
-def portions(ids: list, texts: list[bytes]) -> Iterator[tuple[list, list[bytes]]]:
+def portions(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Slices of a batch (doc, copy, text) with at most AT_ONCE bytes of text, or one row."""
     low, size = 0, 0
-    for k, t in enumerate(texts):
-        if k > low and size + len(t) > AT_ONCE:
-            yield ids[low:k], texts[low:k]
-            low, size = k, 0
-        size += len(t)
+    texts: list[bytes] = []
+    for k, t in enumerate(batch.column(2)):
+        data = (t.as_py() or "").encode()
+        if texts and size + len(data) > AT_ONCE:
+            yield batch.slice(low, k - low), texts
+            low, size, texts = k, 0, []
+        size += len(data)
+        texts.append(data)
     if texts:
-        yield ids[low:], texts[low:]
+        yield batch.slice(low), texts
 
 
-def _rows(kind, anchor, covered, doc, place) -> pa.RecordBatch:
-    """kind, key, anchor, covered, doc_id, place; key deals repeated runs out by document."""
+def _rows(kind, anchor, covered, doc, copy, place) -> pa.RecordBatch:
+    """kind, key, anchor, covered, doc, copy, place; key deals repeated runs out by document."""
     kind = np.asarray(kind, np.int32)
     key = np.where(kind == REPEATED, _mix(doc.view(np.uint64)).view(np.int64), anchor)
-    return pa.RecordBatch.from_arrays([pa.array(x) for x in (kind, key, anchor, covered, doc, place)], names=["kind", "key", "anchor", "covered", "doc_id", "place"])
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in (kind, key, anchor, covered, doc, copy, place)], names=["kind", "key", "anchor", "covered", "doc", "copy", "place"])
 
 
-ROWS = "kind int, key long, anchor long, covered long, doc_id long, place long"
+ROWS = "kind int, key long, anchor long, covered long, doc long, copy long, place long"
 
 
 def _columns(batches: Iterator[pa.RecordBatch]) -> list[np.ndarray]:
@@ -113,11 +120,11 @@ def _columns(batches: Iterator[pa.RecordBatch]) -> list[np.ndarray]:
     return [np.concatenate(c) for c in zip(*parts)] if parts else []
 
 
-def _first_of_equal(anchor, covered, doc, place) -> tuple[np.ndarray, np.ndarray]:
+def _first_of_equal(anchor, covered, doc, copy, place) -> tuple[np.ndarray, np.ndarray]:
     """Order by anchor, covered, document, place, without repeated rows, and whether a row is the first with its anchor and covered."""
-    order = np.lexsort((place, doc, covered, anchor))
-    a, c, d, p = anchor[order], covered[order], doc[order], place[order]
-    once = np.concatenate([[True], (a[1:] != a[:-1]) | (c[1:] != c[:-1]) | (d[1:] != d[:-1]) | (p[1:] != p[:-1])])
+    order = np.lexsort((place, copy, doc, covered, anchor) if copy.any() else (place, doc, covered, anchor))
+    a, c, d, e, p = anchor[order], covered[order], doc[order], copy[order], place[order]
+    once = np.concatenate([[True], (a[1:] != a[:-1]) | (c[1:] != c[:-1]) | (d[1:] != d[:-1]) | (e[1:] != e[:-1]) | (p[1:] != p[:-1])])
     order, a, c = order[once], a[once], c[once]
     return order, np.concatenate([[True], (a[1:] != a[:-1]) | (c[1:] != c[:-1])])
 
@@ -142,38 +149,42 @@ def surveyed(docs: DataFrame) -> DataFrame:
                 yield _rows(kind[low : low + 100_000], *(c[o] for c in columns))
 
         for batch in batches:
-            for ids, texts in portions(batch.column(0).to_pylist(), [(t.as_py() or "").encode() for t in batch.column(1)]):
+            for rows, texts in portions(batch):
                 text, start, windows, distance, anchor, covered = runs(texts)
                 if len(text):
-                    held.append((anchor, covered, np.array(ids, np.int64)[text], packed(start, windows, distance)))
-                if sum(len(h[0]) for h in held) > 4_000_000:
+                    doc, copy = (rows.column(k).to_numpy()[text] for k in (0, 1))
+                    held.append((anchor, covered, doc, copy, packed(start, windows, distance)))
+                if sum(len(h[0]) for h in held) > HELD_RUNS:
                     yield from flush()
                     held = []
         if held:
             yield from flush()
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        columns = _columns(batches)
-        if not columns:
-            return
-        kind, _, *rest = columns
-        known = kind == REPEATED
-        if known.any():
-            yield _rows(kind[known], *(c[known] for c in rest))
-        rest = [c[~known] for c in rest]
-        if not len(rest[0]):
-            return
-        order, first = _first_of_equal(*rest)
-        rest = [c[order] for c in rest]
-        yield _rows(np.full((~first).sum(), REPEATED), *(c[~first] for c in rest))
-        rest = [c[first] for c in rest]
-        a = rest[0]
-        same = np.concatenate([[False], a[1:] == a[:-1]])
-        open_ = same | np.append(same[1:], False)
-        yield _rows(np.full(open_.sum(), OPEN), *(c[open_] for c in rest))
-
-    rows = docs.where("doc_id IS NOT NULL").select("doc_id", "text").mapInArrow(read, ROWS)
-    return stored(rows.repartition("key").mapInArrow(meet, ROWS).drop("key", "covered"))
+        # sorted by key (a REPEATED run's document, another's anchor) and covered
+        last, company = None, False  # the last run that differs from those before it, and whether one of those has its anchor
+        for t in in_groups(batches, ["key", "covered"], HELD_RUNS // 4):
+            kind, _, *rest = (c.to_numpy() for c in t.columns)
+            known = kind == REPEATED
+            if known.any():
+                yield _rows(kind[known], *(c[known] for c in rest))
+            rest = [c[~known] for c in rest]
+            if not len(rest[0]):
+                continue
+            order, first = _first_of_equal(*rest)
+            rest = [c[order] for c in rest]
+            yield _rows(np.full((~first).sum(), REPEATED), *(c[~first] for c in rest))
+            rest = [np.append(x, c[first]) for x, c in zip(last, rest)] if last else [c[first] for c in rest]
+            a = rest[0]
+            same = np.concatenate([[company], a[1:] == a[:-1]])
+            open_ = (same | np.append(same[1:], False))[:-1]
+            yield _rows(np.full(open_.sum(), OPEN), *(c[:-1][open_] for c in rest))
+            last, company = [c[-1:] for c in rest], bool(same[-1])
+        if company:
+            yield _rows([OPEN], *last)
+
+    rows = docs.select("doc", "copy", "text").mapInArrow(read, ROWS)
+    return stored(rows.repartition("key").sortWithinPartitions("key", "covered").mapInArrow(meet, ROWS).drop("key", "covered"))
 
 
 class IndexFamily:
@@ -208,7 +219,7 @@ class IndexFamily:
 
 
 def open_parts(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """doc_id, start, anchor, family, bytes: the bytes of the OPEN runs and the index family that compares them.
+    """doc, copy, start, anchor, family, bytes: the bytes of the OPEN runs and the index family that compares them.
 
     Runs of one anchor meet in one index family. Where an anchor has more than FAMILY_RUNS of them, each window goes to one of several
     families by the hash of its own bytes: equal windows still meet, and no family or task has all windows of the anchor.
@@ -216,41 +227,51 @@ def open_parts(docs: DataFrame, found: DataFrame) -> DataFrame:
     open_ = found.where(F.col("kind") == OPEN)
     many = open_.groupBy("anchor").agg(F.ceil(F.count(F.lit(1)) / FAMILY_RUNS).cast("int").alias("families")).where("families > 1")
     many = stored(many.withColumn("families", F.col("families") * _WINDOW))  # at most one row for FAMILY_RUNS runs
-    wanted = open_.join(F.broadcast(many), "anchor", "left").groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "place", F.coalesce("families", F.lit(1)).alias("families"))).alias("wanted"))
+    wanted = open_.join(F.broadcast(many), "anchor", "left").groupBy("doc", "copy").agg(F.collect_list(F.struct("anchor", "place", F.coalesce("families", F.lit(1)).alias("families"))).alias("wanted"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple] = []
+        size = 0
+
+        def flush() -> pa.RecordBatch:
+            columns = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()))]
+            rows.clear()
+            return pa.RecordBatch.from_arrays(columns, names=["doc", "copy", "start", "anchor", "family", "bytes"])
+
         for batch in batches:
-            for doc_id, text, runs_ in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+            for doc, copy, text, runs_ in zip(*(c.to_pylist() for c in batch.columns[:2]), batch.column(2), batch.column(3)):
                 data, own = text.as_py().encode(), runs_.values
-                anchor, place = own.field(0), own.field(1).to_numpy()
-                start, windows, _ = unpacked(place)
-                rows = []
-                for s, w, a, n in zip(start.tolist(), windows.tolist(), anchor.to_pylist(), own.field(2).to_pylist()):
+                start, windows, _ = unpacked(own.field(1).to_numpy())
+                for s, w, a, n in zip(start.tolist(), windows.tolist(), own.field(0).to_pylist(), own.field(2).to_pylist()):
                     if n == 1:
-                        rows.append((s, a, 0, data[s : s + w + LENGTH - 1]))
-                        continue
-                    for i in range(s, s + w):
-                        rows.append((i, a, zlib.crc32(data[i : i + LENGTH]) % n, data[i : i + LENGTH]))
-                columns = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int32(), pa.binary()))]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), doc_id, np.int64)), *columns], names=["doc_id", "start", "anchor", "family", "bytes"])
+                        rows.append((doc, copy, s, a, 0, data[s : s + w + LENGTH - 1]))
+                        size += w + LENGTH
+                    else:
+                        rows.extend((doc, copy, i, a, zlib.crc32(data[i : i + LENGTH]) % n, data[i : i + LENGTH]) for i in range(s, s + w))
+                        size += w * LENGTH
+                    if size > 4 << 20:
+                        yield flush()
+                        size = 0
+        if rows:
+            yield flush()
 
-    texts = docs.select("doc_id", "text").join(wanted, "doc_id")
-    return texts.select("doc_id", "text", "wanted").mapInArrow(cut, "doc_id long, start long, anchor long, family int, bytes binary")
+    texts = docs.select("doc", "copy", "text").join(wanted, ["doc", "copy"])
+    return texts.select("doc", "copy", "text", "wanted").mapInArrow(cut, "doc long, copy long, start long, anchor long, family int, bytes binary")
 
 
 def marked(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """doc_id, starts: where the windows of OPEN runs begin that repeat an earlier window, as runs (start << 7 | more windows)."""
+    """doc, copy, starts: where the windows of OPEN runs begin that repeat an earlier window, as runs (start << 7 | more windows)."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        family, last = IndexFamily(), (None, None)
+        family, last = IndexFamily(), (None, None, None)
         for batch in batches:
             for low in range(0, batch.num_rows, BATCH):
                 part = batch.slice(low, BATCH)
-                doc, start = part.column(0).to_numpy(), part.column(1).to_numpy()
-                new = np.concatenate([[(doc[0], start[0]) != last], (doc[1:] != doc[:-1]) | (start[1:] != start[:-1])])
-                last = doc[-1], start[-1]  # rows that repeat a document come twice, one after the other
-                part, doc, start = part.filter(pa.array(new)), doc[new], start[new]
-                data = part.column(2).to_pylist()
+                doc, copy, start = (c.to_numpy() for c in part.columns[:3])
+                new = np.concatenate([[(doc[0], copy[0], start[0]) != last], (doc[1:] != doc[:-1]) | (copy[1:] != copy[:-1]) | (start[1:] != start[:-1])])
+                last = doc[-1], copy[-1], start[-1]  # rows that repeat a document come twice, one after the other
+                part, doc, copy, start = part.filter(pa.array(new)), doc[new], copy[new], start[new]
+                data = part.column(3).to_pylist()
                 if not data:
                     continue
                 sizes = np.array([len(x) for x in data], np.int64)
@@ -265,10 +286,10 @@ def marked(docs: DataFrame, found: DataFrame) -> DataFrame:
                     o, i = of[hit], inside[hit]
                     first = np.flatnonzero(np.concatenate([[True], (o[1:] != o[:-1]) | (np.diff(i) != 1)]))
                     more = np.diff(np.append(first, len(hit))) - 1
-                    yield pa.RecordBatch.from_arrays([pa.array(doc[o[first]]), pa.array((start[o[first]] + i[first]) << 7 | more)], names=["doc_id", "starts"])
+                    yield pa.RecordBatch.from_arrays([pa.array(doc[o[first]]), pa.array(copy[o[first]]), pa.array((start[o[first]] + i[first]) << 7 | more)], names=["doc", "copy", "starts"])
 
-    parts = open_parts(docs, found).repartition("anchor", "family").sortWithinPartitions("doc_id", "start").select("doc_id", "start", "bytes")
-    return parts.mapInArrow(scan, "doc_id long, starts long")
+    parts = open_parts(docs, found).repartition("anchor", "family").sortWithinPartitions("doc", "copy", "start").select("doc", "copy", "start", "bytes")
+    return parts.mapInArrow(scan, "doc long, copy long, starts long")
 
 
 def spans_of(starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -281,21 +302,32 @@ def spans_of(starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return begin[first], reach[np.append(first[1:], len(begin)) - 1]
 
 
-def without_repeats(docs: DataFrame, as_text: bool = False) -> DataFrame:
+def numbered(docs: DataFrame) -> DataFrame:
+    """docs with doc (doc_id, or NO_ID for null) and copy, which tells rows with one doc_id and different texts apart (0 elsewhere)."""
+    own = docs.withColumn("_doc", F.coalesce(F.col("doc_id"), F.lit(NO_ID))).withColumn("_hash", F.xxhash64("text"))
+    several = own.groupBy("_doc").agg(F.min("_hash").alias("_a"), F.max("_hash").alias("_b")).where("_a <> _b").select(F.col("_doc").alias("doc"))
+    joined = own.join(several, own["_doc"] == several["doc"], "left")
+    return joined.withColumn("copy", F.when(F.col("doc").isNotNull(), F.col("_hash")).otherwise(F.lit(0))).withColumn("doc", F.col("_doc")).drop("_doc", "_hash")
+
+
+def without_repeats(docs: DataFrame, as_text: bool = False, nulls_first: bool = False) -> DataFrame:
     """docs with n_bytes, n_removed, n_spans and kept (binary): the UTF-8 bytes that no earlier repeat covers.
 
     With as_text kept is a string, without the bytes of characters that a cut goes through, and null for a null text.
 
     A byte goes if a string of LENGTH bytes over it also starts earlier: in a smaller doc_id, or before in the same
-    document. All strings are judged on the text as given. A null text is empty. A row with a null doc_id has
-    no place in the order: it stays whole, and nothing repeats it. Columns of docs with these names are replaced. Rows that repeat a doc_id with its text get the same result.
+    document. All strings are judged on the text as given. A null text is empty. A row with a null doc_id has no place in the order: it stays
+    whole and nothing repeats it, unless nulls_first puts such rows before all others. Rows with one doc_id (or none) and different texts
+    are documents of their own, in the order of a hash of the text; rows that repeat both get the same result. Columns of docs named like the results are replaced, others are kept, whatever their names. An empty table gives an empty one.
     """
-    own = docs.withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("text", F.col("text").cast("string"))
-    found = surveyed(own)
+    names = [c for c in docs.columns if c not in ("doc_id", "text", *RESULTS)]
+    extra = [F.col(f"`{c}`").alias(f"_x{k}") for k, c in enumerate(names)]
+    own = numbered(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *extra))
+    ordered = own if nulls_first else own.where("doc_id IS NOT NULL")
+    found = surveyed(ordered)
     start, windows = F.shiftright("place", 14), F.shiftright("place", 7).bitwiseAND(127)
-    whole = found.where(F.col("kind") == REPEATED).select("doc_id", (F.shiftleft(start, 7) + windows).alias("starts"))
-    marks = whole.unionByName(marked(own, found)).groupBy("doc_id").agg(F.collect_list("starts").alias("_repeats"))
-    keep = [c for c in own.columns if c not in ("doc_id", "text", *RESULTS)]
+    whole = found.where(F.col("kind") == REPEATED).select("doc", "copy", (F.shiftleft(start, 7) + windows).alias("starts"))
+    marks = whole.unionByName(marked(ordered, found)).groupBy("doc", "copy").agg(F.collect_list("starts").alias("_repeats"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -313,11 +345,12 @@ def without_repeats(docs: DataFrame, as_text: bool = False) -> DataFrame:
                 names = [c for c in part.schema.names if c != "_repeats"]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept, pa.string() if as_text else pa.binary())], names=[*names, *RESULTS])
 
-    joined = own.join(marks, "doc_id", "left").select("doc_id", "text", *keep, "_repeats")
+    joined = own.join(marks, ["doc", "copy"], "left").select("doc_id", "text", *[f"_x{k}" for k in range(len(names))], "_repeats")
     schema = T.StructType([f for f in joined.schema.fields if f.name != "_repeats"])
     for name in RESULTS[:3]:
         schema = schema.add(name, "long")
-    return joined.mapInArrow(cut, schema.add(RESULTS[3], "string" if as_text else "binary"))
+    out = joined.mapInArrow(cut, schema.add(RESULTS[3], "string" if as_text else "binary"))
+    return out.select("doc_id", "text", *[F.col(f"_x{k}").alias(c) for k, c in enumerate(names)], *RESULTS)
 
 
 def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

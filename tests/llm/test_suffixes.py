@@ -95,10 +95,33 @@ def test_windows_of_common_anchors_are_dealt_out(spark, monkeypatch):
     texts = {i: rng.choice(heads)[rng.randrange(40) :] + letters(rng.randrange(3)) + passage + letters(120) for i in range(150)}
     monkeypatch.setattr(s, "FAMILY_RUNS", 5)
     check(spark, texts)
-    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    docs = s.numbered(spark.createDataFrame(list(texts.items()), "doc_id long, text string"))
     found = s.surveyed(docs)
     largest = found.where(f"kind = {s.OPEN}").groupBy("anchor").count().agg(F.max("count")).first()[0]
     size = F.sum(F.length("bytes") - s.LENGTH + 1)
     parts = s.open_parts(docs, found).cache()
     of_anchor, of_family = (parts.groupBy(*by).agg(size.alias("n")).agg(F.max("n")).first()[0] for by in (["anchor"], ["anchor", "family"]))
     assert largest > 60 and 4 * of_family <= of_anchor
+
+
+def test_one_id_with_two_texts_and_null_ids(spark):
+    rng = random.Random(9)
+    letters = lambda k: "".join(rng.choice("abcdefgh") for _ in range(k))
+    p, own, q = letters(300), letters(442), letters(150)
+    rows = [(1, p), (2, own), (2, p), (None, q), (None, letters(120) + q), (3, q + letters(50)), (3, q + letters(50)), (4, None), (None, None), (4, "")]
+    docs = spark.createDataFrame([(*r, "x", 5) for r in rows], "doc_id long, text string, copy string, doc int")
+    for _ in range(2):
+        out = s.without_repeats(docs, nulls_first=True).collect()
+        assert len(out) == len(rows) and {(r["copy"], r.doc) for r in out} == {("x", 5)}
+        by = {(r.doc_id, r.text): r for r in out}
+        assert by[2, own].n_removed == 0 and by[2, p].n_removed == 300 and by[1, p].n_removed == 0
+        gone = [r.n_removed for r in out if r.doc_id is None and r.text]
+        assert sorted(gone) == [0, 150] and all(r.n_removed >= 150 for r in out if r.doc_id == 3)
+        docs = docs.repartition(5)
+    assert s.without_repeats(docs.limit(0)).count() == 0
+
+
+def test_small_chunks_of_runs_change_nothing(spark, monkeypatch):
+    monkeypatch.setattr(s, "HELD_RUNS", 8)
+    monkeypatch.setattr(s, "FAMILY_RUNS", 2)
+    check(spark, documents(seed=11, n=40))
