@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from .common import stored, table, words
 
 SHINGLE = 5
+NO_ID = -(1 << 63)  # stands for a null doc_id
 #: 128-bit fingerprints in 16 blocks of 8 bits. Each block is looked up with up to two errors, so all pairs
 #: within 16 * 3 - 1 bits meet. At a weighted similarity of 0.8 the expected distance is 19.4 bits, with a deviation of 4.1.
 BLOCKS, RADIUS = 16, 44
@@ -77,61 +78,105 @@ def benchmark_shingles(benchmark: DataFrame) -> DataFrame:
     return stored(reduce(DataFrame.unionByName, parts))
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8) -> DataFrame:
-    """doc_id, item_id, start, words, similarity: the benchmark items that a document holds, where it holds them best.
+def promising_windows(texts: DataFrame, shingles: DataFrame, items: DataFrame, lengths: list[int], similarity: float) -> DataFrame:
+    """doc, hash, k, width, start: the windows of the items' sizes that have enough shingles which also stand in some item of their size.
 
-    A document holds an item if a window of as many words as the item has (the whole document if it has fewer)
-    has a weighted similarity of at least similarity to it: the shingles of five words with the times they occur, the sum of the
-    smaller ones over the sum of the larger ones. start counts words from 0; of equally similar windows the first
-    counts. Such a window has that share of its shingles in common with the item, so fingerprints are made
-    only around shingles that also stand in the benchmark, in documents that have enough of the item's.
-    Null texts, texts and items without words hold nothing; rows with a null doc_id are left out; rows that repeat a doc_id with its text count once.
+    A window of m shingles with a weighted similarity of s to an item of t shingles has at least s * (m + t) / (1 + s) of them in
+    common with it, so no other window can be similar. Which item it is, if any, is left to the fingerprints.
     """
-    shingles = benchmark_shingles(benchmark)
-    items = shingles.groupBy("item_id", "width", "k").agg(F.count(F.lit(1)).alias("total"))
-    lengths = sorted(r["k"] for r in shingles.select("k").distinct().collect())  # at most SHINGLE numbers
-    texts = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), words(F.col("text").cast("string")).alias("w"))
-    marks = _sent(stored(shingles.select("item_id", "width", "k", "h").distinct()))
-    distinct = _sent(stored(marks.select("k", "h").distinct()))
+    marks = _sent(stored(shingles.select("k", "h", "width").distinct()))
 
-    # the places where a document has a shingle of the benchmark, and the pairs with enough of them
+    # the places where a document has a shingle of an item, with the item's size
     def places(k: int) -> DataFrame:
-        return texts.select("doc_id", F.size("w").alias("n"), F.posexplode(shingle_hashes("w", k)).alias("at", "h")).join(distinct.where(F.col("k") == k), "h").distinct()
-
-    empty = docs.sparkSession.createDataFrame([], "h long, doc_id long, n int, at int, k int")
-    found = stored(reduce(DataFrame.unionByName, [places(k) for k in lengths], empty))
-    shared = found.join(marks, ["k", "h"]).select("doc_id", "n", "at", "item_id", "width", "k")
-    enough = F.ceil(F.lit(similarity) * F.greatest(F.least("width", "n") - F.col("k") + 1, F.lit(1)) - 1e-9)
-    pairs = shared.groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("c"), F.min(enough).alias("need")).where("c >= need")
-    shared = shared.join(pairs.select("doc_id", "item_id"), ["doc_id", "item_id"])
-
-    # windows of the item's size over those places
-    first = F.greatest(F.lit(0), F.col("at") + F.col("k") - F.least("width", "n"))
-    starts = shared.select("doc_id", "width", "k", F.explode(F.sequence(first, F.greatest(first, F.least(F.col("at"), F.col("n") - F.least("width", "n"))))).alias("start")).distinct()
-    starts = stored(starts)
-    ids = _sent(stored(starts.select("doc_id").distinct()))
-    own = stored(reduce(DataFrame.unionByName, [texts.join(ids, "doc_id").select("doc_id", F.lit(k).alias("k"), shingle_hashes("w", k).alias("hashes")).dropDuplicates(["doc_id"]) for k in lengths], docs.sparkSession.createDataFrame([], "doc_id long, k int, hashes array<long>")))
-    window = F.slice("hashes", F.col("start") + 1, F.col("width") - F.col("k") + 1)
-    inside = starts.join(own, ["doc_id", "k"]).select("doc_id", "width", "k", "start", F.explode(window).alias("h"))
-    prints = fingerprints(inside.where(F.col("width") - F.col("k") < COUNTED), ["doc_id", "width", "k", "start"])
-
-    # items and windows of the same size whose fingerprints are within the radius
+        return texts.select("doc", "hash", F.size("w").alias("n"), F.posexplode(shingle_hashes("w", k)).alias("at", "h")).join(marks.where(F.col("k") == k), "h").select("doc", "hash", "n", "k", "width", "at")
+
+    empty = texts.sparkSession.createDataFrame([], "doc long, hash long, n int, k int, width int, at int")
+    found = reduce(DataFrame.unionByName, [places(k) for k in lengths], empty)
+    found = found.groupBy("doc", "hash", "n", "k", "width").agg(F.array_sort(F.collect_set("at")).alias("at"))
+    size = F.least("width", "n") - F.col("k") + 1
+    need = F.ceil(F.lit(similarity) * (size + F.col("width") - F.col("k") + 1) / (1 + similarity) - 1e-9).cast("int")
+    found = found.withColumn("size", size).withColumn("need", need).where((F.size("at") >= F.col("need")) & (F.col("need") <= F.col("size")))
+    last = F.col("n") - F.least("width", "n")
+    spans = F.transform(F.sequence(F.lit(0), F.size("at") - F.col("need")), lambda j: F.struct(F.greatest(F.lit(0), F.get("at", j + F.col("need") - 1) - F.col("size") + 1).alias("low"), F.least(F.get("at", j), last).alias("high")))
+    starts = found.select("doc", "hash", "k", "width", F.explode(F.filter(spans, lambda x: x.low <= x.high)).alias("s"))
+    return starts.select("doc", "hash", "k", "width", F.explode(F.sequence("s.low", "s.high")).alias("start")).distinct()
+
+
+def all_windows(texts: DataFrame, items: DataFrame) -> DataFrame:
+    """doc, hash, k, width, start of every window of every item's size: what promising_windows leaves out too."""
+    sizes = items.select("k", "width").distinct()
+    rows = texts.select("doc", "hash", F.size("w").alias("n")).join(F.broadcast(sizes), F.col("n") >= F.col("k"))  # a row for each size of an item
+    return rows.select("doc", "hash", "k", "width", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), F.col("n") - F.col("width")))).alias("start")).distinct()
+
+
+def fingerprint_pairs(starts: DataFrame, own: DataFrame, shingles: DataFrame, items: DataFrame) -> DataFrame:
+    """doc, hash, k, start, width, item_id: windows and items of the same size whose fingerprints are within the radius.
+
+    own: doc, hash, k and the hashes of the document's shingles. Items of COUNTED shingles and more pair with all windows of their size.
+    """
+    inside = starts.join(own, ["doc", "hash", "k"]).select("doc", "hash", "width", "k", "start", F.explode(_window()).alias("h"))
+    prints = fingerprints(inside.where(F.col("width") - F.col("k") < COUNTED), ["doc", "hash", "width", "k", "start"])
     item_prints = fingerprints(shingles.where(F.col("width") - F.col("k") < COUNTED), ["item_id", "width"])
     ball = item_prints.select("item_id", "width", F.col("f0").alias("i0"), F.col("f1").alias("i1"), blocks(True).alias("b")).select("item_id", "width", "i0", "i1", "b.*")
-    met = prints.select("doc_id", "width", "k", "start", "f0", "f1", blocks(False).alias("b")).select("*", "b.*").drop("b").join(_sent(stored(ball)), ["width", "block", "value"])
-    near = met.where(F.bit_count(F.col("f0").bitwiseXOR(F.col("i0"))) + F.bit_count(F.col("f1").bitwiseXOR(F.col("i1"))) <= RADIUS).select("doc_id", "k", "start", "width", "item_id").distinct()
+    met = prints.select("doc", "hash", "width", "k", "start", "f0", "f1", blocks(False).alias("b")).select("*", "b.*").drop("b").join(_sent(stored(ball)), ["width", "block", "value"])
+    near = met.where(F.bit_count(F.col("f0").bitwiseXOR(F.col("i0"))) + F.bit_count(F.col("f1").bitwiseXOR(F.col("i1"))) <= RADIUS).select("doc", "hash", "k", "start", "width", "item_id").distinct()
     large = starts.join(items.where(F.col("width") - F.col("k") >= COUNTED).select("item_id", "width"), "width").select(*near.columns)
-    near = stored(near.unionByName(large))
+    return near.unionByName(large)
+
+
+def _window() -> Column:
+    return F.slice("hashes", F.col("start") + 1, F.col("width") - F.col("k") + 1)
+
+
+def held_items(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, every_window: bool = False) -> DataFrame:
+    """doc, hash, doc_id, item_id, start, words, similarity: contaminated() for all rows, those without doc_id too.
+
+    doc (NO_ID for null) and hash (of the text) tell rows apart. With every_window nothing but the fingerprints chooses windows (for small
+    tables: documents x sizes of items x words).
+    """
+    shingles = benchmark_shingles(benchmark)
+    items = shingles.groupBy("item_id", "width", "k").agg(F.count(F.lit(1)).alias("total"))
+    lengths = sorted(r["k"] for r in shingles.select("k").distinct().collect())  # at most SHINGLE numbers
+    text = F.col("text").cast("string")
+    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.xxhash64(text).alias("hash"), words(text).alias("w"))
+    starts = stored(all_windows(texts, items) if every_window else promising_windows(texts, shingles, items, lengths, similarity))
+    ids = _sent(stored(starts.select("doc", "hash").distinct()))
+    empty = docs.sparkSession.createDataFrame([], "doc long, hash long, k int, hashes array<long>")
+    own = stored(reduce(DataFrame.unionByName, [texts.join(ids, ["doc", "hash"]).select("doc", "hash", F.lit(k).alias("k"), shingle_hashes("w", k).alias("hashes")).dropDuplicates(["doc", "hash"]) for k in lengths], empty))
+    near = stored(fingerprint_pairs(starts, own, shingles, items))
 
     # the exact check
-    counts = near.join(own, ["doc_id", "k"]).select("doc_id", "item_id", "start", F.size(window).alias("size"), F.explode(window).alias("h"))
-    counts = counts.groupBy("doc_id", "item_id", "start", "size", "h").agg(F.count(F.lit(1)).alias("c"))
+    counts = near.join(own, ["doc", "hash", "k"]).select("doc", "hash", "item_id", "start", F.size(_window()).alias("size"), F.explode(_window()).alias("h"))
+    counts = counts.groupBy("doc", "hash", "item_id", "start", "size", "h").agg(F.count(F.lit(1)).alias("c"))
     weights = shingles.groupBy("item_id", "h").agg(F.count(F.lit(1)).alias("ci"))
-    common = counts.join(_sent(stored(weights)), ["item_id", "h"]).groupBy("doc_id", "item_id", "start", "size").agg(F.sum(F.least("c", "ci")).alias("common"))
+    common = counts.join(_sent(stored(weights)), ["item_id", "h"]).groupBy("doc", "hash", "item_id", "start", "size").agg(F.sum(F.least("c", "ci")).alias("common"))
     scored = common.join(_sent(stored(items)), "item_id").withColumn("similarity", F.col("common") / (F.col("size") + F.col("total") - F.col("common")))
-    best = W.partitionBy("doc_id", "item_id").orderBy(F.desc("similarity"), F.asc("start"))
+    best = W.partitionBy("doc", "hash", "item_id").orderBy(F.desc("similarity"), F.asc("start"))
     scored = scored.where(F.col("similarity") >= F.lit(similarity)).withColumn("rank", F.row_number().over(best)).where("rank = 1")
-    return scored.select("doc_id", "item_id", F.col("start").cast("long").alias("start"), F.col("width").cast("long").alias("words"), F.round("similarity", 6).alias("similarity"))
+    return scored.select("doc", "hash", F.when(F.col("doc") != NO_ID, F.col("doc")).alias("doc_id"), "item_id", F.col("start").cast("long").alias("start"), F.col("width").cast("long").alias("words"), F.round("similarity", 6).alias("similarity"))
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, every_window: bool = False) -> DataFrame:
+    """doc_id, item_id, start, words, similarity: the benchmark items that a document holds, where it holds them best.
+
+    A document holds an item if a window of as many words as the item has (the whole document if it has fewer)
+    has a weighted similarity of at least similarity to it: the shingles of five words with the times they occur, the sum of the
+    smaller ones over the sum of the larger ones. start counts words from 0; of equally similar windows the first
+    counts. Windows and items meet by their fingerprints; windows are made where enough shingles stand in items of their size
+    (promising_windows), or everywhere with every_window. Null texts, texts and items without words hold nothing; rows with a null doc_id
+    are left out; rows that repeat a doc_id with its text count once, with another text each on its own. Other columns are ignored.
+    """
+    found = held_items(docs.where("doc_id IS NOT NULL"), benchmark, similarity, every_window)
+    return found.select("doc_id", "item_id", "start", "words", "similarity")
+
+
+def without_benchmark(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8) -> DataFrame:
+    """The rows of docs that hold no item of the benchmark, with or without doc_id, with all their columns, whatever those are called."""
+    own = docs.toDF(*[f"_c{k}" for k in range(len(docs.columns))])
+    at = {c.lower(): F.col(f"_c{k}") for k, c in enumerate(docs.columns)}
+    held = held_items(docs.select("doc_id", "text"), benchmark, similarity).select(F.col("doc").alias("_doc"), F.col("hash").alias("_hash")).distinct()
+    own = own.withColumn("_doc", F.coalesce(at["doc_id"].cast("long"), F.lit(NO_ID))).withColumn("_hash", F.xxhash64(at["text"].cast("string")))
+    return own.join(held, ["_doc", "_hash"], "left_anti").drop("_doc", "_hash").toDF(*docs.columns)
 
 
 def op3_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

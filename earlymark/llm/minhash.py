@@ -14,6 +14,7 @@ from .ctw import AT_ONCE, Texts, mixed
 from .graphs import connected_components
 
 SHINGLE = 5
+NO_ID = -(1 << 63)  # stands for a null doc_id
 #: Symbols of a signature, each of 16 bits, and the chunks that they are split into.
 SYMBOLS, CHUNKS = 32, 8
 PER_CHUNK = SYMBOLS // CHUNKS
@@ -173,18 +174,24 @@ def _texts(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.
             yield batch.slice(low), texts[low:]
 
 
+def by_row(docs: DataFrame) -> DataFrame:
+    """doc_id, text, and doc and hash, which tell rows with different ids or texts apart: doc_id (NO_ID for null) and a hash of the text."""
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return own.select("doc_id", "text", F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), F.xxhash64("text").alias("hash"))
+
+
 def sketched(docs: DataFrame) -> DataFrame:
-    """doc_id, n, high, low, symbols: the size of the shingle set, a 128-bit digest of it and the signature."""
+    """doc_id, doc, hash, n, high, low, symbols: the size of the shingle set, a 128-bit digest of it and the signature."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in _texts(batches, 1):
+        for part, texts in _texts(batches, 3):
             sets = shingle_sets(texts)
             symbols = signatures(sets)
             digest = [(int(np.bitwise_xor.reduce(s)), int(np.add.reduce(mixed(s + np.uint64(1))))) if len(s) else (0, 0) for s in sets]
-            columns = [part.column(0), pa.array([len(s) for s in sets], pa.int64()), *(pa.array(np.array([d[k] for d in digest], np.uint64).view(np.int64)) for k in (0, 1)), pa.array([x.tobytes() for x in symbols], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "high", "low", "symbols"])
+            columns = [*part.columns[:3], pa.array([len(s) for s in sets], pa.int64()), *(pa.array(np.array([d[k] for d in digest], np.uint64).view(np.int64)) for k in (0, 1)), pa.array([x.tobytes() for x in symbols], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "doc", "hash", "n", "high", "low", "symbols"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(sketch, "doc_id long, n long, high long, low long, symbols binary")
+    return by_row(docs).select("doc_id", "doc", "hash", "text").mapInArrow(sketch, "doc_id long, doc long, hash long, n long, high long, low long, symbols binary")
 
 
 def _in_blocks(rows: DataFrame, group: str, size: str) -> DataFrame:
@@ -242,12 +249,13 @@ def candidate_edges(reps: DataFrame, percent: int) -> DataFrame:
 
 
 def exact_edges(docs: DataFrame, reps: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """a, b: links, confirmed on full sets, that connect all linked documents of each group (node, component)."""
-    members = groups.join(reps, groups["node"] == reps["rep"]).select("rep", "component", "n", "symbols")
+    """a, b: links, confirmed on full sets, that connect all linked classes of each group (node, component). reps: rep, doc, hash, n, symbols."""
+    members = groups.join(reps, groups["node"] == reps["rep"]).select("doc", "hash", "rep", "component", "n", "symbols")
     sizes = members.groupBy("component").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("blocks"))
-    rows = _in_blocks(members.join(sizes, "component"), "component", "blocks")
-    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string").alias("text"))
-    rows = texts.join(rows, "rep").select("component", "bi", "bj", "rep", "n", "symbols", "text")
+    members = members.join(sizes, "component")
+    # one row of those that repeat a document; they are together already
+    rows = by_row(docs).select("doc", "hash", "text").join(members, ["doc", "hash"]).dropDuplicates(["doc", "hash"])
+    rows = _in_blocks(rows, "component", "blocks").select("component", "bi", "bj", "rep", "n", "symbols", "text")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t, cut in whole_groups(batches, 3):
@@ -302,26 +310,54 @@ def linked(sets: list[np.ndarray], symbols: np.ndarray, percent: int) -> Forest:
     return forest
 
 
+def classified(docs: DataFrame, percent: int) -> DataFrame:
+    """doc_id, doc, hash, n and root for each row of docs: rows with the same root are linked; it is null without words.
+
+    Rows with equal sets are one class from the start, however many they are. A class is known by a number of its own, so
+    null ids, ids that repeat with another text and repeated rows are linked like any other.
+    """
+    known = stored(sketched(docs))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc", "hash")).alias("first")
+    classes = stored(known.where("n > 0").groupBy("high", "low", "n").agg(first, F.first("symbols").alias("symbols")).withColumn("rep", F.monotonically_increasing_id()))
+    reps = classes.select("rep", "first.doc", "first.hash", "n", "symbols")
+    groups = connected_components(candidate_edges(reps, percent))
+    final = connected_components(exact_edges(docs, reps, groups, percent))
+    of_class = classes.join(final, classes["rep"] == final["node"], "left").select(*[F.col(c).alias(f"_{c}") for c in ("high", "low", "n")], F.coalesce("component", "rep").alias("root"))
+    return known.join(of_class, (known["high"] == of_class["_high"]) & (known["low"] == of_class["_low"]) & (known["n"] == of_class["_n"]), "left").select("doc_id", "doc", "hash", "n", "root")
+
+
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row of docs.
 
     Documents whose shingle sets have at least percent % of their union in common are linked; component_id is the
     smallest doc_id that links reach. Texts without words (null and empty ones too) are linked with nothing.
-    Documents with equal sets are one class from the start, however many they are. Rows with a null doc_id belong to their
-    class and get its component (null, and kept, if nothing else is in it). Rows that repeat a doc_id count alike.
+    Rows with a null doc_id get the component of what they are linked with (null, and kept, if no linked row has an id). Rows that
+    repeat a doc_id are documents of their own, each in its component. Other columns are ignored, whatever their names; an
+    empty table gives an empty one.
     """
-    known = stored(sketched(docs))
-    classes = known.where("n > 0").groupBy("high", "low", "n").agg(F.min("doc_id").alias("rep"), F.first("symbols").alias("symbols"))
-    classes = stored(classes)
-    reps = classes.where("rep IS NOT NULL").select("rep", "n", "symbols")
-    groups = connected_components(candidate_edges(reps, percent))
-    final = connected_components(exact_edges(docs, reps, groups, percent))
-    of_class = classes.join(final, classes["rep"] == final["node"], "left").select("high", "low", F.col("n").alias("_n"), F.coalesce("component", "rep").alias("_component"))
-    out = known.join(of_class, (known["high"] == of_class["high"]) & (known["low"] == of_class["low"]) & (known["n"] == of_class["_n"]), "left")
+    rows = stored(classified(docs, percent))
+    least = rows.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("_component")).withColumnRenamed("root", "_root")
     component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("_component"))
+    out = rows.join(least, rows["root"] == least["_root"], "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
+def one_of_each(docs: DataFrame, percent: int = 85) -> DataFrame:
+    """docs with one row of each component: that with the smallest doc_id (null ids last, then by a hash of the text).
+
+    Rows without words all stay. Other columns are kept, whatever their names.
+    """
+    rows = stored(classified(docs, percent))
+    first = rows.where("root IS NOT NULL").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc", "hash")).alias("first")).select(F.col("first.doc").alias("_doc"), F.col("first.hash").alias("_hash"))
+    own = docs.toDF(*[f"_c{k}" for k in range(len(docs.columns))])
+    at = {c.lower(): F.col(f"_c{k}") for k, c in enumerate(docs.columns)}
+    text = at["text"].cast("string")
+    key = [F.coalesce(at["doc_id"].cast("long"), F.lit(NO_ID)).alias("_doc"), F.xxhash64(text).alias("_hash")]
+    wordless = ~F.coalesce(text, F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    kept = own.select("*", *key).where(~wordless).join(first, ["_doc", "_hash"]).dropDuplicates(["_doc", "_hash"])
+    return kept.select(*own.columns).unionByName(own.where(wordless)).toDF(*docs.columns)
+
+
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 

@@ -7,17 +7,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import stored, table
 from .ctw import AT_ONCE, Texts, mixed
 
-#: Rows to learn from, at most, with labels and without (those whose doc_id has the smallest hashes).
-LABELLED, UNLABELLED = 12_000, 12_000
-#: Rounds of exchange; the share of the unlabelled rows that a view may label in a round, and how sure it must be.
-ROUNDS, SHARE, SURE = 3, 0.05, 0.9
+#: Labelled rows to learn from, at most (those whose doc_id has the smallest hashes).
+LABELLED = 12_000
+#: Rounds of exchange; how many rows of each group of sources and each class a view may teach the other in a round, and how sure it
+#: must be. All rows without labels are candidates in every round.
+ROUNDS, TAUGHT, SURE = 3, 20, 0.9
 SOURCES = 32
 
 # Kinds of bytes: other, lower case, upper case, digit, space, line end, sentence mark, other punctuation (9 kinds), beyond ASCII
@@ -92,35 +94,49 @@ class Logistic:
         return np.clip(self._scaled(x) @ self.w, -12, 12)
 
 
-def co_trained(text: np.ndarray, meta: np.ndarray, y: np.ndarray, text_more: np.ndarray, meta_more: np.ndarray, rounds: int = ROUNDS) -> tuple[Logistic, Logistic, Logistic]:
-    """The text classifier, the metadata classifier, and the one that weighs their calibrated logits.
+class Views:
+    """The two views' labelled examples, what each was taught by the other, and the classifiers fitted on both.
 
-    A third of the labelled rows is set aside to calibrate. In each round each view labels the unlabelled rows that
-    it is surest of, in the proportion of the classes, and those join the other view's examples.
+    A third of the labelled rows is set aside to calibrate each view and to weigh the calibrated ones against each other.
     """
-    aside = np.arange(len(y)) % 3 == 0
-    if min(y[aside].sum(), (~aside & (y == 1)).sum(), (1 - y)[aside].sum(), (~aside & (y == 0)).sum()) == 0:
-        aside[:] = False
-    learn, check = ~aside, aside if aside.any() else ~aside
-    views = [(text[learn], text_more), (meta[learn], meta_more)]
-    taught: list[dict[int, int]] = [{}, {}]  # what each view was taught by the other
-
-    def fit(k: int) -> Logistic:
-        rows = np.array(list(taught[k]), np.int64)
-        return Logistic(np.concatenate([views[k][0], views[k][1][rows]]), np.concatenate([y[learn], np.array([taught[k][i] for i in rows], float)]))
-
-    fitted = [fit(0), fit(1)]
-    for _ in range(rounds):
-        said = [fitted[k].logit(views[k][1]) for k in (0, 1)]
-        for k in (0, 1):
-            p = 1 / (1 + np.exp(-said[k]))
-            for label, sure, share in ((1, p, y.mean()), (0, 1 - p, 1 - y.mean())):
-                best = np.argsort(-sure, kind="stable")[: int(SHARE * share * len(p))]
-                for i in best[sure[best] >= SURE].tolist():
-                    taught[1 - k].setdefault(i, label)
-        fitted = [fit(0), fit(1)]
-    both = np.column_stack([fitted[0].logit(text[check]), fitted[1].logit(meta[check])])
-    return fitted[0], fitted[1], Logistic(both, y[check].astype(float))
+
+    def __init__(self, text: np.ndarray, meta: np.ndarray, y: np.ndarray):
+        aside = np.arange(len(y)) % 3 == 0
+        if min(y[aside].sum(), (~aside & (y == 1)).sum(), (1 - y)[aside].sum(), (~aside & (y == 0)).sum()) == 0:
+            aside[:] = False
+        self.learn, self.check = ~aside, aside if aside.any() else ~aside
+        self.x, self.y = (text, meta), y
+        self.taught: list[dict[int, tuple[np.ndarray, int]]] = [{}, {}]  # row -> its features and label
+        self.fit()
+
+    def fit(self) -> None:
+        self.fitted = []
+        for x, taught in zip(self.x, self.taught):
+            more = [taught[row] for row in sorted(taught)]
+            own = np.array([v for v, _ in more], np.float32).reshape(-1, x.shape[1])
+            self.fitted.append(Logistic(np.concatenate([x[self.learn], own]), np.concatenate([self.y[self.learn], np.array([label for _, label in more], float)])))
+
+    def teach(self, view: int, row: int, features: np.ndarray, label: int) -> None:
+        """View is taught a row's label by the other one; the first label that it is taught stays."""
+        self.taught[view].setdefault(row, (features, label))
+
+    def model(self) -> Model:
+        y = self.y[self.check].astype(float)
+        scales = [Logistic(f.logit(x[self.check])[:, None], y) for f, x in zip(self.fitted, self.x)]
+        both = np.column_stack([g.logit(f.logit(x[self.check])[:, None]) for f, g, x in zip(self.fitted, scales, self.x)])
+        return Model(self.fitted, scales, Logistic(both, y))
+
+
+class Model:
+    """The views' classifiers, their calibrations, and the weights of the calibrated views."""
+
+    def __init__(self, fitted: list[Logistic], scales: list[Logistic], both: Logistic):
+        self.fitted, self.scales, self.both = fitted, scales, both
+
+    def scores(self, text: np.ndarray, meta: np.ndarray) -> list[np.ndarray]:
+        """Calibrated probabilities by text, by metadata and by both."""
+        a, b = (g.logit(f.logit(x)[:, None]) for f, g, x in zip(self.fitted, self.scales, (text, meta)))
+        return [1 / (1 + np.exp(-v)) for v in (a, b, self.both.logit(np.column_stack([a, b])))]
 
 
 VIEWS = "x array<float>, z array<float>"
@@ -141,56 +157,109 @@ def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             low = high
 
 
-def quality(docs: DataFrame, labels: DataFrame, held_out=None, rounds: int = ROUNDS, labelled: int = LABELLED, unlabelled: int = UNLABELLED, carry: list[str] | None = None) -> DataFrame:
-    """carry (columns of docs, by default doc_id), held_out, text_score, meta_score, score, predicted for every row of docs.
+def _matrix(t: pa.Table, column: str, width: int) -> np.ndarray:
+    return t[column].combine_chunks().flatten().to_numpy().reshape(-1, width)
 
-    score is the probability of labels.quality = 1 and predicted is 1 where it is at least 0.5. Learns from at most labelled
-    rows with labels and unlabelled ones without, none of them held out (crc32 of doc_id mod 5 is 0 by default); a doc_id with
-    several labels counts as good if one says so. Nulls count as empty texts, names and lengths of 0; a null doc_id has no label.
-    Without both kinds of labels all scores are 1: nothing is rejected.
+
+def learned(docs: DataFrame, labels: DataFrame, held: Column, rounds: int = ROUNDS, labelled: int = LABELLED, taught: int = TAUGHT) -> Model | None:
+    """The co-trained model of docs' labelled rows, or None without both kinds of labels.
+
+    Both views of all rows that aren't held out are written once. In each round each view scores every row without a label, and of
+    each group of sources (by checksum, SOURCES groups) and each class the taught surest rows join the other view's examples.
+    The driver sees labelled rows and rounds * 2 views * 2 classes * SOURCES * taught others at most.
     """
-    held = held_out if held_out is not None else F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 0
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held.alias("held_out"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"), F.col("n_chars").cast("long").alias("n_chars"))
     known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("quality").cast("int")).alias("quality"))
-    ids = rows.where("NOT held_out AND doc_id IS NOT NULL").select("doc_id").distinct().join(known, "doc_id", "left")
-    picked = [ids.where(c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for c, n in (("quality IS NOT NULL", labelled), ("quality IS NULL", unlabelled))]
-    picked = stored(picked[0].unionByName(picked[1]))  # labelled + unlabelled rows at most
+    rows = _inputs(docs, held).where("NOT held_out")
+    picked = rows.where("doc_id IS NOT NULL").select("doc_id").distinct().join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(labelled)
+    picked = stored(picked)  # labelled rows at most
+    if {r[0] for r in picked.select("quality").distinct().collect()} != {0, 1}:
+        return None
 
     def view(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _parts(batches):
             x, z = _views(part)
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("quality"), pa.array(list(x), pa.list_(pa.float32())), pa.array(list(z), pa.list_(pa.float32()))], names=["doc_id", "quality", "x", "z"])
-
-    sample = rows.join(F.broadcast(picked), "doc_id").dropDuplicates(["doc_id"]).mapInArrow(view, f"doc_id long, quality int, {VIEWS}").toArrow().sort_by("doc_id")
-    matrix = lambda name, width: sample[name].combine_chunks().flatten().to_numpy().reshape(-1, width)
-    x, z = matrix("x", TEXT_FEATURES), matrix("z", META_FEATURES)
-    y = sample["quality"].to_numpy()
-    has = ~np.isnan(y.astype(float))
-    fitted = None
-    if len(set(y[has].tolist())) == 2:
-        fitted = co_trained(x[has], z[has], y[has].astype(float), x[~has], z[~has], rounds)
-    del sample, x, z
-
-    carry = carry or ["doc_id"]
-    own = docs.select(*[F.col(c).alias(f"_{c}") for c in carry], held.alias("held_out"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"), F.col("n_chars").cast("long").alias("n_chars"))
+            group = pa.array([zlib.crc32((s or "").encode()) % SOURCES for s in part.column("source").to_pylist()], pa.int32())
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("quality"), group, pa.array(list(x), pa.list_(pa.float32())), pa.array(list(z), pa.list_(pa.float32()))], names=["doc_id", "quality", "group", "x", "z"])
+
+    marked = rows.join(F.broadcast(picked), "doc_id", "left").join(known.select(F.col("doc_id").alias("_known")), F.col("doc_id") == F.col("_known"), "left").where("quality IS NOT NULL OR _known IS NULL").drop("_known")
+    views = marked.select("doc_id", "quality", "text", "lang", "source", "n_chars").mapInArrow(view, f"doc_id long, quality int, group int, {VIEWS}")
+    views = stored(views.withColumn("row", F.monotonically_increasing_id()))
+    sample = views.where("quality IS NOT NULL").dropDuplicates(["doc_id"]).toArrow().sort_by("doc_id")
+    both = Views(_matrix(sample, "x", TEXT_FEATURES), _matrix(sample, "z", META_FEATURES), sample["quality"].to_numpy().astype(float))
+    rest = views.where("quality IS NULL")
+    for _ in range(rounds):
+        fitted = both.fitted
+
+        def sure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                t = pa.Table.from_batches([batch])
+                if not t.num_rows:
+                    continue
+                row, group = t["row"].to_numpy(), t["group"].to_numpy()
+                for k, (name, width) in enumerate((("x", TEXT_FEATURES), ("z", META_FEATURES))):
+                    p = 1 / (1 + np.exp(-fitted[k].logit(_matrix(t, name, width))))
+                    for label, own in ((1, p), (0, 1 - p)):
+                        best = np.flatnonzero(own >= SURE)
+                        best = best[np.lexsort((row[best], -own[best], group[best]))]
+                        first = np.searchsorted(group[best], group[best])
+                        best = best[np.arange(len(best)) - first < taught]
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(best), k, np.int32)), pa.array(np.full(len(best), label, np.int32)), pa.array(group[best]), pa.array(own[best]), pa.array(row[best])], names=["view", "label", "group", "sure", "row"])
+
+        said = rest.select("row", "group", "x", "z").mapInArrow(sure, "view int, label int, group int, sure double, row long")
+        best = W.partitionBy("view", "label", "group").orderBy(F.desc("sure"), "row")
+        said = stored(said.withColumn("k", F.row_number().over(best)).where(F.col("k") <= taught).select("view", "label", "row"))  # 4 * SOURCES * taught rows at most
+        told = views.join(F.broadcast(said), "row").select("view", "label", "row", "x", "z").toArrow().sort_by([("view", "ascending"), ("row", "ascending"), ("label", "descending")])
+        if told.num_rows:
+            x, z = _matrix(told, "x", TEXT_FEATURES), _matrix(told, "z", META_FEATURES)
+            for k, (view_, label, row) in enumerate(zip(*(told[c].to_pylist() for c in ("view", "label", "row")))):
+                both.teach(1 - view_, row, (x, z)[1 - view_][k], label)
+        both.fit()
+    return both.model()
+
+
+def _inputs(docs: DataFrame, held: Column, *more: Column) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), held.alias("held_out"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"), F.col("n_chars").cast("long").alias("n_chars"), *more)
+
+
+def _judged(docs: DataFrame, labels: DataFrame, carry: list[str], held_out=None, **limits: int) -> DataFrame:
+    """_c0, _c1 and so on (the columns in carry), held_out, text_score, meta_score, score and predicted for every row of docs."""
+    held = held_out if held_out is not None else F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 0
+    model = learned(docs, labels, held, **limits)
+    own = _inputs(docs, held, *[F.col(f"`{c}`").alias(f"_c{k}") for k, c in enumerate(carry)])
     names = ["held_out", "text_score", "meta_score", "score", "predicted"]
-    schema = T.StructType([T.StructField(c, own.schema[f"_{c}"].dataType) for c in carry])
+    schema = T.StructType([T.StructField(f"_c{k}", own.schema[f"_c{k}"].dataType) for k in range(len(carry))])
     for name, kind in zip(names, ("boolean", "double", "double", "double", "integer")):
         schema = schema.add(name, kind)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _parts(batches):
-            scores = [np.ones(part.num_rows)] * 3
-            if fitted:
-                x, z = _views(part)
-                a, b = fitted[0].logit(x), fitted[1].logit(z)
-                scores = [1 / (1 + np.exp(-s)) for s in (a, b, fitted[2].logit(np.column_stack([a, b])))]
-            columns = [*part.columns[: len(carry)], part.column("held_out"), *map(pa.array, scores), pa.array((scores[2] >= 0.5).astype(np.int32))]
-            yield pa.RecordBatch.from_arrays(columns, names=[*carry, *names])
+            scores = model.scores(*_views(part)) if model else [np.ones(part.num_rows)] * 3
+            columns = [*part.columns[6:], part.column("held_out"), *map(pa.array, scores), pa.array((scores[2] >= 0.5).astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return own.mapInArrow(score, schema)
 
 
+def quality(docs: DataFrame, labels: DataFrame, held_out=None, carry: list[str] | None = None, **limits: int) -> DataFrame:
+    """carry (columns of docs, by default doc_id), held_out, text_score, meta_score, score, predicted for every row of docs.
+
+    score is the probability of labels.quality = 1, from both calibrated views, and predicted is 1 where it is at least 0.5. Learns from at
+    most LABELLED rows with labels and from all rows without, none of them held out (crc32 of doc_id mod 5 is 0 by default); a doc_id
+    with several labels counts as good if one says so, and counts once where rows repeat it. Nulls count as empty texts, names and lengths of 0; a
+    null doc_id has no label. Equally sure rows are taught in the order of the file. Without both kinds of labels all scores are 1: nothing is
+    rejected. Columns that aren't carried are ignored; an empty table gives an empty one. limits: rounds, labelled, taught.
+    """
+    carry = carry or ["doc_id"]
+    out = _judged(docs, labels, carry, held_out, **limits)
+    return out.select(*[F.col(f"_c{k}").alias(c) for k, c in enumerate(carry)], "held_out", "text_score", "meta_score", "score", "predicted")
+
+
+def accepted(docs: DataFrame, labels: DataFrame, **limits: int) -> DataFrame:
+    """The rows of docs that quality() predicts to be good, with all their columns, whatever those are called."""
+    out = _judged(docs, labels, docs.columns, **limits)
+    return out.where("predicted = 1").select(*[F.col(f"_c{k}").alias(c) for k, c in enumerate(docs.columns)])
+
+
 def op2_co_training_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 

@@ -22,6 +22,8 @@ AT_ONCE, BATCH = 1 << 19, 2048
 HELD_RUNS = 500_000
 #: OPEN runs of an anchor that one index family takes; those of a more common anchor are dealt out by window.
 FAMILY_RUNS = 4096
+#: Windows that a task's index family is built for (about LENGTH bytes each).
+TASK_WINDOWS = 400_000
 _PLACE = np.uint64((1 << 28) - 1)
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 NEW, REPEATED, OPEN = 0, 1, 2
@@ -190,8 +192,8 @@ def surveyed(docs: DataFrame) -> DataFrame:
 class IndexFamily:
     """Sorted arrays of the suffixes seen so far, as far as LENGTH bytes, in levels of geometric sizes.
 
-    A batch's suffixes are sorted into an array of their own and scanned against each level by merging the two
-    orders; those that are new become a level, and levels of like size merge into one.
+    A batch's suffixes are sorted into an array of their own and scanned against each level in that order (each search goes on from
+    where the one before ended); those that are new become a level, and levels of like size merge into one.
     """
 
     def __init__(self):
@@ -288,7 +290,8 @@ def marked(docs: DataFrame, found: DataFrame) -> DataFrame:
                     more = np.diff(np.append(first, len(hit))) - 1
                     yield pa.RecordBatch.from_arrays([pa.array(doc[o[first]]), pa.array(copy[o[first]]), pa.array((start[o[first]] + i[first]) << 7 | more)], names=["doc", "copy", "starts"])
 
-    parts = open_parts(docs, found).repartition("anchor", "family").sortWithinPartitions("doc", "copy", "start").select("doc", "copy", "start", "bytes")
+    windows = found.where(F.col("kind") == OPEN).agg(F.sum(F.shiftright("place", 7).bitwiseAND(127) + 1)).first()[0] or 0
+    parts = open_parts(docs, found).repartition(max(1, -(-windows // TASK_WINDOWS)), "anchor", "family").sortWithinPartitions("doc", "copy", "start").select("doc", "copy", "start", "bytes")
     return parts.mapInArrow(scan, "doc long, copy long, starts long")
 
 

@@ -70,3 +70,27 @@ def test_empty_tables(spark):
     bench = spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")
     assert d.contaminated(docs.limit(0), bench).count() == 0 and d.contaminated(docs, bench.limit(0)).count() == 0
     assert d.contaminated(docs, bench).count() == 1
+
+
+def test_blocks_alone_find_nearly_all(spark):
+    """With no filter before the fingerprints: all windows of all items' sizes."""
+    docs, items = cases(seed=7)
+    docs.pop(106)  # 20,000 words
+    table = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    want = set(brute(docs, items))
+    got = {(r.doc_id, r.item_id) for r in d.contaminated(table, bench, every_window=True).collect()}
+    assert got <= want and len(got) >= 0.9 * len(want) and len(want) >= 10
+
+
+def test_one_id_with_two_texts_and_null_ids(spark):
+    item, clean = "one two three four five six seven eight nine ten", "quite another text that holds nothing of the kind at all"
+    rows = [(1, clean), (1, "so " + item), (None, item), (None, clean), (2, None), (3, "so " + item), (3, "so " + item)]
+    docs = spark.createDataFrame([(*r, 1, 2) for r in rows], "doc_id long, text string, hash int, doc int")
+    bench = spark.createDataFrame([(7, item)], "item_id long, text string")
+    for _ in range(2):
+        assert sorted((r.doc_id, r.start) for r in d.contaminated(docs, bench).collect()) == [(1, 1), (3, 1)]
+        left = d.without_benchmark(docs, bench)
+        assert left.columns == docs.columns
+        assert sorted(((r.doc_id or 0, r.text or "") for r in left.collect())) == [(0, clean), (1, clean), (2, "")]
+        docs = docs.repartition(3).orderBy("text")

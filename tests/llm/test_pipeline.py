@@ -66,3 +66,31 @@ def test_packing_takes_all(stages):
 def test_run_is_the_stages(spark, stages):
     cols = ["doc_id", "piece", "start", "length", "ids_crc32"]
     assert sorted(map(tuple, pipeline.run(spark, SF).select(*cols).collect())) == sorted(map(tuple, stages[-1][1].select(*cols).collect()))
+
+
+def test_odd_rows_in_every_stage(spark):
+    """Null ids, null and empty texts, repeated rows, one id with two texts, and columns that the stages use themselves."""
+    item = next(r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect() if len(words(r.text)) >= 20)
+    long = " ".join(f"w{i % 977}x{i % 89}" for i in range(60_000))
+    a, b = (" ".join(f"{c}{i * 37 % 1009}" for i in range(60)) for c in "ab")
+    rows = [(None, a), (1, a), (None, b), (None, b), (2, item), (None, "see " + item), (3, None), (None, None), (4, ""), (5, long), (5, "one id, two texts"), (6, "word " + long[:300])]
+    names = "doc_id long, text string, lang string, source string, n_chars long, predicted int, kept string, shard int, `a.b` int, _doc int, root int"
+    docs = spark.createDataFrame([(*r, "en", "web", len(r[1] or ""), 7, "k", 8, 9, 10, 11) for r in rows], names)
+    known = pipeline.STAGES[:4]
+    for name, stage in known:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns and out.dtypes == docs.dtypes, name
+        got = out.collect()
+        assert all((r.predicted, r.kept, r.shard, r["a.b"], r._doc, r.root) == (7, "k", 8, 9, 10, 11) for r in got), name
+        pairs = sorted(((r.doc_id or 0, r.text or "") for r in got))
+        if name == "near_dedup":
+            assert (1, a) in pairs and (0, a) not in pairs and pairs.count((0, b)) == 1 and (0, "") in pairs and (3, "") in pairs and (4, "") in pairs
+            assert (5, long) in pairs and (5, "one id, two texts") in pairs
+        if name == "suffix_dedup":
+            assert len(got) == len(rows) and (6, "word ") in pairs and (1, "") in pairs and (0, a) in pairs and (5, "one id, two texts") in pairs
+            assert all(r.n_chars == len(r.text or "") or r.text is None for r in got)
+        if name == "decontamination":
+            assert not any(item in (r.text or "") for r in got) and len(got) == len(rows) - 2
+        assert stage(spark, docs.limit(0), SF).count() == 0, name
+    assert len({(r.doc_id, r.start, r.sequence_id, r.offset) for r in pipeline.STAGES[4][1](spark, docs, SF).collect()}) >= len(rows)
+    assert pipeline.STAGES[4][1](spark, docs.limit(0), SF).count() == 0
