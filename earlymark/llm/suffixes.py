@@ -22,6 +22,8 @@ AT_ONCE, BATCH = 1 << 19, 2048
 HELD_RUNS = 500_000
 #: OPEN runs of an anchor that one index family takes; those of a more common anchor are dealt out by window.
 FAMILY_RUNS = 4096
+#: doc_ids with several texts that are sent to every task; with more, the same join shuffles.
+BROADCAST_ROWS = 1_000_000
 #: Windows that a task's index family is built for (about LENGTH bytes each).
 TASK_WINDOWS = 400_000
 _PLACE = np.uint64((1 << 28) - 1)
@@ -306,11 +308,18 @@ def spans_of(starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    """docs with doc (doc_id, or NO_ID for null) and copy, which tells rows with one doc_id and different texts apart (0 elsewhere)."""
-    own = docs.withColumn("_doc", F.coalesce(F.col("doc_id"), F.lit(NO_ID))).withColumn("_hash", F.xxhash64("text"))
-    several = own.groupBy("_doc").agg(F.min("_hash").alias("_a"), F.max("_hash").alias("_b")).where("_a <> _b").select(F.col("_doc").alias("doc"))
-    joined = own.join(several, own["_doc"] == several["doc"], "left")
-    return joined.withColumn("copy", F.when(F.col("doc").isNotNull(), F.col("_hash")).otherwise(F.lit(0))).withColumn("doc", F.col("_doc")).drop("_doc", "_hash")
+    """docs with doc (doc_id, or NO_ID for null) and copy, which tells rows with one doc_id and different texts apart (0 elsewhere).
+
+    Most tables have no such doc_id; then, and where they are few enough to be broadcast, the texts aren't shuffled for it.
+    """
+    own = docs.withColumn("doc", F.coalesce(F.col("doc_id"), F.lit(NO_ID)))
+    hashed = own.select(F.col("doc").alias("_doc"), F.xxhash64("text").alias("_hash"))
+    several = stored(hashed.groupBy("_doc").agg(F.min("_hash").alias("_a"), F.max("_hash").alias("_b")).where("_a <> _b").select("_doc"))
+    n = several.count()
+    if not n:
+        return own.withColumn("copy", F.lit(0).cast("long"))
+    joined = own.join(F.broadcast(several) if n <= BROADCAST_ROWS else several, own["doc"] == several["_doc"], "left")
+    return joined.withColumn("copy", F.when(F.col("_doc").isNotNull(), F.xxhash64("text")).otherwise(F.lit(0))).drop("_doc")
 
 
 def without_repeats(docs: DataFrame, as_text: bool = False, nulls_first: bool = False) -> DataFrame:

@@ -125,3 +125,10 @@ def test_small_chunks_of_runs_change_nothing(spark, monkeypatch):
     monkeypatch.setattr(s, "HELD_RUNS", 8)
     monkeypatch.setattr(s, "FAMILY_RUNS", 2)
     check(spark, documents(seed=11, n=40))
+
+
+def test_many_ids_with_several_texts_are_joined_by_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(s, "BROADCAST_ROWS", 0)
+    docs = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (2, "c"), (None, "d"), (None, "e")], "doc_id long, text string")
+    copies = {(r.doc_id, r.text): r["copy"] for r in s.numbered(docs).collect()}
+    assert copies[2, "c"] == 0 and 0 not in (copies[1, "a"], copies[1, "b"], copies[None, "d"]) and copies[1, "a"] != copies[1, "b"]
