@@ -296,9 +296,13 @@ def toxicity(docs: DataFrame, labels: DataFrame, held_out=None, sample: int = SA
     """doc_id, held_out, score and predicted for every row of docs.
 
     Learns from labels.toxic of rows that aren't held out (crc32 of doc_id mod 5 is 0 by default), from at most sample of
-    them; a doc_id with several labels counts as toxic if one says so. The score is made from the text alone.
-    A null text is empty; a null doc_id has no label. Without both kinds of labels every score is the share of
-    toxic ones (0 without labels).
+    them; a doc_id with several labels counts as toxic if one says so, and one with several texts teaches that with the smallest hash. The
+    score is made from the text alone, so equal texts have equal scores, and neither the order nor the files of the rows change it. A
+    null text is empty; a null doc_id has no label. Without both kinds of labels every score is the share of
+    toxic ones (0 without labels). Other columns are ignored, whatever their names; an empty table gives an empty one.
+
+    A text's kernel with a landmark is the sum (and, as a second feature, the largest) of its words' kernels with it: a convolution
+    kernel over the words of a sentence, so that a worker computes each different word once.
     """
     held = held_out if held_out is not None else F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 0
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held.alias("held_out"), F.col("text").cast("string").alias("text"))
@@ -306,20 +310,22 @@ def toxicity(docs: DataFrame, labels: DataFrame, held_out=None, sample: int = SA
     there = rows.where(~F.col("held_out")).select("doc_id").distinct()
     known = known.join(there, "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)  # so many rows at most
     known = stored(known)
-    learn = stored(rows.where(~F.col("held_out")).join(F.broadcast(known), "doc_id").select("doc_id", "text", "toxic"))
+    learn = rows.where(~F.col("held_out")).join(F.broadcast(known), "doc_id").groupBy("doc_id", "toxic").agg(F.min_by("text", F.struct(F.xxhash64("text"), F.col("text"))).alias("text"))
+    learn = stored(learn.repartition(max(1, 2 * rows.sparkSession.sparkContext.defaultParallelism), "doc_id"))  # sample rows at most, whatever repeats
     marks = chosen_landmarks(learn, landmarks, CANDIDATES)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = Features(marks)
         for batch in batches:
             for low in range(0, batch.num_rows, 500):
-                x = make([t or "" for t in batch.column(0)[low : low + 500].to_pylist()])
-                yield pa.RecordBatch.from_arrays([pa.array(list(x), pa.list_(pa.float32())), batch.column(1)[low : low + 500]], names=["x", "toxic"])
+                part = batch.slice(low, 500)
+                x = make([t or "" for t in part.column(1).to_pylist()])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(list(x), pa.list_(pa.float32())), part.column(2)], names=["doc_id", "x", "toxic"])
 
     fitted = None
     if marks:
-        got = learn.select("text", "toxic").limit(2 * sample).mapInArrow(features, "x array<float>, toxic int").toArrow()
-        x, y = np.array(got["x"].to_pylist(), np.float32), got["toxic"].to_numpy()
+        got = learn.select("doc_id", "text", "toxic").mapInArrow(features, "doc_id long, x array<float>, toxic int").toArrow().sort_by("doc_id")
+        x, y = got["x"].combine_chunks().flatten().to_numpy().reshape(len(got), -1), got["toxic"].to_numpy()
         third = np.arange(len(x)) % 3 == 0
         middle = fit_svm(x[~third], y[~third])
         scale = fit_scale(np.column_stack([x[third], np.ones(third.sum())]) @ middle, y[third])

@@ -97,3 +97,49 @@ def test_every_stretch_stands_in_a_window():
             own = list(t.windows_for(word, length))
             size = min(n, length + length // 2)
             assert all(len(x) <= 2 * length for x in own) and all(any(word[i : i + size] in x for x in own) for i in range(n - size + 1))
+
+
+def plain_features(text, marks, white):
+    """Word by word from the plain kernel, without the pre-selection of words."""
+    m, words = len(marks), text.lower().split()
+    total, largest = np.zeros(m), np.zeros(m)
+    norm = lambda a: max(plain_kernel(a, a), 1e-12) ** 0.5
+    for w in words + t.spelled(words):
+        for j, mark in enumerate(marks):
+            own = [0.0] + [plain_kernel(x, mark) / (norm(x) * norm(mark)) for x in t.parts(w) if 0.6 * len(mark) <= len(x) <= 3 * len(mark)]
+            v = min(1.0, max(0.0, (max(own) - t.LEAST) / (1 - t.LEAST)))
+            total[j] += v
+            largest[j] = max(largest[j], v)
+    return np.concatenate([np.log1p(total) @ white, largest @ white, [np.log1p(len(words))]])
+
+
+TEXTS = [f"{a} {b} {c}" for a in ("you", "that is some", "a fine") for b in ("idiot", "idxiot!", "i.d.i.o.t", "wor-thless", "w o r t h l e s s", "clowns", "garden", "worthy", "idea") for c in ("", "of the house")][:40]
+
+
+def test_scores_are_those_of_plain_features(spark):
+    rows = [(i, x) for i, x in enumerate(TEXTS * 5)]
+    bad = lambda x: any(y in x.replace("-", "").replace(".", "").replace("x", "") for y in ("idiot", "worthless", "clowns", "w o r t h"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = {i: int(bad(x)) for i, x in rows}
+    got = {r.doc_id: r.score for r in t.toxicity(docs, spark.createDataFrame(list(labels.items()), "doc_id long, toxic int")).collect()}
+    learn = [(i, x) for i, x in rows if zlib.crc32(str(i).encode()) % 5]
+    marks = t.chosen_landmarks(spark.createDataFrame([(x, labels[i]) for i, x in learn], "text string, toxic int"), t.LANDMARKS, t.CANDIDATES)
+    white = t.Features(marks).white
+    by_text = {x: plain_features(x, marks, white) for x in TEXTS}
+    x, y = np.array([by_text[v] for _, v in learn]), np.array([labels[i] for i, _ in learn])
+    third = np.arange(len(x)) % 3 == 0
+    middle, w = t.fit_svm(x[~third], y[~third]), t.fit_svm(x, y)
+    slope, shift = t.fit_scale(np.column_stack([x[third], np.ones(third.sum())]) @ middle, y[third])
+    want = {i: 1 / (1 + np.exp(-(slope * (by_text[v] @ w[:-1] + w[-1]) + shift))) for i, v in rows}
+    assert len(marks) >= 2 and max(abs(got[i] - want[i]) for i in got) < 2e-3
+
+
+def test_the_layout_of_files_changes_nothing(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    runs = []
+    for d, lab in ((docs, labels), (docs.repartition(7, "text"), labels.repartition(3)), (docs.orderBy(F.desc("doc_id")).coalesce(2), labels.coalesce(1))):
+        runs.append({r.doc_id: (r.score, r.predicted) for r in t.toxicity(d, lab).collect()})
+    for other in runs[1:]:
+        assert other.keys() == runs[0].keys()
+        assert max(abs(other[i][0] - runs[0][i][0]) for i in other) < 1e-4 and all(other[i][1] == runs[0][i][1] for i in other)
