@@ -107,3 +107,14 @@ def cohort_keys(rows: DataFrame, cohort: str, ids: str, out: str = "cohort_key")
 
 def run_date_literal(day: dt.date) -> Column:
     return F.lit(day)
+
+
+def padded_id(prefix: str, number: Column, digits: int = 6) -> Column:
+    """prefix and the number with leading zeros; a number of more digits keeps them all."""
+    text = number.cast("string")
+    return F.concat(F.lit(prefix), F.when(F.length(text) < digits, F.lpad(text, digits, "0")).otherwise(text))
+
+
+def pseudonym(key: Column, length: int = 12) -> Column:
+    """The first characters of the key's SHA-256: the same for the same key, and no way back to it without a list of keys."""
+    return F.substring(F.sha2(key.cast("string"), 256), 1, length)

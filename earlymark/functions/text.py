@@ -25,7 +25,7 @@ REDACTED = "[REDACTED]"
 SECRETS = (
     (r"(?i)(Authorization\s*:\s*Bearer\s+)[A-Za-z0-9._-]{12,}", "$1" + REDACTED),
     (r"(?i)\bdapi[A-Za-z0-9]{12,}\b", REDACTED),
-    (r"(?i)\b(client_secret|[a-z]+_token)(\s*[=:]\s*)[^\s,;\"'\[]+", "$1$2" + REDACTED),
+    (r"(?i)\b(client_secret|oauth_token|access_token|refresh_token|workspace_token)(\s*[=:]\s*)(?!\[REDACTED\])[^\s,;\"']+", "$1$2" + REDACTED),
     (r"(?i)\b(postgres(?:ql)?://[^\s:/]+:)[^\s@]+(@[^\s]+)", "$1" + REDACTED + "$2"),
     (r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}\b", REDACTED),
 )
@@ -147,6 +147,27 @@ def grounding(df: DataFrame, raw: str, facts: str) -> DataFrame:
     return rows.select(*df.columns, coverage.alias("coverage"), F.coalesce(wrong, F.array().cast("array<string>")).alias("unsupported"))
 
 
+def action_text(code: Column) -> Column:
+    """The agreed wording of an action code; null for any other code."""
+    return F.try_element_at(F.create_map(*[F.lit(x) for pair in ACTIONS.items() for x in pair]), code)
+
+
+def summary_records(df: DataFrame, key: str, raw: str, facts: str, prompt_version: str, model_id: str) -> DataFrame:
+    """One visible record for each response: what readers see of a valid one; status, error and empty lists of a faulty one.
+
+    Neither kind holds a score. A failed record was not evaluated, any other awaits that.
+    """
+    checked = parsed_response(validated(df, raw, facts, prompt_version, model_id), raw)
+    ok = F.col("error").isNull()
+    shown = F.filter(facts, lambda x: F.array_contains("_ids", x["id"]))
+    none = F.array().cast("array<string>")
+    identity = F.sha2(F.concat_ws("|", F.col(key).cast("string"), F.lit(prompt_version), F.lit(model_id)), 256)
+    return checked.select(
+        key, identity.alias("summary_key"), F.when(ok, "succeeded").otherwise("failed").alias("generation_status"), F.when(ok, "pending").otherwise("not_evaluated").alias("evaluation_status"),
+        F.when(ok, rendered(shown)).alias("briefing"), F.when(ok, action_text(F.col("_suggested_action"))).alias("suggested_action"), F.when(ok, F.col("_ids")).otherwise(none).alias("citations"),
+        none.alias("unsupported_claims"), F.col("error").alias("error_message"))
+
+
 def publication_gate(metrics: DataFrame, required: tuple[str, ...] = GATE_METRICS) -> DataFrame:
     """metric, value, passed for each required metric from long rows (name, value): the least over name and name/…
     must be there, finite and exactly 1."""

@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.workspace import workspace
 from .conform import ranked_first
 
 KEY = "intervention_id"
@@ -64,16 +65,51 @@ def fold_commands(commands: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Results of create and transition commands, and the events they append, in the order of seq.
 
     commands: seq, entity_id, action (create or transition), idempotency_key, expected_version, event_type, new_status, outcome, at.
-    A key that was used before by a command that applied is replayed with the version it made then. A create starts
-    version 1 as open; a transition applies if expected_version is the current one, else it is a conflict and
+    A key that was used before by a command that applied, to whatever entity, is replayed with the version it made then (of equal seq the smaller entity
+    comes first). A create starts version 1 as open; a transition applies if expected_version is the current one, else it is a conflict and
     changes nothing. outcome stays unless a new one is given; closed_at is set by closing and cleared by any other status.
-    Commands of one entity depend on each other, so they are streamed in order through one task, which holds the entity's state and
-    those of its keys that come again later; keys don't cross entities.
     A create for an entity that exists and a transition for one that doesn't are conflicts.
+
+    Commands of one entity depend on each other, so they are streamed in order through one task, which holds the entity's state and
+    those of its keys that come again later. Keys that several entities use are settled between folds: each fold is told which
+    commands an earlier one of another entity has made replays, until that doesn't change. A command's answer depends on
+    earlier ones alone, so there are at most as many folds as such commands hang on one another, and one if no key crosses entities.
     """
+    several = commands.where("idempotency_key IS NOT NULL").groupBy("idempotency_key").agg(F.min("entity_id").alias("_a"), F.max("entity_id").alias("_b"), F.max(F.col("entity_id").isNull().cast("int")).alias("_n")).where("_a <> _b OR (_a IS NOT NULL AND _n = 1)").select("idempotency_key")
+    crossing = commands.join(several, "idempotency_key", "left_semi").select("entity_id", "idempotency_key", F.col("seq").cast("long").alias("seq")).distinct()
+    crossing = _kept(crossing)
+    if crossing.isEmpty():
+        return _results(_folded(commands.withColumn("_told", F.lit(None).cast("int"))))
+    told = crossing.select("entity_id", "idempotency_key", "seq", F.lit(None).cast("int").alias("_told")).limit(0)
+    while True:
+        on = [commands["entity_id"].eqNullSafe(told["entity_id"]), commands["idempotency_key"] == told["idempotency_key"], commands["seq"] == told["seq"]]
+        folded = _kept(_folded(commands.join(told, on[0] & on[1] & on[2], "left").select(commands["*"], "_told")))
+        place = F.struct("seq", "entity_id")
+        used = folded.where("result = 'applied'").join(several, "idempotency_key", "left_semi").groupBy("idempotency_key").agg(F.min_by(F.struct("seq", "entity_id", "version"), place).alias("_w"))
+        new = crossing.join(used, "idempotency_key").where(~F.col("entity_id").eqNullSafe(F.col("_w.entity_id")) & (place > F.struct("_w.seq", "_w.entity_id"))).select("entity_id", "idempotency_key", "seq", F.col("_w.version").alias("_told"))
+        new = _kept(new)
+        if new.exceptAll(told).isEmpty() and told.exceptAll(new).isEmpty():
+            return _results(folded)
+        told = new
+
+
+def _kept(df: DataFrame) -> DataFrame:
+    """df, written once to the shared folder."""
+    path = workspace(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _results(folded: DataFrame) -> tuple[DataFrame, DataFrame]:
+    events = folded.where("result = 'applied'").select("entity_id", "seq", "event_type", "prior_status", F.col("status").alias("new_status"), "idempotency_key", F.col("version").alias("result_version"), "at")
+    return folded.select("entity_id", "seq", "result", "version", "status", "outcome", "closed_at"), events
+
+
+def _folded(commands: DataFrame) -> DataFrame:
+    """Every command with its result; _told is the version of another entity that makes it a replay."""
     order = ["seq", "action", "idempotency_key", "expected_version", "event_type", "new_status", "outcome", "at"]
     kinds = ("bigint", "string", "string", "int", "string", "string", "string", "timestamp_ntz")
-    steps = commands.select("entity_id", *[F.col(c).cast(k).alias(c) for c, k in zip(order, kinds)])
+    steps = commands.select("entity_id", *[F.col(c).cast(k).alias(c) for c, k in zip(order, kinds)], "_told")
     again = F.lead(F.lit(True), 1, False).over(W.partitionBy("entity_id", "idempotency_key").orderBy(*order))
     steps = steps.withColumn("again", F.col("idempotency_key").isNotNull() & again).repartition("entity_id").sortWithinPartitions("entity_id", *order, F.desc("again"))
     result = "seq bigint, result string, version int, prior_status string, status string, outcome string, closed_at timestamp_ntz, idempotency_key string, event_type string, at timestamp_ntz"
@@ -84,10 +120,10 @@ def fold_commands(commands: DataFrame) -> tuple[DataFrame, DataFrame]:
         entity, version, status, outcome, closed, used = object(), 0, None, None, None, {}
         for batch in batches:
             rows, own = [], [c.cast(pa.int64()) if n == "at" else c for n, c in zip(batch.schema.names, batch.columns)]
-            for who, seq, action, key, expected, event, new, said, at, comes_again in zip(*(c.to_pylist() for c in own)):
+            for who, seq, action, key, expected, event, new, said, at, told, comes_again in zip(*(c.to_pylist() for c in own)):
                 if who != entity:
                     entity, version, status, outcome, closed, used = who, 0, None, None, None, {}
-                create, prior, seen = action == "create", status, used.get(key)
+                create, prior, seen = action == "create", status, used.get(key) if told is None else told
                 applied = seen is None and (version == 0 if create else version > 0 and version == expected)
                 if applied:
                     version, status, outcome = version + 1, "open" if create else new, outcome if said is None else said
@@ -95,12 +131,10 @@ def fold_commands(commands: DataFrame) -> tuple[DataFrame, DataFrame]:
                     if comes_again:
                         used[key] = version
                 elif seen is not None and not comes_again:
-                    del used[key]
+                    used.pop(key, None)
                 rows.append((seq, "applied" if applied else "conflict" if seen is None else "replayed", version if seen is None else seen, prior, status, outcome, closed, key, "created" if create else event, at))
             if rows:
                 columns = [pa.array(c, pa.int64()).cast(t) if pa.types.is_timestamp(t) else pa.array(c, t) for c, t in zip(zip(*rows), types)]
                 yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=schema.names)
 
-    folded = steps.mapInArrow(fold, schema)
-    events = folded.where("result = 'applied'").select("entity_id", "seq", "event_type", "prior_status", F.col("status").alias("new_status"), "idempotency_key", F.col("version").alias("result_version"), "at")
-    return folded.select("entity_id", "seq", "result", "version", "status", "outcome", "closed_at"), events
+    return steps.mapInArrow(fold, schema)

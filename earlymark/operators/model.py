@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Imputer, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,18 +13,24 @@ from .metrics import leading_factors
 from .products import risk_tier
 
 
-def feature_columns(columns: list[str], allowed: list[str], denied: tuple[str, ...] = ()) -> list[str]:
-    """The columns that a model may see, in their order: on the allow list and not denied."""
-    return [c for c in columns if c in allowed and c not in denied]
+def modes(df: DataFrame, columns: list[str]) -> dict[str, str]:
+    """The most frequent value of each column, the smallest of equally frequent ones; empty text where a column has none."""
+    if not columns:
+        return {}
+    row = df.agg(*[F.mode(F.col(c).cast("string"), True).alias(c) for c in columns]).first()
+    return {c: row[c] or "" for c in columns}
 
 
-def preparation(numeric: list[str], categorical: list[str]) -> list:
-    """Median for missing numbers, standard scale; missing and unknown categories are a category of their own."""
+def preparation(numeric: list[str], categorical: list[str], usual: dict[str, str]) -> list:
+    """Median for missing numbers and the usual value for missing categories, standard scale; unknown categories are a category of their own."""
+    quoted = lambda x: "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    filled = ", ".join(f"coalesce(cast(`{c}` AS string), {quoted(usual[c])}) AS `_m_{c}`" for c in categorical)
     return [
         Imputer(strategy="median", inputCols=numeric, outputCols=[f"_{c}" for c in numeric]),
         VectorAssembler(inputCols=[f"_{c}" for c in numeric], outputCol="_numbers"),
         StandardScaler(withMean=True, inputCol="_numbers", outputCol="_scaled"),
-        *[StringIndexer(inputCol=c, outputCol=f"_i_{c}", handleInvalid="keep", stringOrderType="alphabetAsc") for c in categorical],
+        *([SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__")] if categorical else []),
+        *[StringIndexer(inputCol=f"_m_{c}", outputCol=f"_i_{c}", handleInvalid="keep", stringOrderType="alphabetAsc") for c in categorical],
         *([OneHotEncoder(inputCols=[f"_i_{c}" for c in categorical], outputCols=[f"_o_{c}" for c in categorical], handleInvalid="keep")] if categorical else []),
         VectorAssembler(inputCols=["_scaled", *[f"_o_{c}" for c in categorical]], outputCol="features"),
     ]
@@ -40,12 +46,12 @@ def balanced(df: DataFrame, label: str) -> DataFrame:
 
 def fit_logistic(train: DataFrame, label: str, numeric: list[str], categorical: list[str]) -> PipelineModel:
     last = LogisticRegression(featuresCol="features", labelCol=label, weightCol="_weight", maxIter=50)
-    return Pipeline(stages=[*preparation(numeric, categorical), last]).fit(balanced(train, label))
+    return Pipeline(stages=[*preparation(numeric, categorical, modes(train, categorical)), last]).fit(balanced(train, label))
 
 
 def fit_boosted(train: DataFrame, label: str, numeric: list[str], categorical: list[str], rounds: int = 250, depth: int = 4, step: float = 0.05, share: float = 0.9, seed: int = 17) -> PipelineModel:
     last = GBTClassifier(featuresCol="features", labelCol=label, maxIter=rounds, maxDepth=depth, stepSize=step, subsamplingRate=share, seed=seed)
-    return Pipeline(stages=[*preparation(numeric, categorical), last]).fit(train)
+    return Pipeline(stages=[*preparation(numeric, categorical, modes(train, categorical)), last]).fit(train)
 
 
 def scored(model: PipelineModel, rows: DataFrame, keys: list[str], numeric: list[str]) -> DataFrame:

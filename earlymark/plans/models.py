@@ -25,7 +25,7 @@ def insert_only_append(spark, sf_dir):
     sinks.write_version(rows.where("as_of < TIMESTAMP_NTZ '2024-01-25 00:00:00'"), path)
     changed = rows.withColumn("risk_score", F.when(F.col("as_of") < F.lit("2024-01-25").cast("timestamp_ntz"), F.lit(-1.0)).otherwise(F.col("risk_score")))
     for _ in range(2):
-        sinks.write_version(sinks.insert_only(sinks.read_table(spark, path), changed, keys), path)
+        sinks.append_new(changed, path, keys)
     return sinks.read_table(spark, path)
 
 
@@ -215,15 +215,28 @@ def secret_scan(spark, sf_dir):
     return text.secret_scan(i.read(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+def summary_records(spark, sf_dir):
+    rows = text.summary_records(responses(spark, sf_dir), "entity_id", "raw", "facts", PROMPT, MODEL)
+    return rows.select("entity_id", "summary_key", "generation_status", "evaluation_status", F.col("briefing").isNotNull().alias("has_briefing"), "suggested_action", F.array_join("citations", ",").alias("citations"), F.size("unsupported_claims").cast("long").alias("unsupported"), "error_message")
+
+
+def pseudonyms(spark, sf_dir):
+    key = F.col("c_custkey")
+    return i.read(spark, sf_dir, "customer").select("c_custkey", assign.padded_id("C", key).alias("customer_id"), assign.pseudonym(assign.padded_id("C", key)).alias("pseudonym"))
+
+
 def publication_gate(spark, sf_dir):
-    shares = i.read(spark, sf_dir, "labels").agg(F.lit(1.0).alias("a"), F.max("quality").cast("double").alias("b"), F.avg("quality").alias("c"), F.lit(float("nan")).alias("d"))
-    rows = shares.select(F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.col(c).alias("value")) for n, c in (("citation_coverage/mean", "a"), ("citation_coverage/min", "b"), ("grounding", "c"), ("prohibited_claims", "a"), ("safety/mean", "d"))])).alias("r")).select("r.*")
-    return text.publication_gate(rows).select("metric", "passed")
+    """Gate metrics of the labelled documents, by language: the least share over the languages decides."""
+    rows = i.read(spark, sf_dir, "labels").join(i.read(spark, sf_dir, "documents"), "doc_id").groupBy("lang").agg(
+        F.max("quality").cast("double").alias("citation_coverage"), F.avg("quality").alias("grounding"), F.avg(F.when(text.first_prohibited(F.col("text")).isNull(), 1.0).otherwise(0.0)).alias("prohibited_claims"), F.avg(1.0 - F.col("toxic")).alias("safety"))
+    names = ("citation_coverage", "grounding", "prohibited_claims", "safety")
+    rows = rows.select(F.explode(F.array(*[F.struct(F.concat(F.lit(f"{n}/"), "lang").alias("name"), F.col(n).alias("value")) for n in names])).alias("r")).select("r.*")
+    return text.publication_gate(rows).select("metric", F.round("value", 6).alias("value"), "passed")
 
 
 QUERIES = {f.__name__: f for f in (
     insert_only_append, upsert_by_key, conditional_update, schema_evolve, run_partitions, cohort_assign, bucket_ladder, period_expand, defect_inject, derived_keys, cohort_keys, hash_buckets, avg_precision, top_k_recall, calibration_error,
-    cohort_error_rates, fairness_gap, rule_score, logistic_score, chrono_split, fit_and_score, model_gates, leading_factors, fact_payload, render_facts, validate_response, grounding_score, prohibited_scan, redact_text, secret_scan, publication_gate)}
+    cohort_error_rates, fairness_gap, rule_score, logistic_score, chrono_split, fit_and_score, model_gates, leading_factors, fact_payload, render_facts, validate_response, grounding_score, prohibited_scan, redact_text, secret_scan, publication_gate, summary_records, pseudonyms)}
 
 _EVAL = "(SELECT l.doc_id, d.lang, l.toxic, round(least(n_chars, 5000) / 5000.0::DOUBLE, 4) AS score, CASE WHEN round(least(n_chars, 5000) / 5000.0::DOUBLE, 4) >= 0.5 THEN 1 ELSE 0 END AS predicted FROM labels l JOIN documents d USING (doc_id))"
 _RANKED = f"(SELECT *, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, sum(toxic) OVER (ORDER BY score DESC, doc_id ROWS UNBOUNDED PRECEDING) AS hits, count(*) OVER () AS n, sum(toxic) OVER () AS positives FROM {_EVAL})"
@@ -233,7 +246,7 @@ _PIT = "SELECT a.entity_id, a.as_of, rate_28d, missed_28d, support_90d, days_sin
 _CLIP = lambda c, h: f"greatest(least(({c})::DOUBLE, {h}.0), 0.0)"
 _HOLD = "CASE WHEN entity_id % 3 > 0 THEN entity_id % 2 = 0 END"
 _FACTS = f"(SELECT *, {_HOLD} AS hold FROM ctx)"
-_SECRET_STEPS = [(r"(Authorization\s*:\s*Bearer\s+)[A-Za-z0-9._-]{12,}", r"\1[REDACTED]", "gi"), (r"\bdapi[A-Za-z0-9]{12,}\b", "[REDACTED]", "gi"), (r"\b(client_secret|[a-z]+_token)(\s*[=:]\s*)[^\s,;\"''\[]+", r"\1\2[REDACTED]", "gi"), (r"\b(postgres(?:ql)?://[^\s:/]+:)[^\s@]+(@[^\s]+)", r"\1[REDACTED]\2", "gi"), (r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}\b", "[REDACTED]", "g")]
+_SECRET_STEPS = [(r"(Authorization\s*:\s*Bearer\s+)[A-Za-z0-9._-]{12,}", r"\1[REDACTED]", "gi"), (r"\bdapi[A-Za-z0-9]{12,}\b", "[REDACTED]", "gi"), (r"\b(client_secret|oauth_token|access_token|refresh_token|workspace_token)(\s*[=:]\s*)\[REDACTED\]", r"\1\2;<kept>", "gi"), (r"\b(client_secret|oauth_token|access_token|refresh_token|workspace_token)(\s*[=:]\s*)[^\s,;\"'']+", r"\1\2[REDACTED]", "gi"), (";<kept>", "[REDACTED]", "g"), (r"\b(postgres(?:ql)?://[^\s:/]+:)[^\s@]+(@[^\s]+)", r"\1[REDACTED]\2", "gi"), (r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}\b", "[REDACTED]", "g")]
 _REDACTED = "text"
 for _find, _put, _how in _SECRET_STEPS:
     _REDACTED = f"regexp_replace({_REDACTED}, '{_find}', '{_put}', '{_how}')"
@@ -269,5 +282,15 @@ ORACLES = {k: i.sql(v) for k, v in {
     "prohibited_scan": "SELECT CASE WHEN regexp_matches(said, '\\b(diagnos(?:e|ed|is|tic)|depression|anxiety|adhd|mental health)\\b', 'i') THEN 0 WHEN regexp_matches(said, '\\b(disciplin(?:ary|e|ed)|punish|punishment|probation|suspend|suspension|expel|expulsion)\\b', 'i') THEN 1 WHEN regexp_matches(said, '\\b(will|would|can|shall|may)\\s+(cause|ensure|guarantee|improve|increase)\\s+(?:the )?(?:student )?(?:to )?(retain|retention|persistence)\\b', 'i') THEN 2 WHEN regexp_matches(said, '\\b(first[ -]generation|gender|race|ethnicity|age band|residency status|female|male|nonbinary)\\b', 'i') THEN 3 END::BIGINT AS phrase, count(*) AS row_count FROM (SELECT CASE turn % 5 WHEN 0 THEN text || ' Probation will improve retention' WHEN 1 THEN text || ' MENTAL health' ELSE text END AS said FROM conversations) GROUP BY ALL",
     "redact_text": f"SELECT doc_id, md5({_REDACTED}) AS redacted_md5 FROM documents",
     "secret_scan": f"SELECT doc_id FROM documents WHERE {_REDACTED} <> text",
-    "publication_gate": "SELECT unnest(['citation_coverage', 'grounding', 'prohibited_claims', 'safety', 'guidelines']) AS metric, unnest([true, false, true, false, false]) AS passed",
+    "publication_gate": r"""WITH m AS (SELECT lang, max(quality)::DOUBLE AS citation_coverage, avg(quality)::DOUBLE AS grounding, avg(1.0::DOUBLE - toxic) AS safety,
+            avg(CASE WHEN regexp_matches(text, '\b(diagnos(?:e|ed|is|tic)|depression|anxiety|adhd|mental health)\b', 'i') OR regexp_matches(text, '\b(disciplin(?:ary|e|ed)|punish|punishment|probation|suspend|suspension|expel|expulsion)\b', 'i')
+                OR regexp_matches(text, '\b(will|would|can|shall|may)\s+(cause|ensure|guarantee|improve|increase)\s+(?:the )?(?:student )?(?:to )?(retain|retention|persistence)\b', 'i') OR regexp_matches(text, '\b(first[ -]generation|gender|race|ethnicity|age band|residency status|female|male|nonbinary)\b', 'i') THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END) AS prohibited_claims
+            FROM labels JOIN documents USING (doc_id) GROUP BY lang),
+        v AS (SELECT 'citation_coverage' AS metric, min(citation_coverage) AS value FROM m UNION ALL SELECT 'grounding', min(grounding) FROM m UNION ALL SELECT 'prohibited_claims', min(prohibited_claims) FROM m UNION ALL SELECT 'safety', min(safety) FROM m UNION ALL SELECT 'guidelines', NULL)
+        SELECT metric, round(value, 6) AS value, coalesce(value = 1.0, false) AS passed FROM v""",
+    "summary_records": f"""SELECT entity_id, sha256(entity_id::VARCHAR || '|briefing-v1|text-model-1') AS summary_key, CASE WHEN ok THEN 'succeeded' ELSE 'failed' END AS generation_status, CASE WHEN ok THEN 'pending' ELSE 'not_evaluated' END AS evaluation_status, ok AS has_briefing,
+            CASE WHEN ok THEN 'Invite the student to discuss any barriers they would like support addressing.' END AS suggested_action, CASE WHEN ok THEN 'risk_score,risk_tier,attendance_rate_28d,missed_assignments_28d,days_since_lms_activity' || CASE WHEN hold IS NOT NULL THEN ',financial_hold_flag' ELSE '' END ELSE '' END AS citations, 0::BIGINT AS unsupported,
+            CASE entity_id % 8 WHEN 1 THEN 'briefing fact value must exactly match the supplied fact' WHEN 2 THEN 'suggested_action must be an approved action code' WHEN 3 THEN 'citations must exactly match briefing fact IDs' WHEN 4 THEN 'unsupported claims cannot be accepted' WHEN 5 THEN 'prompt_version does not match the governed prompt' WHEN 7 THEN 'model response is not strict JSON' END AS error_message
+        FROM (SELECT *, entity_id % 8 IN (0, 6) AS ok FROM {_FACTS})""",
+    "pseudonyms": "SELECT c_custkey, 'C' || lpad(c_custkey::VARCHAR, 6, '0') AS customer_id, sha256('C' || lpad(c_custkey::VARCHAR, 6, '0'))[1:12] AS pseudonym FROM customer",
 }.items()}

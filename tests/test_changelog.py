@@ -1,5 +1,6 @@
 import datetime as dt
 import itertools
+import random
 
 from earlymark.operators import changelog as c
 
@@ -38,20 +39,18 @@ def test_summary(spark):
 
 
 def plain_fold(rows):
-    """The commands of one entity, one after the other."""
-    version, status, outcome, closed, used, out = 0, None, None, None, {}, []
-    for seq, action, key, expected, new, result, at in rows:
+    """All commands, one after the other; keys are looked up whatever the entity."""
+    state, used, out = {}, {}, {}
+    for seq, entity, action, key, expected, new, said, at in rows:
+        version, status, outcome, closed = state.get(entity, (0, None, None, None))
+        result = "conflict"
         if key in used:
-            out.append((seq, "replayed", used[key], status, outcome, closed))
-            continue
-        if (version == 0) if action == "create" else (version > 0 and version == expected):
-            version += 1
-            status = "open" if action == "create" else new
-            outcome, closed = result or outcome, at if status == "closed" else None
-            used[key] = version
-            out.append((seq, "applied", version, status, outcome, closed))
-        else:
-            out.append((seq, "conflict", version, status, outcome, closed))
+            result, version = "replayed", used[key]
+        elif (version == 0) if action == "create" else (version > 0 and version == expected):
+            result, version, status = "applied", version + 1, "open" if action == "create" else new
+            outcome, closed = said or outcome, at if status == "closed" else None
+            state[entity], used[key] = (version, status, outcome, closed), version
+        out[entity, seq] = (result, version, status, outcome, closed)
     return out
 
 
@@ -70,10 +69,7 @@ def test_registered_fold_is_the_plain_one(spark):
     from earlymark.plans import feeds, inputs
 
     commands = inputs.read(spark, "/root/testdata/sf0.001", "events").selectExpr(*inputs.COMMANDS).toPandas().sort_values("seq")
-    want = {}
-    for entity, g in commands.groupby("entity_id"):
-        rows = [(r.seq, r.action, r.idempotency_key, r.expected_version, r.new_status, r.outcome, r.at.to_pydatetime()) for r in g.itertuples()]
-        want |= {(entity, x[0]): x[1:] for x in plain_fold(rows)}
+    want = plain_fold([(r.seq, r.entity_id, r.action, r.idempotency_key, r.expected_version, r.new_status, r.outcome, r.at.to_pydatetime()) for r in commands.itertuples()])
     got = {(r.entity_id, r.seq): (r.result, r.version, r.status, r.outcome, r.closed_at) for r in feeds.command_fold(spark, "/root/testdata/sf0.001").collect()}
     assert got == want and {"applied", "replayed", "conflict"} == {x[0] for x in want.values()}
 
@@ -95,3 +91,23 @@ def test_commands_of_a_large_entity_are_streamed(spark):
     assert sorted((r.seq, r.result, r.version) for r in got if r.entity_id) == sorted(want)
     assert sorted(r.result for r in got if r.entity_id is None) == ["applied", "replayed", "replayed"]
     assert events.count() == sum(r.result == "applied" for r in got)
+
+
+def test_keys_cross_entities(spark):
+    rng = random.Random(3)
+    rows = []
+    for seq in range(400):
+        entity = rng.randrange(12)
+        rows.append((seq, entity, "create" if seq % 5 == 0 else "transition", f"k{rng.randrange(90)}" if seq % 9 else None, rng.randrange(4), "x", rng.choice(["open", "closed"]), None, H(seq % 20)))
+    state, used, want = {}, {}, []
+    for seq, entity, action, key, expected, *_ in rows:
+        version = state.get(entity, 0)
+        seen = used.get(key) if key else None
+        applied = seen is None and (version == 0 if action == "create" else 0 < version == expected)
+        state[entity] = version + applied
+        if applied and key:
+            used[key] = version + 1
+        want.append((seq, "replayed" if seen else "applied" if applied else "conflict", seen or version + applied))
+    results, events = c.fold_commands(spark.createDataFrame(rows, COMMANDS).repartition(3))
+    assert sorted((r.seq, r.result, r.version) for r in results.collect()) == want
+    assert events.count() == sum(w[1] == "applied" for w in want) and sum(w[1] == "replayed" for w in want) > 20

@@ -106,7 +106,7 @@ def test_table_writes(spark, tmp_path):
 def test_redaction(spark):
     cases = {
         "Authorization: Bearer abcdefghijklmnop": "Authorization: Bearer [REDACTED]", "client_secret = s3cr3t, id 7": "client_secret = [REDACTED], id 7", "postgres://u:pw@host/db": "postgres://u:[REDACTED]@host/db",
-        "mail a.b@c.org now": "mail [REDACTED] now", "S000017 retained 0.71": "S000017 retained 0.71",
+        "mail a.b@c.org now": "mail [REDACTED] now", "access_token=ab[cd x": "access_token=[REDACTED] x", "refresh_token=[abc": "refresh_token=[REDACTED]", "oauth_token: [REDACTED]x": "oauth_token: [REDACTED]x", "my_token=abc csrf_token=1": "my_token=abc csrf_token=1", "S000017 retained 0.71": "S000017 retained 0.71",
     }
     got = {r.t: r.r for r in spark.createDataFrame([(t,) for t in cases], "t string").select("t", text.redacted(F.col("t")).alias("r")).collect()}
     assert got == cases
