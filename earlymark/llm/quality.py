@@ -166,7 +166,7 @@ def learned(docs: DataFrame, labels: DataFrame, held: Column, rounds: int = ROUN
 
     Both views of all rows that aren't held out are written once. In each round each view scores every row without a label, and of
     each group of sources (by checksum, SOURCES groups) and each class the taught surest rows join the other view's examples.
-    The driver sees labelled rows and rounds * 2 views * 2 classes * SOURCES * taught others at most.
+    Labelled rows beyond the limit count as rows without a label. The driver sees labelled rows and rounds * 2 views * 2 classes * SOURCES * taught others at most.
     """
     known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("quality").cast("int")).alias("quality"))
     rows = _inputs(docs, held).where("NOT held_out")
@@ -181,7 +181,7 @@ def learned(docs: DataFrame, labels: DataFrame, held: Column, rounds: int = ROUN
             group = pa.array([zlib.crc32((s or "").encode()) % SOURCES for s in part.column("source").to_pylist()], pa.int32())
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("quality"), group, pa.array(list(x), pa.list_(pa.float32())), pa.array(list(z), pa.list_(pa.float32()))], names=["doc_id", "quality", "group", "x", "z"])
 
-    marked = rows.join(F.broadcast(picked), "doc_id", "left").join(known.select(F.col("doc_id").alias("_known")), F.col("doc_id") == F.col("_known"), "left").where("quality IS NOT NULL OR _known IS NULL").drop("_known")
+    marked = rows.join(F.broadcast(picked), "doc_id", "left")
     views = marked.select("doc_id", "quality", "text", "lang", "source", "n_chars").mapInArrow(view, f"doc_id long, quality int, group int, {VIEWS}")
     views = stored(views.withColumn("row", F.monotonically_increasing_id()))
     sample = views.where("quality IS NOT NULL").dropDuplicates(["doc_id"]).toArrow().sort_by("doc_id")

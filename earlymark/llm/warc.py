@@ -20,6 +20,8 @@ REVISIT_BYTES = 1000
 #: Index lines in a block, at least; more for a larger index, so that the directory has at most DIRECTORY rows.
 BLOCK_LINES, DIRECTORY = 512, 1_000_000
 GZIP_LEVEL = 3
+#: A payload of more pages than this is common; the most common payloads that are sent to every task (with more, the same join shuffles).
+COMMON, COMMON_ROWS = 1000, 1_000_000
 
 INDEX = "key string, page_id long, file string, start long, length long"
 BLOCKS = "first_key string, last_key string, block_file string, block_start long, block_length long"
@@ -117,7 +119,7 @@ def revisits(pages: DataFrame) -> DataFrame:
     payload = F.coalesce(pages["html"].cast("string"), F.lit(""))
     seen = pages.select(pages["page_id"].cast("long").alias("page_id"), F.sha1(payload.cast("binary")).alias("digest"), F.octet_length(payload).alias("bytes"))
     shared = seen.where(F.col("bytes") >= REVISIT_BYTES).groupBy("digest", "bytes").agg(F.count(F.lit(1)).alias("n"), F.max("page_id").alias("refers_to"))
-    return shared.where("n > 1").select(F.col("digest").alias("_digest"), "bytes", "refers_to")
+    return shared.where("n > 1").select(F.col("digest").alias("_digest"), F.col("bytes").alias("_bytes"), "refers_to", "n")
 
 
 def write_archives(pages: DataFrame, root: str) -> DataFrame:
@@ -129,8 +131,14 @@ def write_archives(pages: DataFrame, root: str) -> DataFrame:
     """
     payload = F.coalesce(pages["html"].cast("string"), F.lit(""))
     rows = pages.select(pages["page_id"].cast("long").alias("page_id"), pages["url"].cast("string").alias("url"), payload.alias("html"), F.sha1(payload.cast("binary")).alias("digest"))
-    shared = revisits(pages)
-    rows = rows.join(shared, (rows["digest"] == shared["_digest"]) & (F.octet_length("html") == shared["bytes"]), "left")
+    # payloads of very many pages are told by broadcast, so that those pages don't meet in one task; there is at most one for COMMON pages
+    shared = stored(revisits(pages))
+    common = shared.where(F.col("n") > COMMON).select(F.col("_digest").alias("_d"), F.col("_bytes").alias("_b"), F.col("refers_to").alias("_common"))
+    common = F.broadcast(common) if common.count() <= COMMON_ROWS else common
+    rows = rows.join(common, (rows["digest"] == common["_d"]) & (F.octet_length("html") == common["_b"]), "left")
+    rows = rows.withColumn("_key", F.when(F.col("_common").isNull(), F.col("digest")).otherwise(F.concat_ws("/", "digest", "page_id", "url")))
+    few = shared.where(F.col("n") <= COMMON).drop("n")
+    rows = rows.join(few, (F.col("_key") == F.col("_digest")) & (F.octet_length("html") == F.col("_bytes")), "left").withColumn("refers_to", F.coalesce("_common", "refers_to"))
     target = F.when(F.coalesce(F.col("page_id") != F.col("refers_to"), F.col("refers_to").isNotNull()), F.col("refers_to"))
     rows = rows.select("page_id", "url", "html", "digest", target.alias("refers_to"))
 
