@@ -6,14 +6,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import shared_dir, spread_rank, table
+from .common import shared_dir, stored, table
 
 #: Bytes that a row takes beside its text.
 ROW_BYTES = 16
 OLD_SHARDS, NEW_SHARDS = 32, 40
-NO_ID = -(1 << 63)  # stands for a null doc_id in joins
-#: Blocks of one size class in one shard.
-BLOCKS = 64
+#: A shard has at least FILES files per class of sizes with that share of its bytes, and more where they would exceed FILE_BYTES.
+FILES, FILE_BYTES = 8, 128 << 20
+#: Rows of the table of files that are sent to every task; with more, the same joins shuffle.
+BROADCAST_ROWS = 1_000_000
 
 
 def min_cost_flow(sizes: list[int], capacities: list[int], cost: list[list[int]]) -> list[list[int]]:
@@ -74,68 +75,99 @@ def transfers(sizes: dict[int, int], shards: int) -> list[tuple[int, int, int, i
     return out
 
 
-def reassigned(rows: DataFrame, shards: int, held: str, to: str) -> DataFrame:
-    """rows (doc_id, size, and held, the shard that holds it) with the new shard in to.
-
-    In each shard the rows stand in blocks, large ones first, so that what stays are the large ones and the cut
-    between two stretches falls on small rows. A row goes where its middle byte lies. The driver sees one
-    number for each shard; the table of blocks has at most shards * 64 classes * BLOCKS rows.
-    """
-    spark = rows.sparkSession
-    size_class = F.floor(F.log2("size")).cast("int")
-    rows = rows.withColumn("_class", -size_class).withColumn("_block", F.pmod(F.xxhash64("doc_id"), F.lit(BLOCKS)).cast("int"))
-    blocks = rows.groupBy(held, "_class", "_block").agg(F.sum("size").alias("_bytes"))
-    before = W.partitionBy(held).orderBy("_class", "_block").rowsBetween(W.unboundedPreceding, -1)
-    blocks = blocks.select(F.col(held).alias("_s"), F.col("_class").alias("_c"), F.col("_block").alias("_b"), F.coalesce(F.sum("_bytes").over(before), F.lit(0)).alias("_base"))
-    sizes = {r[0]: r[1] for r in rows.groupBy(held).agg(F.sum("size")).collect()}
-    plan = spark.createDataFrame(transfers(sizes, shards) or [(0, 0, 0, 0)], f"_from int, _low long, _high long, {to} int")
-    inner = W.partitionBy(held, "_class", "_block").orderBy(F.desc("size"), F.asc("doc_id")).rowsBetween(W.unboundedPreceding, W.currentRow)
-    placed = rows.withColumn("_cum", F.sum("size").over(inner))
-    placed = placed.join(blocks, (F.col(held) == F.col("_s")) & (F.col("_class") == F.col("_c")) & (F.col("_block") == F.col("_b")))
-    placed = placed.withColumn("_mid", F.col("_base") + F.col("_cum") - F.floor((F.col("size") + 1) / 2))
-    # at most old + new shards stretches with bytes and one for each shard: the plan is small whatever the input
-    placed = placed.join(F.broadcast(plan), (F.col(held) == F.col("_from")) & (F.col("_low") <= F.col("_mid")) & (F.col("_mid") < F.col("_high")))
-    return placed.drop("_class", "_block", "_cum", "_s", "_c", "_b", "_base", "_mid", "_from", "_low", "_high")
+def source_layout(shards: int = OLD_SHARDS) -> Column:
+    """The layout before: each source in up to eight shards, by checksum, so shards are as uneven as sources."""
+    source = F.crc32(F.coalesce(F.col("source").cast("string"), F.lit("")))
+    return F.pmod(source + 4 * F.pmod(F.xxhash64("doc_id"), F.lit(8)), F.lit(shards)).cast("int")
 
 
-def source_layout(shards: int = OLD_SHARDS) -> Column:
-    """The layout before: one shard for each source, by checksum."""
-    return F.pmod(F.crc32(F.coalesce(F.col("source").cast("string"), F.lit(""))), F.lit(shards)).cast("int")
+def _sent(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def resharding(docs: DataFrame, old_shard: Column, shards: int = NEW_SHARDS) -> DataFrame:
-    """doc_id, n_rows, size, old_shard, shard, slot0 for every doc_id.
+def laid_out(docs: DataFrame, old_shard: Column, path: str) -> DataFrame:
+    """Writes docs below path, the files of each old shard in folders of their own, and reads them back.
 
-    size counts UTF-8 bytes (a null text has none) and 16 more for each row. Rows that share a doc_id, null
-    among the ids, stay together and take n_rows slots from slot0. A second, much smaller flow
-    evens out what whole rows leave over. An empty table gives an empty result.
+    Columns: docs' as _c0, _c1 and so on, size, old_shard, file (a shard's files in order) and pos (from 0 in its file). Files hold rows of like
+    size, large ones first, so that what is cut off at the end of a shard are small rows. The driver sees one number for each shard and
+    class of sizes (a few hundred).
     """
-    size = (F.coalesce(F.octet_length("text"), F.lit(0)) + ROW_BYTES).cast("long")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), size.alias("size"), old_shard.alias("old_shard"))
-    rows = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("size").alias("size"), F.min("old_shard").alias("old_shard"))
-    rows = reassigned(rows, shards, "old_shard", "_near")
-    rows = reassigned(rows, shards, "_near", "shard").drop("_near")
-    return spread_rank(rows, ["shard"], [F.col("doc_id")], F.xxhash64("doc_id"), "slot0", weight="n_rows")
+    text = next(F.col(f"_c{k}") for k, c in enumerate(docs.columns) if c.lower() == "text")
+    own = docs.withColumn("_old", old_shard).toDF(*[f"_c{k}" for k in range(len(docs.columns))], "old_shard")
+    own = own.withColumn("size", (F.coalesce(F.octet_length(text.cast("string")), F.lit(0)) + ROW_BYTES).cast("long"))
+    own = own.withColumn("_class", F.floor(F.log2("size") / 2).cast("int")).withColumn("_row", F.monotonically_increasing_id())
+    found = sorted(tuple(r) for r in own.groupBy("old_shard", "_class").agg(F.sum("size")).collect())
+    target = max(1, min(FILE_BYTES, sum(b for *_, b in found) // (OLD_SHARDS * FILES)))
+    plan, first = [], {}
+    for shard, size_class, held in sorted(found, key=lambda r: (r[0], -r[1])):
+        n = -(-held // target)
+        plan.append((shard, size_class, first.get(shard, 0), n))
+        first[shard] = first.get(shard, 0) + n
+    plan = docs.sparkSession.createDataFrame(plan, "old_shard int, _class int, _first int, _n int")
+    own = own.join(F.broadcast(plan), ["old_shard", "_class"]).withColumn("file", F.col("_first") + F.pmod(F.xxhash64("_row"), F.col("_n")).cast("int"))
+    inside = W.partitionBy("old_shard", "file").orderBy(F.desc("size"), "_row")  # a file each: about target bytes
+    own = own.withColumn("pos", (F.row_number().over(inside) - 1).cast("long")).drop("_class", "_row", "_first", "_n")
+    own = own.select(*[c for c in own.columns if c not in ("old_shard", "file")], "old_shard", "file")
+    own.write.mode("overwrite").partitionBy("old_shard", "file").parquet(path)
+    return docs.sparkSession.read.schema(own.schema).parquet(path)
+
+
+def moves(layout: DataFrame, shards: int) -> DataFrame:
+    """old_shard, file, low, high, shard, slot, rewritten: where the rows low <= pos < high of each file go, and the first one's slot there.
+
+    A stretch of each old shard's bytes goes to each new one as the flow says; a row goes where its middle byte lies, so a shard is off
+    by half a row at each end of a stretch. Only rows of files that are cut are looked at one by one, by their sizes alone. A file that stays
+    whole in its shard isn't rewritten.
+    """
+    files = layout.groupBy("old_shard", "file").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows"))
+    before = W.partitionBy("old_shard").orderBy("file").rowsBetween(W.unboundedPreceding, -1)
+    files = stored(files.withColumn("base", F.coalesce(F.sum("bytes").over(before), F.lit(0))))
+    sizes = {r[0]: r[1] for r in files.groupBy("old_shard").agg(F.sum("bytes")).collect()}
+    # at most one stretch for each path of the flow: fewer than old + new shards
+    plan = F.broadcast(files.sparkSession.createDataFrame(transfers(sizes, shards), "_from int, _low long, _high long, shard int"))
+    met = files.join(plan, (F.col("old_shard") == F.col("_from")) & (F.col("base") < F.col("_high")) & (F.col("base") + F.col("bytes") > F.col("_low")))
+    met = met.withColumn("_n", F.count(F.lit(1)).over(W.partitionBy("old_shard", "file")))
+    whole = met.where("_n = 1").select("old_shard", "file", F.lit(0).cast("long").alias("low"), F.col("rows").alias("high"), "shard")
+    cut = _sent(stored(met.where("_n > 1").select("old_shard", "file", "base").distinct()))
+    upto = W.partitionBy("old_shard", "file").orderBy("pos").rowsBetween(W.unboundedPreceding, W.currentRow)
+    rows = layout.select("old_shard", "file", "pos", "size").join(cut, ["old_shard", "file"])
+    rows = rows.withColumn("_mid", F.col("base") + F.sum("size").over(upto) - F.floor((F.col("size") + 1) / 2))
+    rows = rows.join(plan, (F.col("old_shard") == F.col("_from")) & (F.col("_low") <= F.col("_mid")) & (F.col("_mid") < F.col("_high")))
+    parts = rows.groupBy("old_shard", "file", "shard").agg(F.min("pos").alias("low"), (F.max("pos") + 1).alias("high"))
+    parts = whole.unionByName(parts)
+    parts = parts.withColumn("rewritten", (F.col("old_shard") != F.col("shard")) | (F.count(F.lit(1)).over(W.partitionBy("old_shard", "file")) > 1))
+    ahead = W.partitionBy("shard").orderBy("rewritten", "old_shard", "file", "low").rowsBetween(W.unboundedPreceding, -1)
+    return stored(parts.withColumn("slot", F.coalesce(F.sum(F.col("high") - F.col("low")).over(ahead), F.lit(0))))
+
+
+def resharded(docs: DataFrame, old_shard: Column, path: str, shards: int = NEW_SHARDS) -> DataFrame:
+    """docs' rows from their new shards: docs' columns as _c0, _c1 and so on, size, old_shard, file, shard, slot and rewritten.
+
+    size counts UTF-8 bytes (a null text has none) and 16 more. The old shards are files below path/old. Files whose rows all stay are
+    left as they are; the rows of all others are written to path/new, a folder for each new shard. Rows are placed by their bytes alone:
+    null and repeated doc_ids are rows like others, and of rows of equal size the order of the input decides. slot runs without gaps in each new
+    shard. Any column names may occur; an empty table gives an empty result.
+    """
+    spark = docs.sparkSession
+    layout = laid_out(docs, old_shard, f"{path}/old")
+    parts = moves(layout, shards)
 
+    def placed(own: DataFrame) -> DataFrame:
+        there = _sent(own.select("old_shard", "file", "low", "high", "shard", F.col("slot").alias("_first"), "rewritten"))
+        rows = layout.join(there, ["old_shard", "file"]).where((F.col("pos") >= F.col("low")) & (F.col("pos") < F.col("high")))
+        return rows.withColumn("slot", F.col("_first") + F.col("pos") - F.col("low")).select(*layout.columns, "rewritten", "slot", "shard").drop("pos")
 
-def rewritten(docs: DataFrame, placed: DataFrame, path: str) -> DataFrame:
-    """Writes docs to path, a folder for each shard, and reads them back, with size, shard and slot."""
-    spark = docs.sparkSession
-    key = lambda df: F.coalesce(df["doc_id"].cast("long"), F.lit(NO_ID)).alias("_id")
-    own = placed.select(key(placed), "old_shard", "shard", "slot0")
-    rows = docs.select("*", key(docs)).join(own, "_id")  # the window below needs no exchange of its own
-    rows = rows.withColumn("slot", F.col("slot0") + F.row_number().over(W.partitionBy("_id").orderBy("text")) - 1).drop("_id", "slot0")
-    rows.write.mode("overwrite").partitionBy("shard").parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
+    new = placed(parts.where("rewritten"))
+    new.write.mode("overwrite").partitionBy("shard").parquet(f"{path}/new")
+    return placed(parts.where("NOT rewritten")).unionByName(spark.read.schema(new.schema).parquet(f"{path}/new"))
 
 
 def op4_flow_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    files = rewritten(docs, resharding(docs, source_layout()), shared_dir(spark))
-    text = F.coalesce(F.col("text"), F.lit(""))
-    return files.select(
-        F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text) + ROW_BYTES).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
-        F.lit("bytes").alias("law"), F.col("shard").cast("int").alias("shard"), "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard",
+    rows = resharded(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), source_layout(), shared_dir(spark))
+    text = F.coalesce(F.col("_c1"), F.lit(""))
+    return rows.select(
+        F.col("_c0").cast("long").alias("doc_id"), (F.octet_length(text) + ROW_BYTES).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.lit("bytes").alias("law"), F.col("shard").cast("int").alias("shard"), "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard", "rewritten",
     )
 
 
