@@ -31,9 +31,28 @@ class Grid:
         self.cutoffs = sorted(r[0] for r in rows)
         self.edges = sorted({c - dt.timedelta(days=d) for c in self.cutoffs for d in [0, *days]})
 
-    def cell(self, time: Column) -> Column:
-        """Number of edges before a time: equal for times that all windows treat alike."""
-        return F.size(F.filter(F.array(*map(F.lit, self.edges)), lambda e: e.cast("timestamp_ntz") < time))
+    def with_cell(self, events: DataFrame, time: str) -> DataFrame:
+        """events up to the last cutoff with _cell, the number of edges before their time: equal for times that all windows treat alike.
+
+        A table of days tells how many edges lie before a day and which lie in it, so an event is compared with the edges of its own day alone,
+        however many there are. It has a row for each day with an edge or after one, up to the last cutoff's; events before those are in cell 0.
+        """
+        events = events.where(F.col(time) <= self.last())
+        if not self.edges:
+            return events.withColumn("_cell", F.lit(0))
+        first, last = self.edges[0].date(), self.edges[-1].date()
+        inside: dict[dt.date, list[dt.datetime]] = {}
+        for e in self.edges:
+            inside.setdefault(e.date(), []).append(e)
+        rows, before = [], 0
+        for k in range((last - first).days + 1):
+            day = first + dt.timedelta(days=k)
+            rows.append((day, before, inside.get(day, [])))
+            before += len(inside.get(day, []))
+        days = events.sparkSession.createDataFrame(rows, "_day date, _before int, _edges array<timestamp_ntz>")
+        met = events.join(F.broadcast(days), F.to_date(time) == F.col("_day"), "left")  # a row for each day between the first and the last edge
+        cell = F.coalesce(F.col("_before") + F.size(F.filter("_edges", lambda e: e < F.col(time))), F.lit(0))
+        return met.withColumn("_cell", cell).drop("_day", "_before", "_edges")
 
     def last(self) -> Column:
         return F.lit(self.cutoffs[-1]) if self.cutoffs else F.lit(None).cast("timestamp_ntz")
@@ -52,8 +71,7 @@ def at_cutoffs(snapshots: DataFrame, events: DataFrame, key: str, as_of: str, ti
     days = sorted({d for d, _, _ in measures.values() if d})
     grid = Grid(snapshots, as_of, days)
     own = {"sum": F.sum, "max": F.max, "count": F.count}
-    cells = events.where(F.col(time) <= grid.last()).withColumn("_cell", grid.cell(F.col(time)))
-    cells = cells.groupBy(key, "_cell").agg(*[own[kind](value).alias(name) for name, (_, kind, value) in measures.items()])
+    cells = grid.with_cell(events, time).groupBy(key, "_cell").agg(*[own[kind](value).alias(name) for name, (_, kind, value) in measures.items()])
     base = snapshots.select(key, as_of).distinct().join(F.broadcast(grid.spans(snapshots.sparkSession, as_of, days)), as_of)  # at most MOST_CUTOFFS rows
     joined = base.alias("s").join(cells.alias("e"), (F.col(f"s.{key}") == F.col(f"e.{key}")) & (F.col("_cell") <= F.col("_to")), "left")
     final = {"sum": F.sum, "max": F.max, "count": F.sum}
@@ -97,7 +115,7 @@ def ranked_history(snapshots: DataFrame, rows: DataFrame, key: str, as_of: str,
     before the shuffle); the others count in sums.
     """
     grid = Grid(snapshots, as_of, [])
-    cells = rows.where(F.col(time) <= grid.last()).select(key, time, record, F.col(value).alias("_v"), F.coalesce(flag, F.lit(False)).cast("long").alias("_f"), grid.cell(F.col(time)).alias("_cell"))
+    cells = grid.with_cell(rows, time).select(key, time, record, F.col(value).alias("_v"), F.coalesce(flag, F.lit(False)).cast("long").alias("_f"), "_cell")
     order = [F.desc(time), F.desc(record)]
     top = cells.withColumn("_r", F.row_number().over(W.partitionBy(key, "_cell").orderBy(*order))).where("_r <= 2").drop("_r")
     sums = cells.groupBy(key, "_cell").agg(F.sum("_v").alias("_all"), F.sum("_f").alias("_flags"))

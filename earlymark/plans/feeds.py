@@ -245,7 +245,7 @@ ORACLES = {k: i.sql(v) for k, v in {
         greatest(a.max_event_at, b.max_event_at, d.max_event_at, e.max_event_at) AS max_feature_event_at FROM f_rate a JOIN f_counts b USING (entity_id, as_of) JOIN f_state d USING (entity_id, as_of) JOIN f_hist e USING (entity_id, as_of) JOIN customer c ON c.c_custkey = a.entity_id""",
     "leakage_audit": "SELECT count(*) AS leaks FROM f_rate a JOIN f_counts b USING (entity_id, as_of) WHERE greatest(a.max_event_at, b.max_event_at) > as_of",
     "label_cutoffs": "SELECT o_orderkey, (o_orderdate::DATE - 1)::TIMESTAMP + INTERVAL '23:59:59' AS as_of, (o_orderstatus = 'F')::INT AS label FROM orders",
-    "entity_snapshots": "SELECT s_suppkey, d::TIMESTAMP + INTERVAL '23:59:59' AS as_of FROM (SELECT DISTINCT s_suppkey FROM supplier), (SELECT ts::DATE AS d FROM events UNION SELECT o_orderdate::DATE FROM orders WHERE o_orderkey % 500 = 1)",
+    "entity_snapshots": "SELECT s_suppkey, d::TIMESTAMP + INTERVAL '23:59:59' AS as_of FROM (SELECT DISTINCT s_suppkey FROM supplier), (SELECT ts::DATE AS d FROM events UNION SELECT o_orderdate::DATE FROM orders)",
     "cdc_audit": "SELECT * FROM audit",
     "cdc_current": "SELECT * FROM cur",
     "cdc_events": "SELECT * FROM ev",

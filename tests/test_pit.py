@@ -58,3 +58,14 @@ def test_cutoffs_of_labels(spark):
 def test_leaks_show(spark):
     df = spark.createDataFrame([(1, CUT, CUT), (2, CUT, CUT + dt.timedelta(seconds=1)), (3, CUT, None)], "entity_id int, as_of timestamp_ntz, max_feature_event_at timestamp_ntz")
     assert [r.entity_id for r in pit.leaks(df, "as_of").collect()] == [2]
+
+
+def test_cells_count_the_edges_before_a_time(spark):
+    cuts = [CUT - dt.timedelta(hours=7 * k) for k in range(60)]
+    snaps = spark.createDataFrame([("s", c) for c in cuts], "entity_id string, as_of timestamp_ntz")
+    grid = pit.Grid(snaps, "as_of", [3])
+    times = [CUT - dt.timedelta(hours=5 * k, seconds=k % 3 - 1) for k in range(-3, 120)] + grid.edges
+    got = grid.with_cell(spark.createDataFrame([(t,) for t in times], "t timestamp_ntz"), "t").collect()
+    assert sorted((r.t, r._cell) for r in got) == sorted((t, sum(e < t for e in grid.edges)) for t in times if t <= CUT)
+    none = pit.Grid(snaps.limit(0), "as_of", [3])
+    assert none.with_cell(spark.createDataFrame([(CUT,)], "t timestamp_ntz"), "t").count() == 0
