@@ -252,3 +252,21 @@ ORACLES = {k: i.sql(v) for k, v in {
     "cdc_event_owners": "SELECT ev.event_id, ev.intervention_id, ev.event_type, l.entity_id, l.priority FROM ev JOIN (SELECT *, row_number() OVER (PARTITION BY intervention_id ORDER BY lsn DESC, sort_by DESC) AS k FROM audit) l ON l.intervention_id = ev.intervention_id AND l.k = 1",
     "cdc_summary": "SELECT * FROM summ",
 }.items()}
+
+#: Every command once those before it of its entity and of its key are known; used is the version that the key stands for from then on.
+_COMMANDS = f"""WITH RECURSIVE c AS (
+        SELECT *, lag(seq) OVER (PARTITION BY entity_id ORDER BY seq) AS entity_before, lag(seq) OVER (PARTITION BY idempotency_key ORDER BY seq) AS key_before FROM (SELECT {', '.join(i.COMMANDS)} FROM events)),
+    f(seq, applied, seen, version, prior_status, status, outcome, closed_at, used) USING KEY (seq) AS (
+        SELECT -1::BIGINT, false, NULL::BIGINT, 0::BIGINT, NULL::VARCHAR, NULL::VARCHAR, NULL::VARCHAR, NULL::TIMESTAMP, NULL::BIGINT
+        UNION
+        SELECT seq, applied, seen, version + applied::BIGINT, prior_status, CASE WHEN applied THEN target ELSE prior_status END, CASE WHEN applied THEN coalesce(said, outcome) ELSE outcome END,
+            CASE WHEN NOT applied THEN closed_at WHEN target = 'closed' THEN happened END, CASE WHEN applied THEN version + 1 ELSE seen END
+        FROM (
+            SELECT c.seq, CASE WHEN c.action = 'create' THEN 'open' ELSE c.new_status END AS target, c.outcome AS said, c."at" AS happened, coalesce(e.version, 0) AS version, e.status AS prior_status, e.outcome, e.closed_at, k.used AS seen,
+                k.used IS NULL AND CASE WHEN c.action = 'create' THEN coalesce(e.version, 0) = 0 ELSE coalesce(e.version > 0 AND e.version = c.expected_version, false) END AS applied
+            FROM c LEFT JOIN recurring.f e ON e.seq = c.entity_before LEFT JOIN recurring.f k ON k.seq = c.key_before LEFT JOIN recurring.f done ON done.seq = c.seq
+            WHERE done.seq IS NULL AND (c.entity_before IS NULL OR e.seq IS NOT NULL) AND (c.key_before IS NULL OR k.seq IS NOT NULL)))"""
+ORACLES |= {
+    "command_fold": f"{_COMMANDS} SELECT c.entity_id, seq, CASE WHEN applied THEN 'applied' WHEN seen IS NULL THEN 'conflict' ELSE 'replayed' END AS result, coalesce(seen, version)::INTEGER AS version, f.status, f.outcome, f.closed_at FROM f JOIN c USING (seq)",
+    "command_events": f"""{_COMMANDS} SELECT c.entity_id, seq, CASE WHEN c.action = 'create' THEN 'created' ELSE c.event_type END AS event_type, f.prior_status, f.status AS new_status, c.idempotency_key, f.version::INTEGER AS result_version, c."at" FROM f JOIN c USING (seq) WHERE applied""",
+}

@@ -70,12 +70,13 @@ def test_missing_categories_take_the_mode(spark):
 def test_queries_agree_with_their_sql(spark):
     import duckdb
 
-    for name in ("publication_gate", "summary_records", "pseudonyms", "redact_text", "secret_scan", "insert_only_append"):
-        got = models.QUERIES[name](spark, SF)
+    queries, oracles = feeds.QUERIES | models.QUERIES, feeds.ORACLES | models.ORACLES
+    for name in ("command_fold", "command_events", "publication_gate", "summary_records", "pseudonyms", "redact_text", "secret_scan", "insert_only_append"):
+        got = queries[name](spark, SF)
         con = duckdb.connect()
         for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations"):
             con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
-        want = con.sql(models.ORACLES[name])
+        want = con.sql(oracles[name])
         cols = sorted(want.columns)
         assert cols == sorted(got.columns), name
         mine, theirs = sorted(map(str, got.select(*cols).collect())), want.select(*cols).fetchall()
