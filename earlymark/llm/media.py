@@ -67,7 +67,7 @@ def fingerprint(samples: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
     A peak is a band's strongest frequency in a frame that is not weaker than in the frames beside it and
     above the band's mean. Each peak is paired with the next FAN peaks within SPAN frames; the code holds both
-    frequencies and the frames between them. Silence has no peaks.
+    frequencies (1 to 128; the second less one, in seven bits) and the frames between them (six bits). Silence has no peaks.
     """
     bins, size = band_peaks(samples)
     around = np.pad(size, ((1, 1), (0, 0)), constant_values=-1)
@@ -79,7 +79,7 @@ def fingerprint(samples: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         gap = time[k:] - time[:-k]
         ok = gap <= SPAN
         times.append(time[:-k][ok])
-        codes.append((freq[:-k][ok] << 13) | (freq[k:][ok] << 6) | gap[ok])
+        codes.append((freq[:-k][ok] << 13) | ((freq[k:][ok] - 1) << 6) | gap[ok])
     time, code = np.concatenate(times), np.concatenate(codes)
     order = np.lexsort((code, time))
     return time[order].astype(np.int32), code[order].astype(np.int32)

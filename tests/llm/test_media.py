@@ -29,6 +29,39 @@ def test_blocks_of_frames_do_not_change_the_result(monkeypatch):
     assert all(np.array_equal(a, b) for a, b in zip(whole, media.fingerprint(samples)))
 
 
+def plain_fingerprint(samples):
+    """Peaks by sums over sines and cosines, one frame, band and pair after the other."""
+    n = media.FRAME
+    samples = np.pad(samples.astype(float), (0, max(0, n - len(samples))))
+    turn = 2 * np.pi * np.outer(np.arange(n), np.arange(n // 2 + 1)) / n
+    hann = 0.5 - 0.5 * np.cos(2 * np.pi * np.arange(n) / (n - 1))
+    best = []
+    for start in range(0, len(samples) - n + 1, media.HOP):
+        x = samples[start : start + n] * hann
+        size = np.hypot(x @ np.cos(turn), x @ np.sin(turn))
+        best.append([max((size[f], -f) for f in range(a, b)) for a, b in media.BANDS])
+    peaks = []
+    for t, frame in enumerate(best):
+        for b, (size, f) in enumerate(frame):
+            mean = sum(x[b][0] for x in best) / len(best)
+            before, after = best[t - 1][b][0] if t else -1, best[t + 1][b][0] if t + 1 < len(best) else -1
+            if size >= before and size > after and size > mean + 1e-3:
+                peaks.append((t, -f))
+    pairs = [(t, f * 8192 + (g - 1) * 64 + u - t) for i, (t, f) in enumerate(peaks) for u, g in peaks[i + 1 : i + 1 + media.FAN] if u - t <= media.SPAN]
+    return sorted(pairs)
+
+
+def test_fingerprint_is_the_plain_one(spark):
+    rng = np.random.default_rng(1)
+    for n in (64, 256, 300, 5000):
+        samples = rng.normal(size=n).astype(np.float32) * 40
+        assert list(zip(*(x.tolist() for x in media.fingerprint(samples)))) == plain_fingerprint(samples), n
+    rows = [(k, "".join(chr(c) for c in rng.integers(32, 400, n))) for k, n in enumerate((0, 10, 400, 3000))]
+    for r in media.media_columns(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        payload = np.frombuffer(media.padded(rows[r.doc_id][1].encode()), np.uint8)
+        assert list(zip(r.peak_time, r.peak_pair)) == plain_fingerprint(payload - 128.0), r.doc_id
+
+
 def test_documents(spark):
     rows = [(1, "hello " * 500, 0), (2, "hello " * 500, 1), (3, None, 2), (4, "", 3), (None, "é" * 40_000, 4)]
     out = media.media_columns(spark.createDataFrame(rows, "doc_id long, text string, feature int")).toPandas()
