@@ -31,8 +31,8 @@ def test_words_of_interest(text):
     assert ENCODER.encode(text) == plain(text)
 
 
-def check_plan(histogram, capacity=1024):
-    runs, sequences = packing.packing_plan(histogram, capacity)
+def check_plan(histogram, capacity=1024, **options):
+    runs, sequences = packing.packing_plan(histogram, capacity, **options)
     fill, places, seen = {}, {}, {}
     ends = {n: c for n, c in histogram.items() if c}
     for i, (length, rank, seq, each, offset) in enumerate(runs.tolist()):
@@ -58,6 +58,40 @@ def test_every_piece_has_a_gapless_place(histogram):
     check_plan(histogram, 64)
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.dictionaries(st.integers(1, 64), st.integers(0, 30), max_size=40), st.integers(1, 6))
+def test_grouped_lengths_have_gapless_places(histogram, groups):
+    check_plan(histogram, 64, groups=groups, small=8)
+
+
+def fewest(lengths, capacity):
+    """The fewest sequences, by trying every place for each length."""
+    lengths, best = sorted(lengths, reverse=True), [len(lengths)]
+
+    def place(i, rooms):
+        if len(rooms) >= best[0]:
+            return
+        if i == len(lengths):
+            best[0] = len(rooms)
+            return
+        for room in {r for r in rooms if r >= lengths[i]}:
+            rest = list(rooms)
+            rest.remove(room)
+            place(i + 1, [*rest, room - lengths[i]])
+        place(i + 1, [*rooms, capacity - lengths[i]])
+
+    place(0, [])
+    return best[0]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(1, 32), max_size=9), st.sampled_from([2, 8, 32]))
+def test_at_most_one_sequence_above_the_fewest(lengths, small):
+    histogram = {n: lengths.count(n) for n in set(lengths)}
+    least = fewest(lengths, 32)
+    assert least <= check_plan(histogram, 32, small=small) <= least + 1
+
+
 def test_few_sequences():
     rng = np.random.default_rng(0)
     lengths = rng.integers(1, 1025, 20_000)
