@@ -56,12 +56,12 @@ def fingerprints(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def blocks(near: bool) -> Column:
-    """The 16 blocks of f0 and f1 as (block, value), with all values up to two errors away if near."""
+    """Keys of the 16 blocks of f0 and f1, one number each of width, block and value, with all values up to two errors away if near."""
     masks = _MASKS if near else [0]
 
     def block(b: int) -> Column:
         value = F.shiftrightunsigned(F.col(f"f{b // 8}"), 8 * (b % 8)).bitwiseAND(0xFF)
-        return F.transform(F.array(*[F.lit(m).cast("long") for m in masks]), lambda m: F.struct(F.lit(b).alias("block"), value.bitwiseXOR(m).alias("value")))
+        return F.transform(F.array(*[F.lit(m).cast("long") for m in masks]), lambda m: F.col("width").cast("long") * 4096 + 256 * b + value.bitwiseXOR(m))
 
     return F.explode(F.flatten(F.array(*map(block, range(BLOCKS)))))
 
@@ -117,8 +117,8 @@ def fingerprint_pairs(starts: DataFrame, own: DataFrame, shingles: DataFrame, it
     inside = starts.join(own, ["doc", "hash", "k"]).select("doc", "hash", "width", "k", "start", F.explode(_window()).alias("h"))
     prints = fingerprints(inside.where(F.col("width") - F.col("k") < COUNTED), ["doc", "hash", "width", "k", "start"])
     item_prints = fingerprints(shingles.where(F.col("width") - F.col("k") < COUNTED), ["item_id", "width"])
-    ball = item_prints.select("item_id", "width", F.col("f0").alias("i0"), F.col("f1").alias("i1"), blocks(True).alias("b")).select("item_id", "width", "i0", "i1", "b.*")
-    met = prints.select("doc", "hash", "width", "k", "start", "f0", "f1", blocks(False).alias("b")).select("*", "b.*").drop("b").join(_sent(stored(ball)), ["width", "block", "value"])
+    ball = item_prints.select("item_id", F.col("f0").alias("i0"), F.col("f1").alias("i1"), blocks(True).alias("key"))
+    met = prints.select("doc", "hash", "width", "k", "start", "f0", "f1", blocks(False).alias("key")).join(_sent(stored(ball)), "key")
     near = met.where(F.bit_count(F.col("f0").bitwiseXOR(F.col("i0"))) + F.bit_count(F.col("f1").bitwiseXOR(F.col("i1"))) <= RADIUS).select("doc", "hash", "k", "start", "width", "item_id").distinct()
     large = starts.join(items.where(F.col("width") - F.col("k") >= COUNTED).select("item_id", "width"), "width").select(*near.columns)
     return near.unionByName(large)
