@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("packing", "resharding", "media", "warc", "ctw", "toxicity", "minhash", "suffixes", "decontamination", "quality", "occurrences", "phrases")
+MODULES = ("packing", "resharding", "media", "warc", "ctw", "toxicity", "minhash", "suffixes", "decontamination", "quality", "occurrences", "phrases", "rtree")
 
 
 def queries() -> dict:
