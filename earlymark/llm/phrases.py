@@ -22,7 +22,7 @@ SAMPLED, PROPOSED = 8, 2
 #: many, never too few. Its size is fixed (16 MB), so it may be broadcast.
 TABLE_BITS, CHUNK = 27, 1 << 16
 #: Bytes of text that are counted at once.
-AT_ONCE = 4 << 20
+AT_ONCE = 1 << 20
 
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
