@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .common import stored, table
 
 #: Rows of one tree, rows of a leaf, and children of a node.
-TILE, LEAF, FAN = 16_384, 32, 16
+TILE, LEAF, FAN = 16_384, 128, 16
 #: Anchors that travel as one row, and rows of anchors that meet a tree in one task.
 BLOCK, BLOCKS = 128, 16
 
@@ -102,14 +102,18 @@ class Search:
                     self.scores[k] = self.tree.v[own] @ self.q
                 if (int(self.tree.levels[0]["from"][k]) == self.label) != same:
                     continue
-                score, ids = self.scores[k], self.tree.ids[own]
-                ok = ids != self.anchor
+                score, floor = self.scores[k], -found[-1][0] if len(found) == count else least
                 if least is not None:
-                    ok &= (score >= least) & (score <= most)
-                if len(found) == count:
-                    ok &= score >= -found[-1][0]
-                if ok.any():
-                    found = heapq.nsmallest(count, found + [(-int(s), int(i)) for s, i in zip(score[ok], ids[ok])])
+                    ok = np.flatnonzero((score >= floor) & (score <= most))
+                else:
+                    ok = np.flatnonzero(score >= floor) if floor is not None else np.arange(len(score))
+                ok = ok[self.tree.ids[own][ok] != self.anchor]
+                if len(ok):
+                    score, ids = score[ok], self.tree.ids[own][ok]
+                    if len(ok) > 4 * count and score.dtype != object:
+                        first = np.lexsort((ids, -score))[:count]
+                        score, ids = score[first], ids[first]
+                    found = sorted(found + [(-int(s), i) for s, i in zip(score.tolist(), ids.tolist())])[:count]
                 continue
             first, low, high, ids, from_, to = self.children(level, k)
             ok = ((from_ <= self.label) & (self.label <= to)) if same else ((from_ != self.label) | (to != self.label))

@@ -51,6 +51,7 @@ def test_large_and_uneven_vectors(spark):
 
 def test_bounds_prune(monkeypatch):
     """Far clusters are never opened, and what is left is what brute force finds."""
+    monkeypatch.setattr(r, "LEAF", 32)
     rng = np.random.default_rng(2)
     v = (rng.integers(-5, 6, (4000, 8)) + 100 * np.eye(8, dtype=np.int64)[rng.integers(0, 8, 4000)]).astype(np.float64)
     tree = r.Tree(np.arange(4000), np.zeros(4000, np.int64), v)
