@@ -192,11 +192,12 @@ class Features:
                 if near:
                     yield from ((near[i][0], j, v) for i, j, v in zip(*(c.tolist() for c in self.kernel([y for _, y in near], marks))))
 
-    def learn(self, new: set[str]) -> None:
+    def learn(self, new: set[str], batch: set[str]) -> None:
+        """Looks at new words of a batch; of the others only those of the batch are kept where too many are remembered."""
         if len(self.cold) > REMEMBERED:
             self.older, self.cold = self.cold, set()
         if len(self.hot) > REMEMBERED:
-            self.hot.clear()
+            self.hot = {w: self.hot[w] for w in batch & self.hot.keys()}
         known = new & self.older
         self.cold |= known
         whole = [(w, x) for w in new - known for x in parts(w)]
@@ -214,8 +215,9 @@ class Features:
         for t in texts:
             own = t.lower().split()
             tokens.append(own + spelled(own))
-        if new := set().union(*tokens) - self.cold - self.hot.keys():
-            self.learn(new)
+        batch = set().union(*tokens)
+        if new := batch - self.cold - self.hot.keys():
+            self.learn(new, batch)
         hot = self.hot
         out = np.zeros((len(texts), 2 * self.m + 1), np.float32)
         for k, own in enumerate(tokens):

@@ -143,3 +143,13 @@ def test_the_layout_of_files_changes_nothing(spark):
     for other in runs[1:]:
         assert other.keys() == runs[0].keys()
         assert max(abs(other[i][0] - runs[0][i][0]) for i in other) < 1e-4 and all(other[i][1] == runs[0][i][1] for i in other)
+
+
+def test_forgotten_words_count_in_their_batch(monkeypatch):
+    """However few words are remembered, a text's features are those that it has alone."""
+    texts = ["you idiot here", "garden of the house", "idiot clown", "wor-thless idea", "you idiot here", "clowns", "new words and idiot"] * 3
+    alone = [t.Features(["idiot", "clown", "worthless"])([x])[0] for x in texts]
+    monkeypatch.setattr(t, "REMEMBERED", 1)
+    f = t.Features(["idiot", "clown", "worthless"])
+    got = [row for k in range(0, len(texts), 2) for row in f(texts[k : k + 2])]
+    assert np.allclose(got, alone) and any(row[0] for row in got)
