@@ -179,12 +179,15 @@ def learned(docs: DataFrame, labels: DataFrame, held: Column, rounds: int = ROUN
         for part in _parts(batches):
             x, z = _views(part)
             group = pa.array([zlib.crc32((s or "").encode()) % SOURCES for s in part.column("source").to_pylist()], pa.int32())
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("quality"), group, pa.array(list(x), pa.list_(pa.float32())), pa.array(list(z), pa.list_(pa.float32()))], names=["doc_id", "quality", "group", "x", "z"])
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("quality"), part.column("hash"), group, pa.array(list(x), pa.list_(pa.float32())), pa.array(list(z), pa.list_(pa.float32()))], names=["doc_id", "quality", "hash", "group", "x", "z"])
 
-    marked = rows.join(F.broadcast(picked), "doc_id", "left")
-    views = marked.select("doc_id", "quality", "text", "lang", "source", "n_chars").mapInArrow(view, f"doc_id long, quality int, group int, {VIEWS}")
+    # a row's hash orders rows whatever files they are in; row tells those apart that repeat each other
+    marked = rows.join(F.broadcast(picked), "doc_id", "left").withColumn("hash", F.xxhash64("text", "doc_id", "lang", "source", "n_chars"))
+    views = marked.select("doc_id", "quality", "text", "lang", "source", "n_chars", "hash").mapInArrow(view, f"doc_id long, quality int, hash long, group int, {VIEWS}")
     views = stored(views.withColumn("row", F.monotonically_increasing_id()))
-    sample = views.where("quality IS NOT NULL").dropDuplicates(["doc_id"]).toArrow().sort_by("doc_id")
+    sample = views.where("quality IS NOT NULL")
+    first = sample.groupBy("doc_id").agg(F.min(F.struct("hash", "row")).alias("first")).select("first.row")  # one for each labelled id
+    sample = sample.join(F.broadcast(first), "row").toArrow().sort_by("doc_id")
     both = Views(_matrix(sample, "x", TEXT_FEATURES), _matrix(sample, "z", META_FEATURES), sample["quality"].to_numpy().astype(float))
     rest = views.where("quality IS NULL")
     for _ in range(rounds):
@@ -195,20 +198,20 @@ def learned(docs: DataFrame, labels: DataFrame, held: Column, rounds: int = ROUN
                 t = pa.Table.from_batches([batch])
                 if not t.num_rows:
                     continue
-                row, group = t["row"].to_numpy(), t["group"].to_numpy()
+                row, own_hash, group = t["row"].to_numpy(), t["hash"].to_numpy(), t["group"].to_numpy()
                 for k, (name, width) in enumerate((("x", TEXT_FEATURES), ("z", META_FEATURES))):
                     p = 1 / (1 + np.exp(-fitted[k].logit(_matrix(t, name, width))))
                     for label, own in ((1, p), (0, 1 - p)):
                         best = np.flatnonzero(own >= SURE)
-                        best = best[np.lexsort((row[best], -own[best], group[best]))]
+                        best = best[np.lexsort((row[best], own_hash[best], -own[best], group[best]))]
                         first = np.searchsorted(group[best], group[best])
                         best = best[np.arange(len(best)) - first < taught]
-                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(best), k, np.int32)), pa.array(np.full(len(best), label, np.int32)), pa.array(group[best]), pa.array(own[best]), pa.array(row[best])], names=["view", "label", "group", "sure", "row"])
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(best), k, np.int32)), pa.array(np.full(len(best), label, np.int32)), pa.array(group[best]), pa.array(own[best]), pa.array(own_hash[best]), pa.array(row[best])], names=["view", "label", "group", "sure", "hash", "row"])
 
-        said = rest.select("row", "group", "x", "z").mapInArrow(sure, "view int, label int, group int, sure double, row long")
-        best = W.partitionBy("view", "label", "group").orderBy(F.desc("sure"), "row")
+        said = rest.select("row", "hash", "group", "x", "z").mapInArrow(sure, "view int, label int, group int, sure double, hash long, row long")
+        best = W.partitionBy("view", "label", "group").orderBy(F.desc("sure"), "hash", "row")
         said = stored(said.withColumn("k", F.row_number().over(best)).where(F.col("k") <= taught).select("view", "label", "row"))  # 4 * SOURCES * taught rows at most
-        told = views.join(F.broadcast(said), "row").select("view", "label", "row", "x", "z").toArrow().sort_by([("view", "ascending"), ("row", "ascending"), ("label", "descending")])
+        told = views.join(F.broadcast(said), "row").select("view", "label", "hash", "row", "x", "z").toArrow().sort_by([("view", "ascending"), ("hash", "ascending"), ("row", "ascending"), ("label", "descending")])
         if told.num_rows:
             x, z = _matrix(told, "x", TEXT_FEATURES), _matrix(told, "z", META_FEATURES)
             for k, (view_, label, row) in enumerate(zip(*(told[c].to_pylist() for c in ("view", "label", "row")))):
@@ -245,8 +248,8 @@ def quality(docs: DataFrame, labels: DataFrame, held_out=None, carry: list[str]
 
     score is the probability of labels.quality = 1, from both calibrated views, and predicted is 1 where it is at least 0.5. Learns from at
     most LABELLED rows with labels and from all rows without, none of them held out (crc32 of doc_id mod 5 is 0 by default); a doc_id
-    with several labels counts as good if one says so, and counts once where rows repeat it. Nulls count as empty texts, names and lengths of 0; a
-    null doc_id has no label. Equally sure rows are taught in the order of the file. Without both kinds of labels all scores are 1: nothing is
+    with several labels counts as good if one says so, and counts once where rows repeat it: with the smallest hash of its row. Nulls count as empty texts, names and lengths of 0; a
+    null doc_id has no label. Equally sure rows are taught in the order of a hash of theirs, so the layout of files doesn't matter. Without both kinds of labels all scores are 1: nothing is
     rejected. Columns that aren't carried are ignored; an empty table gives an empty one. limits: rounds, labelled, taught.
     """
     carry = carry or ["doc_id"]

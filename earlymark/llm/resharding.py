@@ -93,7 +93,7 @@ def laid_out(docs: DataFrame, old_shard: Column, path: str) -> DataFrame:
     class of sizes (a few hundred).
     """
     text = next(F.col(f"_c{k}") for k, c in enumerate(docs.columns) if c.lower() == "text")
-    own = docs.withColumn("_old", old_shard).toDF(*[f"_c{k}" for k in range(len(docs.columns))], "old_shard")
+    own = docs.select("*", old_shard).toDF(*[f"_c{k}" for k in range(len(docs.columns))], "old_shard")
     own = own.withColumn("size", (F.coalesce(F.octet_length(text.cast("string")), F.lit(0)) + ROW_BYTES).cast("long"))
     own = own.withColumn("_class", F.floor(F.log2("size") / 2).cast("int")).withColumn("_row", F.monotonically_increasing_id())
     found = sorted(tuple(r) for r in own.groupBy("old_shard", "_class").agg(F.sum("size")).collect())

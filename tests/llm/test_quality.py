@@ -2,6 +2,8 @@ import zlib
 
 import numpy as np
 
+from pyspark.sql import functions as F
+
 from earlymark.llm import quality as q
 
 
@@ -76,3 +78,15 @@ def test_nulls_missing_labels_and_carried_columns(spark):
     out = q.quality(docs, none, carry=docs.columns).collect()
     assert len(out) == 4 and all(r.predicted == 1 and r.extra == 7 for r in out)
     assert q.quality(docs.limit(0), none).count() == 0
+
+
+def test_ids_with_two_texts_in_any_layout(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    second = docs.join(labels.select("doc_id"), "doc_id", "left_semi").withColumn("text", F.concat(F.lit("junk junk !!! "), F.reverse("text")))
+    both = docs.unionByName(second)
+    runs = []
+    for d in (both.coalesce(1), both.repartition(5, "text"), both.orderBy(F.desc("text")).coalesce(2)):
+        runs.append({(r.doc_id, r.key): r.score for r in q.quality(d.withColumn("key", F.md5("text")), labels, carry=["doc_id", "key"], rounds=2).collect()})
+    for other in runs[1:]:
+        assert other.keys() == runs[0].keys() and max(abs(other[k] - runs[0][k]) for k in other) < 1e-4

@@ -65,3 +65,10 @@ def test_query_columns(spark):
     out = r.op4_flow_resharding(spark, "/root/testdata/sf0.001").toPandas()
     text = {x.doc_id: x.text for x in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
     assert all(x.text_crc32 == zlib.crc32(text[x.doc_id].encode()) and x["size"] == len(text[x.doc_id].encode()) + 16 for _, x in out.iterrows())
+
+
+def test_column_names_that_the_operator_uses_itself(spark, tmp_path):
+    names = ["_old", "old_shard", "pos", "_class", "_row", "rewritten", "_mid", "_c0"]
+    docs = spark.createDataFrame([(i, "x" * i, "a", *range(8)) for i in range(50)], ", ".join(["doc_id long", "text string", "source string", *(f"{n} int" for n in names)]))
+    out = r.resharded(docs, r.source_layout(), str(tmp_path / "s")).toPandas()
+    assert sorted(out._c0) == list(range(50)) and [set(out[f"_c{k}"]) for k in range(3, 11)] == [{k} for k in range(8)]
