@@ -37,3 +37,14 @@ def contract(name: str) -> Contract:
     if name not in CONTRACTS:
         raise ValueError(f"unknown dataset: {name}")
     return CONTRACTS[name]
+
+
+# The columns of the six feeds; a value that doesn't fit its type is kept aside.
+SCHEMAS = {
+    "entities": "entity_id string, program string, advisor_id string, exposure double, record_effective_at timestamp_ntz, run_date date",
+    "periods": "period_id string, entity_id string, term string, census_date date, credits_attempted long, credits_completed long, cumulative_gpa double, run_date date",
+    "presence": "presence_id string, entity_id string, event_at timestamp_ntz, present_flag boolean, run_date date",
+    "activity": "activity_id string, entity_id string, event_type string, event_at timestamp_ntz, run_date date",
+    "balances": "balance_id string, entity_id string, event_at timestamp_ntz, balance_amount double, hold_flag boolean, run_date date",
+    "outcomes": "outcome_id string, entity_id string, next_census_date date, outcome_status string, run_date date",
+}

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
 import hashlib
 from collections.abc import Iterator
 
@@ -105,10 +104,6 @@ def cohort_keys(rows: DataFrame, cohort: str, ids: str, out: str = "cohort_key")
     return pieces.repartition(cohort).sortWithinPartitions(cohort, "_id").select(cohort, "_piece").mapInArrow(digest, T.StructType([kind]).add(out, "string"))
 
 
-def run_date_literal(day: dt.date) -> Column:
-    return F.lit(day)
-
-
 def padded_id(prefix: str, number: Column, digits: int = 6) -> Column:
     """prefix and the number with leading zeros; a number of more digits keeps them all."""
     text = number.cast("string")

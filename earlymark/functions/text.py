@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Approved facts, response fields, action codes, prohibited phrases and secrets.
+# Approved facts, response fields, action codes, sentences, faults, prohibited phrases and secrets.
 FACTS = ("attendance_rate_28d", "missed_assignments_28d", "days_since_lms_activity", "financial_hold_flag", "cumulative_gpa")
 RESPONSE_FIELDS = ("briefing", "citations", "model_id", "prompt_version", "suggested_action", "unsupported_claims")
 ACTIONS = {
@@ -15,6 +16,32 @@ ACTIONS = {
     "offer_resource_navigation": "Offer to help the student identify and navigate available support resources.",
     "ask_about_barriers": "Invite the student to discuss any barriers they would like support addressing.",
 }
+SENTENCES = {
+    "risk_score": "Current governed risk score is %.2f",
+    "risk_tier": "Current governed risk tier is %s",
+    "attendance_rate_28d": "Attendance was %.0f%% in the last 28 days",
+    "missed_assignments_28d": "%s assignments were missed in the last 28 days",
+    "days_since_lms_activity": "Most recent LMS activity was %s days ago",
+    "financial_hold_flag": "%s financial hold is active",
+    "cumulative_gpa": "Cumulative GPA is %.2f",
+}
+FAULTS = {
+    "json": "model response is not strict JSON",
+    "fields": "response fields must exactly match the briefing schema",
+    "briefing": "briefing must be a non-empty list of structured facts",
+    "action": "suggested_action must be an approved action code",
+    "citations": "citations must be a list of fact IDs",
+    "claims": "unsupported_claims must be a list of strings",
+    "unsupported": "unsupported claims cannot be accepted",
+    "prompt": "prompt_version does not match the governed prompt",
+    "model": "model_id does not match the selected endpoint",
+    "fact": "briefing facts require exactly fact_id and fact_value",
+    "unknown": "briefing fact is not an allowed fact ID",
+    "value": "briefing fact value must exactly match the supplied fact",
+    "repeated": "briefing facts must not repeat",
+    "cited": "citations must exactly match briefing fact IDs",
+    "prohibited": "prohibited claim: %s",
+}
 PROHIBITED = (
     r"\b(diagnos(?:e|ed|is|tic)|depression|anxiety|adhd|mental health)\b",
     r"\b(disciplin(?:ary|e|ed)|punish|punishment|probation|suspend|suspension|expel|expulsion)\b",
@@ -33,13 +60,16 @@ ERROR_LENGTH = 2000
 GATE_METRICS = ("citation_coverage", "grounding", "prohibited_claims", "safety", "guidelines")
 
 
-def redacted(text: Column) -> Column:
-    """text without credentials, connection passwords and addresses."""
-    return reduce(lambda t, rule: F.regexp_replace(t, F.lit(rule[0]), F.lit(rule[1])), SECRETS, text)
+def redacted(text: Column, names: tuple[str, ...] = ()) -> Column:
+    """text without credentials, connection passwords and addresses. names are further names of tokens (letters, digits and _), such as a platform's own."""
+    if not all(re.fullmatch(r"\w+", n) for n in names):
+        raise ValueError("names of tokens are letters, digits and _")
+    more = [(rule.replace("workspace_token)", "|".join(["workspace_token", *names]) + ")"), put) for rule, put in SECRETS]
+    return reduce(lambda t, rule: F.regexp_replace(t, F.lit(rule[0]), F.lit(rule[1])), more, text)
 
 
-def has_secret(text: Column) -> Column:
-    return F.coalesce(redacted(text) != text, F.lit(False))
+def has_secret(text: Column, names: tuple[str, ...] = ()) -> Column:
+    return F.coalesce(redacted(text, names) != text, F.lit(False))
 
 
 def secret_scan(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -70,15 +100,11 @@ def rendered(facts: Column) -> Column:
     """The only wording of facts that readers see, each with its id."""
     def sentence(x: Column) -> Column:
         number, tag = x["value"].try_cast("double"), F.concat(F.lit(" ["), x["id"], F.lit("]."))
-        text = (
-            F.when(x["id"] == "risk_score", F.format_string("Current governed risk score is %.2f", number))
-            .when(x["id"] == "risk_tier", F.concat(F.lit("Current governed risk tier is "), F.regexp_replace(x["value"], '"', "")))
-            .when(x["id"] == "attendance_rate_28d", F.format_string("Attendance was %.0f%% in the last 28 days", number * 100))
-            .when(x["id"] == "missed_assignments_28d", F.concat(x["value"], F.lit(" assignments were missed in the last 28 days")))
-            .when(x["id"] == "days_since_lms_activity", F.concat(F.lit("Most recent LMS activity was "), x["value"], F.lit(" days ago")))
-            .when(x["id"] == "financial_hold_flag", F.when(x["value"] == "true", "A financial hold is active").otherwise("No financial hold is active"))
-            .when(x["id"] == "cumulative_gpa", F.format_string("Cumulative GPA is %.2f", number))
-        )
+        shown = {
+            "risk_score": number, "attendance_rate_28d": number * 100, "cumulative_gpa": number, "risk_tier": F.regexp_replace(x["value"], '"', ""),
+            "financial_hold_flag": F.when(x["value"] == "true", "A").otherwise("No"), "missed_assignments_28d": x["value"], "days_since_lms_activity": x["value"],
+        }
+        text = F.coalesce(*[F.when(x["id"] == name, F.format_string(SENTENCES[name], value)) for name, value in shown.items()])
         return F.concat(text, tag)
 
     return F.array_join(F.transform(facts, sentence), " ")
@@ -114,23 +140,28 @@ def validated(df: DataFrame, raw: str, facts: str, prompt_version: str, model_id
     known = F.map_from_entries(F.transform(F.col(facts), lambda f: F.struct(f["id"], f["value"])))
     each = F.arrays_zip(F.col("_ids").alias("i"), F.col("_values").alias("v"))
     words = F.concat_ws(" ", "_briefing", "_suggested_action")
-    error = (
-        F.when(F.col("_json").isNull(), "model response is not strict JSON")
-        .when(F.col("_keys") != F.array(*map(F.lit, RESPONSE_FIELDS)), "response fields must exactly match the briefing schema")
-        .when(~F.col("_briefing").startswith("[") | (F.coalesce(F.size("_items"), F.lit(0)) < 1), "briefing must be a non-empty list of structured facts")
-        .when(~F.col("_suggested_action").isin(*ACTIONS), "suggested_action must be an approved action code")
-        .when(strings(F.col("_citations")).isNull(), "citations must be a list of fact IDs")
-        .when(strings(F.col("_unsupported_claims")).isNull(), "unsupported_claims must be a list of strings")
-        .when(F.size(strings(F.col("_unsupported_claims"))) > 0, "unsupported claims cannot be accepted")
-        .when(F.col("_prompt_version") != prompt_version, "prompt_version does not match the governed prompt")
-        .when(F.col("_model_id") != model_id, "model_id does not match the selected endpoint")
-        .when(F.exists("_items", lambda x: F.coalesce(F.array_sort(F.json_object_keys(x)) != F.array(F.lit("fact_id"), F.lit("fact_value")), F.lit(True))), "briefing facts require exactly fact_id and fact_value")
-        .when(F.exists("_ids", lambda x: ~F.coalesce(F.map_contains_key(known, x), F.lit(False))), "briefing fact is not an allowed fact ID")
-        .when(F.exists(each, lambda x: F.element_at(known, x["i"]) != x["v"]), "briefing fact value must exactly match the supplied fact")
-        .when(F.size(F.array_distinct("_ids")) != F.size("_ids"), "briefing facts must not repeat")
-        .when(strings(F.col("_citations")) != F.col("_ids"), "citations must exactly match briefing fact IDs")
-        .when(first_prohibited(words).isNotNull(), F.concat(F.lit("prohibited claim: "), first_prohibited(words).cast("string")))
-    )
+    claims = strings(F.col("_unsupported_claims"))
+    faults = {
+        "json": F.col("_json").isNull(),
+        "fields": F.col("_keys") != F.array(*map(F.lit, RESPONSE_FIELDS)),
+        "briefing": ~F.col("_briefing").startswith("[") | (F.coalesce(F.size("_items"), F.lit(0)) < 1),
+        "action": ~F.col("_suggested_action").isin(*ACTIONS),
+        "citations": strings(F.col("_citations")).isNull(),
+        "claims": claims.isNull(),
+        "unsupported": F.size(claims) > 0,
+        "prompt": F.col("_prompt_version") != prompt_version,
+        "model": F.col("_model_id") != model_id,
+        "fact": F.exists("_items", lambda x: F.coalesce(F.array_sort(F.json_object_keys(x)) != F.array(F.lit("fact_id"), F.lit("fact_value")), F.lit(True))),
+        "unknown": F.exists("_ids", lambda x: ~F.coalesce(F.map_contains_key(known, x), F.lit(False))),
+        "value": F.exists(each, lambda x: F.element_at(known, x["i"]) != x["v"]),
+        "repeated": F.size(F.array_distinct("_ids")) != F.size("_ids"),
+        "cited": strings(F.col("_citations")) != F.col("_ids"),
+        "prohibited": first_prohibited(words).isNotNull(),
+    }
+    wording = lambda name: F.format_string(FAULTS[name], first_prohibited(words)) if name == "prohibited" else F.lit(FAULTS[name])
+    error = F.when(F.lit(False), F.lit(None).cast("string"))
+    for name, broken in faults.items():  # the first one counts
+        error = error.when(broken, wording(name))
     return rows.select(*df.columns, F.substring(error, 1, ERROR_LENGTH).alias("error"))
 
 

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
+import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.feature import Imputer, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
+from pyspark.ml.feature import Imputer, ImputerModel, OneHotEncoder, OneHotEncoderModel, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,12 +59,98 @@ def fit_boosted(train: DataFrame, label: str, numeric: list[str], categorical: l
     return Pipeline(stages=[*preparation(numeric, categorical, modes(train, categorical)), last]).fit(train)
 
 
-def scored(model: PipelineModel, rows: DataFrame, keys: list[str], numeric: list[str]) -> DataFrame:
-    """keys, risk_score, risk_tier and, from a logistic model's numbers, the three leading factors."""
-    out = model.transform(rows).withColumn("risk_score", vector_to_array("probability")[1])
-    last = model.stages[-1]
-    factors: Column = F.array().cast("array<string>")
-    if hasattr(last, "coefficients"):
-        weights = [float(w) for w in last.coefficients.toArray()[: len(numeric)]]
-        factors = leading_factors(numeric, [vector_to_array("_scaled")[i] for i in range(len(numeric))], [0.0] * len(numeric), weights)
+def feature_columns(df: DataFrame, allowed: Sequence[str], denied: Sequence[str]) -> list[str]:
+    """The columns of df that are on the allowed list and not on the denied one, in the order of the allowed list.
+
+    A column on neither list is no feature, so one that is added to a table later doesn't slip into a model. No allowed column at all, or one that is missing, is an error.
+    """
+    missing = [c for c in allowed if c not in df.columns]
+    own = [c for c in allowed if c in df.columns and c not in denied]
+    if missing or not own:
+        raise ValueError(f"missing features: {missing}" if missing else "no feature is allowed")
+    return own
+
+
+def feature_groups(model: PipelineModel, rows: DataFrame) -> tuple[list[str], list[int]]:
+    """Names of the columns that a model's features come from, and for each place of the feature vector the number of its column."""
+    schema = model.transform(rows.limit(0)).schema
+    numeric = next(s for s in model.stages if isinstance(s, ImputerModel)).getInputCols()
+    places = sorted((a["idx"], a["name"]) for group in schema["features"].metadata["ml_attr"]["attrs"].values() for a in group)
+    coded = sorted((c for s in model.stages if isinstance(s, OneHotEncoderModel) for c in s.getOutputCols()), key=len, reverse=True)
+    names, of = list(numeric), []
+    for k, (_, name) in enumerate(places):
+        column = numeric[k] if k < len(numeric) else next(c for c in coded if name.startswith(f"{c}_")).removeprefix("_o_")
+        if column not in names:
+            names.append(column)
+        of.append(names.index(column))
+    return names, of
+
+
+class Trees:
+    """The trees of a boosted model as arrays: what each split goes by, where it leads, and the mean outcome at each node."""
+
+    def __init__(self, model: GBTClassificationModel):
+        rows: list[list] = []
+        self.roots, self.weights = [], list(model.treeWeights)
+
+        def walk(node) -> int:
+            k = len(rows)
+            rows.append([-1, 0.0, None, -1, -1, float(node.prediction())])
+            if node.subtreeDepth():
+                split = node.split()
+                kind = split.getClass().getSimpleName()
+                left = None if kind == "ContinuousSplit" else frozenset(split.leftCategories())
+                rows[k][:3] = [int(split.featureIndex()), float(split.threshold()) if left is None else 0.0, left]
+                rows[k][3] = walk(node.leftChild())
+                rows[k][4] = walk(node.rightChild())
+            return k
+
+        for tree in model.trees:
+            self.roots.append(walk(tree._call_java("rootNode")))
+        self.feature, self.at, self.left_set, self.left, self.right, self.value = (list(c) for c in zip(*rows))
+        self.base = sum(w * self.value[r] for w, r in zip(self.weights, self.roots))
+
+    def contributions(self, x: np.ndarray, groups: list[int], n: int) -> np.ndarray:
+        """For each row of features what each group adds to the margin: along each tree's path, the change of the mean outcome at each split, to the split's feature. With base they sum to the margin."""
+        out = np.zeros((len(x), n))
+        for root, weight in zip(self.roots, self.weights):
+            todo = [(root, np.arange(len(x)))]
+            while todo:
+                k, own = todo.pop()
+                if self.left[k] < 0 or not len(own):
+                    continue
+                v = x[own, self.feature[k]]
+                left = v <= self.at[k] if self.left_set[k] is None else np.isin(v, list(self.left_set[k]))
+                for child, part in ((self.left[k], own[left]), (self.right[k], own[~left])):
+                    out[part, groups[self.feature[k]]] += weight * (self.value[child] - self.value[k])
+                    todo.append((child, part))
+        return out
+
+
+def contributions(model: PipelineModel, rows: DataFrame) -> tuple[list[str], Column, float]:
+    """Column names, an array column of what each adds to the score's margin (over model.transform(rows)), and the margin of none.
+
+    For a logistic model that is weight times value (numbers are centred), for a boosted one the changes along its trees' paths.
+    """
+    names, groups = feature_groups(model, rows)
+    last, n = model.stages[-1], len(names)
+    if isinstance(last, GBTClassificationModel):
+        trees = Trees(last)
+
+        @F.pandas_udf("array<double>")
+        def along(features: pd.Series) -> pd.Series:
+            x = np.stack(features.to_numpy()) if len(features) else np.zeros((0, len(groups)))
+            return pd.Series(list(trees.contributions(x, groups, n)))
+
+        return names, along(vector_to_array("features")), trees.base
+    weights = last.coefficients.toArray().tolist()
+    terms = [[F.lit(w) * vector_to_array("features")[j] for j, w in enumerate(weights) if groups[j] == g] for g in range(n)]
+    return names, F.array(*[reduce(Column.__add__, t) if t else F.lit(0.0) for t in terms]), float(last.intercept)
+
+
+def scored(model: PipelineModel, rows: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, risk_score, risk_tier and leading_factors, the three columns that move the score most, either way."""
+    names, parts, _ = contributions(model, rows)
+    out = model.transform(rows).withColumn("risk_score", vector_to_array("probability")[1]).withColumn("_parts", parts)
+    factors = leading_factors(names, [F.col("_parts")[k] for k in range(len(names))], [0.0] * len(names), [1.0] * len(names))
     return out.select(*keys, "risk_score", risk_tier(F.col("risk_score")).alias("risk_tier"), factors.alias("leading_factors"))

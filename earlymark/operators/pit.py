@@ -2,14 +2,16 @@
 
 Events are first summed up by entity and by the cell of time between two window edges (the cutoffs and
 the starts of their windows). That partial aggregate runs before any shuffle, so an entity with a third of
-all events sends each task's cells and no more; the join with the cutoffs then sees at most cells x cutoffs
-rows for each entity. The distinct cutoffs are read by the driver: one for each run date.
+all events sends each task's cells and no more. An entity's cells and the marks of its cutoffs and window starts are then swept once in the order of
+time: running sums and maxima at the marks, and differences of two running sums for the windows. So rows grow with cells + cutoffs,
+not with their product. The distinct cutoffs are read by the driver: one for each run date.
 """
 
 from __future__ import annotations
 
 import bisect
 import datetime as dt
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -63,24 +65,50 @@ class Grid:
         return spark.createDataFrame(rows, ", ".join([f"{as_of} timestamp_ntz", "_to int", *(f"_from{d} int" for d in days)]))
 
 
+def swept(cells: DataFrame, marks: DataFrame, key: str, running: dict[str, Callable[[str], Column]]) -> DataFrame:
+    """marks (key, _pos and own columns) with running aggregates, by name, over their key's cells at _pos or before.
+
+    Cells and marks of a key are one sorted stream; each mark comes after the cells of its place.
+    """
+    own = [c for c in marks.columns if c not in (key, "_pos")]
+    rows = cells.where(F.col(key).isNotNull()).withColumn("_mark", F.lit(False)).unionByName(marks.withColumn("_mark", F.lit(True)), allowMissingColumns=True)
+    upto = W.partitionBy(key).orderBy("_pos", "_mark").rowsBetween(W.unboundedPreceding, W.currentRow)
+    return rows.select(key, "_pos", "_mark", *own, *[f(name).over(upto).alias(name) for name, f in running.items()]).where("_mark").drop("_mark")
+
+
 def at_cutoffs(snapshots: DataFrame, events: DataFrame, key: str, as_of: str, time: str, measures: dict[str, tuple[int | None, str, Column]]) -> DataFrame:
-    """key, as_of and the measures of the events up to each cutoff: name -> (days back or None, "sum" or "max" or "count", value).
+    """key, as_of and the measures of the events up to each cutoff: name -> (days back or None, "sum", "count", "max" or "latest", value).
 
-    A window of d days is open at its start: (as_of - d days, as_of]. Nulls don't count; a measure without events is null.
+    A window of d days is open at its start: (as_of - d days, as_of]. latest is the time of the last event whose value isn't null; max has no window. Nulls don't
+    count; a measure without events is null. A windowed sum is the difference of two running sums, so sums of doubles are exact only for whole numbers.
     """
+    if any(kind == "max" and d for d, kind, _ in measures.values()):
+        raise ValueError("a maximum has no window")
     days = sorted({d for d, _, _ in measures.values() if d})
     grid = Grid(snapshots, as_of, days)
-    own = {"sum": F.sum, "max": F.max, "count": F.count}
-    cells = grid.with_cell(events, time).groupBy(key, "_cell").agg(*[own[kind](value).alias(name) for name, (_, kind, value) in measures.items()])
+    own = {"sum": F.sum, "max": F.max, "latest": lambda v: F.max(F.when(v.isNotNull(), F.col(time))), "count": F.count}
+    cells = grid.with_cell(events, time).groupBy(key, F.col("_cell").alias("_pos")).agg(*[own[kind](value).alias(name) for name, (_, kind, value) in measures.items()])
     base = snapshots.select(key, as_of).distinct().join(F.broadcast(grid.spans(snapshots.sparkSession, as_of, days)), as_of)  # at most MOST_CUTOFFS rows
-    joined = base.alias("s").join(cells.alias("e"), (F.col(f"s.{key}") == F.col(f"e.{key}")) & (F.col("_cell") <= F.col("_to")), "left")
-    final = {"sum": F.sum, "max": F.max, "count": F.sum}
-    return joined.groupBy(F.col(f"s.{key}").alias(key), as_of).agg(*[final[kind](F.when(F.col("_cell") >= F.col(f"_from{d}"), F.col(name)) if d else F.col(name)).alias(name) for name, (d, kind, _) in measures.items()])
+    places = [F.struct(F.lit(0).alias("_back"), F.col("_to").alias("_pos")), *[F.struct(F.lit(d).alias("_back"), (F.col(f"_from{d}") - 1).alias("_pos")) for d in days]]
+    marks = base.select(key, as_of, F.inline(F.array(*places)))
+    added = [n for n, (_, kind, _) in measures.items() if kind in ("sum", "count")]
+    cells = cells.withColumns({f"_n_{n}": F.when(F.col(n).isNotNull() & (F.col(n) != 0 if measures[n][1] == "count" else F.lit(True)), 1).otherwise(0) for n in added})
+    at = swept(cells, marks, key, {n: (F.sum if n in added else F.max) for n in measures} | {f"_n_{n}": F.sum for n in added})
+    pick = lambda c, d: F.max(F.when(F.col("_back") == d, F.col(c)))
+
+    def value(name: str, d: int | None, kind: str) -> Column:
+        if kind in ("max", "latest"):
+            end = pick(name, 0)
+            return end if not d else F.when(end > F.col(as_of) - F.expr(f"INTERVAL '{d}' DAY"), end)
+        before = lambda c: F.coalesce(pick(c, d), F.lit(0)) if d else F.lit(0)
+        return F.when(pick(f"_n_{name}", 0) > before(f"_n_{name}"), pick(name, 0) - before(name))
+
+    return at.groupBy(key, as_of).agg(*[value(name, d, kind).alias(name) for name, (d, kind, _) in measures.items()])
 
 
 def rate(snapshots: DataFrame, events: DataFrame, key: str, as_of: str, time: str, flag: Column, days: int = 28) -> DataFrame:
     """Share of the window's events with the flag (0 without events), and the latest of them."""
-    got = at_cutoffs(snapshots, events, key, as_of, time, {"_sum": (days, "sum", flag.cast("double")), "_n": (days, "count", flag), "max_event_at": (days, "max", F.col(time))})
+    got = at_cutoffs(snapshots, events, key, as_of, time, {"_sum": (days, "sum", flag.cast("double")), "_n": (days, "count", flag), "max_event_at": (days, "latest", F.col(time))})
     return got.select(key, as_of, F.when(F.col("_n") > 0, F.col("_sum") / F.col("_n")).otherwise(0.0).alias(f"rate_{days}d"), "max_event_at")
 
 
@@ -115,23 +143,20 @@ def ranked_history(snapshots: DataFrame, rows: DataFrame, key: str, as_of: str,
     before the shuffle); the others count in sums.
     """
     grid = Grid(snapshots, as_of, [])
-    cells = grid.with_cell(rows, time).select(key, time, record, F.col(value).alias("_v"), F.coalesce(flag, F.lit(False)).cast("long").alias("_f"), "_cell")
+    cells = grid.with_cell(rows, time).select(key, time, record, F.col(value).alias("_v"), F.coalesce(flag, F.lit(False)).cast("long").alias("_f"), F.col("_cell").alias("_pos"))
     order = [F.desc(time), F.desc(record)]
-    top = cells.withColumn("_r", F.row_number().over(W.partitionBy(key, "_cell").orderBy(*order))).where("_r <= 2").drop("_r")
-    sums = cells.groupBy(key, "_cell").agg(F.sum("_v").alias("_all"), F.sum("_f").alias("_flags"))
+    top = cells.withColumn("_r", F.row_number().over(W.partitionBy(key, "_pos").orderBy(*order))).where("_r <= 2")
+    # the row before a cell's latest one is the second of the cell or the latest of the cell before it
+    top = top.withColumn("_p", F.lag("_v").over(W.partitionBy(key).orderBy(time, record))).where("_r = 1").select(key, "_pos", F.struct(time, record, "_v", "_f", "_p").alias("_s"))
+    sums = cells.groupBy(key, "_pos").agg(F.sum("_v").alias("_all"), F.sum("_f").alias("_flags"))
     base = snapshots.select(key, as_of).distinct().join(F.broadcast(grid.spans(snapshots.sparkSession, as_of, [])), as_of)
-
-    def upto(df: DataFrame) -> DataFrame:
-        return base.join(df, key).where("_cell <= _to").drop("_to")
-
-    two = upto(top).withColumn("_r", F.row_number().over(W.partitionBy(key, as_of).orderBy(*order))).where("_r <= 2")
-    pick = lambda n, c: F.max(F.when(F.col("_r") == n, F.col(c)))
-    two = two.groupBy(key, as_of).agg(pick(1, "_v").alias("_c"), pick(2, "_v").alias("_p"), pick(1, "_f").alias("_cf"), F.max(time).alias("max_event_at"))
-    total = upto(sums).groupBy(key, as_of).agg(F.sum("_all").alias("_all"), F.sum("_flags").alias("_flags"))
+    marks = base.select(key, as_of, F.col("_to").alias("_pos"))
+    at = swept(sums.unionByName(top, allowMissingColumns=True), marks, key, {"_all": F.sum, "_flags": F.sum, "_s": F.max})
     zero = lambda c: F.coalesce(c, F.lit(0.0))
-    return base.drop("_to").join(two, [key, as_of], "left").join(total, [key, as_of], "left").select(
-        key, as_of, zero(F.col("_c")).alias("current"), zero(F.col("_all") - F.coalesce("_c", F.lit(0.0))).alias("prior_sum"), zero(F.col("_c") - F.col("_p")).alias("trend"),
-        F.coalesce(F.col("_flags") - F.col("_cf"), F.lit(0)).alias("prior_flags"), "max_event_at")
+    v = F.col("_s._v")
+    return at.select(
+        key, as_of, zero(v).alias("current"), zero(F.col("_all") - zero(v)).alias("prior_sum"), zero(v - F.col("_s._p")).alias("trend"),
+        F.coalesce(F.col("_flags") - F.col("_s._f"), F.lit(0)).alias("prior_flags"), F.col(f"_s.{time}").alias("max_event_at"))
 
 
 def features(base: DataFrame, blocks: list[DataFrame], key: str, as_of: str) -> DataFrame:

@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from functools import reduce
+
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators import changelog, conform, pit, quality
-from ..sources import files, sinks
+from ..contracts import SCHEMAS, contract
+from ..operators import changelog, conform, daily, metrics, pit, quality
+from ..operators.products import risk_tier
+from ..sources import files, keyed
 from ..sources.workspace import workspace
-from ..streaming.ingest import conform_stream, ingest
+from ..streaming.ingest import EVENTS, SIDES, ExpectationFailed, Feed, conform_stream, ingest, ingest_all, side
 from . import inputs as i
 
 
@@ -53,19 +59,91 @@ def must_hold(spark, sf_dir):
     return quality.must_hold(i.read(spark, sf_dir, "orders"), "positive_total", F.col("o_totalprice") > 0).select("o_orderkey", "o_totalprice")
 
 
+EVENT_FEED = Feed(i.EVENTS, "event_key string, ts timestamp_ntz, user_key string, event_type string, value double, run_date date")
+
+
 def ingest_stream_replay(spark, sf_dir):
     """Streams the events files twice with one checkpoint: the second run adds nothing."""
     root = workspace(spark)
-    source = spark.read.parquet(f"{sf_dir}/events.parquet")
-    landed = f"{root}/landed"
-    source.selectExpr(*i.DIRTY_EVENTS).write.parquet(landed)
-    schema = spark.read.parquet(landed).schema
+    dirty_events(spark, sf_dir).where(quality.present("event_key") & F.col("ts").isNotNull()).write.parquet(f"{root}/landed")
     for _ in range(2):
-        ingest(spark, landed, schema, i.EVENTS, i.TODAY, f"{root}/out").awaitTermination()
-    sides = [spark.read.parquet(f"{root}/out/{name}").groupBy().agg(F.lit(name).alias("side"), F.count(F.lit(1)).alias("row_count"), F.count("_source_file").alias("with_source")) for name in ("accepted", "quarantine")]
+        ingest(spark, f"{root}/landed", EVENT_FEED, i.TODAY, f"{root}/out").awaitTermination()
+    return _sides(spark, f"{root}/out")
+
+
+def _sides(spark, root):
+    sides = [side(spark, root, name, EVENT_FEED.schema).groupBy().agg(F.lit(name).alias("side"), F.count(F.lit(1)).alias("row_count"), F.count("_source_file").alias("with_source")) for name in SIDES]
     return sides[0].unionByName(sides[1])
 
 
+def guarded_batch(spark, sf_dir):
+    """After a good file, one with rows that break what must hold, twice: its batch leaves nothing, each time, and its sides stay those of the first file."""
+    root, rows = workspace(spark), dirty_events(spark, sf_dir)
+    good = quality.present("event_key") & F.col("ts").isNotNull()
+    rows.where(good).where("value < 250").write.parquet(f"{root}/landed/a")
+    for k in range(3):
+        if k == 1:
+            rows.where(~good | (F.col("value") >= 250)).write.parquet(f"{root}/landed/b")
+        try:
+            ingest(spark, f"{root}/landed", EVENT_FEED, i.TODAY, f"{root}/out").awaitTermination()
+        except StreamingQueryException as e:
+            if k == 0 or ExpectationFailed.__name__ not in str(e):
+                raise
+        else:
+            if k:
+                raise RuntimeError("a batch with broken rows was accepted")
+    return _sides(spark, f"{root}/out")
+
+
+def flowed(spark, sf_dir):
+    """Lands the six feeds and runs them from one call; the folder of their outputs."""
+    root, feeds = workspace(spark), {}
+    for name, (source, columns) in i.FEEDS.items():
+        rows = i.read(spark, sf_dir, source).selectExpr(*columns)
+        rows.write.parquet(f"{root}/landed/{name}")
+        feeds[name] = Feed(contract(name), SCHEMAS[name], ", ".join(f"{c} string" for c in rows.columns))
+    ingest_all(spark, f"{root}/landed", feeds, i.TODAY, f"{root}/out")
+    return f"{root}/out"
+
+
+def feed_flow_counts(spark, sf_dir):
+    root = flowed(spark, sf_dir)
+    parts = [side(spark, f"{root}/{flow}", name, SCHEMAS[flow]).groupBy("violation_reason", F.col(files.RESCUED).isNotNull().alias("rescued")).agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(flow).alias("flow"), F.lit(name).alias("side"), "violation_reason", "rescued", "row_count") for flow in i.FEEDS for name in SIDES]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def flow_metrics(spark, sf_dir):
+    """The event log of the six flows, which the passes that wrote their rows filled."""
+    root = flowed(spark, sf_dir)
+    log = reduce(DataFrame.unionByName, [spark.read.schema(EVENTS).parquet(f"{root}/{flow}/events") for flow in i.FEEDS])
+    return log.groupBy("flow", "expectation").agg(F.sum("passed").alias("passed"), F.sum("failed").alias("failed"))
+
+
+def _day_stages(sf_dir):
+    at = lambda day: pit.end_of_day(F.lit(day))
+
+    def features(spark, inputs, day):
+        kind = lambda t: F.col("event_type") == t
+        snaps = inputs["entities"].select("entity_id", at(day).alias("as_of"))
+        return pit.activity(snaps, inputs["activity"], *KEY, "ts", kind("purchase"), kind("error"), kind("click"), kind("view"))
+
+    score = metrics.rule_score(F.col("rate_28d"), F.col("missed_28d"), F.lit(False), F.col("days_since_activity"), F.lit(0))
+    return [
+        daily.Stage("entities", lambda spark, inputs, day: i.read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("entity_id"), F.col("c_mktsegment").alias("program"))),
+        daily.Stage("activity", lambda spark, inputs, day: i.events(spark, sf_dir).where(F.col("ts") <= at(day)).select("entity_id", "ts", "event_type")),
+        daily.Stage("features", features, ("entities", "activity")),
+        daily.Stage("scores", lambda spark, inputs, day: inputs["features"].select(*KEY, score.alias("risk_score"), risk_tier(score).alias("risk_tier")), ("features",)),
+        daily.Stage("caseload", lambda spark, inputs, day: inputs["scores"].where("risk_tier <> 'low'").join(inputs["entities"], "entity_id"), ("entities", "scores"))]
+
+
+def daily_workflow(spark, sf_dir):
+    """Two days from files to products. The second one stops after its features and goes on where it stopped; both are repeated, which changes nothing."""
+    root, stages = workspace(spark), _day_stages(sf_dir)
+    for day, count in ((15, 5), (22, 3), (22, 5), (15, 5), (22, 5)):
+        daily.run_day(spark, root, dt.date(2024, 1, day), stages[:count])
+    return daily.ledger(spark, root).select("run_date", "stage", "row_count")
+
+
 def rescue_values(spark, sf_dir):
     raw = i.read(spark, sf_dir, "events").selectExpr("event_id", "CASE WHEN event_id % 5 = 0 THEN event_type ELSE CAST(user_id AS STRING) END AS amount", "CASE WHEN event_id % 7 = 0 THEN 'x' || CAST(event_id AS STRING) END AS surplus")
     schema = T.StructType().add("event_id", "long").add("amount", "long")
@@ -79,8 +157,9 @@ def conform_stream_latest(spark, sf_dir):
     i.read(spark, sf_dir, "lineitem").select(*keys, *SEQUENCE).repartition(4).write.parquet(f"{root}/landed")
     parents = i.read(spark, sf_dir, "orders").where("o_orderkey % 3 <> 0").select(F.col("o_orderkey").alias("l_orderkey"))
     source = files.stream(spark, f"{root}/landed", spark.read.parquet(f"{root}/landed").schema, files_per_batch=2)
-    conform_stream(source, f"{root}/table", keys, SEQUENCE, f"{root}/checkpoint", parents, "l_orderkey").awaitTermination()
-    return sinks.read_table(spark, f"{root}/table")
+    table = keyed.Keyed(f"{root}/table", tuple(keys), buckets=8)
+    conform_stream(source, table, SEQUENCE, f"{root}/checkpoint", parents, "l_orderkey").awaitTermination()
+    return keyed.read(spark, table)
 
 
 SEQUENCE = ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
@@ -122,7 +201,10 @@ def protected_latest(spark, sf_dir):
 
 
 def isolated_columns(spark, sf_dir):
-    return quality.forbidden_columns(conform.isolated(i.read(spark, sf_dir, "customer"), ["c_name"]), ["c_name", "c_acctbal", "c_phone"])
+    """The rows of customers without the protected columns, and the columns that a product may not have but these still have."""
+    rows = conform.isolated(i.read(spark, sf_dir, "customer"), ["c_name", "c_acctbal"])
+    left = quality.forbidden_columns(rows, ["c_name", "c_acctbal", "c_mktsegment"]).agg(F.array_join(F.sort_array(F.collect_list("column_name")), ",").alias("forbidden"))
+    return rows.crossJoin(F.broadcast(left))  # one row
 
 
 KEY = ("entity_id", "as_of")
@@ -209,7 +291,7 @@ def command_events(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    quality_classify, quality_split, quality_reasons, customer_balance_quality, expectation_report, constraint_violations, must_hold, ingest_stream_replay, conform_stream_latest, rescue_values, scd1_latest, scd1_upsert, orphan_quarantine, orphan_counts,
+    quality_classify, quality_split, quality_reasons, customer_balance_quality, expectation_report, constraint_violations, must_hold, ingest_stream_replay, guarded_batch, feed_flow_counts, flow_metrics, daily_workflow, conform_stream_latest, rescue_values, scd1_latest, scd1_upsert, orphan_quarantine, orphan_counts,
     with_parent, protected_latest, isolated_columns, pit_rate_28d, pit_ranked_history, pit_features, leakage_audit, label_cutoffs, entity_snapshots, cdc_audit, cdc_current, cdc_events, cdc_event_owners, cdc_summary, command_fold, command_events)}
 QUERIES |= {"pit_counts": counts_block, "pit_latest_state": state_block}
 
@@ -219,6 +301,7 @@ _CLASS = f"(SELECT *, coalesce(reason NOT IN ('MISSING_PRIMARY_KEY', 'INVALID_EV
 _LATEST = f"SELECT l_orderkey, l_linenumber, {', '.join(SEQUENCE)} FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {', '.join(c + ' DESC' for c in SEQUENCE)}) AS k FROM lineitem) WHERE k = 1"
 _ORPHANS = "SELECT 'orders' AS dataset, o_orderkey::VARCHAR AS record_id, o_custkey AS entity_id FROM orders WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey AND c_custkey % 7 <> 0) UNION ALL SELECT 'events', event_id::VARCHAR, user_id FROM events WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = user_id AND c_custkey % 7 <> 0)"
 
+_DAYS = "day(as_of) < 25"
 ORACLES = {k: i.sql(v) for k, v in {
     "quality_classify": f"SELECT is_critical_valid, is_recoverable_valid, reason AS violation_reason, count(*) AS row_count FROM {_CLASS} GROUP BY ALL",
     "quality_split": f"SELECT CASE WHEN is_recoverable_valid OR NOT is_critical_valid THEN 'accepted' ELSE 'quarantine' END AS side, event_key, ts, reason AS violation_reason FROM {_CLASS}",
@@ -227,7 +310,13 @@ ORACLES = {k: i.sql(v) for k, v in {
     "expectation_report": "SELECT e AS expectation, count(*) FILTER (p) AS passed, count(*) FILTER (NOT p) AS failed FROM (SELECT unnest(['key_present', 'time_present', 'run_date_valid', 'type_known']) AS e, unnest([coalesce(trim(event_key) <> '', false), ts IS NOT NULL, coalesce(run_date <= DATE '2024-01-31', false), event_type <> 'error']) AS p FROM dirty) GROUP BY ALL",
     "constraint_violations": "SELECT lsn, 'status_domain' AS \"constraint\" FROM log1 WHERE status = 'deferred' UNION ALL SELECT lsn, 'version_positive' FROM log1 WHERE version <= 1 UNION ALL SELECT lsn, 'closed_has_no_follow_up' FROM log1 WHERE status = 'closed' AND next_follow_up_at IS NOT NULL",
     "must_hold": "SELECT o_orderkey, o_totalprice FROM orders",
-    "ingest_stream_replay": f"SELECT CASE WHEN is_recoverable_valid OR NOT is_critical_valid THEN 'accepted' ELSE 'quarantine' END AS side, count(*) AS row_count, count(*) AS with_source FROM {_CLASS} GROUP BY ALL",
+    "ingest_stream_replay": f"SELECT CASE WHEN is_recoverable_valid THEN 'accepted' ELSE 'quarantine' END AS side, count(*) AS row_count, count(*) AS with_source FROM {_CLASS} WHERE is_critical_valid GROUP BY ALL",
+    "guarded_batch": f"SELECT CASE WHEN is_recoverable_valid THEN 'accepted' ELSE 'quarantine' END AS side, count(*) AS row_count, count(*) AS with_source FROM {_CLASS} WHERE is_critical_valid AND value < 250 GROUP BY ALL",
+    "feed_flow_counts": "SELECT flow, CASE WHEN reason IS NULL THEN 'accepted' ELSE 'quarantine' END AS side, reason AS violation_reason, coalesce(reason = 'RESCUED_DATA', false) AS rescued, count(*) AS row_count FROM landed GROUP BY ALL",
+    "flow_metrics": "SELECT flow, e AS expectation, count(*) FILTER (e <> 'recoverable' OR reason IS NULL) AS passed, count(*) FILTER (e = 'recoverable' AND reason IS NOT NULL) AS failed FROM landed, (SELECT unnest(['primary_key_present', 'event_timestamp_present', 'recoverable']) AS e) GROUP BY ALL",
+    "daily_workflow": f"""SELECT as_of::DATE AS run_date, 'entities' AS stage, (SELECT count(*) FROM customer) AS row_count FROM cut WHERE {_DAYS} UNION ALL SELECT as_of::DATE, 'activity', (SELECT count(*) FROM events WHERE ts <= as_of) FROM cut WHERE {_DAYS}
+        UNION ALL SELECT as_of::DATE, unnest(['features', 'scores']), count(*) FROM f_rate WHERE {_DAYS} GROUP BY as_of
+        UNION ALL SELECT as_of::DATE, 'caseload', count(*) FILTER (0.35 * (1.0::DOUBLE - least(rate_28d, 1.0)) + 0.20 * least(missed_28d::DOUBLE, 4.0) / 4 + 0.15 * least(days_since_activity::DOUBLE, 60.0) / 60 >= 0.3) FROM f_rate JOIN f_counts USING (entity_id, as_of) WHERE {_DAYS} GROUP BY as_of""",
     "rescue_values": "SELECT event_id, CASE WHEN event_id % 5 <> 0 THEN user_id END AS amount, CASE WHEN event_id % 5 = 0 THEN event_type END AS lost_amount, CASE WHEN event_id % 7 = 0 THEN 'x' || event_id::VARCHAR END AS surplus, event_id % 5 = 0 OR event_id % 7 = 0 AS rescued FROM events",
     "conform_stream_latest": f"SELECT * FROM ({_LATEST}) WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 3 <> 0)",
     "scd1_latest": _LATEST,
@@ -236,7 +325,7 @@ ORACLES = {k: i.sql(v) for k, v in {
     "orphan_counts": f"SELECT dataset, count(*) AS orphans FROM ({_ORPHANS}) GROUP BY ALL",
     "with_parent": "SELECT o_custkey AS entity_id, o_orderkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_custkey % 7 <> 0)",
     "protected_latest": "SELECT o_custkey AS entity_id, o_orderpriority, o_orderstatus FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS k FROM orders) WHERE k = 1",
-    "isolated_columns": "SELECT 'c_acctbal' AS column_name",
+    "isolated_columns": "SELECT c_custkey, c_nationkey, c_mktsegment, 'c_mktsegment' AS forbidden FROM customer",
     "pit_rate_28d": f"SELECT {i.rounded(['rate_28d'], ['entity_id', 'as_of', 'max_event_at'])} FROM f_rate",
     "pit_counts": "SELECT * FROM f_counts",
     "pit_latest_state": "SELECT * FROM f_state",
@@ -255,7 +344,7 @@ ORACLES = {k: i.sql(v) for k, v in {
 
 #: Every command once those before it of its entity and of its key are known; used is the version that the key stands for from then on.
 _COMMANDS = f"""WITH RECURSIVE c AS (
-        SELECT *, lag(seq) OVER (PARTITION BY entity_id ORDER BY seq) AS entity_before, lag(seq) OVER (PARTITION BY idempotency_key ORDER BY seq) AS key_before FROM (SELECT {', '.join(i.COMMANDS)} FROM events)),
+        SELECT *, lag(seq) OVER (PARTITION BY entity_id ORDER BY seq) AS entity_before, CASE WHEN idempotency_key IS NOT NULL THEN lag(seq) OVER (PARTITION BY idempotency_key ORDER BY seq) END AS key_before FROM (SELECT {', '.join(i.COMMANDS)} FROM events)),
     f(seq, applied, seen, version, prior_status, status, outcome, closed_at, used) USING KEY (seq) AS (
         SELECT -1::BIGINT, false, NULL::BIGINT, 0::BIGINT, NULL::VARCHAR, NULL::VARCHAR, NULL::VARCHAR, NULL::TIMESTAMP, NULL::BIGINT
         UNION

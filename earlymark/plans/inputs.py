@@ -40,10 +40,28 @@ EVENT_LOG = [
     "ts AS at", "ts AS delivered_at",
 ]
 COMMANDS = [
-    "event_id AS seq", "user_id * 2 + event_id % 2 AS entity_id", "CASE WHEN event_id % 9 < 2 THEN 'create' ELSE 'transition' END AS action", "'k' || CAST(event_id % 700 AS STRING) AS idempotency_key",
+    "event_id AS seq", "user_id * 2 + event_id % 2 AS entity_id", "CASE WHEN event_id % 9 < 2 THEN 'create' ELSE 'transition' END AS action", "CASE WHEN event_id % 8 = 3 THEN 'k' || CAST(event_id % 700 AS STRING) WHEN event_id % 8 = 5 THEN 'r' || CAST(user_id AS STRING) || '/' || CAST(event_id % 31 AS STRING) WHEN event_id % 8 < 7 THEN 'u' || CAST(event_id AS STRING) END AS idempotency_key",
     "CAST(event_id % 3 + 1 AS INT) AS expected_version", "CASE WHEN event_id % 5 = 4 THEN 'closed' ELSE 'status_changed' END AS event_type",
     "CASE event_id % 5 WHEN 0 THEN 'open' WHEN 1 THEN 'contacted' WHEN 2 THEN 'in_progress' WHEN 3 THEN 'deferred' ELSE 'closed' END AS new_status", "CASE WHEN event_id % 4 = 0 THEN event_type END AS outcome", "ts AS at",
 ]
+#: The six feeds as they land, as text: name -> (table, columns). Some values don't fit their type, and outcomes have a column that the feed lacks.
+FEEDS = {
+    "entities": ("customer", [
+        "'E' || CAST(c_custkey AS STRING) AS entity_id", "c_mktsegment AS program", "'A' || CAST(c_custkey % 40 AS STRING) AS advisor_id", "CASE WHEN c_custkey % 61 = 0 THEN 'n/a' ELSE CAST(c_custkey % 1000 AS STRING) END AS exposure",
+        "'2024-01-10 00:00:00' AS record_effective_at", "CASE WHEN c_custkey % 47 = 0 THEN '2024-03-01' ELSE '2024-01-30' END AS run_date"]),
+    "periods": ("orders", [
+        "'P' || CAST(o_orderkey AS STRING) AS period_id", "CASE WHEN o_orderkey % 59 <> 0 THEN 'E' || CAST(o_custkey AS STRING) END AS entity_id", "'T1' AS term", "CAST(CAST(o_orderdate AS DATE) AS STRING) AS census_date", "CASE WHEN o_orderkey % 67 = 0 THEN 'twelve' ELSE '12' END AS credits_attempted",
+        "'10' AS credits_completed", "CAST((o_orderkey % 45) / 10.0D AS STRING) AS cumulative_gpa", "'2024-01-30' AS run_date"]),
+    "presence": ("events", [
+        "'R' || CAST(event_id AS STRING) AS presence_id", "CASE WHEN event_id % 97 <> 0 THEN 'E' || CAST(user_id AS STRING) END AS entity_id", "CAST(ts AS STRING) AS event_at", "CASE WHEN event_id % 101 = 0 THEN 'perhaps' ELSE 'true' END AS present_flag",
+        "CASE WHEN event_id % 71 = 0 THEN '2024-01-02' ELSE '2024-01-31' END AS run_date"]),
+    "activity": ("events", [
+        "'V' || CAST(event_id AS STRING) AS activity_id", "'E' || CAST(user_id AS STRING) AS entity_id", "CASE event_type WHEN 'click' THEN 'LMS_LOGIN' WHEN 'view' THEN 'ASSIGNMENT' WHEN 'purchase' THEN 'ADVISING' WHEN 'signup' THEN 'SUPPORT' ELSE 'OTHER' END AS event_type", "CAST(ts AS STRING) AS event_at", "'2024-01-31' AS run_date"]),
+    "balances": ("events", [
+        "'B' || CAST(event_id AS STRING) AS balance_id", "'E' || CAST(user_id AS STRING) AS entity_id", "CAST(ts AS STRING) AS event_at", "CASE WHEN event_id % 9 = 0 THEN '-1.5' ELSE '20.25' END AS balance_amount", "'false' AS hold_flag", "'2024-01-31' AS run_date"]),
+    "outcomes": ("orders", [
+        "'O' || CAST(o_orderkey AS STRING) AS outcome_id", "'E' || CAST(o_custkey AS STRING) AS entity_id", "CAST(CAST(o_orderdate AS DATE) AS STRING) AS next_census_date", "o_orderstatus AS outcome_status", "'2024-01-30' AS run_date", "CASE WHEN o_orderkey % 83 = 0 THEN 'late' END AS note"]),
+}
 TERM = "CAST(year(o_orderdate) AS STRING) || 'Q' || CAST(quarter(o_orderdate) AS STRING)"
 
 
@@ -130,6 +148,12 @@ CTE = {
         avg(CASE WHEN date_sub('second', scored_at, first_intervention_at) >= 0 THEN date_sub('second', scored_at, first_intervention_at) / 86400.0::DOUBLE END) AS days_to_first_intervention,
         avg(CASE WHEN follow_up_due THEN follow_up_completed::INT::DOUBLE END) AS follow_up_completion_rate, sum(CASE WHEN risk_tier IN ('medium', 'high') THEN exposure ELSE 0.0 END) AS exposure, true AS exposure_is_estimate, max(scored_at) AS fresh_at
         FROM ctx GROUP BY ALL""",
+    "landed": """SELECT 'entities' AS flow, CASE WHEN c_custkey % 61 = 0 THEN 'RESCUED_DATA' WHEN c_custkey % 47 = 0 THEN 'INVALID_RUN_DATE' END AS reason FROM customer
+        UNION ALL SELECT 'periods', CASE WHEN o_orderkey % 67 = 0 THEN 'RESCUED_DATA' WHEN o_orderkey % 59 = 0 THEN 'MISSING_PARENT_ID' WHEN o_orderkey % 45 > 40 THEN 'GPA_OUT_OF_RANGE' END FROM orders
+        UNION ALL SELECT 'presence', CASE WHEN event_id % 101 = 0 THEN 'RESCUED_DATA' WHEN event_id % 97 = 0 THEN 'MISSING_PARENT_ID' WHEN event_id % 71 = 0 AND ts::DATE > DATE '2024-01-02' THEN 'EVENT_AFTER_RUN_DATE' END FROM events
+        UNION ALL SELECT 'activity', CASE WHEN event_type NOT IN ('click', 'view', 'purchase', 'signup') THEN 'UNKNOWN_EVENT_TYPE' END FROM events
+        UNION ALL SELECT 'balances', CASE WHEN event_id % 9 = 0 THEN 'NEGATIVE_BALANCE' END FROM events
+        UNION ALL SELECT 'outcomes', CASE WHEN o_orderkey % 83 = 0 THEN 'RESCUED_DATA' END FROM orders""",
     "trend": "SELECT program, cohort, term, score_date, risk_tier, intervention_status, count(DISTINCT entity_id) AS entity_count, avg(risk_score) AS average_score, min(risk_score) AS minimum_score, max(risk_score) AS maximum_score FROM ctx GROUP BY ALL",
 }
 

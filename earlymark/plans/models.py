@@ -9,38 +9,40 @@ from pyspark.sql import types as T
 
 from ..functions import assign, text
 from ..operators import metrics, model
-from ..sources import sinks
-from ..sources.workspace import workspace
-from . import feeds
+from ..sources import keyed, sinks
+from ..sources.workspace import kept, workspace
+from . import feeds, hashing
 from . import inputs as i
 from . import products
 
 SEED = 20_260_921
+BUCKETS = 8  # of the tables that the queries make
 
 
 def insert_only_append(spark, sf_dir):
     """Scores of two cutoffs, then all three: the third comes in, the others stay as they were; a replay adds nothing."""
-    path, rows = workspace(spark), products.scored_history(spark, sf_dir)
-    keys = ["entity_id", "as_of", "model_version"]
-    sinks.write_version(rows.where("as_of < TIMESTAMP_NTZ '2024-01-25 00:00:00'"), path)
+    rows = products.scored_history(spark, sf_dir)
+    t = keyed.Keyed(workspace(spark), ("entity_id", "as_of", "model_version"), ranged="as_of", buckets=BUCKETS)
+    keyed.append_new(t, rows.where("as_of < TIMESTAMP_NTZ '2024-01-25 00:00:00'"))
     changed = rows.withColumn("risk_score", F.when(F.col("as_of") < F.lit("2024-01-25").cast("timestamp_ntz"), F.lit(-1.0)).otherwise(F.col("risk_score")))
     for _ in range(2):
-        sinks.append_new(changed, path, keys)
-    return sinks.read_table(spark, path)
+        out = keyed.append_new(t, changed)
+    return out
 
 
 def upsert_by_key(spark, sf_dir):
-    path, rows = workspace(spark), i.read(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    sinks.write_version(rows.where("o_orderkey % 3 <> 0"), path)
-    changed = rows.where("o_orderkey % 2 = 0").withColumn("o_orderstatus", F.lit("U"))
-    return sinks.write_version(sinks.upsert(sinks.read_table(spark, path), changed, ["o_orderkey"]), path)
+    rows = i.read(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    t = keyed.Keyed(workspace(spark), ("o_orderkey",), buckets=BUCKETS)
+    keyed.merge_upsert(t, rows.where("o_orderkey % 3 <> 0"))
+    return keyed.merge_upsert(t, rows.where("o_orderkey % 2 = 0").withColumn("o_orderstatus", F.lit("U")))
 
 
 def conditional_update(spark, sf_dir):
-    path, rows = workspace(spark), i.read(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
-    sinks.write_version(rows, path)
+    rows = i.read(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    t = keyed.Keyed(workspace(spark), ("o_orderkey",), buckets=BUCKETS)
+    keyed.merge_upsert(t, rows)
     updates = rows.where("o_orderkey % 5 = 0").select("o_orderkey", F.lit("checked").alias("o_orderpriority"))
-    return sinks.write_version(sinks.update_where(sinks.read_table(spark, path), updates, ["o_orderkey"], ["o_orderpriority"], "o_orderstatus = 'F'"), path)
+    return keyed.merge_update(t, updates, ["o_orderpriority"], "o_orderstatus = 'F'")
 
 
 def schema_evolve(spark, sf_dir):
@@ -102,12 +104,34 @@ def top_k_recall(spark, sf_dir):
     return i.round_columns(metrics.top_k_metrics(evaluated(spark, sf_dir), "toxic", "score", "doc_id"), ["recall", "precision"])
 
 
+def clicked(spark, sf_dir):
+    """Every event with a score made from its value, and whether it is a purchase; many events share a score."""
+    return i.read(spark, sf_dir, "events").select("event_id", (F.col("event_type") == "purchase").cast("int").alias("label"), F.round(F.least(F.col("value"), F.lit(500.0)) / 500.0, 3).alias("score"))
+
+
+FRACTIONS = [0.1, 0.3, 0.6, 0.9]
+
+
+def top_k_ladder(spark, sf_dir):
+    return i.round_columns(metrics.top_k_ladder(clicked(spark, sf_dir), "label", "score", "event_id", FRACTIONS), ["recall", "precision"])
+
+
+def ranked_scores(spark, sf_dir):
+    return metrics.ranked(clicked(spark, sf_dir), "score", "event_id", ["label"]).select("event_id", "rank", "running_label")
+
+
 def calibration_error(spark, sf_dir):
     return i.round_columns(metrics.calibration_error(evaluated(spark, sf_dir), "toxic", "score"), ["calibration_error"])
 
 
+def audited(spark, sf_dir):
+    """evaluated, with the cohort of a table that knows only documents with an even id: the others have none."""
+    cohorts = i.read(spark, sf_dir, "documents").where("doc_id % 2 = 0").select("doc_id", F.col("lang").alias("cohort"))
+    return evaluated(spark, sf_dir).join(cohorts, "doc_id", "left")
+
+
 def cohort_error_rates(spark, sf_dir):
-    return i.round_columns(metrics.cohort_errors(evaluated(spark, sf_dir), "toxic", "predicted", "lang"), ["false_positive_rate", "false_negative_rate"])
+    return i.round_columns(metrics.cohort_errors(audited(spark, sf_dir), "toxic", "predicted", "cohort"), ["false_positive_rate", "false_negative_rate"])
 
 
 def fairness_gap(spark, sf_dir):
@@ -130,6 +154,8 @@ def chrono_split(spark, sf_dir):
     return metrics.chronological_split(days, "day").groupBy("split").agg(F.count(F.lit(1)).alias("row_count"), F.min("day").alias("first_day"), F.max("day").alias("last_day"))
 
 
+#: What no model may see, whatever list it is on.
+DENIED = ("entity_id", "as_of", "label", "max_feature_event_at", "o_orderstatus")
 NUMERIC, CATEGORICAL = ["rate_28d", "missed_28d", "support_90d", "days_since_activity", "current", "prior_sum", "prior_flags"], ["program", "o_orderpriority"]
 
 
@@ -139,23 +165,38 @@ def training_rows(spark, sf_dir):
     return feeds.all_features(spark, sf_dir).withColumn("label", label)
 
 
+def feature_policy(spark, sf_dir):
+    """The training rows as a model may see them: what is on the list of features and not denied."""
+    rows = training_rows(spark, sf_dir)
+    own = model.feature_columns(rows, [*NUMERIC, *CATEGORICAL, "o_orderstatus"], DENIED)
+    return i.round_columns(rows.select("entity_id", "as_of", *own), ["rate_28d", "current", "prior_sum"])
+
+
+def allowed(df):
+    """The features that the policy lets through, numbers and categories."""
+    own = model.feature_columns(df, NUMERIC + CATEGORICAL, DENIED)
+    return [c for c in NUMERIC if c in own], [c for c in CATEGORICAL if c in own]
+
+
 def fit_and_score(spark, sf_dir):
     rows = training_rows(spark, sf_dir)
+    numeric, categorical = allowed(rows)
     split = metrics.chronological_split(rows, "as_of")
-    fitted = model.fit_logistic(split.where("split = 'train'").drop("split"), "label", NUMERIC, CATEGORICAL)
-    return model.scored(fitted, split.where("split = 'validation'"), ["entity_id", "as_of"], NUMERIC)
+    fitted = model.fit_logistic(split.where("split = 'train'").drop("split"), "label", numeric, categorical)
+    return model.scored(fitted, split.where("split = 'validation'"), ["entity_id", "as_of"])
 
 
 def model_gates(spark, sf_dir):
     """Three candidates by their metrics on the latest period, with the one that is chosen."""
-    rows = metrics.chronological_split(training_rows(spark, sf_dir), "as_of").persist()
+    rows = kept(metrics.chronological_split(training_rows(spark, sf_dir), "as_of"))
+    numeric, categorical = allowed(rows)
     train, check = rows.where("split = 'train'").drop("split"), rows.where("split = 'validation'").drop("split")
     rule = check.select("entity_id", "as_of", metrics.rule_score(F.col("rate_28d"), F.col("missed_28d"), F.col("o_orderstatus") == "O", F.col("days_since_activity"), F.col("prior_flags")).alias("risk_score"))
-    fits = [model.fit_logistic(train, "label", NUMERIC, CATEGORICAL), model.fit_boosted(train, "label", NUMERIC, CATEGORICAL)]
+    fits = [model.fit_logistic(train, "label", numeric, categorical), model.fit_boosted(train, "label", numeric, categorical)]
     out = None
-    for k, (name, scores) in enumerate(zip(("rule", "logistic", "boosted"), [rule, *(model.scored(m, check, ["entity_id", "as_of"], NUMERIC) for m in fits)])):
+    for k, (name, scores) in enumerate(zip(("rule", "logistic", "boosted"), [rule, *(model.scored(m, check, ["entity_id", "as_of"]) for m in fits)])):
         own = check.select("entity_id", "as_of", "label").join(scores.select("entity_id", "as_of", "risk_score"), ["entity_id", "as_of"])
-        one = metrics.average_precision(own, "label", "risk_score", "entity_id").crossJoin(metrics.top_k_metrics(own, "label", "risk_score", "entity_id").select(F.col("recall").alias("top_k_recall"))).crossJoin(metrics.calibration_error(own, "label", "risk_score"))
+        one = metrics.ranking_metrics(own, "label", "risk_score", "entity_id", [0.1]).select("average_precision", F.col("top")[0]["recall"].alias("top_k_recall")).crossJoin(F.broadcast(metrics.calibration_error(own, "label", "risk_score")))  # one row each
         one = one.select(F.lit(name).alias("candidate"), F.lit(k).alias("complexity"), "*")
         out = one if out is None else out.unionByName(one)
     return metrics.gated(out)
@@ -235,11 +276,13 @@ def publication_gate(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    insert_only_append, upsert_by_key, conditional_update, schema_evolve, run_partitions, cohort_assign, bucket_ladder, period_expand, defect_inject, derived_keys, cohort_keys, hash_buckets, avg_precision, top_k_recall, calibration_error,
+    insert_only_append, upsert_by_key, conditional_update, schema_evolve, run_partitions, cohort_assign, bucket_ladder, period_expand, defect_inject, derived_keys, cohort_keys, hash_buckets, avg_precision, top_k_recall, top_k_ladder, ranked_scores, feature_policy, calibration_error,
     cohort_error_rates, fairness_gap, rule_score, logistic_score, chrono_split, fit_and_score, model_gates, leading_factors, fact_payload, render_facts, validate_response, grounding_score, prohibited_scan, redact_text, secret_scan, publication_gate, summary_records, pseudonyms)}
 
 _EVAL = "(SELECT l.doc_id, d.lang, l.toxic, round(least(n_chars, 5000) / 5000.0::DOUBLE, 4) AS score, CASE WHEN round(least(n_chars, 5000) / 5000.0::DOUBLE, 4) >= 0.5 THEN 1 ELSE 0 END AS predicted FROM labels l JOIN documents d USING (doc_id))"
 _RANKED = f"(SELECT *, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, sum(toxic) OVER (ORDER BY score DESC, doc_id ROWS UNBOUNDED PRECEDING) AS hits, count(*) OVER () AS n, sum(toxic) OVER () AS positives FROM {_EVAL})"
+_CLICKED = "(SELECT *, row_number() OVER (ORDER BY score DESC, event_id) AS rank, sum(label) OVER (ORDER BY score DESC, event_id ROWS UNBOUNDED PRECEDING) AS hits, count(*) OVER () AS n, sum(label) OVER () AS positives FROM (SELECT event_id, (event_type = 'purchase')::INT AS label, round(least(value, 500.0) / 500.0::DOUBLE, 3) AS score FROM events))"
+_AUDIT = "SELECT CASE WHEN doc_id % 2 = 0 THEN lang ELSE 'UNKNOWN' END AS cohort, count(*) AS row_count, coalesce(count(*) FILTER (toxic = 0 AND predicted = 1) / nullif(count(*) FILTER (toxic = 0), 0), 0.0) AS false_positive_rate, coalesce(count(*) FILTER (toxic = 1 AND predicted = 0) / nullif(count(*) FILTER (toxic = 1), 0), 0.0) AS false_negative_rate FROM " + _EVAL + " GROUP BY ALL"
 _ERRORS = f"SELECT lang, count(*) AS row_count, coalesce(count(*) FILTER (toxic = 0 AND predicted = 1) / nullif(count(*) FILTER (toxic = 0), 0), 0.0) AS false_positive_rate, coalesce(count(*) FILTER (toxic = 1 AND predicted = 0) / nullif(count(*) FILTER (toxic = 1), 0), 0.0) AS false_negative_rate FROM {_EVAL} GROUP BY ALL"
 _AB = lambda f: f"((((c_custkey % 10000) * {f[0] % 10000} + {SEED * f[1] % 10000}) % 10000 + 10000) % 10000)"
 _PIT = "SELECT a.entity_id, a.as_of, rate_28d, missed_28d, support_90d, days_since_activity, o_orderstatus, prior_flags FROM f_rate a JOIN f_counts USING (entity_id, as_of) JOIN f_state USING (entity_id, as_of) JOIN f_hist USING (entity_id, as_of)"
@@ -268,8 +311,12 @@ ORACLES = {k: i.sql(v) for k, v in {
     "cohort_keys": "SELECT o_orderpriority, sha256(array_to_string(list_sort(list(DISTINCT o_orderkey::VARCHAR)), '|')) AS cohort_key FROM orders GROUP BY ALL",
     "avg_precision": f"SELECT round(coalesce(sum(CASE WHEN toxic = 1 THEN hits / rank END) / nullif(max(positives), 0), 0.0), 6) AS average_precision FROM {_RANKED}",
     "top_k_recall": f"SELECT max(k)::BIGINT AS k, round(coalesce(sum(toxic) FILTER (rank <= k) / nullif(max(positives), 0), 0.0), 6) AS recall, round(sum(toxic) FILTER (rank <= k) / max(k), 6) AS precision FROM (SELECT *, greatest(1, round_even(n * 0.1::DOUBLE, 0)) AS k FROM {_RANKED})",
+    "top_k_ladder": f"SELECT f AS fraction, k::BIGINT AS k, round(coalesce(sum(label) FILTER (rank <= k) / nullif(max(positives), 0), 0.0), 6) AS recall, round(sum(label) FILTER (rank <= k) / max(k), 6) AS precision FROM (SELECT *, greatest(1, round_even(n * f, 0)) AS k FROM {_CLICKED}, (SELECT unnest({FRACTIONS}::DOUBLE[]) AS f)) GROUP BY ALL",
+    "ranked_scores": f"SELECT event_id, rank, hits::BIGINT AS running_label FROM {_CLICKED}",
+    "hash_buckets": f"SELECT (({hashing.SIGNED} % 16) + 16)::BIGINT % 16 AS bucket, count(*) AS row_count FROM {hashing.with_hash('(SELECT o_orderkey FROM orders)', [('o_orderkey', 'long')])} GROUP BY ALL",
+    "feature_policy": f"SELECT a.entity_id, a.as_of, missed_28d, support_90d, days_since_activity, prior_flags, c.c_mktsegment AS program, o_orderpriority, {i.rounded(['rate_28d', 'current', 'prior_sum'], [])} FROM f_rate a JOIN f_counts b USING (entity_id, as_of) JOIN f_state d USING (entity_id, as_of) JOIN f_hist e USING (entity_id, as_of) JOIN customer c ON c.c_custkey = a.entity_id",
     "calibration_error": f"SELECT round(sum(n * gap) / sum(n), 6) AS calibration_error FROM (SELECT least(floor(score * 10), 9) AS bin, count(*) AS n, abs(avg(score) - avg(toxic)) AS gap FROM {_EVAL} GROUP BY 1)",
-    "cohort_error_rates": f"SELECT {i.rounded(['false_positive_rate', 'false_negative_rate'], ['lang', 'row_count'])} FROM ({_ERRORS})",
+    "cohort_error_rates": f"SELECT {i.rounded(['false_positive_rate', 'false_negative_rate'], ['cohort', 'row_count'])} FROM ({_AUDIT})",
     "fairness_gap": f"SELECT round(max(false_positive_rate) - min(false_positive_rate), 6) AS false_positive_rate_gap, round(max(false_negative_rate) - min(false_negative_rate), 6) AS false_negative_rate_gap FROM ({_ERRORS})",
     "rule_score": f"SELECT entity_id, as_of, round({_CLIP(f'''0.35 * (1.0::DOUBLE - {_CLIP('rate_28d', 1)}) + 0.20 * {_CLIP('missed_28d', 4)} / 4 + 0.20 * (o_orderstatus = 'O')::INT::DOUBLE + 0.15 * {_CLIP('days_since_activity', 60)} / 60 + 0.10 * {_CLIP('prior_flags', 2)} / 2''', 1)}, 6) AS risk_score FROM ({_PIT})",
     "logistic_score": "SELECT event_id, round(1 / (1 + exp(-(-2.0::DOUBLE + 0.5 * (value / 10) + 1.25 * (event_type = 'error')::INT + -0.75 * (event_type = 'purchase')::INT))), 6)::DOUBLE AS score FROM events",

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from ..operators import products as p
 from ..operators import rollups as r
-from . import feeds
+from ..sources import files
+from . import feeds, hashing
 from . import inputs as i
 
 
@@ -127,7 +128,7 @@ def completeness(spark, sf_dir):
 
 
 def value_profile(spark, sf_dir):
-    return r.profile(i.read(spark, sf_dir, "orders"), ["o_orderpriority"], "o_totalprice")
+    return r.profile(files.scan_sql(spark, f"{sf_dir}/orders.parquet"), ["o_orderpriority"], "o_totalprice")
 
 
 def segment_rate(spark, sf_dir):
@@ -246,6 +247,7 @@ _KPI_TAIL = "FROM exec WHERE score_date = (SELECT max(score_date) FROM exec) GRO
 _CTX_TAIL = "(SELECT * FROM ctx)"
 
 ORACLES = {k: i.sql(v) for k, v in {
+    "table_checksum": f"SELECT count(*) AS row_count, sum({hashing.SIGNED})::DECIMAL(38, 0) AS checksum FROM {hashing.with_hash('(SELECT o_orderkey, o_custkey, o_orderstatus FROM orders)', [('o_orderkey', 'long'), ('o_custkey', 'long'), ('o_orderstatus', 'letter')])}",
     "latest_scores": f"SELECT *, {_TIER} AS risk_tier FROM lscore",
     "entity_context": f"SELECT * REPLACE (round(rate_28d, 6) AS rate_28d) FROM {_CTX_TAIL}",
     "entity_detail": f"SELECT * EXCLUDE exposure REPLACE (round(rate_28d, 6) AS rate_28d) FROM {_CTX_TAIL}",

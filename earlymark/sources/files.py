@@ -15,12 +15,14 @@ def scan(spark: SparkSession, path: str, schema: T.StructType | str | None = Non
 
 
 def scan_sql(spark: SparkSession, path: str) -> DataFrame:
+    """A table by its path in SQL."""
     return spark.sql(f"SELECT * FROM parquet.`{path}`")
 
 
-def stream(spark: SparkSession, path: str, schema: T.StructType | str, files_per_batch: int = 1000) -> DataFrame:
-    """Every file below path once, those that are there already too."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).option("recursiveFileLookup", "true").parquet(path)
+def stream(spark: SparkSession, path: str, schema: T.StructType | str, files_per_batch: int = 1000, form: str = "parquet") -> DataFrame:
+    """Every file below path once, those that are there already too. form is parquet, json or csv (with a header)."""
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).option("recursiveFileLookup", "true")
+    return (reader.option("header", "true") if form == "csv" else reader).format(form).load(path)
 
 
 def with_provenance(df: DataFrame, at=None) -> DataFrame:

@@ -1,7 +1,7 @@
-"""Writing tables: partitions, immutable histories, upserts and conditional updates on Parquet.
+"""Writing tables on Parquet: versions, partitions, and the rules of inserts, upserts and conditional updates (tables in buckets, in keyed, apply them to parts).
 
-A table is a folder of versions; a writer makes the next version and readers take the latest one, so no job
-overwrites what it reads and a failed job leaves the table as it was.
+A versioned table is a folder of versions; a writer makes the next version and readers take the latest one, so no job overwrites what it reads and a
+failed job leaves the table as it was.
 """
 
 from __future__ import annotations
@@ -18,72 +18,50 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-def _parts(spark: SparkSession, path: str) -> list[tuple[int, str]]:
-    """(number, kind) of a table's complete parts in order; kind is v (a whole version) or a (rows added to what was there before)."""
+def complete(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    """Numbers n of the folders path/<prefix>n whose write has committed, in order."""
     fs, p = _fs(spark, path)
     if not fs.exists(p):
         return []
-    done = [f.getPath() for f in fs.listStatus(p) if f.isDirectory()]
-    names = [d.getName() for d in done if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(d, "_SUCCESS"))]
-    return sorted((int(n[1:]), n[0]) for n in names if n[:1] in ("v", "a") and n[1:].isdigit())
+    names = [f.getPath().getName() for f in fs.listStatus(p) if f.isDirectory() and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f.getPath(), "_SUCCESS"))]
+    return sorted(int(n[len(prefix) :]) for n in names if n.startswith(prefix) and n[len(prefix) :].isdigit())
 
 
 def versions(spark: SparkSession, path: str) -> list[int]:
-    """Complete whole versions of a table, in order: those whose write has committed."""
-    return [n for n, kind in _parts(spark, path) if kind == "v"]
+    """Complete versions of a table, in order."""
+    return complete(spark, path, "v")
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """The latest version with what was added since; an empty table of the schema if there is none."""
-    found = _parts(spark, path)
-    whole = max((k for k, (_, kind) in enumerate(found) if kind == "v"), default=0)
+    """The latest version; an empty table of the schema if there is none."""
+    found = versions(spark, path)
     if found:
-        return spark.read.parquet(*[f"{path}/{kind}{n}" for n, kind in found[whole:]])
+        return spark.read.parquet(f"{path}/v{found[-1]}")
     if schema is None:
         raise ValueError(f"{path} has no version")
     return spark.createDataFrame([], schema)
 
 
-def _next(spark: SparkSession, path: str) -> int:
-    found = _parts(spark, path)
-    return found[-1][0] + 1 if found else 1
-
-
 def write_version(df: DataFrame, path: str, cluster_by: list[str] | None = None) -> DataFrame:
     """Writes df as the next version, clustered on request, and reads it back."""
     spark = df.sparkSession
-    target = f"{path}/v{_next(spark, path)}"
+    target = f"{path}/v{(versions(spark, path) or [0])[-1] + 1}"
     (clustered(df, cluster_by) if cluster_by else df).write.mode("overwrite").parquet(target)
     return spark.read.parquet(target)
 
 
-def append_new(source: DataFrame, path: str, keys: list[str]) -> DataFrame:
-    """Adds the rows of source whose keys the table lacks, as files of their own, and reads the table; a key that repeats in source counts once.
-
-    Files that are there stay as they are: a batch costs its own rows and a look at the table's keys, not a copy of its history.
-    """
-    spark = source.sparkSession
-    target = read_table(spark, path, source.schema)
-    _new_rows(target, source, keys).write.mode("overwrite").parquet(f"{path}/a{_next(spark, path)}")
-    return read_table(spark, path)
-
-
 def clustered(df: DataFrame, columns: list[str]) -> DataFrame:
     """Rows dealt out by ranges of the columns and sorted in each file, so that readers skip files."""
     return df.repartitionByRange(*columns).sortWithinPartitions(*columns)
 
 
-def _new_rows(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
+def insert_only(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
+    """target and the rows of source with new keys; a key that repeats in source counts once. Rows in target never change."""
     from ..operators.conform import latest
 
     rest = [c for c in source.columns if c not in keys]
     new = latest(source, keys, rest) if rest else source.distinct()
-    return new.join(target.select(*keys), keys, "left_anti").select(*source.columns)
-
-
-def insert_only(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
-    """target and the rows of source with new keys; a key that repeats in source counts once. Rows in target never change."""
-    return target.unionByName(_new_rows(target, source, keys))
+    return target.unionByName(new.join(target.select(*keys), keys, "left_anti").select(*source.columns))
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:

@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def workspace(spark: SparkSession) -> str:
@@ -18,3 +18,10 @@ def workspace(spark: SparkSession) -> str:
         root = tempfile.mkdtemp(prefix="earlymark-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/work-{uuid.uuid4().hex}"
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """df, written once to a work folder and read from there."""
+    path = workspace(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,6 +2,8 @@ import datetime as dt
 import itertools
 import random
 
+import pytest
+
 from earlymark.operators import changelog as c
 
 T0 = dt.datetime(2026, 9, 1)
@@ -44,12 +46,14 @@ def plain_fold(rows):
     for seq, entity, action, key, expected, new, said, at in rows:
         version, status, outcome, closed = state.get(entity, (0, None, None, None))
         result = "conflict"
-        if key in used:
+        if key is not None and key in used:
             result, version = "replayed", used[key]
         elif (version == 0) if action == "create" else (version > 0 and version == expected):
             result, version, status = "applied", version + 1, "open" if action == "create" else new
             outcome, closed = said or outcome, at if status == "closed" else None
-            state[entity], used[key] = (version, status, outcome, closed), version
+            state[entity] = (version, status, outcome, closed)
+            if key is not None:
+                used[key] = version
         out[entity, seq] = (result, version, status, outcome, closed)
     return out
 
@@ -93,7 +97,8 @@ def test_commands_of_a_large_entity_are_streamed(spark):
     assert events.count() == sum(r.result == "applied" for r in got)
 
 
-def test_keys_cross_entities(spark):
+@pytest.mark.parametrize("together", [10**6, 0])
+def test_keys_cross_entities(spark, together):
     rng = random.Random(3)
     rows = []
     for seq in range(400):
@@ -108,6 +113,40 @@ def test_keys_cross_entities(spark):
         if applied and key:
             used[key] = version + 1
         want.append((seq, "replayed" if seen else "applied" if applied else "conflict", seen or version + applied))
-    results, events = c.fold_commands(spark.createDataFrame(rows, COMMANDS).repartition(3))
+    results, events = c.fold_commands(spark.createDataFrame(rows, COMMANDS).repartition(3), together)
     assert sorted((r.seq, r.result, r.version) for r in results.collect()) == want
     assert events.count() == sum(w[1] == "applied" for w in want) and sum(w[1] == "replayed" for w in want) > 20
+
+
+def chain(entities):
+    """Each entity's third command applies only if its second one is a replay of the third one of the entity before it."""
+    rows = []
+    for e in range(entities):
+        rows += [(4 * e, e, "create", f"c{e}", None, None, None, None, H(e % 9)), (4 * e + 1, e, "transition", f"t{e - 1}", 1, "x", "contacted", None, H(1)), (4 * e + 2, e, "transition", f"t{e}", 1, "x", "deferred", None, H(2))]
+    return rows[:1] + rows[2:]
+
+
+def test_long_chain_is_one_stream(spark, monkeypatch):
+    folds, folded = [], c._folded
+    monkeypatch.setattr(c, "_folded", lambda df, by: folds.append(by) or folded(df, by))
+    rows = chain(1000)
+    results, _ = c.fold_commands(spark.createDataFrame(rows, COMMANDS).repartition(3))
+    want = plain_fold([(seq, e, a, k, v, n, o, at) for seq, e, a, k, v, _, n, o, at in rows])
+    assert {(r.entity_id, r.seq): (r.result, r.version, r.status, r.outcome, r.closed_at) for r in results.collect()} == want
+    assert folds == [["entity_id"], []] and sum(x[0] == "replayed" for x in want.values()) > 300
+
+
+def test_later_rounds_fold_changed_entities_only(spark, monkeypatch):
+    sizes, folded = [], c._folded
+
+    def fold(df, by):
+        sizes.append(df.select("entity_id").distinct().count())
+        return folded(df, by)
+
+    monkeypatch.setattr(c, "_folded", fold)
+    rows = chain(8) + [(1000 + k, 100 + k, "create", f"own{k}", None, None, None, None, H(1)) for k in range(50)]
+    results, events = c.fold_commands(spark.createDataFrame(rows, COMMANDS).repartition(3), 0)
+    want = plain_fold([(seq, e, a, k, v, n, o, at) for seq, e, a, k, v, _, n, o, at in rows])
+    assert {(r.entity_id, r.seq): (r.result, r.version, r.status, r.outcome, r.closed_at) for r in results.collect()} == want
+    assert events.count() == sum(x[0] == "applied" for x in want.values())
+    assert sizes[:2] == [50, 8] and len(sizes) > 4 and all(a >= b for a, b in zip(sizes[1:], sizes[2:])) and sizes[2] < 8

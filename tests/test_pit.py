@@ -69,3 +69,34 @@ def test_cells_count_the_edges_before_a_time(spark):
     assert sorted((r.t, r._cell) for r in got) == sorted((t, sum(e < t for e in grid.edges)) for t in times if t <= CUT)
     none = pit.Grid(snaps.limit(0), "as_of", [3])
     assert none.with_cell(spark.createDataFrame([(CUT,)], "t timestamp_ntz"), "t").count() == 0
+
+
+def test_rows_grow_with_cells_and_cutoffs(spark, monkeypatch):
+    """1000 daily cutoffs: the sweep takes cells + marks, and its answers are those of a look at every event."""
+    cuts = [CUT - dt.timedelta(days=k) for k in range(1000)]
+    events = [("s1", CUT - dt.timedelta(hours=61 * k + k * k % 7), k % 3 == 0, f"r{k:03}", float(k * k % 101)) for k in range(500)] + [(None, D(3), True, "r", 1.0)]
+    snaps = spark.createDataFrame([("s1", c) for c in cuts] + [("s2", c) for c in cuts] + [(None, CUT)], "entity_id string, as_of timestamp_ntz")
+    df = spark.createDataFrame(events, "entity_id string, event_at timestamp_ntz, flag boolean, record string, v double")
+    taken, swept = [], pit.swept
+
+    def counted(cells, marks, key, running):
+        taken.append((cells.count(), marks.count()))
+        return swept(cells, marks, key, running)
+
+    monkeypatch.setattr(pit, "swept", counted)
+    one = F.col("flag")
+    got = pit.activity(snaps, df, "entity_id", "as_of", "event_at", one, one, one, one).collect()
+    assert taken[0][0] <= 501 and taken[0][1] == 3 * 2001 and len(got) == 2001
+    past = lambda c, d: [e for e in events if e[0] == "s1" and e[1] <= c and e[1] > c - dt.timedelta(d)]
+    for r in got:
+        if r.entity_id != "s1":
+            assert (r.rate_28d, r.missed_28d, r.support_90d, r.days_since_activity, r.max_event_at) == (0.0, 0, 0, pit.NO_ACTIVITY_DAYS, None)
+            continue
+        month, all_ = past(r.as_of, 28), past(r.as_of, 99_999)
+        assert r.missed_28d == sum(e[2] for e in month) and r.support_90d == sum(e[2] for e in past(r.as_of, 90))
+        assert abs(r.rate_28d - (sum(e[2] for e in month) / len(month) if month else 0.0)) < 1e-12 and r.max_event_at == max((e[1] for e in all_), default=None)
+    for r in pit.ranked_history(snaps, df, "entity_id", "as_of", "event_at", "record", "v", one).where("entity_id = 's1'").collect():
+        own = sorted(past(r.as_of, 99_999), key=lambda e: (e[1], e[3]))[::-1]
+        want = (own[0][4], sum(e[4] for e in own[1:]), own[0][4] - own[1][4] if len(own) > 1 else 0.0, sum(e[2] for e in own[1:]), own[0][1]) if own else (0.0, 0.0, 0.0, 0, None)
+        assert (r.current, r.prior_sum, r.trend, r.prior_flags, r.max_event_at) == want
+    assert taken[1] == (taken[1][0], 2001) and taken[1][0] <= 1001

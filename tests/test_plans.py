@@ -44,21 +44,6 @@ def test_cohort_keys_digest_in_pieces(spark, monkeypatch):
     assert {r.o_orderpriority: r.cohort_key for r in models.cohort_keys(spark, SF).collect()} == by
 
 
-def test_appended_rows_leave_files_alone(spark, tmp_path):
-    from earlymark.sources import sinks
-
-    path = str(tmp_path / "t")
-    rows = lambda ids, v: spark.createDataFrame([(i, v) for i in ids], "id int, v int")
-    sinks.append_new(rows([1, 2, 2], 1), path, ["id"])
-    before = {f: f.stat().st_mtime_ns for f in tmp_path.rglob("*.parquet")}
-    for _ in range(2):
-        out = sinks.append_new(rows([2, 3], 9), path, ["id"])
-        assert sorted(map(tuple, out.collect())) == [(1, 1), (2, 1), (3, 9)]
-    assert all(f.stat().st_mtime_ns == t for f, t in before.items())
-    sinks.write_version(rows([7], 7), path)
-    assert sorted(map(tuple, sinks.append_new(rows([8], 8), path, ["id"]).collect())) == [(7, 7), (8, 8)]
-
-
 def test_missing_categories_take_the_mode(spark):
     rows = spark.createDataFrame([("b", 1.0, 0), ("b", 2.0, 1), ("o'x", 3.0, 0), (None, 4.0, 1), ("a", None, 1)] * 4, "c string, x double, y int")
     assert model.modes(rows, ["c"]) == {"c": "b"}

@@ -110,12 +110,26 @@ def test_redaction(spark):
     }
     got = {r.t: r.r for r in spark.createDataFrame([(t,) for t in cases], "t string").select("t", text.redacted(F.col("t")).alias("r")).collect()}
     assert got == cases
+    one = spark.createDataFrame([("my_cloud_token=abc, id 7",)], "t string")
+    assert [one.select(text.redacted(F.col("t"), n)).first()[0] for n in ((), ("my_cloud_token",))] == ["my_cloud_token=abc, id 7", "my_cloud_token=[REDACTED], id 7"]
+    with pytest.raises(ValueError):
+        text.redacted(F.col("t"), ("a|b",))
+
+
+def test_all_sentences(spark):
+    facts = [("risk_score", "0.75"), ("risk_tier", '"high"'), ("attendance_rate_28d", "0.5"), ("missed_assignments_28d", "2"), ("days_since_lms_activity", "12"), ("financial_hold_flag", "true"), ("cumulative_gpa", "3.25")]
+    got = spark.createDataFrame([(facts,)], "f array<struct<id:string,value:string>>").select(text.rendered(F.col("f"))).first()[0]
+    assert got == "Current governed risk score is 0.75 [risk_score]. Current governed risk tier is high [risk_tier]. Attendance was 50% in the last 28 days [attendance_rate_28d]. 2 assignments were missed in the last 28 days [missed_assignments_28d]. Most recent LMS activity was 12 days ago [days_since_lms_activity]. A financial hold is active [financial_hold_flag]. Cumulative GPA is 3.25 [cumulative_gpa]."
 
 
 def test_response_checks(spark):
     facts = [("risk_score", "0.5"), ("financial_hold_flag", "false")]
     good = '{"briefing":[{"fact_id":"financial_hold_flag","fact_value":false}],"suggested_action":"ask_about_barriers","citations":["financial_hold_flag"],"unsupported_claims":[],"prompt_version":"p","model_id":"m"}'
     cases = [(good, None), (f"```json\n{good}\n```", None), (good.replace(":false", ":0"), "briefing fact value must exactly match the supplied fact"), (good.replace('"model_id":"m"', '"model_id":"n"'), "model_id does not match the selected endpoint"), ("no json", "model response is not strict JSON"), (good[:-1] + ',"x":1}', "response fields must exactly match the briefing schema"), (good.replace('"citations":["financial_hold_flag"]', '"citations":[]'), "citations must exactly match briefing fact IDs"), (good.replace("financial_hold_flag", "age"), "briefing fact is not an allowed fact ID")]
+    swap = lambda a, b: good.replace(a, b)
+    item = '{"fact_id":"financial_hold_flag","fact_value":false}'
+    cases += [(swap(f"[{item}]", "[]"), text.FAULTS["briefing"]), (swap("ask_about_barriers", "call"), text.FAULTS["action"]), (swap('"citations":["financial_hold_flag"]', '"citations":"x"'), text.FAULTS["citations"]), (swap('"unsupported_claims":[]', '"unsupported_claims":1'), text.FAULTS["claims"])]
+    cases += [(swap('"unsupported_claims":[]', '"unsupported_claims":["x"]'), text.FAULTS["unsupported"]), (swap('"prompt_version":"p"', '"prompt_version":"q"'), text.FAULTS["prompt"]), (swap(item, item[:-1] + ',"x":1}'), text.FAULTS["fact"]), (swap(item, f"{item},{item}"), text.FAULTS["repeated"])]
     df = spark.createDataFrame([(i, raw, facts) for i, (raw, _) in enumerate(cases)], "i int, raw string, facts array<struct<id:string,value:string>>")
     got = {r.i: r.error for r in text.validated(df, "raw", "facts", "p", "m").collect()}
     assert got == {i: want for i, (_, want) in enumerate(cases)}
