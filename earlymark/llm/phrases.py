@@ -21,6 +21,8 @@ SAMPLED, PROPOSED = 8, 2
 #: Bits of the table that tells the passes which words and pairs are thought frequent. Two keys that share a bit make a pass count a phrase too
 #: many, never too few. Its size is fixed (16 MB), so it may be broadcast.
 TABLE_BITS, CHUNK = 27, 1 << 16
+#: Slots in which a task remembers the keys that it told (8 bytes each).
+TOLD_BITS = 21
 #: Bytes of text that are counted at once.
 AT_ONCE = 1 << 20
 
@@ -196,32 +198,34 @@ def frequent(docs: DataFrame, least: int = LEAST) -> DataFrame:
             return found
 
 
-def parts(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """key, lang (hash), and the keys of the parts: l1, r1 (cut after the first word) and, for triples, l2, r2 (after the second).
+def parts(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """key, size, a, x, y of what is in found (key, size, a): of a pair the keys of its words, of a triple those of its two pairs, of a word its language (a hash) and 0.
 
-    keys: key of frequent pairs and triples. Found in the texts, once in each batch at most; a bit table tells where to look.
+    Found in the texts; a bit table tells where to look. A task tells a key once (or again, where others took its slot in between), so texts are read in fewer, longer tasks
+    than elsewhere.
     """
-    told = docs.sparkSession.sparkContext.broadcast(bit_table(keys))
+    docs = docs.coalesce(max(8, docs.rdd.getNumPartitions() // 4))
+    told = docs.sparkSession.sparkContext.broadcast(bit_table(found))
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        told_last = np.zeros(1 << 20, np.uint64)  # of the keys of each slot the one that this task told last
+        told_last = np.zeros(1 << TOLD_BITS, np.uint64)  # of the keys of each slot the one that this task told last
         for w, _ in _batches(batches):
             (i, pair), (j, triple) = w.pairs(), w.triples()
             at = np.zeros(len(w.word), np.uint64)
             at[i] = pair
-            for size, place, key in ((2, i, pair), (3, j, triple)):
+            for size, place, key in ((1, np.arange(len(w.word)), w.word), (2, i, pair), (3, j, triple)):
                 ok = np.flatnonzero(has(told.value, key))
+                slot = (key[ok] >> np.uint64(64 - TOLD_BITS)).astype(np.int64)
+                ok, slot = (c[told_last[slot] != key[ok]] for c in (ok, slot))
                 new, first = np.unique(key[ok], return_index=True)
-                slot = (new >> np.uint64(44)).astype(np.int64)
-                fresh = told_last[slot] != new
-                told_last[slot] = new
-                new, p = new[fresh], place[ok[first[fresh]]]
+                told_last[slot[first]] = new
+                p = place[ok[first]]
+                own = w.word if size < 3 else at
                 if len(new):
-                    zero = np.zeros(len(p), np.uint64)
-                    last = w.word[p + 1] if size == 2 else at[p + 1]
-                    yield from _rows([new, w.lang[p], w.word[p], last, zero if size == 2 else at[p], zero if size == 2 else w.word[p + 2]], ["key", "lang", "l1", "r1", "l2", "r2"])
+                    yield from _rows([new, w.lang[p] if size == 1 else own[p], np.zeros(len(p), np.uint64) if size == 1 else own[p + 1]], ["key", "x", "y"])
 
-    return _texts(docs).mapInArrow(look, "key long, lang long, l1 long, r1 long, l2 long, r2 long").join(keys.withColumnRenamed("key", "_key"), F.col("key") == F.col("_key"), "left_semi").distinct()
+    rows = _texts(docs).mapInArrow(look, "key long, x long, y long").distinct()
+    return rows.join(found.withColumnRenamed("key", "_key"), F.col("key") == F.col("_key")).select("key", "size", "a", "x", "y")
 
 
 def phrase_texts(docs: DataFrame, keys: DataFrame) -> DataFrame:
@@ -271,17 +275,18 @@ def collocations(docs: DataFrame, least: int = LEAST, best: int = BEST) -> DataF
     occurs at least half as often. Ties of score go to larger a, then to the smaller phrase in the order of bytes. Repeated rows count each time. Other columns are ignored; an empty table, and one without
     frequent phrases, give an empty one. Phrases are counted by 64-bit keys of their bytes and language.
     """
-    found = stored(frequent(docs, least))
-    longer = found.where("size > 1").select("key")
-    cand = parts(docs, longer).join(found.where("size > 1"), "key")
-    count_of = lambda c: found.select(F.col("key").alias(f"_{c}"), F.col("a").alias(f"n_{c}"))
-    cand = cand.join(count_of("l1"), F.col("l1") == F.col("_l1")).join(count_of("r1"), F.col("r1") == F.col("_r1")).join(count_of("l2"), F.col("l2") == F.col("_l2"), "left").join(count_of("r2"), F.col("r2") == F.col("_r2"), "left")
-    one, two = floor_score(F.col("a"), F.col("n_l1"), F.col("n_r1")), F.when(F.col("size") == 3, floor_score(F.col("a"), F.col("n_l2"), F.col("n_r2")))
-    second = F.coalesce(two < one, F.lit(False))
-    pick = lambda x, y: F.when(second, y).otherwise(x)
-    cand = stored(cand.select("key", "lang", "size", "a", "r1", F.col("l2").alias("inner"), pick(F.col("n_l1"), F.col("n_l2")).alias("l"), pick(F.col("n_r1"), F.col("n_r2")).alias("r"), pick(one, two).alias("score")))
-    holders = cand.where("size = 3").select(F.explode(F.array("r1", "inner")).alias("_in"), F.col("a").alias("_a")).groupBy("_in").agg(F.max("_a").alias("_a"))
-    kept = cand.join(holders, (F.col("key") == F.col("_in")) & (F.col("size") == 2), "left").where("_a IS NULL OR 100 * _a < 50 * a").select("key", "lang", "a", "l", "r", "score")
+    rows = stored(parts(docs, stored(frequent(docs, least))))
+    own = {n: rows.where(F.col("size") == n) for n in (1, 2, 3)}
+    word = lambda side: own[1].select(F.col("key").alias(f"_{side}"), F.col("a").alias(side), F.col("x").alias(f"{side}_lang"))
+    pairs = own[2].join(word("l"), F.col("x") == F.col("_l")).join(word("r"), F.col("y") == F.col("_r"))
+    pairs = stored(pairs.select("key", F.col("l_lang").alias("lang"), "a", "l", "r", floor_score(F.col("a"), F.col("l"), F.col("r")).alias("score")))
+    half = lambda side: pairs.select(*[F.col(c).alias(f"{side}_{c}") for c in ("key", "lang", "a", "l", "r")])
+    triples = own[3].join(half("h"), F.col("x") == F.col("h_key")).join(half("t"), F.col("y") == F.col("t_key"))
+    one, two = floor_score(F.col("a"), F.col("h_l"), F.col("t_a")), floor_score(F.col("a"), F.col("h_a"), F.col("t_r"))
+    pick = lambda x, y: F.when(two < one, y).otherwise(x)
+    triples = triples.select("key", F.col("h_lang").alias("lang"), "a", pick(F.col("h_l"), F.col("h_a")).alias("l"), pick(F.col("t_a"), F.col("t_r")).alias("r"), pick(one, two).alias("score"))
+    holders = own[3].select(F.explode(F.array("x", "y")).alias("_in"), F.col("a").alias("_a")).groupBy("_in").agg(F.max("_a").alias("_a"))
+    kept = pairs.join(holders, F.col("key") == F.col("_in"), "left").where("_a IS NULL OR 100 * _a < 50 * a").select(*pairs.columns).unionByName(triples)
     kept = stored(kept)
     # the text decides among ties only, so it is fetched for the best and those that tie with the last of them
     order = [F.desc("score"), F.desc("a")]
