@@ -9,6 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -103,3 +104,15 @@ def in_groups(batches: Iterator[pa.RecordBatch], columns: list[str], at_once: in
         held, size = t.combine_chunks().to_batches(), t.num_rows
     if held:
         yield pa.Table.from_batches(held)
+
+
+def in_slices(batch: pa.RecordBatch, column: str | int, rows: int = 500, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of at most so many rows and bytes of text in a column, or of one row."""
+    low, held = 0, 0
+    for k, n in enumerate(pc.binary_length(batch.column(column)).fill_null(0).to_pylist()):
+        if k > low and (k - low == rows or held + n > size):
+            yield batch.slice(low, k - low)
+            low, held = k, 0
+        held += n
+    if batch.num_rows > low:
+        yield batch.slice(low)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import in_groups, stored, table
+from .common import in_slices, in_groups, stored, table
 
 #: Bytes of a repeat, and bytes of the piece in it whose hash decides where it is compared.
 LENGTH, PIECE = 100, 32
@@ -231,7 +231,8 @@ def open_parts(docs: DataFrame, found: DataFrame) -> DataFrame:
     open_ = found.where(F.col("kind") == OPEN)
     many = open_.groupBy("anchor").agg(F.ceil(F.count(F.lit(1)) / FAMILY_RUNS).cast("int").alias("families")).where("families > 1")
     many = stored(many.withColumn("families", F.col("families") * _WINDOW))  # at most one row for FAMILY_RUNS runs
-    wanted = open_.join(F.broadcast(many), "anchor", "left").groupBy("doc", "copy").agg(F.collect_list(F.struct("anchor", "place", F.coalesce("families", F.lit(1)).alias("families"))).alias("wanted"))
+    many = F.broadcast(many) if many.count() <= BROADCAST_ROWS else many
+    wanted = open_.join(many, "anchor", "left").groupBy("doc", "copy").agg(F.collect_list(F.struct("anchor", "place", F.coalesce("families", F.lit(1)).alias("families"))).alias("wanted"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
@@ -343,8 +344,7 @@ def without_repeats(docs: DataFrame, as_text: bool = False, nulls_first: bool =
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low in range(0, batch.num_rows, 500):
-                part = batch.slice(low, 500)
+            for part in in_slices(batch, "text"):
                 rows = []
                 for text, starts in zip(part.column("text"), part.column("_repeats")):
                     data = (text.as_py() or "").encode()

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stored, table
+from .common import in_slices, stored, table
 
 #: Labelled rows to learn from, at most (those whose doc_id has the smallest hashes).
 SAMPLE = 20_000
@@ -337,8 +337,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, held_out=None, sample: int = SA
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = Features(marks)
         for batch in batches:
-            for low in range(0, batch.num_rows, 500):
-                part = batch.slice(low, 500)
+            for part in in_slices(batch, 2):
                 p = np.full(part.num_rows, float(share))
                 if fitted:
                     x = make([t or "" for t in part.column(2).to_pylist()])
