@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..contracts import SCHEMAS, contract
+from ..contracts import SCHEMAS, Contract, contract
 from ..operators import changelog, conform, daily, metrics, pit, quality
 from ..operators.products import risk_tier
 from ..sources import files, keyed
@@ -119,9 +119,17 @@ def flow_metrics(spark, sf_dir):
     return log.groupBy("flow", "expectation").agg(F.sum("passed").alias("passed"), F.sum("failed").alias("failed"))
 
 
-def _day_stages(sf_dir):
+DAY_FEED = Feed(Contract("events", "event_key", "ts", "user_key"), EVENT_FEED.schema)
+
+
+def _day_stages(sf_dir, root):
     at = lambda day: pit.end_of_day(F.lit(day))
 
+    def activity(spark, inputs, day):
+        ingest(spark, f"{root}/landed", DAY_FEED, day, f"{root}/ingested").awaitTermination()
+        rows = side(spark, f"{root}/ingested", "accepted", DAY_FEED.schema).where(F.col("ts") <= at(day))
+        return rows.select(F.col("user_key").cast("long").alias("entity_id"), "ts", "event_type")
+
     def features(spark, inputs, day):
         kind = lambda t: F.col("event_type") == t
         snaps = inputs["entities"].select("entity_id", at(day).alias("as_of"))
@@ -130,17 +138,22 @@ def _day_stages(sf_dir):
     score = metrics.rule_score(F.col("rate_28d"), F.col("missed_28d"), F.lit(False), F.col("days_since_activity"), F.lit(0))
     return [
         daily.Stage("entities", lambda spark, inputs, day: i.read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("entity_id"), F.col("c_mktsegment").alias("program"))),
-        daily.Stage("activity", lambda spark, inputs, day: i.events(spark, sf_dir).where(F.col("ts") <= at(day)).select("entity_id", "ts", "event_type")),
+        daily.Stage("activity", activity),
         daily.Stage("features", features, ("entities", "activity")),
         daily.Stage("scores", lambda spark, inputs, day: inputs["features"].select(*KEY, score.alias("risk_score"), risk_tier(score).alias("risk_tier")), ("features",)),
         daily.Stage("caseload", lambda spark, inputs, day: inputs["scores"].where("risk_tier <> 'low'").join(inputs["entities"], "entity_id"), ("entities", "scores"))]
 
 
 def daily_workflow(spark, sf_dir):
-    """Two days from files to products. The second one stops after its features and goes on where it stopped; both are repeated, which changes nothing."""
-    root, stages = workspace(spark), _day_stages(sf_dir)
-    for day, count in ((15, 5), (22, 3), (22, 5), (15, 5), (22, 5)):
-        daily.run_day(spark, root, dt.date(2024, 1, day), stages[:count])
+    """Two days from landed files to products. The second one stops after its features and goes on where it stopped; both are repeated, which changes nothing."""
+    root = workspace(spark)
+    stages, rows = _day_stages(sf_dir, root), i.read(spark, sf_dir, "events")
+    for day, since, until, count in ((15, 0, 15, 5), (22, 15, 22, 3), (22, 0, 0, 5), (15, 0, 0, 5), (22, 0, 0, 5)):
+        date = dt.date(2024, 1, day)
+        if until:
+            new = rows.where((F.dayofmonth("ts") > since) & (F.dayofmonth("ts") <= until))
+            new.select(F.col("event_id").cast("string").alias("event_key"), "ts", F.col("user_id").cast("string").alias("user_key"), "event_type", "value", F.lit(date).alias("run_date")).write.parquet(f"{root}/landed/{day}")
+        daily.run_day(spark, root, date, stages[:count])
     return daily.ledger(spark, root).select("run_date", "stage", "row_count")
 
 

@@ -293,6 +293,9 @@ _SECRET_STEPS = [(r"(Authorization\s*:\s*Bearer\s+)[A-Za-z0-9._-]{12,}", r"\1[RE
 _REDACTED = "text"
 for _find, _put, _how in _SECRET_STEPS:
     _REDACTED = f"regexp_replace({_REDACTED}, '{_find}', '{_put}', '{_how}')"
+_says = lambda pattern, column: f"regexp_matches({column}, '{pattern}', 'i')"
+_ANY = " OR ".join(_says(p, "text") for p in text.PROHIBITED)
+_FAULT = "CASE entity_id % 8 " + " ".join(f"WHEN {k} THEN '{text.FAULTS[name]}'" for k, name in ((1, "value"), (2, "action"), (3, "cited"), (4, "unsupported"), (5, "prompt"), (7, "json"))) + " END"
 _N_FACTS = "(6 + (hold IS NOT NULL)::INT)"
 _SCORES2 = "SELECT entity_id, as_of, risk_score, model_version, scored_at, CASE WHEN risk_score >= 0.6 THEN 'high' WHEN risk_score >= 0.3 THEN 'medium' ELSE 'low' END AS risk_tier FROM scores"
 _FACTOR = lambda n, m, w: f"{{'c': -abs(({n}::DOUBLE - {m}) * {w}), 'n': '{n}'}}"
@@ -324,20 +327,19 @@ ORACLES = {k: i.sql(v) for k, v in {
     "leading_factors": f"SELECT entity_id, as_of, array_to_string([x.n FOR x IN list_sort([{_FACTOR('missed_28d', 2.0, 0.5)}, {_FACTOR('support_90d', 3.0, 0.25)}, {_FACTOR('prior_flags', 4.0, 1.0)}, {_FACTOR('days_since_activity', 500.0, 0.0625)}])[1:3]], ',') AS factors FROM ({_PIT})",
     "fact_payload": f"SELECT entity_id, 'risk_score,risk_tier,attendance_rate_28d,missed_assignments_28d,days_since_lms_activity' || CASE WHEN hold IS NOT NULL THEN ',financial_hold_flag' ELSE '' END AS ids, 'missed_assignments_28d,risk_tier' AS factors FROM {_FACTS}",
     "render_facts": f"SELECT entity_id, 'Current governed risk tier is ' || risk_tier || ' [risk_tier]. ' || missed_28d || ' assignments were missed in the last 28 days [missed_assignments_28d]. Most recent LMS activity was ' || days_since_activity || ' days ago [days_since_lms_activity].' || CASE hold WHEN true THEN ' A financial hold is active [financial_hold_flag].' WHEN false THEN ' No financial hold is active [financial_hold_flag].' ELSE '' END AS briefing FROM {_FACTS}",
-    "validate_response": "SELECT entity_id, CASE entity_id % 8 WHEN 1 THEN 'briefing fact value must exactly match the supplied fact' WHEN 2 THEN 'suggested_action must be an approved action code' WHEN 3 THEN 'citations must exactly match briefing fact IDs' WHEN 4 THEN 'unsupported claims cannot be accepted' WHEN 5 THEN 'prompt_version does not match the governed prompt' WHEN 7 THEN 'model response is not strict JSON' END AS error FROM ctx",
+    "validate_response": f"SELECT entity_id, {_FAULT} AS error FROM ctx",
     "grounding_score": f"SELECT entity_id, round(CASE entity_id % 8 WHEN 1 THEN (n - 1) / n WHEN 2 THEN 0.0 WHEN 3 THEN 0.0 WHEN 7 THEN 0.0 ELSE 1.0 END, 6)::DOUBLE AS coverage, CASE WHEN entity_id % 8 = 1 THEN 'risk_tier' ELSE '' END AS unsupported FROM (SELECT *, ({_N_FACTS} - 1)::DOUBLE AS n FROM {_FACTS})",
-    "prohibited_scan": "SELECT CASE WHEN regexp_matches(said, '\\b(diagnos(?:e|ed|is|tic)|depression|anxiety|adhd|mental health)\\b', 'i') THEN 0 WHEN regexp_matches(said, '\\b(disciplin(?:ary|e|ed)|punish|punishment|probation|suspend|suspension|expel|expulsion)\\b', 'i') THEN 1 WHEN regexp_matches(said, '\\b(will|would|can|shall|may)\\s+(cause|ensure|guarantee|improve|increase)\\s+(?:the )?(?:student )?(?:to )?(retain|retention|persistence)\\b', 'i') THEN 2 WHEN regexp_matches(said, '\\b(first[ -]generation|gender|race|ethnicity|age band|residency status|female|male|nonbinary)\\b', 'i') THEN 3 END::BIGINT AS phrase, count(*) AS row_count FROM (SELECT CASE turn % 5 WHEN 0 THEN text || ' Probation will improve retention' WHEN 1 THEN text || ' MENTAL health' ELSE text END AS said FROM conversations) GROUP BY ALL",
+    "prohibited_scan": f"SELECT CASE {' '.join(f'WHEN {_says(p, "said")} THEN {k}' for k, p in enumerate(text.PROHIBITED))} END::BIGINT AS phrase, count(*) AS row_count FROM (SELECT CASE turn % 5 WHEN 0 THEN text || ' Probation will improve retention' WHEN 1 THEN text || ' MENTAL health' ELSE text END AS said FROM conversations) GROUP BY ALL",
     "redact_text": f"SELECT doc_id, md5({_REDACTED}) AS redacted_md5 FROM documents",
     "secret_scan": f"SELECT doc_id FROM documents WHERE {_REDACTED} <> text",
-    "publication_gate": r"""WITH m AS (SELECT lang, max(quality)::DOUBLE AS citation_coverage, avg(quality)::DOUBLE AS grounding, avg(1.0::DOUBLE - toxic) AS safety,
-            avg(CASE WHEN regexp_matches(text, '\b(diagnos(?:e|ed|is|tic)|depression|anxiety|adhd|mental health)\b', 'i') OR regexp_matches(text, '\b(disciplin(?:ary|e|ed)|punish|punishment|probation|suspend|suspension|expel|expulsion)\b', 'i')
-                OR regexp_matches(text, '\b(will|would|can|shall|may)\s+(cause|ensure|guarantee|improve|increase)\s+(?:the )?(?:student )?(?:to )?(retain|retention|persistence)\b', 'i') OR regexp_matches(text, '\b(first[ -]generation|gender|race|ethnicity|age band|residency status|female|male|nonbinary)\b', 'i') THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END) AS prohibited_claims
+    "publication_gate": f"""WITH m AS (SELECT lang, max(quality)::DOUBLE AS citation_coverage, avg(quality)::DOUBLE AS grounding, avg(1.0::DOUBLE - toxic) AS safety,
+            avg(CASE WHEN {_ANY} THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END) AS prohibited_claims
             FROM labels JOIN documents USING (doc_id) GROUP BY lang),
         v AS (SELECT 'citation_coverage' AS metric, min(citation_coverage) AS value FROM m UNION ALL SELECT 'grounding', min(grounding) FROM m UNION ALL SELECT 'prohibited_claims', min(prohibited_claims) FROM m UNION ALL SELECT 'safety', min(safety) FROM m UNION ALL SELECT 'guidelines', NULL)
         SELECT metric, round(value, 6) AS value, coalesce(value = 1.0, false) AS passed FROM v""",
     "summary_records": f"""SELECT entity_id, sha256(entity_id::VARCHAR || '|briefing-v1|text-model-1') AS summary_key, CASE WHEN ok THEN 'succeeded' ELSE 'failed' END AS generation_status, CASE WHEN ok THEN 'pending' ELSE 'not_evaluated' END AS evaluation_status, ok AS has_briefing,
             CASE WHEN ok THEN 'Invite the student to discuss any barriers they would like support addressing.' END AS suggested_action, CASE WHEN ok THEN 'risk_score,risk_tier,attendance_rate_28d,missed_assignments_28d,days_since_lms_activity' || CASE WHEN hold IS NOT NULL THEN ',financial_hold_flag' ELSE '' END ELSE '' END AS citations, 0::BIGINT AS unsupported,
-            CASE entity_id % 8 WHEN 1 THEN 'briefing fact value must exactly match the supplied fact' WHEN 2 THEN 'suggested_action must be an approved action code' WHEN 3 THEN 'citations must exactly match briefing fact IDs' WHEN 4 THEN 'unsupported claims cannot be accepted' WHEN 5 THEN 'prompt_version does not match the governed prompt' WHEN 7 THEN 'model response is not strict JSON' END AS error_message
+            {_FAULT} AS error_message
         FROM (SELECT *, entity_id % 8 IN (0, 6) AS ok FROM {_FACTS})""",
     "pseudonyms": "SELECT c_custkey, 'C' || lpad(c_custkey::VARCHAR, 6, '0') AS customer_id, sha256('C' || lpad(c_custkey::VARCHAR, 6, '0'))[1:12] AS pseudonym FROM customer",
 }.items()}

@@ -74,7 +74,7 @@ def merge(t: Keyed, batch: DataFrame, rule: Callable[[DataFrame, DataFrame], Dat
     touched = {r[0] for r in batch.select(t.bucket().alias("b")).distinct().collect()}  # at most t.buckets numbers
     n, rows = manifest(spark, t)
     if touched:
-        out = rule(_open(spark, t, [r for r in rows if r.bucket in touched], batch.schema if not rows else read(spark, t).schema), batch)
+        out = rule(_open(spark, t, [r for r in rows if r.bucket in touched], batch.schema if not rows else _open(spark, t, rows[:1], None).schema), batch)
         _write(t, out, n + 1, [r for r in rows if r.bucket not in touched])
     return read(spark, t, batch.schema)
 

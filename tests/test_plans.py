@@ -56,7 +56,7 @@ def test_queries_agree_with_their_sql(spark):
     import duckdb
 
     queries, oracles = feeds.QUERIES | models.QUERIES, feeds.ORACLES | models.ORACLES
-    for name in ("command_fold", "command_events", "publication_gate", "summary_records", "pseudonyms", "redact_text", "secret_scan", "insert_only_append"):
+    for name in ("command_fold", "command_events", "publication_gate", "summary_records", "pseudonyms", "redact_text", "secret_scan", "insert_only_append", "top_k_ladder", "hash_buckets", "feature_policy", "guarded_batch", "daily_workflow"):
         got = queries[name](spark, SF)
         con = duckdb.connect()
         for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations"):
