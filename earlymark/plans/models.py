@@ -105,8 +105,12 @@ def top_k_recall(spark, sf_dir):
 
 
 def clicked(spark, sf_dir):
-    """Every event with a score made from its value, and whether it is a purchase; many events share a score."""
-    return i.read(spark, sf_dir, "events").select("event_id", (F.col("event_type") == "purchase").cast("int").alias("label"), F.round(F.least(F.col("value"), F.lit(500.0)) / 500.0, 3).alias("score"))
+    """Every event with a score made from its value, and whether it is a purchase; many events share a score.
+
+    Scores are rounded by the value of the double, as the SQL does it: F.round to places goes by its shortest decimal form, where 0.5035 is half way.
+    """
+    score = F.round(F.least(F.col("value"), F.lit(500.0)) / 500.0 * 1000.0) / 1000.0
+    return i.read(spark, sf_dir, "events").select("event_id", (F.col("event_type") == "purchase").cast("int").alias("label"), score.alias("score"))
 
 
 FRACTIONS = [0.1, 0.3, 0.6, 0.9]

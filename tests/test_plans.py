@@ -68,3 +68,16 @@ def test_queries_agree_with_their_sql(spark):
         assert len(mine) == len(theirs) > 0 or name == "secret_scan", name
         key = lambda row: tuple(str(x) for x in row)
         assert sorted(key(tuple(r)) for r in got.select(*cols).collect()) == sorted(key(r) for r in theirs), name
+
+
+def test_scores_half_way_are_ranked_as_by_sql(spark, tmp_path):
+    import duckdb
+
+    rows = [(k, ("purchase", "view")[k % 2], k / 8) for k in range(4400)] + [(5000, "view", None), (5001, "purchase", 251.75), (5002, "purchase", 253.75)]
+    spark.createDataFrame(rows, "event_id long, event_type string, value double").coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+    for name in ("ranked_scores", "top_k_ladder"):
+        want = con.sql(models.ORACLES[name])
+        got = models.QUERIES[name](spark, str(tmp_path)).select(*want.columns)
+        assert sorted(map(tuple, got.collect())) == sorted(want.fetchall()), name
