@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -9,14 +10,20 @@ import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
-from pyspark.ml.feature import Imputer, ImputerModel, OneHotEncoder, OneHotEncoderModel, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Bucketizer, Imputer, ImputerModel, OneHotEncoder, OneHotEncoderModel, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.workspace import kept
 from .metrics import leading_factors
 from .products import risk_tier
 
+#: Bins of a number in boosted trees, as many as Spark's trees make by default.
+BINS = 32
+#: A draw of a boosted model's subsample takes or leaves at most one row in so many.
+DRAWS = 100_000
+
 
 def modes(df: DataFrame, columns: list[str]) -> dict[str, str]:
     """The most frequent value of each column, the smallest of equally frequent ones; empty text where a column has none."""
@@ -28,11 +35,15 @@ def modes(df: DataFrame, columns: list[str]) -> dict[str, str]:
 
 def preparation(numeric: list[str], categorical: list[str], usual: dict[str, str]) -> list:
     """Median for missing numbers and the usual value for missing categories, standard scale; unknown categories are a category of their own."""
+    return [Imputer(strategy="median", inputCols=numeric, outputCols=[f"_{c}" for c in numeric]), *assembly([f"_{c}" for c in numeric], categorical, usual)]
+
+
+def assembly(numbers: list[str], categorical: list[str], usual: dict[str, str]) -> list:
+    """Numbers on the standard scale and coded categories as one vector."""
     quoted = lambda x: "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
     filled = ", ".join(f"coalesce(cast(`{c}` AS string), {quoted(usual[c])}) AS `_m_{c}`" for c in categorical)
     return [
-        Imputer(strategy="median", inputCols=numeric, outputCols=[f"_{c}" for c in numeric]),
-        VectorAssembler(inputCols=[f"_{c}" for c in numeric], outputCol="_numbers"),
+        VectorAssembler(inputCols=numbers, outputCol="_numbers"),
         StandardScaler(withMean=True, inputCol="_numbers", outputCol="_scaled"),
         *([SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__")] if categorical else []),
         *[StringIndexer(inputCol=f"_m_{c}", outputCol=f"_i_{c}", handleInvalid="keep", stringOrderType="alphabetAsc") for c in categorical],
@@ -54,9 +65,42 @@ def fit_logistic(train: DataFrame, label: str, numeric: list[str], categorical:
     return Pipeline(stages=[*preparation(numeric, categorical, modes(train, categorical)), last]).fit(balanced(train, label))
 
 
+def bins(df: DataFrame, columns: list[str], most: int = BINS) -> Bucketizer:
+    """Cuts each column into at most `most` bins: between all its values if there are no more of them, else at quantiles of all rows, where a value at two of them is a bin of its own."""
+    about = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
+    few = [c for c in columns if about[c] <= 2 * most]  # the count is an estimate
+    values = df.agg(F.lit(0), *[F.sort_array(F.collect_set(c)).alias(c) for c in few]).first()
+    many = [c for c in columns if c not in few or len(values[c]) > most]
+    ranked = dict(zip(many, df.approxQuantile(many, [k / most for k in range(1, most)], 0.001))) if many else {}
+    splits = []
+    for c in columns:
+        if c in many:  # a bin starts at its least value
+            cuts = {math.nextafter(q, math.inf) for q in ranked[c]} | {q for q in ranked[c] if ranked[c].count(q) > 1}
+        else:
+            cuts = {(a + b) / 2 for a, b in zip(values[c], values[c][1:])}
+        splits.append([-math.inf, *(sorted(x for x in cuts if math.isfinite(x)) or [0.0]), math.inf])
+    return Bucketizer(splitsArray=splits, inputCols=columns, outputCols=[f"_b{c}" for c in columns], handleInvalid="keep")
+
+
+def alike(df: DataFrame, columns: list[str], draws: int = DRAWS) -> DataFrame:
+    """The different rows of columns with _weight, the number of rows that each stands for. A row that stands for more than one in `draws` of all comes several times, with equal shares."""
+    spark = df.sparkSession
+    groups = kept(df.groupBy(*columns).count())
+    most = max(1.0, (groups.agg(F.sum("count")).first()[0] or 0) / draws)
+    times = F.ceil(F.col("count") / most).cast("int")
+    rows = groups.select(*columns, (F.col("count") / times).alias("_weight"), F.explode(F.sequence(F.lit(1), times)).alias("_k")).drop("_k")
+    return kept(rows.repartition(spark.sparkContext.defaultParallelism))
+
+
 def fit_boosted(train: DataFrame, label: str, numeric: list[str], categorical: list[str], rounds: int = 250, depth: int = 4, step: float = 0.05, share: float = 0.9, seed: int = 17) -> PipelineModel:
-    last = GBTClassifier(featuresCol="features", labelCol=label, maxIter=rounds, maxDepth=depth, stepSize=step, subsamplingRate=share, seed=seed)
-    return Pipeline(stages=[*preparation(numeric, categorical, modes(train, categorical)), last]).fit(train)
+    """Boosted trees. They see a number's bin alone, so rows that are alike in bins, categories and label are one row with their number as weight: a round's work grows with the different ones."""
+    usual = modes(train, categorical)
+    imputer = Imputer(strategy="median", inputCols=numeric, outputCols=[f"_{c}" for c in numeric]).fit(train)
+    cut = bins(imputer.transform(train), [f"_{c}" for c in numeric])
+    binned = cut.getOutputCols()
+    last = GBTClassifier(featuresCol="features", labelCol=label, weightCol="_weight", maxIter=rounds, maxDepth=depth, stepSize=step, subsamplingRate=share, seed=seed)
+    rows = alike(cut.transform(imputer.transform(train)), [*binned, *categorical, label])
+    return PipelineModel([imputer, cut, *Pipeline(stages=[*assembly(binned, categorical, usual), last]).fit(rows).stages])
 
 
 def feature_columns(df: DataFrame, allowed: Sequence[str], denied: Sequence[str]) -> list[str]:
@@ -148,9 +192,14 @@ def contributions(model: PipelineModel, rows: DataFrame) -> tuple[list[str], Col
     return names, F.array(*[reduce(Column.__add__, t) if t else F.lit(0.0) for t in terms]), float(last.intercept)
 
 
+def risk_scores(model: PipelineModel, rows: DataFrame) -> DataFrame:
+    """rows as the model transforms them, with risk_score."""
+    return model.transform(rows).withColumn("risk_score", vector_to_array("probability")[1])
+
+
 def scored(model: PipelineModel, rows: DataFrame, keys: list[str]) -> DataFrame:
     """keys, risk_score, risk_tier and leading_factors, the three columns that move the score most, either way."""
     names, parts, _ = contributions(model, rows)
-    out = model.transform(rows).withColumn("risk_score", vector_to_array("probability")[1]).withColumn("_parts", parts)
+    out = risk_scores(model, rows).withColumn("_parts", parts)
     factors = leading_factors(names, [F.col("_parts")[k] for k in range(len(names))], [0.0] * len(names), [1.0] * len(names))
     return out.select(*keys, "risk_score", risk_tier(F.col("risk_score")).alias("risk_tier"), factors.alias("leading_factors"))

@@ -195,11 +195,11 @@ def model_gates(spark, sf_dir):
     rows = kept(metrics.chronological_split(training_rows(spark, sf_dir), "as_of"))
     numeric, categorical = allowed(rows)
     train, check = rows.where("split = 'train'").drop("split"), rows.where("split = 'validation'").drop("split")
-    rule = check.select("entity_id", "as_of", metrics.rule_score(F.col("rate_28d"), F.col("missed_28d"), F.col("o_orderstatus") == "O", F.col("days_since_activity"), F.col("prior_flags")).alias("risk_score"))
+    rule = check.withColumn("risk_score", metrics.rule_score(F.col("rate_28d"), F.col("missed_28d"), F.col("o_orderstatus") == "O", F.col("days_since_activity"), F.col("prior_flags")))
     fits = [model.fit_logistic(train, "label", numeric, categorical), model.fit_boosted(train, "label", numeric, categorical)]
     out = None
-    for k, (name, scores) in enumerate(zip(("rule", "logistic", "boosted"), [rule, *(model.scored(m, check, ["entity_id", "as_of"]) for m in fits)])):
-        own = check.select("entity_id", "as_of", "label").join(scores.select("entity_id", "as_of", "risk_score"), ["entity_id", "as_of"])
+    for k, (name, scores) in enumerate(zip(("rule", "logistic", "boosted"), [rule, *(model.risk_scores(m, check) for m in fits)])):
+        own = kept(scores.select("entity_id", "label", "risk_score"))
         one = metrics.ranking_metrics(own, "label", "risk_score", "entity_id", [0.1]).select("average_precision", F.col("top")[0]["recall"].alias("top_k_recall")).crossJoin(F.broadcast(metrics.calibration_error(own, "label", "risk_score")))  # one row each
         one = one.select(F.lit(name).alias("candidate"), F.lit(k).alias("complexity"), "*")
         out = one if out is None else out.unionByName(one)

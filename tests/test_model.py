@@ -41,6 +41,29 @@ def test_scored_names_three_factors(spark):
     assert empty.count() == 0
 
 
+def test_boosted_trees_are_fitted_to_different_rows(spark, monkeypatch):
+    """Copies of the rows add weight to the rows that the rounds go over, and no rows; without a subsample they change no score."""
+    df, seen, alike = rows(spark).withColumn("x", F.floor("x").cast("double")), [], model.alike
+    monkeypatch.setattr(model, "alike", lambda df, columns, draws=500: seen.append(alike(df, columns, draws)) or seen[-1])
+    copies = df.crossJoin(spark.range(50).select(F.col("id").alias("copy")))
+    once, often = (model.fit_boosted(x, "label", ["x", "y"], ["kind"], rounds=6, depth=3, share=1.0) for x in (df, copies))
+    (n, total), (m, large) = ((r[0], r[1]) for r in (x.agg(F.count("*"), F.sum("_weight")).first() for x in seen))
+    assert n == total == 400 and abs(large - 20_000) < 1e-6 and m < 1000
+    a, b = ({r.id: r.risk_score for r in model.risk_scores(fitted, df).collect()} for fitted in (once, often))
+    assert len(set(a.values())) > 5 and all(abs(a[k] - b[k]) < 1e-9 for k in a)
+
+
+def test_bins_part_all_values_of_few_and_heavy_ones_of_many(spark):
+    df = spark.range(1000).select((F.col("id") % 9).cast("double").alias("few"), F.when(F.col("id") < 900, 5.0).otherwise(F.col("id") / 7 - 130).alias("heavy"), F.col("id").cast("double").alias("even"), F.lit(3.0).alias("one"))
+    cut = model.bins(df, df.columns)
+    got = cut.transform(df)
+    assert all(len(x) <= model.BINS + 1 for x in cut.getSplitsArray())
+    assert got.select("_bfew").distinct().count() == 9 and got.select("_bone").distinct().count() == 1
+    heavy = {r._bheavy for r in got.where("heavy = 5.0").collect()}
+    assert len(heavy) == 1 and not heavy & {r._bheavy for r in got.where("heavy <> 5.0").collect()}
+    assert got.groupBy("_beven").count().agg(F.max("count")).first()[0] <= 40
+
+
 def test_features_are_those_allowed_and_not_denied(spark):
     df = rows(spark, 5)
     assert model.feature_columns(df, ["y", "x", "label"], ["label", "kind"]) == ["y", "x"]
