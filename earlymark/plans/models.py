@@ -183,11 +183,11 @@ def allowed(df):
 
 
 def fit_and_score(spark, sf_dir):
-    rows = training_rows(spark, sf_dir)
+    """The latest period scored by a model of those before it. The features are made once, as each step of a fit reads them anew."""
+    rows = kept(metrics.chronological_split(training_rows(spark, sf_dir), "as_of"))
     numeric, categorical = allowed(rows)
-    split = metrics.chronological_split(rows, "as_of")
-    fitted = model.fit_logistic(split.where("split = 'train'").drop("split"), "label", numeric, categorical)
-    return model.scored(fitted, split.where("split = 'validation'"), ["entity_id", "as_of"])
+    fitted = model.fit_logistic(rows.where("split = 'train'").drop("split"), "label", numeric, categorical)
+    return model.scored(fitted, rows.where("split = 'validation'"), ["entity_id", "as_of"])
 
 
 def model_gates(spark, sf_dir):

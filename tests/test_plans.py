@@ -31,6 +31,20 @@ def test_boosted_candidate_is_fitted_in_full(spark, monkeypatch):
         models.model_gates(spark, SF)
 
 
+def test_a_fit_reads_features_that_were_made_once(spark, monkeypatch):
+    class Fitted(Exception):
+        pass
+
+    def fit(train, *_):
+        raise Fitted(" ".join(train.inputFiles()))
+
+    monkeypatch.setattr(model, "fit_logistic", fit)
+    for query in (models.fit_and_score, models.model_gates):
+        with pytest.raises(Fitted) as e:
+            query(spark, SF)
+        assert "/work-" in str(e.value) and SF not in str(e.value)
+
+
 def test_cohort_keys_digest_in_pieces(spark, monkeypatch):
     monkeypatch.setattr(assign, "PIECE", 3)
     rows = [("a", i % 50) for i in range(130)] + [("b", 7), ("b", None), ("c", None), (None, 3), (None, 20)]
