@@ -164,13 +164,15 @@ def rescue_values(spark, sf_dir):
 
 
 def conform_stream_latest(spark, sf_dir):
-    """Streams order lines whose order is known into a table of the latest row of each key, two files at a time."""
+    """Streams order lines whose order is known into a table of the latest row of each key, half of the files at a time."""
     root = workspace(spark)
     keys = ["l_orderkey", "l_linenumber"]
-    i.read(spark, sf_dir, "lineitem").select(*keys, *SEQUENCE).repartition(4).write.parquet(f"{root}/landed")
+    lines = i.read(spark, sf_dir, "lineitem").select(*keys, *SEQUENCE)
+    landed, buckets = i.parts(lines, 4), i.parts(lines, 8)
+    lines.repartition(landed).write.parquet(f"{root}/landed")
     parents = i.read(spark, sf_dir, "orders").where("o_orderkey % 3 <> 0").select(F.col("o_orderkey").alias("l_orderkey"))
-    source = files.stream(spark, f"{root}/landed", spark.read.parquet(f"{root}/landed").schema, files_per_batch=2)
-    table = keyed.Keyed(f"{root}/table", tuple(keys), buckets=8)
+    source = files.stream(spark, f"{root}/landed", lines.schema, files_per_batch=-(-landed // 2))
+    table = keyed.Keyed(f"{root}/table", tuple(keys), buckets=buckets)
     conform_stream(source, table, SEQUENCE, f"{root}/checkpoint", parents, "l_orderkey").awaitTermination()
     return keyed.read(spark, table)
 

@@ -73,6 +73,15 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows of a landed file or a bucket.
+PART_ROWS = 1_000_000
+
+
+def parts(df: DataFrame, least: int) -> int:
+    """How many files or buckets the rows take, so that none of them grows with the input."""
+    return max(least, -(-df.count() // PART_ROWS))
+
+
 def cutoffs(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(c,) for c in CUTOFFS], "as_of string").select(F.col("as_of").cast("timestamp_ntz"))
 

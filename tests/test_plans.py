@@ -1,6 +1,7 @@
 import datetime as dt
 import hashlib
 import inspect
+from pathlib import Path
 
 import pytest
 
@@ -95,3 +96,17 @@ def test_scores_half_way_are_ranked_as_by_sql(spark, tmp_path):
         want = con.sql(models.ORACLES[name])
         got = models.QUERIES[name](spark, str(tmp_path)).select(*want.columns)
         assert sorted(map(tuple, got.collect())) == sorted(want.fetchall()), name
+
+
+def test_landed_files_and_buckets_grow_in_number(spark, monkeypatch):
+    def conform(rows=None):
+        with monkeypatch.context() as m:
+            made, stream = [], feeds.files.stream
+            if rows:
+                m.setattr(feeds.i, "PART_ROWS", rows)
+            m.setattr(feeds.files, "stream", lambda spark, path, *a, **k: made.append(len(list(Path(path).glob("part-*")))) or stream(spark, path, *a, **k))
+            m.setattr(feeds, "conform_stream", lambda source, table, *a, real=feeds.conform_stream: made.append(table.buckets) or real(source, table, *a))
+            return sorted(map(tuple, feeds.conform_stream_latest(spark, SF).collect())), made
+
+    few, many = conform(), conform(500)
+    assert few[0] == many[0] and few[1] == [4, 8] and many[1] == [12, 12]
