@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import string
+import struct
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -32,6 +33,18 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+class Words(dict):
+    """Ids by word; a word that isn't there is asked of the encoder once."""
+
+    def __init__(self, encoder: WordEncoder):
+        super().__init__()
+        self.encoder = encoder
+
+    def __missing__(self, w: str) -> bytes:
+        ids = self[w] = self.encoder.new(w)
+        return ids
+
+
 class WordEncoder:
     """Ids of texts as little-endian uint32 bytes, by the tokenizer, which sees each different word once.
 
@@ -44,7 +57,7 @@ class WordEncoder:
     def __init__(self, path: str, limit: int = CACHED_WORDS):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.limit, self.cache, self.old, self.tails = Tokenizer.from_file(path), limit, {}, {}, {}
+        self.tokenizer, self.limit, self.cache, self.old, self.tails = Tokenizer.from_file(path), limit, Words(self), {}, {}
         self.whole = ["  ", "\n\n", " \n", "\n ", *(x.content for x in self.tokenizer.get_added_tokens_decoder().values())]
 
         # the byte-level alphabet: printable bytes stand for themselves, the others for characters from 256 on
@@ -57,49 +70,38 @@ class WordEncoder:
     def word(self, core: str) -> bytes:
         """Ids of letters alone, with the space or the line end before them, from the model without its pre-tokenizer."""
         first, rest = core[:1] == "\n", core.removeprefix("\n")
-        head = [self.letters[10]] if first else []
-        parts = [*head, ("" if first else self.letters[32]) + rest.encode().decode("latin-1").translate(self.letters)]
-        return np.array([k.id for x in parts for k in self.tokenizer.model.tokenize(x)], "<u4").tobytes()
+        shown = rest if rest.isascii() else rest.encode().decode("latin-1").translate(self.letters)
+        ids = [k.id for k in self.tokenizer.model.tokenize(shown if first else self.letters[32] + shown)]
+        if first:
+            ids = [k.id for k in self.tokenizer.model.tokenize(self.letters[10])] + ids
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def direct(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
-    def known(self, new: set[str]) -> dict[str, bytes]:
-        """Ids of words that the newer generation lacks."""
-        out = {w: self.old[w] for w in new if w in self.old}
-        parts = {}
-        for w in new:
-            if w not in out:
-                core = w.rstrip(string.punctuation)
-                parts[w] = (core, w[len(core) :]) if core[-1:].isalnum() else (w, "")
-        cores = {c: self.cache.get(c) or self.old.get(c) for c, _ in parts.values()}
-        todo = [c for c, ids in cores.items() if ids is None]
-        if self.by_model:
-            cores.update((c, self.word(c)) for c in todo if c.removeprefix("\n").isalpha())
-            todo = [c for c in todo if cores[c] is None]
-        cores.update(zip(todo, self.direct([c if c[:1] == "\n" else " " + c for c in todo])))
-        tails = [t for t in {t for _, t in parts.values()} if t and t not in self.tails]
-        if len(self.tails) > 10_000:
-            self.tails, tails = {}, [t for t in {t for _, t in parts.values()} if t]
-        self.tails.update(zip(tails, self.direct(tails)))
-        out |= {c: ids for c, ids in cores.items() if ids is not None}
-        return out | {w: cores[c] + self.tails[t] if t else cores[c] for w, (c, t) in parts.items()}
+    def new(self, w: str) -> bytes:
+        """Ids of a word that the newer generation lacks: those of its letters and digits, then those of the punctuation after them."""
+        if (ids := self.old.get(w)) is not None:
+            return ids
+        core = w.rstrip(string.punctuation)
+        if len(core) == len(w) or not core[-1:].isalnum():
+            return self.word(w) if self.by_model and w.removeprefix("\n").isalpha() else self.direct([w if w[:1] == "\n" else " " + w])[0]
+        tail = w[len(core) :]
+        if tail not in self.tails:
+            if len(self.tails) > 10_000:
+                self.tails = {}
+            self.tails[tail] = self.direct([tail])[0]
+        return self.cache[core] + self.tails[tail]
 
     def encode(self, text: str) -> bytes:
         if any(x in text for x in self.whole) or (not text.isascii() or UNUSUAL.search(text)) and SPACES_MEET.search(text):
             return self.direct([text])[0]
         first, *rest = text.replace("\n", " \n").split(" ")
-        cache, head = self.cache, self.direct([first])[0] if first else b""
-        try:
-            return head + b"".join([cache[w] for w in rest])
-        except KeyError:
-            new = self.known({w for w in rest if w not in cache})
-            if len(cache) + len(new) > self.limit and cache:
-                self.old, self.cache = cache, {}
-            self.cache.update(new)
-            old = self.old
-            return head + b"".join([new[w] if w in new else self.cache[w] if w in self.cache else old[w] for w in rest])
+        if len(self.cache) > self.limit:
+            self.old, self.cache = self.cache, Words(self)
+        cache = self.cache
+        return (self.direct([first])[0] if first else b"") + b"".join([cache[w] for w in rest])
 
 
 _encoders: dict[str, WordEncoder] = {}

@@ -31,6 +31,14 @@ def test_words_of_interest(text):
     assert ENCODER.encode(text) == plain(text)
 
 
+def test_a_new_word_is_made_once():
+    encoder, made = packing.WordEncoder(packing.default_tokenizer()), []
+    new, encoder.new = encoder.new, lambda w: made.append(w) or new(w)
+    for text in ("a bcd, bcd e bcd,", "a bcd, fgh\nIj"):
+        assert encoder.encode(text) == plain(text)
+    assert made == ["bcd,", "bcd", "e", "fgh", "\nIj"]
+
+
 def check_plan(histogram, capacity=1024, **options):
     runs, sequences = packing.packing_plan(histogram, capacity, **options)
     fill, places, seen = {}, {}, {}
