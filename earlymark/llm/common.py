@@ -6,6 +6,7 @@ import re
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +19,8 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 SPACE = r"[\x20\x09-\x0D]+"
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -37,13 +40,29 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/earlymark-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, partition_by: str | None = None) -> DataFrame:
+@contextmanager
+def batches_of(spark: SparkSession, size: str | None) -> Iterator[None]:
+    """What runs meanwhile in this session hands Python about so many bytes at once (a size as "4m"; None: as the session says)."""
+    before = spark.conf.get(BATCH_BYTES, None)
+    if size:
+        spark.conf.set(BATCH_BYTES, size)
+    try:
+        yield
+    finally:
+        if size and before is None:
+            spark.conf.unset(BATCH_BYTES)
+        elif size:
+            spark.conf.set(BATCH_BYTES, before)
+
+
+def stored(df: DataFrame, partition_by: str | None = None, batch: str | None = None) -> DataFrame:
     """df written once to the shared folder and read again, so that later steps neither recompute it nor
-    depend on the executors that made it."""
+    depend on the executors that made it. batch: the size of batches for Python, as in batches_of."""
     spark = df.sparkSession
     path = shared_dir(spark)
     writer = df.write.mode("overwrite").option("compression", "zstd")
-    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+    with batches_of(spark, batch):
+        (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

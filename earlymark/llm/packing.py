@@ -6,7 +6,7 @@ import re
 import string
 import struct
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -20,6 +20,8 @@ CAPACITY = 1024
 END_ID = 2
 #: A worker keeps the ids of at most twice so many different words.
 CACHED_WORDS = 500_000
+#: Texts that a worker gets at once, and bytes of ids that it gives back at once.
+BATCH, HELD = "4m", 1 << 20
 
 SPACES_MEET = re.compile(r"\s\s")
 UNUSUAL = re.compile(r"[\t\r\x0b\x0c\x1c-\x1f]")
@@ -107,6 +109,30 @@ class WordEncoder:
 _encoders: dict[str, WordEncoder] = {}
 
 
+def _cut(batches: Iterator[pa.RecordBatch], encode: Callable[[str], bytes], capacity: int) -> Iterator[pa.RecordBatch]:
+    """The pieces of doc_id and text, in batches of about HELD bytes of ids (more only where one text has more)."""
+    end, schema = np.array([END_ID], "<u4").tobytes(), pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary())])
+    rows, held = [], 0
+
+    def flush() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows), schema)], schema=schema)
+
+    for batch in batches:
+        for doc_id, text in zip(batch.column(0), batch.column(1)):
+            ids = encode(text.as_py() or "") + end
+            total, start, piece = len(ids) // 4, 0, 0
+            size = (total - 1) % capacity + 1 if total > capacity else total
+            while start < total:
+                rows.append((doc_id.as_py(), piece, start, size, ids[4 * start : 4 * (start + size)]))
+                start, piece, size = start + size, piece + 1, capacity
+            held += len(ids)
+            if held > HELD:
+                yield flush()
+                rows, held = [], 0
+    if rows:
+        yield flush()
+
+
 def tokenized_pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY) -> DataFrame:
     """Every document's ids and the end id, cut into pieces of at most capacity tokens.
 
@@ -121,26 +147,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer: str | None = None, capacity: in
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         encoder = _encoders.get(path) or _encoders.setdefault(path, WordEncoder(path))
-        end, schema = np.array([END_ID], "<u4").tobytes(), pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary())])
-        rows, held = [], 0
-
-        def flush() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows), schema)], schema=schema)
-
-        for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = encoder.encode(text.as_py() or "") + end
-                total, start, piece = len(ids) // 4, 0, 0
-                size = (total - 1) % capacity + 1 if total > capacity else total
-                while start < total:
-                    rows.append((doc_id, piece, start, size, ids[4 * start : 4 * (start + size)]))
-                    start, piece, size = start + size, piece + 1, capacity
-                held += len(ids)
-                if held > 8 << 20:
-                    yield flush()
-                    rows, held = [], 0
-        if rows:
-            yield flush()
+        yield from _cut(batches, encoder.encode, capacity)
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(cut, PIECES)
 
@@ -303,7 +310,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, groups: int = 256) -> Data
 def packed_documents(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY) -> DataFrame:
     """Pieces with their checksums and places; the ids themselves are not kept."""
     pieces = tokenized_pieces(docs, tokenizer, capacity)
-    return pack(stored(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))), capacity)
+    return pack(stored(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")), batch=BATCH), capacity)
 
 
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,6 @@
 import pyarrow as pa
 
-from earlymark.llm.common import in_slices
+from earlymark.llm.common import BATCH_BYTES, in_slices, stored
 
 
 def test_slices_are_cut_by_rows_and_bytes():
@@ -9,3 +9,14 @@ def test_slices_are_cut_by_rows_and_bytes():
     got = [s.column(1).to_pylist() for s in in_slices(batch, "text", rows=5, size=100)]
     assert [k for s in got for k in s] == list(range(len(texts))) and got == [[0, 1, 2, 3, 4], [5, 6, 7, 8], [9], [10], [11]]
     assert [s.num_rows for s in in_slices(batch, 0, rows=100, size=10**6)] == [len(texts)] and not list(in_slices(batch.slice(0, 0), "text"))
+
+
+def test_python_gets_small_batches(spark):
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], names=["n", "b"])
+
+    docs = spark.range(4000).coalesce(1).selectExpr("id", "repeat('x', 500) AS text")
+    before = spark.conf.get(BATCH_BYTES)
+    got = stored(docs.mapInArrow(sizes, "n long, b long"), batch="100k").toPandas()
+    assert got.n.sum() == 4000 and got.b.max() < 2 * 100_000 and spark.conf.get(BATCH_BYTES) == before

@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -107,6 +108,25 @@ def test_few_sequences():
     assert check_plan(histogram) <= 1.01 * -(-int(lengths.sum()) // 1024)
 
 
+def test_pieces_come_in_small_batches():
+    batch = pa.RecordBatch.from_arrays([pa.array(range(400), pa.int64()), pa.array(["x"] * 400)], names=["doc_id", "text"])
+    out = list(packing._cut(iter([batch]), lambda text: bytes(4 * 3000), 1024))
+    assert sum(b.num_rows for b in out) == 1200 and max(b.nbytes for b in out) < 1.2 * (1 << 20)
+
+
+def test_a_worker_gets_small_batches_of_texts(spark, monkeypatch):
+    cut, most = packing._cut, spark.sparkContext.accumulator(0)
+
+    def watched(batches, encode, capacity):
+        for b in batches:
+            most.add(b.nbytes > 2 * (4 << 20))
+            yield from cut(iter([b]), encode, capacity)
+
+    monkeypatch.setattr(packing, "_cut", watched)
+    docs = spark.range(6000).coalesce(1).selectExpr("id AS doc_id", "repeat('word ', 400) AS text")
+    assert packing.packed_documents(docs).count() == 6000 and most.value == 0
+
+
 def test_documents(spark):
     long = "word " * 3000
     rows = [(1, "Hello there. Hello", 0), (2, None, 0), (3, "", 1), (4, long, 1), (4, long, 1), (None, "x", 2)]
