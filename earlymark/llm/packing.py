@@ -133,6 +133,16 @@ def _cut(batches: Iterator[pa.RecordBatch], encode: Callable[[str], bytes], capa
         yield flush()
 
 
+def _encoded(batches: Iterator[pa.RecordBatch], path: str, capacity: int) -> Iterator[pa.RecordBatch]:
+    """The pieces by the worker's encoder of that tokenizer; at the end of a task it forgets its older words, as the worker may go on to other work."""
+    import os
+
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    encoder = _encoders.get(path) or _encoders.setdefault(path, WordEncoder(path))
+    yield from _cut(batches, encoder.encode, capacity)
+    encoder.old = {}
+
+
 def tokenized_pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY) -> DataFrame:
     """Every document's ids and the end id, cut into pieces of at most capacity tokens.
 
@@ -143,11 +153,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer: str | None = None, capacity: in
     path = tokenizer or default_tokenizer()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = _encoders.get(path) or _encoders.setdefault(path, WordEncoder(path))
-        yield from _cut(batches, encoder.encode, capacity)
+        return _encoded(batches, path, capacity)
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(cut, PIECES)
 

@@ -114,17 +114,28 @@ def test_pieces_come_in_small_batches():
     assert sum(b.num_rows for b in out) == 1200 and max(b.nbytes for b in out) < 1.2 * (1 << 20)
 
 
+def test_older_words_go_with_the_task(monkeypatch):
+    path, texts = packing.default_tokenizer(), [" ".join(f"w{i * 7 + k}" for k in range(7)) for i in range(30)]
+    encoder = packing.WordEncoder(path, limit=40)
+    monkeypatch.setitem(packing._encoders, path, encoder)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(30), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    for _ in range(2):
+        out = pa.Table.from_batches(packing._encoded(iter([batch]), path, 1024))
+        assert encoder.cache and not encoder.old and out["ids"].to_pylist() == [plain(t) + b"\2\0\0\0" for t in texts]
+
+
 def test_a_worker_gets_small_batches_of_texts(spark, monkeypatch):
-    cut, most = packing._cut, spark.sparkContext.accumulator(0)
+    encoded, seen, large = packing._encoded, spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
 
-    def watched(batches, encode, capacity):
+    def watched(batches, path, capacity):
         for b in batches:
-            most.add(b.nbytes > 2 * (4 << 20))
-            yield from cut(iter([b]), encode, capacity)
+            seen.add(1)
+            large.add(b.nbytes > 2 * (4 << 20))
+            yield from encoded(iter([b]), path, capacity)
 
-    monkeypatch.setattr(packing, "_cut", watched)
+    monkeypatch.setattr(packing, "_encoded", watched)
     docs = spark.range(6000).coalesce(1).selectExpr("id AS doc_id", "repeat('word ', 400) AS text")
-    assert packing.packed_documents(docs).count() == 6000 and most.value == 0
+    assert packing.packed_documents(docs).count() == 6000 and seen.value > 1 and large.value == 0
 
 
 def test_documents(spark):
