@@ -20,6 +20,8 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 SPACE = r"[\x20\x09-\x0D]+"
 
 BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+#: Bytes of rows that a Python worker gets at once.
+BATCH = "4m"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,7 +57,7 @@ def batches_of(spark: SparkSession, size: str | None) -> Iterator[None]:
             spark.conf.set(BATCH_BYTES, before)
 
 
-def stored(df: DataFrame, partition_by: str | None = None, batch: str | None = None) -> DataFrame:
+def stored(df: DataFrame, partition_by: str | None = None, batch: str | None = BATCH) -> DataFrame:
     """df written once to the shared folder and read again, so that later steps neither recompute it nor
     depend on the executors that made it. batch: the size of batches for Python, as in batches_of."""
     spark = df.sparkSession

@@ -9,8 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stored, table
-from .ctw import AT_ONCE, Texts, mixed
+from .common import in_slices, stored, table
+from .ctw import Texts, mixed
 from .graphs import connected_components
 
 SHINGLE = 5
@@ -23,6 +23,8 @@ PER_CHUNK = SYMBOLS // CHUNKS
 RADIUS = 2 * CHUNKS - 1
 #: Signatures and shingles that one task compares with as many others at once, at most.
 BLOCK, BLOCK_SHINGLES = 4096, 2_000_000
+#: Bytes of text that are worked on at once.
+AT_ONCE = 1 << 18
 
 _RNG = np.random.default_rng(20_240_917)
 _XOR = _RNG.integers(0, 2**64, SYMBOLS, np.uint64)
@@ -163,15 +165,8 @@ def _edges(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
 def _texts(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Slices of the batches with at most AT_ONCE bytes of text, or one row."""
     for batch in batches:
-        texts = [(t.as_py() or "").encode() for t in batch.column(column)]
-        low, size = 0, 0
-        for k, t in enumerate(texts):
-            if k > low and size + len(t) > AT_ONCE:
-                yield batch.slice(low, k - low), texts[low:k]
-                low, size = k, 0
-            size += len(t)
-        if texts:
-            yield batch.slice(low), texts[low:]
+        for part in in_slices(batch, column, batch.num_rows, AT_ONCE):
+            yield part, [(t.as_py() or "").encode() for t in part.column(column)]
 
 
 def by_row(docs: DataFrame) -> DataFrame:

@@ -20,8 +20,8 @@ CAPACITY = 1024
 END_ID = 2
 #: A worker keeps the ids of at most twice so many different words.
 CACHED_WORDS = 500_000
-#: Texts that a worker gets at once, and bytes of ids that it gives back at once.
-BATCH, HELD = "4m", 1 << 20
+#: Bytes of ids that a worker gives back at once.
+HELD = 1 << 20
 
 SPACES_MEET = re.compile(r"\s\s")
 UNUSUAL = re.compile(r"[\t\r\x0b\x0c\x1c-\x1f]")
@@ -316,7 +316,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, groups: int = 256) -> Data
 def packed_documents(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY) -> DataFrame:
     """Pieces with their checksums and places; the ids themselves are not kept."""
     pieces = tokenized_pieces(docs, tokenizer, capacity)
-    return pack(stored(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")), batch=BATCH), capacity)
+    return pack(stored(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))), capacity)
 
 
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

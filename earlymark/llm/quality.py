@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import stored, table
-from .ctw import AT_ONCE, Texts, mixed
+from .ctw import Texts, mixed
 
 #: Labelled rows to learn from, at most (those whose doc_id has the smallest hashes).
 LABELLED = 12_000
@@ -21,6 +21,8 @@ LABELLED = 12_000
 #: must be. All rows without labels are candidates in every round.
 ROUNDS, TAUGHT, SURE = 3, 20, 0.9
 SOURCES = 32
+#: Bytes of text that are worked on at once.
+AT_ONCE = 1 << 18
 
 # Kinds of bytes: other, lower case, upper case, digit, space, line end, sentence mark, other punctuation (9 kinds), beyond ASCII
 _KIND = np.zeros(256, np.int64)

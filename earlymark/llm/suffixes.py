@@ -17,15 +17,15 @@ from .common import in_slices, in_groups, stored, table
 LENGTH, PIECE = 100, 32
 _WINDOW = LENGTH - PIECE + 1  # pieces in a repeat
 #: Bytes of text that are worked on at once, and runs in a batch of the index family.
-AT_ONCE, BATCH = 1 << 19, 2048
+AT_ONCE, BATCH = 1 << 18, 1024
 #: Runs that a task holds at once to drop repeats among them.
-HELD_RUNS = 500_000
+HELD_RUNS = 200_000
 #: OPEN runs of an anchor that one index family takes; those of a more common anchor are dealt out by window.
 FAMILY_RUNS = 4096
 #: doc_ids with several texts that are sent to every task; with more, the same join shuffles.
 BROADCAST_ROWS = 1_000_000
-#: Windows that a task's index family is built for (about LENGTH bytes each).
-TASK_WINDOWS = 400_000
+#: Windows of a task (about LENGTH bytes each), and the index families that it builds for them, one after the other.
+TASK_WINDOWS, FAMILIES = 400_000, 4
 _PLACE = np.uint64((1 << 28) - 1)
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 NEW, REPEATED, OPEN = 0, 1, 2
@@ -146,11 +146,12 @@ def surveyed(docs: DataFrame) -> DataFrame:
 
         def flush() -> Iterator[pa.RecordBatch]:
             columns = [np.concatenate(c) for c in zip(*held)]
+            held.clear()
             order, first = _first_of_equal(*columns)
             kind = np.where(first, NEW, REPEATED)
-            for low in range(0, len(order), 100_000):
-                o = order[low : low + 100_000]
-                yield _rows(kind[low : low + 100_000], *(c[o] for c in columns))
+            for low in range(0, len(order), 50_000):
+                o = order[low : low + 50_000]
+                yield _rows(kind[low : low + 50_000], *(c[o] for c in columns))
 
         for batch in batches:
             for rows, texts in portions(batch):
@@ -160,14 +161,13 @@ def surveyed(docs: DataFrame) -> DataFrame:
                     held.append((anchor, covered, doc, copy, packed(start, windows, distance)))
                 if sum(len(h[0]) for h in held) > HELD_RUNS:
                     yield from flush()
-                    held = []
         if held:
             yield from flush()
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # sorted by key (a REPEATED run's document, another's anchor) and covered
         last, company = None, False  # the last run that differs from those before it, and whether one of those has its anchor
-        for t in in_groups(batches, ["key", "covered"], HELD_RUNS // 4):
+        for t in in_groups(batches, ["key", "covered"], HELD_RUNS // 2):
             kind, _, *rest = (c.to_numpy() for c in t.columns)
             known = kind == REPEATED
             if known.any():
@@ -218,10 +218,20 @@ class IndexFamily:
         if not known.all():
             self.levels.append(ordered[fresh[~known]])
             while len(self.levels) > 1 and 2 * len(self.levels[-1]) >= len(self.levels[-2]):
-                self.levels.append(np.sort(np.concatenate([self.levels.pop(), self.levels.pop()]), kind="stable"))
+                self.levels.append(np.concatenate([self.levels.pop(), self.levels.pop()]))
+                self.levels[-1].sort(kind="stable")  # in place
         return out
 
 
+def _slices(batch: pa.RecordBatch, column: int, rows: int) -> Iterator[pa.RecordBatch]:
+    """Slices of at most so many rows that have one value in a column, by which the rows are sorted."""
+    values = batch.column(column).to_numpy()
+    ends = [*(np.flatnonzero(values[1:] != values[:-1]) + 1).tolist(), len(values)]
+    for low, high in zip([0, *ends], ends):
+        for k in range(low, high, rows):
+            yield batch.slice(k, min(rows, high - k))
+
+
 def open_parts(docs: DataFrame, found: DataFrame) -> DataFrame:
     """doc, copy, start, anchor, family, bytes: the bytes of the OPEN runs and the index family that compares them.
 
@@ -254,7 +264,7 @@ def open_parts(docs: DataFrame, found: DataFrame) -> DataFrame:
                     else:
                         rows.extend((doc, copy, i, a, zlib.crc32(data[i : i + LENGTH]) % n, data[i : i + LENGTH]) for i in range(s, s + w))
                         size += w * LENGTH
-                    if size > 4 << 20:
+                    if size > 1 << 20:
                         yield flush()
                         size = 0
         if rows:
@@ -268,10 +278,11 @@ def marked(docs: DataFrame, found: DataFrame) -> DataFrame:
     """doc, copy, starts: where the windows of OPEN runs begin that repeat an earlier window, as runs (start << 7 | more windows)."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        family, last = IndexFamily(), (None, None, None)
+        own, last = None, (None, None, None)
         for batch in batches:
-            for low in range(0, batch.num_rows, BATCH):
-                part = batch.slice(low, BATCH)
+            for part in _slices(batch, 4, BATCH):
+                if own != (own := part.column(4)[0].as_py()):
+                    family = IndexFamily()
                 doc, copy, start = (c.to_numpy() for c in part.columns[:3])
                 new = np.concatenate([[(doc[0], copy[0], start[0]) != last], (doc[1:] != doc[:-1]) | (copy[1:] != copy[:-1]) | (start[1:] != start[:-1])])
                 last = doc[-1], copy[-1], start[-1]  # rows that repeat a document come twice, one after the other
@@ -294,7 +305,8 @@ def marked(docs: DataFrame, found: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(doc[o[first]]), pa.array(copy[o[first]]), pa.array((start[o[first]] + i[first]) << 7 | more)], names=["doc", "copy", "starts"])
 
     windows = found.where(F.col("kind") == OPEN).agg(F.sum(F.shiftright("place", 7).bitwiseAND(127) + 1)).first()[0] or 0
-    parts = open_parts(docs, found).repartition(max(1, -(-windows // TASK_WINDOWS)), "anchor", "family").sortWithinPartitions("doc", "copy", "start").select("doc", "copy", "start", "bytes")
+    parts = open_parts(docs, found).withColumn("turn", F.pmod(F.xxhash64("anchor", "family"), F.lit(FAMILIES)).cast("int"))
+    parts = parts.repartition(max(1, -(-windows // TASK_WINDOWS)), "anchor", "family").sortWithinPartitions("turn", "doc", "copy", "start").select("doc", "copy", "start", "bytes", "turn")
     return parts.mapInArrow(scan, "doc long, copy long, starts long")
 
 
@@ -340,7 +352,7 @@ def without_repeats(docs: DataFrame, as_text: bool = False, nulls_first: bool =
     found = surveyed(ordered)
     start, windows = F.shiftright("place", 14), F.shiftright("place", 7).bitwiseAND(127)
     whole = found.where(F.col("kind") == REPEATED).select("doc", "copy", (F.shiftleft(start, 7) + windows).alias("starts"))
-    marks = whole.unionByName(marked(ordered, found)).groupBy("doc", "copy").agg(F.collect_list("starts").alias("_repeats"))
+    marks = whole.unionByName(stored(marked(ordered, found))).groupBy("doc", "copy").agg(F.collect_list("starts").alias("_repeats"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

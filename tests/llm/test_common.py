@@ -20,3 +20,13 @@ def test_python_gets_small_batches(spark):
     before = spark.conf.get(BATCH_BYTES)
     got = stored(docs.mapInArrow(sizes, "n long, b long"), batch="100k").toPandas()
     assert got.n.sum() == 4000 and got.b.max() < 2 * 100_000 and spark.conf.get(BATCH_BYTES) == before
+
+
+def test_what_is_written_between_steps_comes_in_small_batches(spark):
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], names=["n", "b"])
+
+    docs = spark.range(6000).coalesce(1).selectExpr("repeat('word ', 400) AS text")
+    got = stored(docs.mapInArrow(sizes, "n long, b long")).toPandas()
+    assert got.n.sum() == 6000 and got.b.max() < 2 * (4 << 20)

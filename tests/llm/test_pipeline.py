@@ -94,3 +94,24 @@ def test_odd_rows_in_every_stage(spark):
         assert stage(spark, docs.limit(0), SF).count() == 0, name
     assert len({(r.doc_id, r.start, r.sequence_id, r.offset) for r in pipeline.STAGES[4][1](spark, docs, SF).collect()}) >= len(rows)
     assert pipeline.STAGES[4][1](spark, docs.limit(0), SF).count() == 0
+
+
+def test_stages_hand_python_small_batches(spark, monkeypatch):
+    from earlymark.llm import quality, suffixes
+
+    seen, large = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
+    parts, portions, in_slices = quality._parts, suffixes.portions, suffixes.in_slices
+
+    def told(batch):
+        seen.add(1)
+        large.add(batch.nbytes > 2 * (4 << 20))
+        return batch
+
+    monkeypatch.setattr(quality, "_parts", lambda batches: parts(map(told, batches)))
+    monkeypatch.setattr(suffixes, "portions", lambda batch: portions(told(batch)))
+    monkeypatch.setattr(suffixes, "in_slices", lambda batch, column: in_slices(told(batch), column))
+    docs = spark.range(6000).coalesce(1).selectExpr("id AS doc_id", "repeat(sha2(cast(id AS string), 512), 16) AS text", "'en' AS lang", "'web' AS source", "2048L AS n_chars")
+    for stage in (pipeline.good_documents, pipeline.first_passages):
+        before = seen.value
+        stage(spark, docs, SF).count()
+        assert seen.value > before + 2 and large.value == 0

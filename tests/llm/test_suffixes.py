@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from earlymark.llm import suffixes as s
@@ -132,3 +133,22 @@ def test_many_ids_with_several_texts_are_joined_by_shuffle(spark, monkeypatch):
     docs = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (2, "c"), (None, "d"), (None, "e")], "doc_id long, text string")
     copies = {(r.doc_id, r.text): r["copy"] for r in s.numbered(docs).collect()}
     assert copies[2, "c"] == 0 and 0 not in (copies[1, "a"], copies[1, "b"], copies[None, "d"]) and copies[1, "a"] != copies[1, "b"]
+
+
+def test_a_task_builds_its_index_families_one_after_the_other(spark, monkeypatch):
+    made = spark.sparkContext.accumulator(0)
+
+    class Counted(s.IndexFamily):
+        def __init__(self):
+            self.levels = []
+            made.add(1)
+
+    monkeypatch.setattr(s, "IndexFamily", Counted)
+    check(spark, documents(seed=5, n=40))  # fewer windows than one task takes
+    assert made.value == s.FAMILIES
+
+
+def test_slices_have_one_value():
+    batch = pa.RecordBatch.from_arrays([pa.array(range(9)), pa.array([0, 0, 0, 1, 3, 3, 3, 3, 3])], names=["n", "turn"])
+    got = [x.column(0).to_pylist() for x in s._slices(batch, 1, 2)]
+    assert got == [[0, 1], [2], [3], [4, 5], [6, 7], [8]] and not list(s._slices(batch.slice(0, 0), 1, 2))
