@@ -1,7 +1,4 @@
-"""From raw documents to packed sequences: five operators, each on what the one before it kept.
-
-A stage writes what it keeps once, as it hands Python small batches while it does.
-"""
+"""From raw documents to packed sequences: five operators, each on what the one before it kept."""
 
 from __future__ import annotations
 
@@ -21,7 +18,7 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
     All stages keep all columns of docs, whatever they are called, and give an empty table for an empty one.
     """
-    return stored(accepted(docs, table(spark, sf_dir, "labels")))
+    return stored(accepted(docs, table(spark, sf_dir, "labels")))  # written here, so that Python gets small batches
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,7 +27,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     A row without doc_id stays only if its group has none with one; among several, the smallest hash of the text decides, and of rows that repeat
     both one stays. Rows without words belong to no group and all stay.
     """
-    return stored(one_of_each(docs, percent=80))
+    return one_of_each(docs, percent=80)
 
 
 def first_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,12 +38,12 @@ def first_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     names = {c: c if c in ("doc_id", "text") else f"_p{k}" for k, c in enumerate(docs.columns)}
     out = without_repeats(docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()]), as_text=True, nulls_first=True)
     new = {"text": F.col("kept"), "n_chars": F.length("kept").cast("long")}
-    return stored(out.select(*[new.get(c, F.col(n)).cast(docs.schema[c].dataType).alias(c) for c, n in names.items()]))
+    return out.select(*[new.get(c, F.col(n)).cast(docs.schema[c].dataType).alias(c) for c, n in names.items()])
 
 
 def unknown_to_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no item of the benchmark, rows without doc_id included. A null text holds none."""
-    return stored(without_benchmark(docs, table(spark, sf_dir, "benchmark")))
+    return without_benchmark(docs, table(spark, sf_dir, "benchmark"))
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,6 +59,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
+    for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        docs = stored(docs) if 0 < k < len(STAGES) - 1 else docs  # the first stage writes its own
     return docs
