@@ -9,16 +9,22 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stored, table
+from .common import BATCH, batches_of, stored, table
 from .ctw import mixed
 from .graphs import connected_components
 from .minhash import BLOCK, BLOCK_SHINGLES, Forest, _edges, _in_blocks, _texts, by_row, shingle_sets, whole_groups
+from .phrases import TABLE_BITS, has
 
 #: Cells of the table that tells about how often a shingle occurs. It orders the shingles of a set, rarest first; any order gives right
 #: results, a good one short lists. Its size is fixed, so it may be broadcast.
 CELLS_BITS, CHUNK = 20, 1 << 16
 #: Inverted lists of at most so many sets are merged pair by pair; the sets of a longer one are searched as one group.
 SHORT = 24
+#: Shingles that by their cells stand in short lists of at least so many sets (of 64 kinds) come behind all others: the more text, the less do cells tell
+#: of these, and texts that share nothing else would be groups.
+COMMON = 8
+#: They are counted in 2^11 parts by their first bits, and within a part by the next 32.
+PARTS_BITS = 11
 #: Bytes of text whose lists a task combines before they are shuffled, and how many sets it remembers as seen.
 FLUSH, SEEN = 8 << 20, 1 << 20
 #: Weight of probes against merging: the longest T / (MU * log2(longest list) + 1) lists of a query are probed.
@@ -86,16 +92,73 @@ def frequencies(rows: DataFrame) -> np.ndarray:
     return out
 
 
-def rarest_first(s: np.ndarray, cells: np.ndarray) -> np.ndarray:
-    """The shingles of a sorted set by the count of their cell, then by hash: an order that all sets share."""
-    return s[np.argsort(cells[(s >> STEP).astype(np.int64)], kind="stable")]
+def rarest_first(s: np.ndarray, cells: np.ndarray, often: np.ndarray | None = None) -> np.ndarray:
+    """The shingles of a sorted set by the count of their cell, those of the bit table often last, then by hash: an order that all sets share."""
+    rank = cells[(s >> STEP).astype(np.int64)]
+    if often is not None:
+        rank = rank + (has(often, s).astype(np.uint64) << np.uint64(60))
+    return s[np.argsort(rank, kind="stable")]
 
 
-def postings(docs: DataFrame, cells: np.ndarray, percent: int) -> DataFrame:
+def common_shingles(docs: DataFrame, cells: np.ndarray, percent: int) -> np.ndarray:
+    """A bit table (of 16 MB at any size) of the shingles that would stand in the short lists of COMMON sets, were the order by cells alone.
+
+    Lists are taken a quarter longer here, as what comes in for a common shingle shouldn't be another one. Equal sets are of one kind, so copies don't
+    make a shingle common.
+    """
+    told = docs.sparkSession.sparkContext.broadcast(cells)
+    names, piece = ["part", "key", "kind"], 1 << (TABLE_BITS - PARTS_BITS - 3)
+
+    def flush(tokens: list, kinds: list) -> Iterator[pa.RecordBatch]:
+        if not tokens:
+            return
+        kind = np.repeat(np.array(kinds, np.uint64), [len(t) for t in tokens])
+        token = np.unique(np.concatenate(tokens) & ~np.uint64(63) | kind)  # the last bits aren't looked at
+        part, key, kind = token >> np.uint64(64 - PARTS_BITS), (token >> np.uint64(32 - PARTS_BITS)).astype(np.uint32), (token & np.uint64(63)).astype(np.uint8)
+        first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+        offsets = np.append(first, len(part)).astype(np.int32)
+        column = [pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets * np.int32(c.itemsize)), pa.py_buffer(c)]) for c in (key, kind)]
+        yield pa.RecordBatch.from_arrays([pa.array(part[first].astype(np.int32)), *column], names=names)
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens, kinds, held = [], [], 0
+        for _, texts in _texts(batches, 0):
+            for s, t in zip(shingle_sets(texts), texts):
+                held += len(t)
+                if len(s):
+                    tokens.append(rarest_first(s, told.value)[: prefix_lists(len(s), percent) * 5 // 4 + 1])
+                    kinds.append(int(np.bitwise_xor.reduce(s)) & 63)
+            if held >= FLUSH:
+                yield from flush(tokens, kinds)
+                tokens, kinds, held = [], [], 0
+        yield from flush(tokens, kinds)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t, cut in whole_groups(batches, 1):
+            for a, b in zip(cut, cut[1:]):
+                key, kind = (np.frombuffer(b"".join(t.column(k).slice(a, b - a).to_pylist()), d) for k, d in ((1, np.uint32), (2, np.uint8)))
+                order = np.argsort(key)
+                key, kind = key[order], np.uint64(1) << kind[order].astype(np.uint64)
+                first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+                slot = key[first[np.bitwise_count(np.bitwise_or.reduceat(kind, first)) >= COMMON]] >> np.uint32(32 + PARTS_BITS - TABLE_BITS)
+                if len(slot):
+                    bits = np.zeros(piece, np.uint8)
+                    np.bitwise_or.at(bits, slot >> np.uint32(3), np.uint8(1) << (slot & np.uint32(7)).astype(np.uint8))
+                    yield pa.RecordBatch.from_arrays([pa.array([t.column(0)[a].as_py()], pa.int32()), pa.array([bits.tobytes()], pa.binary())], names=["part", "bits"])
+
+    rows = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(emit, "part int, key binary, kind binary")
+    out = np.zeros(piece << PARTS_BITS, np.uint8)
+    with batches_of(docs.sparkSession, BATCH):
+        for r in rows.repartition("part").sortWithinPartitions("part").mapInArrow(count, "part int, bits binary").collect():  # at most 2^11 rows of 8 kB
+            out[r.part * piece : (r.part + 1) * piece] = np.frombuffer(r.bits, np.uint8)
+    return out
+
+
+def postings(docs: DataFrame, cells: np.ndarray, often: np.ndarray, percent: int) -> DataFrame:
     """token, node, n, w, other: the short lists' entries. A list that is long in one task already is combined there: the first set of each band of
     sizes stands for the others (w of them) and each other one comes as a pair (node, other) of its own, with w = 0."""
     spark = docs.sparkSession
-    told = spark.sparkContext.broadcast(cells)
+    told = spark.sparkContext.broadcast((cells, often))
     names = ["token", "node", "n", "w", "other"]
 
     def flush(tokens: list, nodes: list, sizes: list) -> Iterator[pa.RecordBatch]:
@@ -119,7 +182,7 @@ def postings(docs: DataFrame, cells: np.ndarray, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c[low : low + 100_000], t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()))], names=names)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        order, seen = told.value, set()
+        (order, last), seen = told.value, set()
         tokens, nodes, sizes, held = [], [], [], 0
         for _, texts in _texts(batches, 0):
             for s, t in zip(shingle_sets(texts), texts):
@@ -130,7 +193,7 @@ def postings(docs: DataFrame, cells: np.ndarray, percent: int) -> DataFrame:
                 if node in seen:  # an equal set of this task; those of others meet in the lists
                     continue
                 seen.add(node)
-                tokens.append(rarest_first(s, order)[: prefix_lists(len(s), percent)])
+                tokens.append(rarest_first(s, order, last)[: prefix_lists(len(s), percent)])
                 nodes.append(node)
                 sizes.append(len(s))
             if held >= FLUSH:
@@ -340,7 +403,8 @@ def jaccard_components(docs: DataFrame, percent: int = 80) -> DataFrame:
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc", "hash")).alias("first")
     classes = stored(known.where("n > 0").groupBy("high", "low", "n").agg(first, F.min("node").alias("node")).withColumn("rep", F.monotonically_increasing_id()))
     reps = classes.select("rep", "first.doc", "first.hash", "n", "node")
-    lists = postings(docs, frequencies(rows.where("chunk IS NOT NULL")), percent)
+    cells = frequencies(rows.where("chunk IS NOT NULL"))
+    lists = postings(docs, cells, common_shingles(docs, cells, percent), percent)
     groups = connected_components(candidate_edges(lists, percent))
     final = connected_components(exact_edges(docs, reps, groups, percent)).withColumnRenamed("node", "_rep")
     of_class = classes.join(final, F.col("rep") == F.col("_rep"), "left").select(*[F.col(c).alias(f"_{c}") for c in ("high", "low", "n")], F.coalesce("component", "rep").alias("root"))

@@ -39,6 +39,27 @@ def test_shared_passages_and_sizes(spark):
     check(spark, out)
 
 
+def test_common_passages_make_no_groups(spark, monkeypatch):
+    """In much text the cells tell little of a shingle; here they tell nothing. Texts with common passages and else nothing in common aren't groups."""
+    rng, texts, most = random.Random(7), {}, []
+    passages = [" ".join(f"c{k}w{j}" for j in range(9)) for k in range(6)]
+    for k in range(300):
+        parts = [" ".join(f"d{k}w{j}v{i}" for j in range(18)) for i in range(4)]
+        texts[k] = " ".join(x for pair in zip(parts, [*rng.sample(passages, 3), ""]) for x in pair)
+    texts |= {1000 + k: f"{texts[k]} one more" for k in range(40)}
+    exact = o.exact_edges
+
+    def seen(docs, reps, groups, percent):
+        most.append(groups.groupBy("component").count().agg({"count": "max"}).first()[0])
+        return exact(docs, reps, groups, percent)
+
+    monkeypatch.setattr(o, "frequencies", lambda rows: np.zeros(1 << o.CELLS_BITS, np.uint64))
+    monkeypatch.setattr(o, "exact_edges", seen)
+    out = check(spark, texts)
+    assert (out[out.doc_id >= 1000].component_id == out[out.doc_id >= 1000].doc_id - 1000).all()
+    assert most == [2], most
+
+
 @pytest.mark.parametrize("percent", [50, 80, 99, 100])
 def test_search_finds_what_brute_force_finds(percent):
     rng = np.random.default_rng(percent)
